@@ -82,18 +82,19 @@ def month_floor_iso(d) -> Column:
 def parse_german_month(s) -> Column:
     """``2020-Mrz`` -> 2020-03-01; unknown month or bad shape -> NULL."""
     parts = F.split(col_(s).cast("string"), "-")
-    mm = _map_expr(GERMAN_MONTHS)[parts.getItem(1)]
+    mm = F.try_element_at(_map_expr(GERMAN_MONTHS), F.try_element_at(parts, F.lit(2)))
     ok = (F.size(parts) == 2) & mm.isNotNull()
-    return F.when(ok, F.try_to_date(F.concat_ws("-", parts.getItem(0), mm, F.lit("01")), F.lit("yyyy-M-d")))
+    return F.when(ok, F.try_to_date(F.concat_ws("-", F.try_element_at(parts, F.lit(1)), mm, F.lit("01")),
+                                    "yyyy-M-d"))
 
 
 def parse_austrian_month(s) -> Column:
     """``Jän.09`` -> 2009-01-01 (century 20); unlisted month text is used as is."""
     parts = F.split(F.trim(col_(s).cast("string")), r"\.")
-    m = parts.getItem(0)
-    mm = F.coalesce(_map_expr(AUSTRIAN_MONTHS)[m], m)
-    txt = F.concat(F.lit("20"), parts.getItem(1), F.lit("-"), mm, F.lit("-01"))
-    return F.when(F.size(parts) == 2, F.try_to_date(txt, F.lit("yyyy-M-d")))
+    m = F.try_element_at(parts, F.lit(1))
+    mm = F.coalesce(F.try_element_at(_map_expr(AUSTRIAN_MONTHS), m), m)
+    txt = F.concat(F.lit("20"), F.try_element_at(parts, F.lit(2)), F.lit("-"), mm, F.lit("-01"))
+    return F.when(F.size(parts) == 2, F.try_to_date(txt, "yyyy-M-d"))
 
 
 def is_month_token(s) -> Column:
@@ -104,7 +105,7 @@ def is_month_token(s) -> Column:
 def german_month_label(d) -> Column:
     """Inverse of :func:`parse_german_month` (used to build raw-form fixtures)."""
     inv = {int(v): k for k, v in GERMAN_MONTHS.items()}
-    return F.concat(F.year(d).cast("string"), F.lit("-"), _map_expr(inv)[F.month(d)])
+    return F.concat(F.year(d).cast("string"), F.lit("-"), F.try_element_at(_map_expr(inv), F.month(d)))
 
 
 def austrian_month_label(d) -> Column:
@@ -112,7 +113,7 @@ def austrian_month_label(d) -> Column:
     inv = {}
     for k, v in AUSTRIAN_MONTHS.items():
         inv.setdefault(int(v), k)
-    return F.concat(_map_expr(inv)[F.month(d)], F.lit("."), F.date_format(d, "yy"))
+    return F.concat(F.try_element_at(_map_expr(inv), F.month(d)), F.lit("."), F.date_format(d, "yy"))
 
 
 def regime_dummies(d, shock_start: str = REGIME_SHOCK_START,

@@ -11,8 +11,11 @@ def col_(c) -> Column:
 
 
 def rnd(c, digits: int = 4) -> Column:
-    """Round a double for stable output (half-up, like SQL ROUND)."""
-    return F.round(col_(c).cast("double"), digits)
+    """Round a double for stable output: via DECIMAL(38,10), then half-up.
+
+    Going through the decimal form makes the result independent of how an
+    engine rounds binary near-ties (the DuckDB oracle does the same)."""
+    return F.round(col_(c).try_cast("decimal(38,10)"), digits).cast("double")
 
 
 def half_even(c, digits: int = 0) -> Column:

@@ -29,7 +29,7 @@ def step(level_col: str = "aggregation_level") -> str:
 
 
 def r(x: str, n: int = 4) -> str:
-    return f"round(CAST({x} AS DOUBLE), {n})"
+    return f"CAST(round(TRY_CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
 
 
 def bround_long(x: str) -> str:
@@ -70,3 +70,88 @@ SELECT {base('bin')},
        round_even((ca + cb) / (CASE aggregation_level WHEN 'daily' THEN 96 WHEN 'weekly' THEN 672 ELSE 2976 END) * 100, 1)
          AS data_completeness
 FROM full_bins"""
+
+
+def elec_bins_sql(grains=("daily", "weekly", "monthly"), gap_fill=True, a=(2015, 2025), b=(2020, 2025),
+                  feed_filter: str | None = None) -> str:
+    """Both feeds merged over years: (aggregation_level, date, means, counts)."""
+    rd = ELEC_READINGS.format(a_lo=a[0], a_hi=a[1], b_lo=b[0], b_hi=b[1])
+    if feed_filter:
+        rd += f" AND {feed_filter}"
+    parts = {"daily": "day", "weekly": wmon("day"), "monthly": ms("day")}
+    union = "\n  UNION ALL ".join(
+        f"SELECT '{g}' AS aggregation_level, {parts[g]} AS bin, a, b FROM d" for g in grains)
+    body = f"""
+WITH rd AS ({rd}),
+d AS (SELECT CAST(timestamp AS DATE) AS day, price_exaa_raw AS a, price_mc_raw AS b FROM rd),
+binned AS ({union}),
+agg AS (SELECT aggregation_level, bin, avg(a) AS ma, count(a) AS ca, avg(b) AS mb, count(b) AS cb
+        FROM binned GROUP BY ALL)"""
+    if gap_fill:
+        body += f""",
+bounds AS (SELECT aggregation_level, min(bin) AS lo, max(bin) AS hi FROM agg GROUP BY ALL),
+cal AS (SELECT aggregation_level,
+               CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), {step()})) AS DATE) AS bin
+        FROM bounds),
+res AS (SELECT c.aggregation_level, c.bin, a.ma, coalesce(a.ca, 0) AS ca, a.mb, coalesce(a.cb, 0) AS cb
+        FROM cal c LEFT JOIN agg a USING (aggregation_level, bin))"""
+    else:
+        body += ",\nres AS (SELECT * FROM agg)"
+    return body + f"""
+SELECT aggregation_level, {iso('bin')} AS date, {r('ma')} AS price_exaa_mean, ca AS price_exaa_count,
+       {r('mb')} AS price_mc_mean, cb AS price_mc_count FROM res"""
+
+
+CARBON_RAW = """
+  SELECT CAST(o_orderdate AS DATE) AS d,
+         avg(CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 100000 END) AS xr_before,
+         avg(CASE WHEN o_orderstatus = 'O' THEN o_totalprice / 100000 END) AS xr_after,
+         avg(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice / 1000 END) AS pm_before,
+         avg(CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice / 1000 END) AS pm_after,
+         avg(CASE WHEN o_orderpriority = '3-MEDIUM' THEN o_totalprice / 1000 END) AS sm_after
+  FROM orders GROUP BY 1"""
+
+
+def carbon_clean_sql(break_date="1998-01-01") -> str:
+    return f"""
+  SELECT d,
+         CASE WHEN d < DATE '{break_date}' THEN xr_before ELSE xr_after END AS carbonprices_exchange_rate_eur_usd,
+         CASE WHEN d < DATE '{break_date}' THEN pm_before ELSE pm_after END AS carbonprices_primary_market,
+         sm_after AS carbonprices_secondary_market
+  FROM ({CARBON_RAW})"""
+
+
+def carbon_long_ctes(break_date="1998-01-01") -> str:
+    """CTEs ending in ``carbon_long`` (same columns as wattle's carbon_long)."""
+    fam = ["carbonprices_exchange_rate_eur_usd", "carbonprices_primary_market", "carbonprices_secondary_market"]
+    avgs = ", ".join(f"avg({c}) AS {c}" for c in fam)
+    sel = ", ".join(f"{c}" for c in fam)
+    comp = " + ".join(f"CAST({c} IS NOT NULL AS INTEGER)" for c in fam)
+    return f"""
+cclean AS ({carbon_clean_sql(break_date)}),
+cbinned AS (SELECT 'weekly' AS aggregation_level, {wmon('d')} AS bin, {sel} FROM cclean
+            UNION ALL SELECT 'monthly', {ms('d')}, {sel} FROM cclean),
+cagg AS (SELECT aggregation_level, bin, {avgs} FROM cbinned GROUP BY ALL),
+cbounds AS (SELECT aggregation_level, min(bin) AS lo, max(bin) AS hi FROM cagg GROUP BY ALL),
+ccal AS (SELECT aggregation_level,
+                CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), {step()})) AS DATE) AS bin
+         FROM cbounds),
+cfull AS (SELECT 'daily' AS aggregation_level, d AS bin, {sel} FROM cclean
+          UNION ALL
+          SELECT c.aggregation_level, c.bin, {', '.join('a.' + f for f in fam)}
+          FROM ccal c LEFT JOIN cagg a USING (aggregation_level, bin)),
+carbon_long AS (
+  SELECT {base('bin')}, carbonprices_exchange_rate_eur_usd,
+         {bround_long('carbonprices_primary_market')} AS carbonprices_primary_market,
+         {bround_long('carbonprices_secondary_market')} AS carbonprices_secondary_market,
+         round_even(({comp}) / CAST(3 AS DOUBLE) * 100, 1) AS data_completeness
+  FROM cfull)"""
+
+
+# Monthly panel: y per series (order priority) and month, two regressors per month.
+PANEL_CTES = f"""
+py AS (SELECT o_orderpriority AS series_id, {ms('CAST(o_orderdate AS DATE)')} AS month,
+              avg(o_totalprice / 1000) AS y FROM orders GROUP BY ALL),
+px AS (SELECT {ms('CAST(l_shipdate AS DATE)')} AS month, avg(l_extendedprice / 1000) AS x1,
+              avg(l_discount * 100) AS x2 FROM lineitem GROUP BY ALL),
+panel AS (SELECT py.series_id, py.month, py.y, px.x1, px.x2 FROM py LEFT JOIN px USING (month))"""
