@@ -92,3 +92,10 @@ def normal_sf(z) -> Column:
     erfc = poly * F.exp(-x * x)
     upper = erfc / 2
     return F.when(z >= 0, upper).otherwise(1 - upper)
+
+
+def round_doubles(df, digits: int = 4):
+    """Round every double column of a result (stable comparison across engines)."""
+    from pyspark.sql import types as T
+    return df.select([rnd(f.name, digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+                      else F.col(f"`{f.name}`") for f in df.schema.fields])

@@ -155,3 +155,87 @@ py AS (SELECT o_orderpriority AS series_id, {ms('CAST(o_orderdate AS DATE)')} AS
 px AS (SELECT {ms('CAST(l_shipdate AS DATE)')} AS month, avg(l_extendedprice / 1000) AS x1,
               avg(l_discount * 100) AS x2 FROM lineitem GROUP BY ALL),
 panel AS (SELECT py.series_id, py.month, py.y, px.x1, px.x2 FROM py LEFT JOIN px USING (month))"""
+
+
+# --- consolidated table --------------------------------------------------------------
+CLIMATE_INDICATORS = ["F", "O", "P"]
+CLIMATE_GEOS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _norm(name: str, prefix: str) -> str:
+    n = name.strip().lower().replace(" ", "_").replace("/", "_").replace("-", "_")
+    return prefix + n.replace("(", "").replace(")", "").replace(">", "")
+
+
+CLIMATE_COLS = [_norm(f"{i}_{g}", "climate_") for g in CLIMATE_GEOS for i in CLIMATE_INDICATORS]
+PROD_COLS = ["prod_flag_a", "prod_flag_n", "prod_flag_r", "prod_status_f", "prod_status_o"]
+GAS_COLS = ["oegpi_month", "oegpi_quarter", "oegpi_season", "oegpi_year"]
+ECON_COLS = ["econ_count_orders", "econ_turnover_total", "econ_count_customers"]
+BASE_COLS = ["year", "month", "quarter", "week", "month_name"]
+ELEC_COLS = BASE_COLS + ["price_exaa_mean", "price_mc_auction_mean", "price_count_exaa", "price_count_mc",
+                         "data_completeness"]
+CARBON_COLS = BASE_COLS + ["carbonprices_exchange_rate_eur_usd", "carbonprices_primary_market",
+                           "carbonprices_secondary_market", "data_completeness"]
+SHARED = ["year", "month", "quarter", "week", "month_name", "data_completeness"]
+DOUBLE_COLS = (["data_completeness", "carbonprices_exchange_rate_eur_usd"] + CLIMATE_COLS + GAS_COLS + ECON_COLS)
+
+
+def climate_wide_cte() -> str:
+    cases = ", ".join(
+        f"max(CASE WHEN indic = '{i}' AND geo = '{g}' THEN obs END) AS {_norm(f'{i}_{g}', 'climate_')}"
+        for g in CLIMATE_GEOS for i in CLIMATE_INDICATORS)
+    return f"""
+clim AS (SELECT strftime(o_orderdate, '%Y-%m') AS tp, o_orderstatus AS indic, o_orderpriority AS geo,
+                avg(o_totalprice / 1000) AS obs FROM orders GROUP BY ALL),
+climate_wide AS (SELECT CAST(strptime(tp, '%Y-%m') AS DATE) AS m, {cases} FROM clim GROUP BY 1)"""
+
+
+def sources_ctes(el_a=(2015, 2025), el_b=(2020, 2025), break_date="1998-01-01") -> str:
+    """CTEs: elec_long, carbon_long, climate_long, production_long, gas_long, economy_long."""
+    from .q_ingest import ECON_SQL, GAS_SQL, PROD_SQL, austrian_parse_sql, german_parse_sql  # noqa
+    return f"""
+elec_long AS ({electricity_long_sql(el_a, el_b)}),
+{carbon_long_ctes(break_date)},
+{climate_wide_cte()},
+climate_long AS (SELECT {base('m', 'monthly')}, {', '.join(CLIMATE_COLS)} FROM climate_wide),
+production_long AS (SELECT {base('m', 'monthly')}, {', '.join(PROD_COLS)} FROM ({PROD_SQL})),
+gas_p AS (SELECT {german_parse_sql('Datum')} AS m, Monat AS oegpi_month, Quartal AS oegpi_quarter,
+                 Saison AS oegpi_season, Jahr AS oegpi_year FROM ({GAS_SQL})),
+gas_long AS (SELECT {base('m', 'monthly')}, {', '.join(GAS_COLS)} FROM gas_p WHERE m IS NOT NULL),
+econ_p AS (SELECT {austrian_parse_sql('Berichtszeitraum')} AS m, Auftraege AS econ_count_orders,
+                  Umsatz AS econ_turnover_total, Kunden AS econ_count_customers FROM ({ECON_SQL})
+           WHERE coalesce(regexp_full_match(trim(Berichtszeitraum), '[^.]{{0,4}}[.][^.]{{2}}'), false)),
+economy_long AS (SELECT {base('m', 'monthly')}, {', '.join(ECON_COLS)} FROM econ_p)"""
+
+
+def outer_chain_ctes(sources, out_name="consolidated") -> str:
+    """Full outer join chain on (date, aggregation_level), shared columns left-first."""
+    acc, acc_cols = sources[0]
+    ctes = []
+    for i, (nm, cols) in enumerate(sources[1:]):
+        shared = [c for c in SHARED if c in acc_cols and c in cols]
+        sel = ["coalesce(l.date, r.date) AS date",
+               "coalesce(l.aggregation_level, r.aggregation_level) AS aggregation_level"]
+        sel += [f"coalesce(l.{c}, r.{c}) AS {c}" if c in shared else f"l.{c}" for c in acc_cols]
+        sel += [f"r.{c}" for c in cols if c not in shared]
+        name = out_name if i == len(sources) - 2 else f"m{i}"
+        ctes.append(f"{name} AS (SELECT {', '.join(sel)} FROM {acc} l FULL OUTER JOIN {nm} r "
+                    f"ON l.date = r.date AND l.aggregation_level = r.aggregation_level)")
+        acc, acc_cols = name, acc_cols + [c for c in cols if c not in shared]
+    return ",\n".join(ctes)
+
+
+SOURCE_LIST = [("elec_long", ELEC_COLS), ("carbon_long", CARBON_COLS),
+               ("climate_long", BASE_COLS + CLIMATE_COLS), ("production_long", BASE_COLS + PROD_COLS),
+               ("gas_long", BASE_COLS + GAS_COLS), ("economy_long", BASE_COLS + ECON_COLS)]
+CONSOLIDATED_COLS = (["date", "aggregation_level"] + ELEC_COLS
+                     + ["carbonprices_exchange_rate_eur_usd", "carbonprices_primary_market",
+                        "carbonprices_secondary_market"] + CLIMATE_COLS + PROD_COLS + GAS_COLS + ECON_COLS)
+
+
+def consolidated_ctes(el_a=(2015, 2025), el_b=(2020, 2025), break_date="1998-01-01") -> str:
+    return sources_ctes(el_a, el_b, break_date) + ",\n" + outer_chain_ctes(SOURCE_LIST)
+
+
+def rounded_select(cols, doubles=DOUBLE_COLS, n=4) -> str:
+    return ", ".join(f"{r(c, n)} AS {c}" if c in doubles else c for c in cols)
