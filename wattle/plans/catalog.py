@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_ingest, q_merge, q_quality  # noqa: F401
+from . import q_ingest, q_merge, q_models, q_quality  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -239,3 +239,77 @@ def consolidated_ctes(el_a=(2015, 2025), el_b=(2020, 2025), break_date="1998-01-
 
 def rounded_select(cols, doubles=DOUBLE_COLS, n=4) -> str:
     return ", ".join(f"{r(c, n)} AS {c}" if c in doubles else c for c in cols)
+
+
+SPLIT_CTES = PANEL_CTES + """,
+sp AS (SELECT *, CASE WHEN month <= DATE '1999-12-01' THEN 'train'
+                      WHEN month BETWEEN DATE '2000-01-01' AND DATE '2001-06-01' THEN 'test' END AS split,
+              CAST(year(month) * 12 + month(month) - 1 AS BIGINT) AS midx FROM panel),
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+te AS (SELECT * FROM sp WHERE split = 'test')"""
+
+FORECAST_CTES = SPLIT_CTES + """,
+f_pers AS (SELECT te.series_id, te.month, 'persistence' AS model, te.y AS actual, l.f AS forecast
+           FROM te JOIN (SELECT series_id, arg_max(y, month) AS f FROM tr GROUP BY 1) l USING (series_id)),
+last12 AS (SELECT series_id, month(month) AS moy, y AS f FROM tr
+           QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY month DESC) <= 12),
+f_seas AS (SELECT te.series_id, te.month, 'seasonal_naive' AS model, te.y AS actual, s.f AS forecast
+           FROM te JOIN last12 s ON te.series_id = s.series_id AND month(te.month) = s.moy),
+rc AS (SELECT series_id, regr_intercept(y, x1) AS a, regr_slope(y, x1) AS b, regr_r2(y, x1) AS r2,
+              regr_count(y, x1) AS n FROM tr GROUP BY 1),
+f_reg AS (SELECT te.series_id, te.month, 'regression_x1' AS model, te.y AS actual, rc.a + rc.b * te.x1 AS forecast
+          FROM te JOIN rc USING (series_id)),
+trl AS (SELECT *, lag(y) OVER (PARTITION BY series_id ORDER BY month) AS y1 FROM tr),
+ac AS (SELECT series_id, regr_intercept(y, y1) AS c, regr_slope(y, y1) AS phi, regr_r2(y, y1) AS r2,
+              regr_count(y, y1) AS n, arg_max(y, month) AS yT, max(midx) AS T FROM trl GROUP BY 1),
+f_ar AS (SELECT te.series_id, te.month, 'ar1' AS model, te.y AS actual,
+                CASE WHEN ac.phi = 1 THEN ac.c * (te.midx - ac.T) + ac.yT
+                     ELSE ac.c * (1 - power(ac.phi, te.midx - ac.T)) / (1 - ac.phi)
+                          + power(ac.phi, te.midx - ac.T) * ac.yT END AS forecast
+         FROM te JOIN ac USING (series_id)),
+fc AS (SELECT * FROM f_pers UNION ALL SELECT * FROM f_seas UNION ALL SELECT * FROM f_reg UNION ALL SELECT * FROM f_ar),
+fm AS (SELECT series_id, model, count(forecast - actual) AS n, sqrt(avg((forecast - actual) ^ 2)) AS rmse,
+              avg(abs(forecast - actual)) AS mae, avg(abs((forecast - actual) / actual)) * 100 AS mape,
+              avg(forecast - actual) AS bias, max(abs(forecast - actual)) AS max_abs_error
+       FROM fc GROUP BY ALL)"""
+
+# AR(1) residuals on the training months (used by the residual diagnostics)
+RESID_CTES = FORECAST_CTES + """,
+res AS (SELECT trl.series_id, trl.month, trl.y - (ac.c + ac.phi * trl.y1) AS e
+        FROM trl JOIN ac USING (series_id) WHERE trl.y1 IS NOT NULL)"""
+
+
+def chi2_sf_even_sql(x: str, df: int) -> str:
+    h = f"(({x}) / 2.0)"
+    terms = ["1.0"]
+    fact = 1
+    for j in range(1, df // 2):
+        fact *= j
+        terms.append(f"power({h}, {j}) / {fact}.0")
+    return f"(exp(-{h}) * ({' + '.join(terms)}))"
+
+
+def normal_quantile_sql(p: str) -> str:
+    """Same rational approximation as wattle.functions.numeric.normal_quantile."""
+    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+         1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+         6.680131188771972e+01, -1.328068155288572e+01]
+    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+         -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+
+    def poly(coefs, x):
+        acc = repr(coefs[0])
+        for k in coefs[1:]:
+            acc = f"(({acc}) * {x} + {k!r})"
+        return acc
+    p = f"CAST({p} AS DOUBLE)"
+    qlo = f"sqrt(-2 * ln({p}))"
+    qhi = f"sqrt(-2 * ln(1 - {p}))"
+    q = f"({p} - 0.5)"
+    r_ = f"({q} * {q})"
+    lo = f"({poly(c, qlo)}) / (({poly(d, qlo)}) * {qlo} + 1)"
+    hi = f"-({poly(c, qhi)}) / (({poly(d, qhi)}) * {qhi} + 1)"
+    mid = f"({poly(a, r_)}) * {q} / (({poly(b, r_)}) * {r_} + 1)"
+    return f"(CASE WHEN {p} < 0.02425 THEN {lo} WHEN {p} > 1 - 0.02425 THEN {hi} ELSE {mid} END)"
