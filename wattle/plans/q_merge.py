@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from . import consolidate as C
 from . import sqlparts as S
 from .panel import regressors, target
+from .materialize import consolidated_table
 from .registry import query
 from ..functions import calendar as cal
 from ..functions.numeric import iso_date, rnd, round_doubles
@@ -45,7 +46,7 @@ SELECT date, aggregation_level, {S.r('price_exaa_mean')} AS price_exaa_mean,
 FROM consolidated ORDER BY date, aggregation_level""")
 def sorted_output(spark, sf_dir):
     """Sink order: (date, aggregation_level). Sorting happens only at the sink."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     return (c.select("date", "aggregation_level", rnd("price_exaa_mean").alias("price_exaa_mean"),
                      rnd("carbonprices_primary_market").alias("carbonprices_primary_market"))
             .orderBy("date", "aggregation_level"))

@@ -8,6 +8,7 @@ from . import consolidate as C
 from . import sqlparts as S
 from .panel import monthly_panel
 from .q_ingest import STANDIN_PERIODS, _period_sql
+from .materialize import consolidated_table
 from .registry import query
 from ..functions import calendar as cal
 from ..functions.numeric import iso_date, rnd, round_doubles
@@ -45,7 +46,7 @@ SELECT count(*) AS n_rows, CAST({len(S.CONSOLIDATED_COLS)} AS BIGINT) AS n_colum
 FROM consolidated""")
 def table_overview(spark, sf_dir):
     """Shape, date range and rows per grain."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     lvl = F.col("aggregation_level")
     return c.agg(F.count("*").alias("n_rows"), F.lit(len(c.columns)).cast("long").alias("n_columns"),
                  F.min("date").alias("first_date"), F.max("date").alias("last_date"),
@@ -59,7 +60,7 @@ a AS (SELECT count(*) AS n, {', '.join(f'count_if({c} IS NULL) AS {c}' for c in
 {_union([f"SELECT '{c}' AS \"column\", '{_fam(c)}' AS family, {c} AS n_null, {S.r(f'{c} / n * 100')} AS pct_null FROM a" for c in VALUE_COLS])}""")
 def missing_by_column(spark, sf_dir):
     """NULLs and percent per column with its family (one aggregate pass)."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     return Q.missing_by_column(c, VALUE_COLS).withColumn("pct_null", rnd("pct_null"))
 
 
@@ -71,7 +72,7 @@ SELECT aggregation_level, count(*) AS n_rows,
 FROM consolidated GROUP BY aggregation_level""")
 def grain_rules(spark, sf_dir):
     """Architecture rule: daily/weekly rows hold no monthly-only family data."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     return c.groupBy("aggregation_level").agg(
         F.count("*").alias("n_rows"),
         F.count_if(Q.any_not_null(MONTHLY_ONLY)).alias("n_monthly_only_data"),
@@ -115,7 +116,7 @@ WITH {CTES}
 {_union([f"SELECT '{c}' AS \"column\", count_if({c} = 0) AS n_zero, count_if({c} IS NULL) AS n_null FROM consolidated" for c in ZN_COLS])}""")
 def zero_null_check(spark, sf_dir):
     """Zeros next to NULLs per column (false-zero validation)."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     return Q.profile(c, ZN_COLS, {"n_zero": lambda x: F.count_if(x == 0), "n_null": lambda x: F.count_if(x.isNull())})
 
 
@@ -130,7 +131,7 @@ WITH {CTES}
 {_union([f"SELECT '{a}' AS col_a, '{b}' AS col_b, {S.r(_nullcorr_sql(a, b), 6)} AS r FROM consolidated" for a, b in Q.pairwise(NULLITY_COLS)])}""")
 def nullity_correlation(spark, sf_dir):
     """Correlation of missingness indicators for column pairs (NULL if constant)."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     ind = c.select(*[F.col(x).isNull().cast("double").alias(x) for x in NULLITY_COLS])
     aggs = []
     for a, b in Q.pairwise(NULLITY_COLS):
@@ -151,7 +152,7 @@ WITH {CTES}
 def column_overview(spark, sf_dir):
     """Missing, distinct, min and max per numeric column. Exact distinct counts are
     fine here: the consolidated table is bin-level (rows = dates x grains)."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     out = Q.profile(c, NUMERIC_COLS, {
         "n_missing": lambda x: F.count_if(x.isNull()), "n_distinct": lambda x: F.count_distinct(x),
         "min_value": lambda x: F.min(x).cast("double"), "max_value": lambda x: F.max(x).cast("double")})
@@ -184,7 +185,7 @@ FROM consolidated GROUP BY aggregation_level""")
 def grain_distribution(spark, sf_dir):
     """Rows per grain, share and date range (share via a window over the 3 group rows)."""
     from pyspark.sql import Window
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     g = c.groupBy("aggregation_level").agg(F.count("*").alias("n_rows"), F.min("date").alias("first_date"),
                                            F.max("date").alias("last_date"))
     tot = F.sum("n_rows").over(Window.partitionBy(F.lit(1)))
@@ -209,7 +210,7 @@ WITH {CTES}, m AS (SELECT * FROM consolidated WHERE aggregation_level = 'monthly
 {_union([f"SELECT '{c}' AS \"column\", count({c}) AS count, {S.r(f'avg({c})')} AS mean, {S.r(f'stddev_samp({c})')} AS std, {S.r(f'min({c})')} AS min, {S.r(f'quantile_cont({c}, 0.25)')} AS p25, {S.r(f'quantile_cont({c}, 0.5)')} AS p50, {S.r(f'quantile_cont({c}, 0.75)')} AS p75, {S.r(f'max({c})')} AS max FROM m" for c in STAT_COLS])}""")
 def describe_stats(spark, sf_dir):
     """count, mean, sd, min, quartiles (linear interpolation), max of monthly rows."""
-    c = C.consolidated(spark, sf_dir).filter(F.col("aggregation_level") == "monthly")
+    c = consolidated_table(spark, sf_dir).filter(F.col("aggregation_level") == "monthly")
     out = Q.profile(c, STAT_COLS, {
         "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": lambda x: F.min(x).cast("double"),
         "p25": lambda x: F.percentile(x, 0.25), "p50": lambda x: F.percentile(x, 0.5),
@@ -227,7 +228,7 @@ WITH {CTES}, m AS (SELECT * FROM consolidated WHERE aggregation_level = 'monthly
 {_corr_sql()}""")
 def correlation_matrix(spark, sf_dir):
     """Pearson r of every column pair of monthly rows (pairwise complete)."""
-    c = C.consolidated(spark, sf_dir).filter(F.col("aggregation_level") == "monthly")
+    c = consolidated_table(spark, sf_dir).filter(F.col("aggregation_level") == "monthly")
     return Q.correlations(c, CORR_COLS).withColumn("r", rnd("r", 6))
 
 
@@ -237,7 +238,7 @@ cm AS ({_corr_sql()})
 SELECT * FROM cm WHERE abs(r) > 0.7""")
 def high_correlations(spark, sf_dir):
     """Pairs with |r| > 0.7 (upper triangle)."""
-    c = C.consolidated(spark, sf_dir).filter(F.col("aggregation_level") == "monthly")
+    c = consolidated_table(spark, sf_dir).filter(F.col("aggregation_level") == "monthly")
     return Q.correlations(c, CORR_COLS).withColumn("r", rnd("r", 6)).filter(F.abs("r") > 0.7)
 
 
@@ -270,7 +271,7 @@ WITH {CTES}
 {_union([f"SELECT '{c}' AS \"column\", min(CASE WHEN {c} IS NOT NULL THEN date END) AS first_date, max(CASE WHEN {c} IS NOT NULL THEN date END) AS last_date, count({c}) AS n_values FROM consolidated" for c in VALUE_COLS])}""")
 def data_availability(spark, sf_dir):
     """First and last date with data per column."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     d = F.col("date")
     return Q.profile(c, VALUE_COLS, {
         "first_date": lambda x: F.min(F.when(x.isNotNull(), d)), "last_date": lambda x: F.max(F.when(x.isNotNull(), d)),
@@ -287,7 +288,7 @@ SELECT aggregation_level, date, end_ AS "end", CAST(rn AS BIGINT) AS rn FROM f
 UNION ALL SELECT aggregation_level, date, end_, CAST(rn AS BIGINT) FROM l""")
 def sample_per_grain(spark, sf_dir):
     """First and last three rows of each grain (head/tail per group, top-k limited)."""
-    c = C.consolidated(spark, sf_dir).select("aggregation_level", "date")
+    c = consolidated_table(spark, sf_dir).select("aggregation_level", "date")
     first = Q.first_k_by(c, ["aggregation_level"], [F.col("date")], 3).withColumn("end", F.lit("first"))
     last = Q.first_k_by(c, ["aggregation_level"], [F.col("date").desc()], 3).withColumn("end", F.lit("last"))
     return first.unionByName(last).select("aggregation_level", "date", "end", F.col("rn").cast("long"))

@@ -12,6 +12,7 @@ from . import sqlparts as S
 from .panel import monthly_panel, split_label
 from .q_models import ADF_CRIT_5PCT, KPSS_CRIT_5PCT, _split
 from .q_quality import VALUE_COLS
+from .materialize import consolidated_table
 from .registry import query
 from ..functions.numeric import chi2_sf_even, iso_date, normal_quantile, rnd, round_doubles
 from ..operators import forecast as FC
@@ -224,7 +225,7 @@ FROM cnt LEFT JOIN lib USING (col)""")
 def label_lookup(spark, sf_dir):
     """Readable label and unit for every consolidated column (small fixed library,
     broadcast left join; fallback to the column name / empty unit)."""
-    c = C.consolidated(spark, sf_dir)
+    c = consolidated_table(spark, sf_dir)
     cnt = Q.profile(c, VALUE_COLS, {"n_values": F.count})
     lib = spark.createDataFrame(LABELS, "column string, label string, unit string")
     j = cnt.join(F.broadcast(lib), "column", "left")

@@ -103,8 +103,12 @@ def gas_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly gas price index stand-in with German month labels in ``Datum``."""
     li = table(spark, sf_dir, "lineitem")
     m = month_start("l_shipdate")
-    agg = (li.groupBy(m.alias("m"))
-           .agg(F.avg(F.col("l_extendedprice") / 1000).alias("Monat"),
+    # The label is built from an aggregate result (min of the month) rather than
+    # the grouping key, so a later filter on the parsed label cannot be pushed
+    # below the aggregate onto every raw row.
+    agg = (li.groupBy(m.alias("g"))
+           .agg(F.min(m).alias("m"),
+                F.avg(F.col("l_extendedprice") / 1000).alias("Monat"),
                 F.avg(F.col("l_discount") * 100).alias("Quartal"),
                 F.avg(F.col("l_tax") * 100).alias("Saison"),
                 F.avg("l_quantity").alias("Jahr")))
@@ -115,8 +119,9 @@ def economy_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly economy stand-in with Austrian month labels in ``Berichtszeitraum``."""
     o = table(spark, sf_dir, "orders")
     m = month_start("o_orderdate")
-    agg = (o.groupBy(m.alias("m"))
-           .agg(F.count("*").cast("double").alias("Auftraege"),
+    agg = (o.groupBy(m.alias("g"))
+           .agg(F.min(m).alias("m"),
+                F.count("*").cast("double").alias("Auftraege"),
                 F.sum(F.col("o_totalprice") / 1e6).alias("Umsatz"),
                 F.countDistinct("o_custkey").cast("double").alias("Kunden")))
     return agg.select(austrian_month_label("m").alias("Berichtszeitraum"), "Auftraege", "Umsatz", "Kunden")
