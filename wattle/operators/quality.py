@@ -73,3 +73,22 @@ def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{a}|{b}__r`").alias("r"),
                  F.col(f"`{a}|{b}__n`").alias("n_pairs")) for a, b in pairs]))
     return one.select(rows.alias("x")).select("x.*")
+
+
+def family_type_check(df: DataFrame, expected: str = "double", integer_ok: bool = True) -> list[tuple]:
+    """Schema rule: family columns must be numeric (driver-side, schema only)."""
+    out = []
+    for f in df.schema.fields:
+        fam = family_of(f.name)
+        if fam == "base":
+            continue
+        t = f.dataType.simpleString()
+        ok = t == expected or (integer_ok and t in ("bigint", "int"))
+        out.append((f.name, fam, t, ok))
+    return out
+
+
+def column_set_difference(actual: Sequence[str], expected: Sequence[str]) -> dict:
+    """Expected vs. actual column names (schema only)."""
+    a, e = set(actual), set(expected)
+    return {"missing": sorted(e - a), "unexpected": sorted(a - e)}
