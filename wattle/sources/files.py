@@ -20,15 +20,18 @@ ELECTRICITY_YEAR_PATTERN = r"M15_(\d{4})_English"
 
 
 def read_text_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8",
-                  header: bool = True) -> DataFrame:
+                  header: bool = True, n_columns: int | None = None) -> DataFrame:
     """All columns as strings; the file name is kept as ``source_file``.
 
     Spark's CSV reader does not accept windows-1252; ISO-8859-1 reads the
     same bytes (the few 0x80-0x9F code points, e.g. the euro sign, can be
     mapped with ``translate`` afterwards)."""
     enc = "ISO-8859-1" if encoding.lower() in ("cp1252", "windows-1252") else encoding
-    df = (spark.read.option("header", header).option("sep", sep).option("encoding", enc)
-          .option("mode", "PERMISSIVE").option("inferSchema", False).csv(path))
+    r = (spark.read.option("header", header).option("sep", sep).option("encoding", enc)
+         .option("mode", "PERMISSIVE").option("inferSchema", False))
+    if n_columns:   # declared positional schema (first lines may be banners)
+        r = r.schema(", ".join(f"_c{i} string" for i in range(n_columns)))
+    df = r.csv(path)
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
@@ -107,7 +110,8 @@ def read_sheet_export(spark: SparkSession, path: str, columns: Sequence[str], da
     Read without header (positional ``_cN`` columns); the caller names the
     columns. Banner, unit and footer rows fall out because the date column
     must have month shape (``shape``) and parse (``parse``)."""
-    raw = read_text_csv(spark, path, sep=sep, header=False).drop("source_file")
+    raw = read_text_csv(spark, path, sep=sep, header=False,
+                        n_columns=len(columns) + (1 if drop_first else 0)).drop("source_file")
     cols = raw.columns[1:] if drop_first else raw.columns
     named = raw.select(*[F.trim(F.col(c)).alias(n) for c, n in zip(cols, columns)])
     d = named.columns[date_position]
