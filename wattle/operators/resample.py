@@ -6,15 +6,16 @@ Plan shape (scales with the raw data, not with the number of bins):
   2. day rows are expanded to their three bins and aggregated again; week and
      month means are exact from (sum, count);
   3. gap bins (pandas ``resample`` emits every bin between the first and the
-     last) come from a calendar skeleton per (keys, grain) that is *unioned*
-     into step 2 rather than joined, so no extra join is needed.
+     last) are emitted in step 2 from each day row and the next day with data
+     (``lead`` over day rows), so the readings are scanned once and no
+     calendar join is needed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import GRAINS, bin_of
@@ -32,41 +33,57 @@ def daily_moments(df: DataFrame, day_col, value_cols: Sequence[str],
     return df.groupBy(*keys, day.alias("day")).agg(*aggs)
 
 
-def _skeleton(days: DataFrame, value_cols, keys, grains, week_mode) -> DataFrame:
-    """Every bin between the first and the last bin per (keys, grain), no values."""
-    bins = F.explode(F.array(*[
-        F.struct(F.lit(g).alias("aggregation_level"), bin_of("day", g, week_mode).alias("bin"))
-        for g in grains]))
-    per_grain = (days.select(*keys, bins.alias("b"))
-                 .groupBy(*keys, "b.aggregation_level")
-                 .agg(F.min("b.bin").alias("lo"), F.max("b.bin").alias("hi")))
-    lvl = F.col("aggregation_level")
-    seq = (F.when(lvl == "daily", F.sequence("lo", "hi", F.expr(STEP["daily"])))
-           .when(lvl == "weekly", F.sequence("lo", "hi", F.expr(STEP["weekly"])))
-           .otherwise(F.sequence("lo", "hi", F.expr(STEP["monthly"]))))
-    sk = per_grain.select(*keys, "aggregation_level", F.explode(seq).alias("bin"))
-    nulls = []
-    for v in value_cols:
-        nulls += [F.lit(None).cast("double").alias(f"{v}__sum"), F.lit(0).cast("long").alias(f"{v}__cnt")]
-    return sk.select(*keys, "aggregation_level", "bin", *nulls)
+def _next_bin(b, grain: str):
+    return F.add_months(b, 1) if grain == "monthly" else F.date_add(b, 7 if grain == "weekly" else 1)
+
+
+def _prev_bin(b, grain: str):
+    return F.add_months(b, -1) if grain == "monthly" else F.date_sub(b, 7 if grain == "weekly" else 1)
+
+
+def _gap_entry(grain, empty, moment_cols):
+    # one-argument lambda: transform() treats a second parameter as the index
+    return lambda x: F.struct(F.lit(grain).alias("aggregation_level"), x.alias("bin"),
+                              *[empty[c].alias(c) for c in moment_cols])
 
 
 def rollup_days(days: DataFrame, value_cols: Sequence[str], keys: Sequence[str] = (),
                 grains: Sequence[str] = GRAINS, gap_fill: bool = True,
                 week_mode: str = "w-mon") -> DataFrame:
-    """(keys, aggregation_level, date) -> ``v_mean``, ``v_count`` from day moments."""
-    bins = F.explode(F.array(*[
-        F.struct(F.lit(g).alias("aggregation_level"), bin_of("day", g, week_mode).alias("bin"))
-        for g in grains]))
+    """(keys, aggregation_level, date) -> ``v_mean``, ``v_count`` from day moments.
+
+    Gap bins: each day row also emits the empty bins strictly between its own
+    bin and the bin of the next day with data (``lead`` over the day rows of
+    its key), so every bin between the first and the last is produced in the
+    same single pass; no calendar table and no second scan of the readings.
+    The window runs on day-level rows (bounded by the calendar, not by the
+    number of readings)."""
     moment_cols = [f"{v}__{m}" for v in value_cols for m in ("sum", "cnt")]
-    expanded = (days.select(*keys, bins.alias("b"), *moment_cols)
-                .select(*keys, "b.aggregation_level", "b.bin", *moment_cols))
+    data = {c: F.col(c) for c in moment_cols}
+    empty = {}
+    for v in value_cols:
+        empty[f"{v}__sum"] = F.lit(None).cast("double")
+        empty[f"{v}__cnt"] = F.lit(0).cast("long")
+    src = days
     if gap_fill:
-        expanded = expanded.unionByName(_skeleton(days, value_cols, keys, grains, week_mode))
+        src = days.withColumn("_next", F.lead("day").over(Window.partitionBy(*keys).orderBy("day")))
+    entries = []
+    for g in grains:
+        b = bin_of("day", g, week_mode)
+        entries.append(F.array(F.struct(F.lit(g).alias("aggregation_level"), b.alias("bin"),
+                                        *[data[c].alias(c) for c in moment_cols])))
+        if gap_fill:
+            lo, hi = _next_bin(b, g), _prev_bin(bin_of("_next", g, week_mode), g)
+            step = F.expr(STEP[g])
+            gaps = F.when(F.col("_next").isNotNull() & (lo <= hi), F.sequence(lo, hi, step))
+            entries.append(F.transform(F.coalesce(gaps, F.array().cast("array<date>")),
+                                       _gap_entry(g, empty, moment_cols)))
+    expanded = (src.select(*keys, F.explode(F.flatten(F.array(*entries))).alias("b"))
+                .select(*keys, "b.*"))
     aggs = []
     for v in value_cols:
-        s, n = F.sum(f"{v}__sum"), F.sum(f"{v}__cnt")
-        aggs += [F.when(n > 0, s / n).alias(f"{v}_mean"), n.alias(f"{v}_count")]
+        s_, n = F.sum(f"{v}__sum"), F.sum(f"{v}__cnt")
+        aggs += [F.when(n > 0, s_ / n).alias(f"{v}_mean"), n.alias(f"{v}_count")]
     return (expanded.groupBy(*keys, "aggregation_level", F.col("bin").alias("date"))
             .agg(*aggs))
 

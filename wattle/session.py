@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import threading
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,12 +41,42 @@ def build_session(master: str | None = None, app: str = "wattle",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the session-level settings a job depends on (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+
+
+_SHIP_LOCK = threading.Lock()
+_SHIPPED: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``wattle`` importable in Python workers (pandas steps pickle functions
+    by module reference): the package is zipped once per driver process and
+    added with ``addPyFile`` once per SparkContext."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        zpath = _SHIPPED.get("_zip")
+        if zpath is None:
+            zpath = os.path.join(tempfile.mkdtemp(prefix="wattle-pkg-"), "wattle.zip")
+            with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+                for root, _, files in os.walk(pkg):
+                    for f in files:
+                        if f.endswith(".py"):
+                            full = os.path.join(root, f)
+                            z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+            _SHIPPED["_zip"] = zpath
+        sc.addPyFile(zpath)
+        _SHIPPED[app] = zpath
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
