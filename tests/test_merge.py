@@ -37,3 +37,12 @@ def test_key_alignment(spark):
     a = spark.createDataFrame([("m1",), ("m2",)], "date string")
     b = spark.createDataFrame([("m2",), ("m3",)], "date string")
     assert sorted(map(tuple, key_alignment(a, b).collect())) == [("m1", "left_only"), ("m3", "right_only")]
+
+
+def test_family_type_check_and_column_sets(spark):
+    from wattle.operators.quality import column_set_difference, family_type_check
+    df = spark.createDataFrame([("d", 1.0, 2, "x")], "date string, price_a double, prod_b long, econ_c string")
+    res = {c: ok for c, _, _, ok in family_type_check(df)}
+    assert res == {"price_a": True, "prod_b": True, "econ_c": False}
+    assert column_set_difference(df.columns, ["date", "price_a", "oegpi_x"]) == \
+        {"missing": ["oegpi_x"], "unexpected": ["econ_c", "prod_b"]}

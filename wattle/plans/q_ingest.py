@@ -510,3 +510,20 @@ def month_slice_count(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").filter(F.month("l_shipdate") == 3)
     return li.groupBy(F.year("l_shipdate").cast("long").alias("year")).agg(
         F.count("*").alias("n_rows"), F.countDistinct(F.col("l_shipdate").cast("date")).alias("n_days"))
+
+
+@query("sampled_scan", f"""
+WITH rd AS ({S.ELEC_READINGS.format(a_lo=EL_A[0], a_hi=EL_A[1], b_lo=EL_B[0], b_hi=EL_B[1])})
+SELECT CAST(source_year AS BIGINT) AS source_year, strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f') AS timestamp,
+       price_exaa_raw, price_mc_raw,
+       CAST(row_number() OVER (PARTITION BY source_year ORDER BY timestamp, price_exaa_raw, price_mc_raw) AS BIGINT) AS rn
+FROM rd QUALIFY rn <= 5""")
+def sampled_scan(spark, sf_dir):
+    """First five readings of each yearly file, for structure profiling (top-k per
+    file, limited below the shuffle)."""
+    r = C.select_era_columns(standins.electricity_readings(spark, sf_dir), "source_year", standins.ELECTRICITY_ERAS)
+    from ..operators.quality import first_k_by
+    s = first_k_by(r, ["source_year"], [F.col("timestamp"), F.col("price_exaa_raw"), F.col("price_mc_raw")], 5)
+    return s.select(F.col("source_year").cast("long").alias("source_year"),
+                    F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+                    "price_exaa_raw", "price_mc_raw", F.col("rn").cast("long").alias("rn"))
