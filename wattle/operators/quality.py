@@ -28,15 +28,20 @@ def unpivot_one_row(one: DataFrame, cols: Sequence[str], fields: Sequence[str])
     return one.select(rows.alias("r")).select("r.*")
 
 
-def profile(df: DataFrame, cols: Sequence[str], measures: dict) -> DataFrame:
-    """``measures``: name -> function(Column) -> aggregate Column. One pass."""
-    aggs = [fn(F.col(f"`{c}`")).alias(f"{c}__{m}") for c in cols for m, fn in measures.items()]
-    return unpivot_one_row(df.agg(*aggs), cols, list(measures))
+def profile(df: DataFrame, cols: Sequence[str], measures: dict, cast: str = "double") -> DataFrame:
+    """``measures``: name -> function(value Column) -> aggregate Column.
+
+    The columns are unpivoted to (column, value) and aggregated by column: a
+    narrow aggregate per column instead of one very wide row (small generated
+    code, partial aggregation per column key)."""
+    src = df.select(*[F.col(f"`{c}`").cast(cast).alias(c) for c in cols])
+    long = src.unpivot([], list(cols), "column", "value")
+    return long.groupBy("column").agg(*[fn(F.col("value")).alias(m) for m, fn in measures.items()])
 
 
 def missing_by_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     n = F.count(F.lit(1))
-    out = profile(df, cols, {"n_null": lambda c: F.count_if(c.isNull()), "n_rows": lambda c: n})
+    out = profile(df, cols, {"n_null": lambda c: F.count_if(c.isNull()), "n_rows": lambda c: n}, cast="string")
     fam = F.create_map(*[F.lit(x) for c in cols for x in (c, family_of(c))])
     return out.select("column", F.try_element_at(fam, F.col("column")).alias("family"), "n_null",
                       (F.col("n_null") / F.col("n_rows") * 100).alias("pct_null"))
@@ -61,18 +66,18 @@ def pairwise(cols: Sequence[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
 
 
-def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson r for every pair (pairwise complete), one aggregate pass."""
+def pair_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(col_a, col_b, a, b) for every column pair of every row (one ``stack``)."""
     pairs = pairwise(cols)
-    aggs = []
-    for a, b in pairs:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        aggs += [F.corr(a, b).alias(f"{a}|{b}__r"), F.count_if(both).alias(f"{a}|{b}__n")]
-    one = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{a}|{b}__r`").alias("r"),
-                 F.col(f"`{a}|{b}__n`").alias("n_pairs")) for a, b in pairs]))
-    return one.select(rows.alias("x")).select("x.*")
+    args = ", ".join(f"'{a}', '{b}', CAST(`{a}` AS DOUBLE), CAST(`{b}` AS DOUBLE)" for a, b in pairs)
+    return df.selectExpr(f"stack({len(pairs)}, {args}) AS (col_a, col_b, a, b)")
+
+
+def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson r for every pair (pairwise complete), aggregated per pair key."""
+    pv = pair_values(df, cols)
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    return pv.groupBy("col_a", "col_b").agg(F.corr("a", "b").alias("r"), F.count_if(both).alias("n_pairs"))
 
 
 def family_type_check(df: DataFrame, expected: str = "double", integer_ok: bool = True) -> list[tuple]:

@@ -28,12 +28,14 @@ REFERENCE_CARBON_BREAK = "2019-01-07"
 
 
 def base_columns(date_col: str = "date", level: str | None = None) -> list:
-    d = F.col(date_col)
-    lvl = F.lit(level) if level else F.col("aggregation_level")
-    y, m, q, w, name = calendar_parts(d)
-    longs = [F.year(d).cast("long").alias("year"), F.month(d).cast("long").alias("month"),
-             F.quarter(d).cast("long").alias("quarter"), F.weekofyear(d).cast("long").alias("week")]
-    return [iso_date(d).alias("date"), *longs, lvl.alias("aggregation_level"), name]
+    """ISO date string, calendar parts of the bin label, grain, English month name."""
+    d = f"`{date_col}`"
+    lvl = f"'{level}'" if level else "aggregation_level"
+    return [F.expr(e) for e in (
+        f"date_format({d}, 'yyyy-MM-dd') AS date", f"CAST(year({d}) AS BIGINT) AS year",
+        f"CAST(month({d}) AS BIGINT) AS month", f"CAST(quarter({d}) AS BIGINT) AS quarter",
+        f"CAST(weekofyear({d}) AS BIGINT) AS week", f"{lvl} AS aggregation_level",
+        f"date_format({d}, 'MMMM') AS month_name")]
 
 
 def select_era_columns(df: DataFrame, year_col: str, eras: Mapping[str, tuple]) -> DataFrame:

@@ -201,9 +201,10 @@ def regression_compare(spark, sf_dir):
                      coef["x2"].alias("coef_x2"), "r2", "adj_r2", "aic")
     f = F.col("intercept") + F.coalesce("coef_x1", F.lit(0.0)) * F.col("x1") + F.coalesce("coef_x2", F.lit(0.0)) * F.col("x2")
     e = f - F.col("y")
-    tm = fit.join(te.select("series_id", "x1", "x2", "y"), "series_id").groupBy("series_id", "config").agg(
-        F.sqrt(F.avg(e * e)).alias("rmse_test"), F.avg(F.abs(e)).alias("mae_test"))
-    out = fit.join(tm, ["series_id", "config"])
+    # one reference to the solved fits: test errors and fit columns in one group-by
+    keep = ["n", "k", "intercept", "coef_x1", "coef_x2", "r2", "adj_r2", "aic"]
+    out = fit.join(te.select("series_id", "x1", "x2", "y"), "series_id").groupBy("series_id", "config").agg(
+        *[F.first(c).alias(c) for c in keep], F.sqrt(F.avg(e * e)).alias("rmse_test"), F.avg(F.abs(e)).alias("mae_test"))
     return out.select("series_id", "config", "n", "k", rnd("intercept").alias("intercept"), rnd("coef_x1").alias("coef_x1"),
                       rnd("coef_x2").alias("coef_x2"), rnd("r2", 6).alias("r2"), rnd("adj_r2", 6).alias("adj_r2"),
                       rnd("aic").alias("aic"), rnd("rmse_test").alias("rmse_test"), rnd("mae_test").alias("mae_test"))

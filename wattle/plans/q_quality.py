@@ -133,14 +133,10 @@ def nullity_correlation(spark, sf_dir):
     """Correlation of missingness indicators for column pairs (NULL if constant)."""
     c = consolidated_table(spark, sf_dir)
     ind = c.select(*[F.col(x).isNull().cast("double").alias(x) for x in NULLITY_COLS])
-    aggs = []
-    for a, b in Q.pairwise(NULLITY_COLS):
-        va, vb = F.var_pop(a), F.var_pop(b)
-        aggs.append(F.when((va > 0) & (vb > 0), F.covar_pop(a, b) / F.sqrt(va * vb)).alias(f"{a}|{b}"))
-    one = ind.agg(*aggs)
-    rows = F.explode(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                        rnd(F.col(f"`{a}|{b}`"), 6).alias("r")) for a, b in Q.pairwise(NULLITY_COLS)]))
-    return one.select(rows.alias("x")).select("x.*")
+    pv = Q.pair_values(ind, NULLITY_COLS)
+    va, vb = F.var_pop("a"), F.var_pop("b")
+    r = F.when((va > 0) & (vb > 0), F.covar_pop("a", "b") / F.sqrt(va * vb))
+    return pv.groupBy("col_a", "col_b").agg(rnd(r, 6).alias("r"))
 
 
 NUMERIC_COLS = [c for c in VALUE_COLS if c != "month_name"]
@@ -171,10 +167,11 @@ WITH raw AS ({S.CARBON_RAW})
 def break_counts(spark, sf_dir):
     """Non-null observations of each raw carbon column before / after the break."""
     raw = standins.carbon_raw(spark, sf_dir)
-    brk = F.to_date(F.lit(BREAK))
-    return Q.profile(raw, [n for n, _ in RAW_CARBON], {
-        "n_before": lambda x: F.count_if(x.isNotNull() & (F.col("Date") < brk)),
-        "n_after": lambda x: F.count_if(x.isNotNull() & (F.col("Date") >= brk))})
+    names = [n for n, _ in RAW_CARBON]
+    long = raw.select("Date", *[F.col(f"`{n}`") for n in names]).unpivot(["Date"], names, "column", "value")
+    before = F.col("Date") < F.to_date(F.lit(BREAK))
+    v = F.col("value").isNotNull()
+    return long.groupBy("column").agg(F.count_if(v & before).alias("n_before"), F.count_if(v & ~before).alias("n_after"))
 
 
 @query("grain_distribution", f"""
@@ -202,7 +199,8 @@ UNION ALL SELECT 'geo', count(DISTINCT geo) FROM clim""")
 def distinct_counts(spark, sf_dir):
     """Distinct periods, indicators and geographies of the long climate triples."""
     lng = standins.climate_long(spark, sf_dir)
-    return Q.profile(lng, ["TIME_PERIOD", "indic_nrg", "geo"], {"n_distinct": lambda x: F.count_distinct(x)})
+    return Q.profile(lng, ["TIME_PERIOD", "indic_nrg", "geo"], {"n_distinct": lambda x: F.count_distinct(x)},
+                     cast="string")
 
 
 @query("describe_stats", f"""
@@ -273,9 +271,11 @@ def data_availability(spark, sf_dir):
     """First and last date with data per column."""
     c = consolidated_table(spark, sf_dir)
     d = F.col("date")
-    return Q.profile(c, VALUE_COLS, {
-        "first_date": lambda x: F.min(F.when(x.isNotNull(), d)), "last_date": lambda x: F.max(F.when(x.isNotNull(), d)),
-        "n_values": F.count})
+    long = c.select("date", *[F.col(x).cast("string").alias(x) for x in VALUE_COLS]) \
+        .unpivot(["date"], VALUE_COLS, "column", "value")
+    v = F.col("value")
+    return long.groupBy("column").agg(F.min(F.when(v.isNotNull(), d)).alias("first_date"),
+                                      F.max(F.when(v.isNotNull(), d)).alias("last_date"), F.count(v).alias("n_values"))
 
 
 @query("sample_per_grain", f"""

@@ -226,7 +226,7 @@ def label_lookup(spark, sf_dir):
     """Readable label and unit for every consolidated column (small fixed library,
     broadcast left join; fallback to the column name / empty unit)."""
     c = consolidated_table(spark, sf_dir)
-    cnt = Q.profile(c, VALUE_COLS, {"n_values": F.count})
+    cnt = Q.profile(c, VALUE_COLS, {"n_values": F.count}, cast="string")
     lib = spark.createDataFrame(LABELS, "column string, label string, unit string")
     j = cnt.join(F.broadcast(lib), "column", "left")
     return j.select("column", F.coalesce("label", "column").alias("label"), F.coalesce("unit", F.lit("")).alias("unit"),
