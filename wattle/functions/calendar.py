@@ -67,6 +67,17 @@ def bin_of(d, grain: str, week_mode: str = "w-mon") -> Column:
     raise ValueError(grain)
 
 
+def bin_sql(d: str, grain: str, week_mode: str = "w-mon") -> str:
+    """SQL text of :func:`bin_of` (for expressions built as one SQL snippet)."""
+    if grain == "daily":
+        return f"CAST({d} AS DATE)"
+    if grain == "weekly":
+        return f"next_day(date_sub({d}, 1), 'Mon')" if week_mode == "w-mon" else f"CAST(date_trunc('week', {d}) AS DATE)"
+    if grain == "monthly":
+        return f"trunc({d}, 'MM')"
+    raise ValueError(grain)
+
+
 def calendar_parts(d) -> list[Column]:
     """year, month, quarter, ISO week and English month name of a bin label."""
     d = col_(d)

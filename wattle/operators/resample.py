@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import GRAINS, bin_of
+from ..functions.calendar import GRAINS, bin_of, bin_sql
 
 STEP = {"daily": "INTERVAL 1 DAY", "weekly": "INTERVAL 7 DAYS", "monthly": "INTERVAL 1 MONTH"}
 
@@ -33,18 +33,34 @@ def daily_moments(df: DataFrame, day_col, value_cols: Sequence[str],
     return df.groupBy(*keys, day.alias("day")).agg(*aggs)
 
 
-def _next_bin(b, grain: str):
-    return F.add_months(b, 1) if grain == "monthly" else F.date_add(b, 7 if grain == "weekly" else 1)
+def _shift_sql(b: str, grain: str, k: int) -> str:
+    if grain == "monthly":
+        return f"add_months({b}, {k})"
+    return f"date_add({b}, {k * (7 if grain == 'weekly' else 1)})"
 
 
-def _prev_bin(b, grain: str):
-    return F.add_months(b, -1) if grain == "monthly" else F.date_sub(b, 7 if grain == "weekly" else 1)
+def bin_entries_sql(value_cols: Sequence[str], grains: Sequence[str], gap_fill: bool,
+                    week_mode: str = "w-mon") -> str:
+    """One SQL expression: the array of (grain, bin, moments) entries of a day row.
 
-
-def _gap_entry(grain, empty, moment_cols):
-    # one-argument lambda: transform() treats a second parameter as the index
-    return lambda x: F.struct(F.lit(grain).alias("aggregation_level"), x.alias("bin"),
-                              *[empty[c].alias(c) for c in moment_cols])
+    Per grain the day's own bin carries its moments; with ``gap_fill`` the
+    empty bins strictly between this bin and the bin of the next day with data
+    (column ``_next``) follow with NULL sums and zero counts."""
+    moment_cols = [f"{v}__{m}" for v in value_cols for m in ("sum", "cnt")]
+    parts = []
+    for g in grains:
+        b = bin_sql("day", g, week_mode)
+        data = ", ".join(f"'{c}', `{c}`" for c in moment_cols)
+        parts.append(f"array(named_struct('aggregation_level', '{g}', 'bin', {b}, {data}))")
+        if gap_fill:
+            lo = _shift_sql(b, g, 1)
+            hi = _shift_sql(bin_sql("_next", g, week_mode), g, -1)
+            empty = ", ".join(f"'{c}', " + ("CAST(NULL AS DOUBLE)" if c.endswith("__sum") else "CAST(0 AS BIGINT)")
+                              for c in moment_cols)
+            gaps = (f"CASE WHEN _next IS NOT NULL AND {lo} <= {hi} THEN sequence({lo}, {hi}, {STEP[g]}) "
+                    f"ELSE CAST(array() AS ARRAY<DATE>) END")
+            parts.append(f"transform({gaps}, x -> named_struct('aggregation_level', '{g}', 'bin', x, {empty}))")
+    return f"flatten(array({', '.join(parts)}))"
 
 
 def rollup_days(days: DataFrame, value_cols: Sequence[str], keys: Sequence[str] = (),
@@ -58,27 +74,10 @@ def rollup_days(days: DataFrame, value_cols: Sequence[str], keys: Sequence[str]
     same single pass; no calendar table and no second scan of the readings.
     The window runs on day-level rows (bounded by the calendar, not by the
     number of readings)."""
-    moment_cols = [f"{v}__{m}" for v in value_cols for m in ("sum", "cnt")]
-    data = {c: F.col(c) for c in moment_cols}
-    empty = {}
-    for v in value_cols:
-        empty[f"{v}__sum"] = F.lit(None).cast("double")
-        empty[f"{v}__cnt"] = F.lit(0).cast("long")
     src = days
     if gap_fill:
         src = days.withColumn("_next", F.lead("day").over(Window.partitionBy(*keys).orderBy("day")))
-    entries = []
-    for g in grains:
-        b = bin_of("day", g, week_mode)
-        entries.append(F.array(F.struct(F.lit(g).alias("aggregation_level"), b.alias("bin"),
-                                        *[data[c].alias(c) for c in moment_cols])))
-        if gap_fill:
-            lo, hi = _next_bin(b, g), _prev_bin(bin_of("_next", g, week_mode), g)
-            step = F.expr(STEP[g])
-            gaps = F.when(F.col("_next").isNotNull() & (lo <= hi), F.sequence(lo, hi, step))
-            entries.append(F.transform(F.coalesce(gaps, F.array().cast("array<date>")),
-                                       _gap_entry(g, empty, moment_cols)))
-    expanded = (src.select(*keys, F.explode(F.flatten(F.array(*entries))).alias("b"))
+    expanded = (src.select(*keys, F.explode(F.expr(bin_entries_sql(value_cols, grains, gap_fill, week_mode))).alias("b"))
                 .select(*keys, "b.*"))
     aggs = []
     for v in value_cols:
