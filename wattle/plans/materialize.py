@@ -38,13 +38,24 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tables=TABLES) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
-def consolidated_table(spark: SparkSession, sf_dir: str, how: str = "join") -> DataFrame:
-    key = f"{spark.sparkContext.applicationId}-{how}-{_fingerprint(spark, sf_dir)}"
+def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_by=None,
+                 tables=TABLES) -> DataFrame:
+    """Write ``build()`` once per (session, name, input state) into the shared
+    checkpoint folder and return a scan of it (lineage cut, no recomputation
+    of the upstream aggregation by later queries or after an executor loss)."""
+    key = f"{spark.sparkContext.applicationId}-{name}-{_fingerprint(spark, sf_dir, tables)}"
     with _LOCK:
         path = _DONE.get(key)
         if path is None:
-            path = f"{checkpoint_dir(spark).rstrip('/')}/consolidated-{key}"
-            (C.consolidated(spark, sf_dir, how).write.mode("overwrite")
-             .partitionBy("aggregation_level").parquet(path))
+            path = f"{checkpoint_dir(spark).rstrip('/')}/{key}"
+            w = build().write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(path)
             _DONE[key] = path
     return spark.read.parquet(path)
+
+
+def consolidated_table(spark: SparkSession, sf_dir: str, how: str = "join") -> DataFrame:
+    return materialized(spark, f"consolidated-{how}", sf_dir, lambda: C.consolidated(spark, sf_dir, how),
+                        partition_by=["aggregation_level"])

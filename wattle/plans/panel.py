@@ -34,7 +34,7 @@ def regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.avg(F.col("l_discount") * 100).alias("x2")))
 
 
-def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monthly_panel_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(series_id, month, y, x1, x2). The month-level regressor table has one row
     per calendar month, so the optimizer may broadcast it (AQE decides on the
     measured size)."""
@@ -42,6 +42,15 @@ def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("series_id", "month", "y", "x1", "x2")
 
 
+def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel, aggregated from the raw tables once per session and input
+    state and read back from the shared checkpoint folder; models fan out over
+    it many times (configs, folds, replicates) without re-scanning raw data."""
+    from .materialize import materialized
+    return materialized(spark, "monthly-panel", sf_dir, lambda: monthly_panel_plan(spark, sf_dir),
+                        tables=("orders", "lineitem"))
+
+
 def split_label(month_col="month") -> F.Column:
     m = F.col(month_col)
     return (F.when(m <= F.lit(TRAIN_END).cast("date"), F.lit("train"))

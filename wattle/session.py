@@ -16,6 +16,10 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # size post-shuffle partitions by bytes (advisory 64 MB), not by default
+    # parallelism: tiny bin-level shuffles collapse to a few tasks, large ones
+    # still split into ~64 MB partitions
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -48,6 +52,7 @@ def build_session(master: str | None = None, app: str = "wattle",
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the session-level settings a job depends on (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     ship_package(spark)
 
 
