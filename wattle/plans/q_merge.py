@@ -35,8 +35,10 @@ def outer_merge(spark, sf_dir):
 WITH {CTES}
 SELECT {S.rounded_select(S.CONSOLIDATED_COLS)} FROM consolidated""")
 def consolidate_sources(spark, sf_dir):
-    """The wide table: six sources chained by full outer joins on the key."""
-    return round_doubles(C.consolidated(spark, sf_dir))
+    """The wide table: six sources chained by full outer joins on the key,
+    written once (partitioned by grain) to the shared folder and read back."""
+    c = consolidated_table(spark, sf_dir)
+    return round_doubles(c.select(*S.CONSOLIDATED_COLS))
 
 
 @query("sorted_output", f"""
