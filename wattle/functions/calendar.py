@@ -39,8 +39,13 @@ EXPECTED_INTERVALS = {"daily": 96, "weekly": 672, "monthly": 2976}
 GRAINS = ("daily", "weekly", "monthly")
 
 
+def _sql_lit(x) -> str:
+    return str(x) if isinstance(x, int) else "'" + str(x).replace("'", "''") + "'"
+
+
 def _map_expr(m: dict) -> Column:
-    return F.create_map(*[F.lit(x) for kv in m.items() for x in kv])
+    """Literal map as one SQL expression."""
+    return F.expr("map(" + ", ".join(_sql_lit(x) for kv in m.items() for x in kv) + ")")
 
 
 def week_ending_monday(d) -> Column:

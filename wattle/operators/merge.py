@@ -24,21 +24,17 @@ def outer_merge(left: DataFrame, right: DataFrame, key: Sequence[str] = KEY,
 
     Duplicate keys on either side multiply as in any equi-join."""
     key = list(key)
-    l, r = left.alias("l"), right.alias("r")
-    both = [c for c in shared if c in left.columns and c in right.columns]
-    out = []
-    for c in key:
-        out.append(F.coalesce(F.col(f"l.{c}"), F.col(f"r.{c}")).alias(c))
-    for c in left.columns:
-        if c in key:
-            continue
-        out.append(F.coalesce(F.col(f"l.{c}"), F.col(f"r.{c}")).alias(c) if c in both else F.col(f"l.{c}"))
-    for c in right.columns:
-        if c in key or c in both:
-            continue
-        out.append(F.col(f"r.{c}").alias(c if c not in left.columns else f"{c}_r"))
-    cond = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
-    return l.join(r, reduce(lambda a, b: a & b, cond), "full_outer").select(*out)
+    lcols, rcols = left.columns, right.columns
+    both = [c for c in shared if c in lcols and c in rcols]
+    out = [f"coalesce(l.`{c}`, r.`{c}`) AS `{c}`" for c in key]
+    for c in lcols:
+        if c not in key:
+            out.append(f"coalesce(l.`{c}`, r.`{c}`) AS `{c}`" if c in both else f"l.`{c}` AS `{c}`")
+    for c in rcols:
+        if c not in key and c not in both:
+            out.append(f"r.`{c}` AS `{c if c not in lcols else c + '_r'}`")
+    cond = " AND ".join(f"l.`{c}` <=> r.`{c}`" for c in key)
+    return left.alias("l").join(right.alias("r"), F.expr(cond), "full_outer").selectExpr(*out)
 
 
 def consolidate(sources: Sequence[DataFrame], key: Sequence[str] = KEY,
