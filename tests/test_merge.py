@@ -46,3 +46,12 @@ def test_family_type_check_and_column_sets(spark):
     assert res == {"price_a": True, "prod_b": True, "econ_c": False}
     assert column_set_difference(df.columns, ["date", "price_a", "oegpi_x"]) == \
         {"missing": ["oegpi_x"], "unexpected": ["econ_c", "prod_b"]}
+
+
+def test_consolidated_join_equals_union_on_standins(spark):
+    from tests.conftest import SF_SMALL
+    from wattle.plans.consolidate import consolidated
+    j = consolidated(spark, SF_SMALL, how="join")
+    u = consolidated(spark, SF_SMALL, how="union").select(*j.columns)
+    assert j.count() == u.count()
+    assert j.exceptAll(u).count() == 0 and u.exceptAll(j).count() == 0
