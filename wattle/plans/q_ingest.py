@@ -198,7 +198,7 @@ SELECT "column", non_null, (non_null = 0 OR "column" LIKE 'Unnamed:%') AS junk F
   UNION ALL SELECT 'Secondary Market(>2018)', count(sm_after) FROM raw
   UNION ALL SELECT 'Exchange rate EUR/EUR', count(*) FROM raw
   UNION ALL SELECT 'Market Currency', count(*) FROM raw
-  UNION ALL SELECT 'Unnamed: 9', 0 FROM raw LIMIT 9)""")
+  UNION ALL SELECT 'Unnamed: 9', count(CAST(NULL AS VARCHAR)) FROM raw)""")
 def all_null_columns(spark, sf_dir):
     """Junk columns of the raw carbon sheet: blank/'Unnamed' headers or all NULL."""
     raw = standins.carbon_raw(spark, sf_dir)
