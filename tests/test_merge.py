@@ -55,3 +55,15 @@ def test_consolidated_join_equals_union_on_standins(spark):
     u = consolidated(spark, SF_SMALL, how="union").select(*j.columns)
     assert j.count() == u.count()
     assert j.exceptAll(u).count() == 0 and u.exceptAll(j).count() == 0
+
+
+def test_shuffle_sizing(spark):
+    from wattle.session import size_shuffles
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 100 * (1 << 40)) == 200_000   # capped
+        assert size_shuffles(spark, 10 << 20) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")

@@ -54,8 +54,10 @@ def main(argv=None) -> int:
     ap.add_argument("--how", default="join", choices=["join", "union"])
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
-    from ..session import build_session
+    from ..session import build_session, input_bytes, size_shuffles
     spark = build_session(a.master, app="wattle-consolidate")
+    if not a.master or not a.master.startswith("local"):
+        size_shuffles(spark, input_bytes(spark, a.sf_dir))
     rep = run(spark, a.sf_dir, a.out, a.how)
     rows = rep.collect()   # one row per source
     for r in rows:

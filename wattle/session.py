@@ -96,3 +96,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="wattle-ckpt-")
     sc.setCheckpointDir(d)
     return d
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (Hadoop FS API: works for local, HDFS and object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def size_shuffles(spark: SparkSession, total_input_bytes: int, bytes_per_partition: int = 256 << 20,
+                  min_partitions: int = 200, max_partitions: int = 200_000) -> int:
+    """Size the initial shuffle fan-out from the input volume so partitions fit in
+    executor memory without spilling (AQE then coalesces small stages and splits
+    skewed ones). Scan splits follow the same target."""
+    n = max(min_partitions, min(max_partitions, -(-total_input_bytes // bytes_per_partition)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(bytes_per_partition, 128 << 20)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(bytes_per_partition))
+    return n
