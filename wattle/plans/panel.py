@@ -1,8 +1,9 @@
 """Monthly modelling panel derived from the driver tables.
 
 One series per order priority: ``y`` = mean order value (thousands) per
-order month; regressors ``x1`` = mean line price (thousands) and ``x2`` =
-mean discount (percent) per ship month. Raw rows are reduced to month level
+order month; regressors ``x1`` = mean line price (thousands), ``x2`` =
+mean discount (percent), ``x3`` = mean tax (percent) and ``x4`` = mean
+quantity per ship month. Raw rows are reduced to month level
 by partial aggregation before any shuffle; the panel itself has
 series x months rows, so every model below works on a tiny table regardless
 of the raw volume.
@@ -31,15 +32,17 @@ def regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return (li.groupBy(month_start(F.col("l_shipdate").cast("date")).alias("month"))
             .agg(F.avg(F.col("l_extendedprice") / 1000).alias("x1"),
-                 F.avg(F.col("l_discount") * 100).alias("x2")))
+                 F.avg(F.col("l_discount") * 100).alias("x2"),
+                 F.avg(F.col("l_tax") * 100).alias("x3"),
+                 F.avg("l_quantity").alias("x4")))
 
 
 def monthly_panel_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(series_id, month, y, x1, x2). The month-level regressor table has one row
+    """(series_id, month, y, x1..x4). The month-level regressor table has one row
     per calendar month, so the optimizer may broadcast it (AQE decides on the
     measured size)."""
     return target(spark, sf_dir).join(regressors(spark, sf_dir), "month", "left") \
-        .select("series_id", "month", "y", "x1", "x2")
+        .select("series_id", "month", "y", "x1", "x2", "x3", "x4")
 
 
 def monthly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

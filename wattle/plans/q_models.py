@@ -163,30 +163,51 @@ def ar1_fit(spark, sf_dir):
                                           rnd("r2", 6).alias("r2"), rnd("rmse").alias("rmse_test"))
 
 
-CONFIGS = {"x1": ["x1"], "x2": ["x2"], "x1_x2": ["x1", "x2"]}
+REGRESSORS = ["x1", "x2", "x3", "x4"]
+# Named configurations: intercept only, every single regressor, every pair.
+CONFIGS = {"const": []}
+CONFIGS.update({x: [x] for x in REGRESSORS})
+CONFIGS.update({f"{a}_{b}": [a, b] for i, a in enumerate(REGRESSORS) for b in REGRESSORS[i + 1:]})
 
 
 def _cmp_sql():
+    """Closed-form OLS per configuration (0, 1 or 2 regressors) from centred moments."""
+    xs = REGRESSORS
+    cond = " AND ".join(f"{x} IS NOT NULL" for x in ["y"] + xs)
+    mom = [f"count(*) AS n", "avg(y) AS my", "var_pop(y) AS vyy"]
+    for i, a in enumerate(xs):
+        mom += [f"avg({a}) AS m_{a}", f"covar_pop({a}, y) AS c_{a}_y"]
+        for b in xs[i:]:
+            mom.append(f"covar_pop({a}, {b}) AS c_{a}_{b}")
+    rows = []
+    for name, cols in CONFIGS.items():
+        coef = {x: "CAST(NULL AS DOUBLE)" for x in xs}
+        if len(cols) == 1:
+            a = cols[0]
+            coef[a] = f"c_{a}_y / c_{a}_{a}"
+        elif len(cols) == 2:
+            a, b = cols
+            det = f"(c_{a}_{a} * c_{b}_{b} - c_{a}_{b} * c_{a}_{b})"
+            coef[a] = f"(c_{b}_{b} * c_{a}_y - c_{a}_{b} * c_{b}_y) / {det}"
+            coef[b] = f"(c_{a}_{a} * c_{b}_y - c_{a}_{b} * c_{a}_y) / {det}"
+        sel = ", ".join(f"{coef[x]} AS b_{x}" for x in xs)
+        rows.append(f"SELECT mo.*, '{name}' AS config, {len(cols)} AS k, {sel} FROM mo")
+    fit_terms = " + ".join(f"coalesce(b_{x}, 0) * m_{x}" for x in xs)
+    ssr_terms = " + ".join(f"coalesce(b_{x}, 0) * c_{x}_y" for x in xs)
+    pred = " + ".join(f"coalesce(b_{x}, 0) * te.{x}" for x in xs)
     return f"""
-mo AS (SELECT series_id, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, var_pop(y) AS vyy,
-              var_pop(x1) AS s11, var_pop(x2) AS s22, covar_pop(x1, x2) AS s12,
-              covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y
-       FROM tr WHERE y IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL GROUP BY 1),
-co AS (SELECT series_id, n, my, m1, m2, vyy, 'x1' AS config, 1 AS k, s1y / s11 AS b1, CAST(NULL AS DOUBLE) AS b2 FROM mo
-       UNION ALL SELECT series_id, n, my, m1, m2, vyy, 'x2', 1, NULL, s2y / s22 FROM mo
-       UNION ALL SELECT series_id, n, my, m1, m2, vyy, 'x1_x2', 2, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12),
-                        (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) FROM mo),
-co2 AS (SELECT co.*, co.my - coalesce(b1, 0) * co.m1 - coalesce(b2, 0) * co.m2 AS intercept,
-               co.n * (co.vyy - coalesce(b1, 0) * mo.s1y - coalesce(b2, 0) * mo.s2y) AS ssr
-        FROM co JOIN mo USING (series_id)),
-tm AS (SELECT co2.series_id, config, sqrt(avg((intercept + coalesce(b1, 0) * te.x1 + coalesce(b2, 0) * te.x2 - te.y) ^ 2)) AS rmse_test,
-              avg(abs(intercept + coalesce(b1, 0) * te.x1 + coalesce(b2, 0) * te.x2 - te.y)) AS mae_test
+mo AS (SELECT series_id, {', '.join(mom)} FROM tr WHERE {cond} GROUP BY 1),
+co AS ({' UNION ALL '.join(rows)}),
+co2 AS (SELECT *, my - ({fit_terms}) AS intercept, n * (vyy - ({ssr_terms})) AS ssr FROM co),
+tm AS (SELECT co2.series_id, config, sqrt(avg((intercept + {pred} - te.y) ^ 2)) AS rmse_test,
+              avg(abs(intercept + {pred} - te.y)) AS mae_test
        FROM co2 JOIN te USING (series_id) GROUP BY ALL)"""
 
 
 @query("regression_compare", f"""
 WITH {S.SPLIT_CTES}, {_cmp_sql()}
-SELECT series_id, config, n, CAST(k AS INTEGER) AS k, {S.r('intercept')} AS intercept, {S.r('b1')} AS coef_x1, {S.r('b2')} AS coef_x2,
+SELECT series_id, config, n, CAST(k AS INTEGER) AS k, {S.r('intercept')} AS intercept,
+       {', '.join(f"{S.r('b_' + x)} AS coef_{x}" for x in REGRESSORS)},
        {S.r('1 - ssr / (n * vyy)', 6)} AS r2, {S.r('1 - (ssr / (n * vyy)) * (n - 1) / (n - k - 1)', 6)} AS adj_r2,
        {S.r('n * ln(2 * pi() * ssr / n) + n + 2 * (k + 2)')} AS aic,
        {S.r('rmse_test')} AS rmse_test, {S.r('mae_test')} AS mae_test
@@ -195,18 +216,23 @@ def regression_compare(spark, sf_dir):
     """Several regressor sets fitted in one pass (moments group-by + tiny solves);
     R2, adjusted R2, AIC and test errors per series and configuration."""
     tr, te = _split(spark, sf_dir)
+    # complete cases on every regressor, so all configurations share the rows
+    tr = tr.dropna(subset=["y", *REGRESSORS])
     sol, all_x = ols_by_config(tr, ["series_id"], "y", CONFIGS)
     coef = {c: F.col("coef")[i] for i, c in enumerate(all_x)}
-    fit = sol.select("series_id", "config", "n", "k", "intercept", coef["x1"].alias("coef_x1"),
-                     coef["x2"].alias("coef_x2"), "r2", "adj_r2", "aic")
-    f = F.col("intercept") + F.coalesce("coef_x1", F.lit(0.0)) * F.col("x1") + F.coalesce("coef_x2", F.lit(0.0)) * F.col("x2")
+    fit = sol.select("series_id", "config", "n", "k", "intercept",
+                     *[coef[x].alias(f"coef_{x}") for x in REGRESSORS], "r2", "adj_r2", "aic")
+    f = F.col("intercept")
+    for x in REGRESSORS:
+        f = f + F.coalesce(f"coef_{x}", F.lit(0.0)) * F.col(x)
     e = f - F.col("y")
     # one reference to the solved fits: test errors and fit columns in one group-by
-    keep = ["n", "k", "intercept", "coef_x1", "coef_x2", "r2", "adj_r2", "aic"]
-    out = fit.join(te.select("series_id", "x1", "x2", "y"), "series_id").groupBy("series_id", "config").agg(
+    keep = ["n", "k", "intercept", *[f"coef_{x}" for x in REGRESSORS], "r2", "adj_r2", "aic"]
+    out = fit.join(te.select("series_id", *REGRESSORS, "y"), "series_id").groupBy("series_id", "config").agg(
         *[F.first(c).alias(c) for c in keep], F.sqrt(F.avg(e * e)).alias("rmse_test"), F.avg(F.abs(e)).alias("mae_test"))
-    return out.select("series_id", "config", "n", "k", rnd("intercept").alias("intercept"), rnd("coef_x1").alias("coef_x1"),
-                      rnd("coef_x2").alias("coef_x2"), rnd("r2", 6).alias("r2"), rnd("adj_r2", 6).alias("adj_r2"),
+    return out.select("series_id", "config", "n", "k", rnd("intercept").alias("intercept"),
+                      *[rnd(f"coef_{x}").alias(f"coef_{x}") for x in REGRESSORS],
+                      rnd("r2", 6).alias("r2"), rnd("adj_r2", 6).alias("adj_r2"),
                       rnd("aic").alias("aic"), rnd("rmse_test").alias("rmse_test"), rnd("mae_test").alias("mae_test"))
 
 
@@ -243,25 +269,33 @@ def regime_regression(spark, sf_dir):
 
 @query("ar_order_grid")
 def ar_order_grid(spark, sf_dir):
-    """AR(p) / ARX(p) with d in {0, 1}, p in {1, 2, 3}: conditional least squares on
-    lag columns, all orders in one moments pass per d; ranked by AIC."""
+    """AR(p) / ARX(p) with d in {0, 1}, p in {1, 2, 3}, on the full training window
+    and on the pre-shock window: conditional least squares on lag columns, all
+    orders of one (window, d) in one moments pass; ranked by AIC per window."""
     tr, _ = _split(spark, sf_dir)
     w = Window.partitionBy("series_id").orderBy("month")
     base = tr.select("series_id", "month", "y", "x1",
                      (F.col("y") - F.lag("y").over(w)).alias("dy"), (F.col("x1") - F.lag("x1").over(w)).alias("dx1"))
-    outs = []
-    for d, z, x in ((0, "y", "x1"), (1, "dy", "dx1")):
-        lagged = base.select("series_id", "month", z, x, *[F.lag(z, k).over(w).alias(f"z{k}") for k in (1, 2, 3)])
-        cfg = {}
-        for p in (1, 2, 3):
-            cfg[f"ar{p}"] = [f"z{k}" for k in range(1, p + 1)]
-            cfg[f"arx{p}"] = [f"z{k}" for k in range(1, p + 1)] + [x]
-        # all orders share the rows available to the longest lag (comparable AIC)
-        lagged = lagged.dropna(subset=["z3", z, x])
-        sol, _ = ols_by_config(lagged, ["series_id"], z, cfg)
-        outs.append(sol.select("series_id", F.lit(d).alias("d"), "config", "n", "k", "aic", "bic", "r2"))
-    allfit = outs[0].unionByName(outs[1])
-    rk = Window.partitionBy("series_id").orderBy("aic", "d", "config")
+    # the (window, d) variants are stacked as rows and solved in one moments pass
+    parts = []
+    for win, cond in (("full", F.lit(True)), ("pre_shock", F.col("month") < F.lit(SHOCK).cast("date"))):
+        for d, z, x in ((0, "y", "x1"), (1, "dy", "dx1")):
+            ww = Window.partitionBy("series_id").orderBy("month")
+            parts.append(base.filter(cond).select(
+                "series_id", F.lit(win).alias("window"), F.lit(d).alias("d"), F.col(z).alias("z"), F.col(x).alias("xx"),
+                *[F.lag(z, k).over(ww).alias(f"z{k}") for k in (1, 2, 3)]))
+    stacked = parts[0]
+    for p_ in parts[1:]:
+        stacked = stacked.unionByName(p_)
+    # all orders share the rows available to the longest lag (comparable AIC)
+    stacked = stacked.dropna(subset=["z3", "z", "xx"])
+    cfg = {}
+    for p in (1, 2, 3):
+        cfg[f"ar{p}"] = [f"z{k}" for k in range(1, p + 1)]
+        cfg[f"arx{p}"] = [f"z{k}" for k in range(1, p + 1)] + ["xx"]
+    sol, _ = ols_by_config(stacked, ["series_id", "window", "d"], "z", cfg)
+    allfit = sol.select("series_id", "window", "d", "config", "n", "k", "aic", "bic", "r2")
+    rk = Window.partitionBy("series_id", "window").orderBy("aic", "d", "config")
     return round_doubles(allfit.withColumn("aic_rank", F.row_number().over(rk)))
 
 

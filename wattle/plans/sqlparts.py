@@ -153,8 +153,8 @@ PANEL_CTES = f"""
 py AS (SELECT o_orderpriority AS series_id, {ms('CAST(o_orderdate AS DATE)')} AS month,
               avg(o_totalprice / 1000) AS y FROM orders GROUP BY ALL),
 px AS (SELECT {ms('CAST(l_shipdate AS DATE)')} AS month, avg(l_extendedprice / 1000) AS x1,
-              avg(l_discount * 100) AS x2 FROM lineitem GROUP BY ALL),
-panel AS (SELECT py.series_id, py.month, py.y, px.x1, px.x2 FROM py LEFT JOIN px USING (month))"""
+              avg(l_discount * 100) AS x2, avg(l_tax * 100) AS x3, avg(l_quantity) AS x4 FROM lineitem GROUP BY ALL),
+panel AS (SELECT py.series_id, py.month, py.y, px.x1, px.x2, px.x3, px.x4 FROM py LEFT JOIN px USING (month))"""
 
 
 # --- consolidated table --------------------------------------------------------------
