@@ -67,3 +67,19 @@ def test_acf_and_pacf_of_ar1(spark):
     assert math.isclose(r[1], ref1, rel_tol=1e-9)
     p = {x.lag: x.pacf for x in pacf_from_acf(a).collect()}
     assert math.isclose(p[1], r[1], rel_tol=1e-12) and abs(p[2]) < 0.1
+
+
+def test_ar_recursion_expression_matches_python(spark):
+    from wattle.plans.q_models import AR_PATH, LEVELS
+    c, p1, p2, p3, beta = 0.5, 0.6, -0.2, 0.1, 0.3
+    hist, xs, y_T = [1.0, 2.0, 1.5], [0.2, -0.1, 0.4, 0.0], 10.0
+    rows = [(d, c, p1, p2, p3, beta, hist, xs, y_T) for d in (0, 1)]
+    df = spark.createDataFrame(rows, "d int, c double, phi1 double, phi2 double, phi3 double, beta double, "
+                                     "hist array<double>, xs array<double>, y_T double")
+    out = df.withColumn("zpath", F.expr(AR_PATH)).withColumn("level", F.expr(LEVELS)).orderBy("d").collect()
+    z = list(hist)
+    for x in xs:
+        z.append(c + p1 * z[-1] + p2 * z[-2] + p3 * z[-3] + beta * x)
+    path = z[3:]
+    assert np.allclose(out[0].level, path)
+    assert np.allclose(out[1].level, y_T + np.cumsum(path))

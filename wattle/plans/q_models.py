@@ -10,6 +10,7 @@ from .panel import monthly_panel, split_label
 from .registry import query
 from ..functions.numeric import chi2_sf_even, iso_date, normal_quantile, rnd, round_doubles
 from ..operators import forecast as FC
+from ..operators import quality as Q
 from ..operators.regression import ols, ols_by_config
 from ..operators.series import month_index
 
@@ -267,23 +268,19 @@ def regime_regression(spark, sf_dir):
                       rnd("r2", 6).alias("r2"), rnd("aic").alias("aic"))
 
 
-@query("ar_order_grid")
-def ar_order_grid(spark, sf_dir):
-    """AR(p) / ARX(p) with d in {0, 1}, p in {1, 2, 3}, on the full training window
-    and on the pre-shock window: conditional least squares on lag columns, all
-    orders of one (window, d) in one moments pass; ranked by AIC per window."""
-    tr, _ = _split(spark, sf_dir)
+def _ar_grid(tr, window_filters):
+    """AR(p)/ARX(p) fits for d in {0, 1} over the given windows, one solve pass.
+
+    Returns (solutions, lag names): coefficient slots are [z1, z2, z3, xx]."""
     w = Window.partitionBy("series_id").orderBy("month")
     base = tr.select("series_id", "month", "y", "x1",
                      (F.col("y") - F.lag("y").over(w)).alias("dy"), (F.col("x1") - F.lag("x1").over(w)).alias("dx1"))
-    # the (window, d) variants are stacked as rows and solved in one moments pass
     parts = []
-    for win, cond in (("full", F.lit(True)), ("pre_shock", F.col("month") < F.lit(SHOCK).cast("date"))):
+    for win, cond in window_filters:
         for d, z, x in ((0, "y", "x1"), (1, "dy", "dx1")):
-            ww = Window.partitionBy("series_id").orderBy("month")
             parts.append(base.filter(cond).select(
                 "series_id", F.lit(win).alias("window"), F.lit(d).alias("d"), F.col(z).alias("z"), F.col(x).alias("xx"),
-                *[F.lag(z, k).over(ww).alias(f"z{k}") for k in (1, 2, 3)]))
+                *[F.lag(z, k).over(w).alias(f"z{k}") for k in (1, 2, 3)]))
     stacked = parts[0]
     for p_ in parts[1:]:
         stacked = stacked.unionByName(p_)
@@ -293,12 +290,67 @@ def ar_order_grid(spark, sf_dir):
     for p in (1, 2, 3):
         cfg[f"ar{p}"] = [f"z{k}" for k in range(1, p + 1)]
         cfg[f"arx{p}"] = [f"z{k}" for k in range(1, p + 1)] + ["xx"]
-    sol, _ = ols_by_config(stacked, ["series_id", "window", "d"], "z", cfg)
+    sol, all_x = ols_by_config(stacked, ["series_id", "window", "d"], "z", cfg)
+    return sol, all_x
+
+
+@query("ar_order_grid")
+def ar_order_grid(spark, sf_dir):
+    """AR(p) / ARX(p) with d in {0, 1}, p in {1, 2, 3}, on the full training window
+    and on the pre-shock window: conditional least squares on lag columns, all
+    (window, d, order) fits stacked as rows and solved in one moments pass;
+    ranked by AIC per window."""
+    tr, _ = _split(spark, sf_dir)
+    sol, _ = _ar_grid(tr, [("full", F.lit(True)), ("pre_shock", F.col("month") < F.lit(SHOCK).cast("date"))])
     allfit = sol.select("series_id", "window", "d", "config", "n", "k", "aic", "bic", "r2")
     rk = Window.partitionBy("series_id", "window").orderBy("aic", "d", "config")
     return round_doubles(allfit.withColumn("aic_rank", F.row_number().over(rk)))
 
 
+# multi-step recursion over the horizon as one higher-order SQL expression:
+# z_(T+h) = c + phi1 z_(T+h-1) + phi2 z_(T+h-2) + phi3 z_(T+h-3) + beta xx_(T+h)
+AR_PATH = """slice(aggregate(sequence(1, size(xs)), hist,
+      (acc, h) -> concat(acc, array(c + phi1 * element_at(acc, -1) + phi2 * element_at(acc, -2)
+                                      + phi3 * element_at(acc, -3) + beta * element_at(xs, h)))), 4, size(xs))"""
+LEVELS = """CASE WHEN d = 0 THEN zpath ELSE
+      slice(aggregate(zpath, array(y_T), (acc, v) -> concat(acc, array(element_at(acc, -1) + v))), 2, size(zpath)) END"""
+
+
+@query("ar_forecast_metrics")
+def ar_forecast_metrics(spark, sf_dir):
+    """Test-horizon RMSE/MAE of every AR/ARX order (d = 0 on levels, d = 1 on
+    differences integrated back): forecasts are built recursively per series
+    with ``aggregate`` over the horizon; the only per-series arrays are the last
+    three training values and the <= 18 test-step regressor values."""
+    tr, te = _split(spark, sf_dir)
+    sol, all_x = _ar_grid(tr, [("full", F.lit(True))])
+    co = F.col("coef")
+    fits = sol.select("series_id", "d", "config", F.col("intercept").alias("c"),
+                      *[F.coalesce(co[i], F.lit(0.0)).alias(n) for i, n in enumerate(["phi1", "phi2", "phi3", "beta"])])
+    w = Window.partitionBy("series_id").orderBy("month")
+    full = tr.unionByName(te).select("series_id", "month", "split", "y", "x1",
+                                     (F.col("y") - F.lag("y").over(w)).alias("dy"),
+                                     (F.col("x1") - F.lag("x1").over(w)).alias("dx1"))
+    last = (Q.first_k_by(full.filter(F.col("split") == "train"), ["series_id"], [F.col("month").desc()], 3)
+            .groupBy("series_id").agg(
+                *[F.max(F.when(F.col("rn") == k, F.col(c))).alias(f"{c}_{k}") for k in (1, 2, 3) for c in ("y", "dy")]))
+    test = (full.filter(F.col("split") == "test").groupBy("series_id")
+            .agg(F.sort_array(F.collect_list(F.struct("month", "x1", "dx1", "y"))).alias("steps")))
+    hist = last.join(test, "series_id").select(
+        "series_id", F.col("y_1").alias("y_T"), "steps",
+        F.array("y_3", "y_2", "y_1").alias("hist0"), F.array("dy_3", "dy_2", "dy_1").alias("hist1"))
+    j = fits.join(hist, "series_id").select(
+        "series_id", "d", "config", "c", "phi1", "phi2", "phi3", "beta", "y_T", "steps",
+        F.when(F.col("d") == 0, F.col("hist0")).otherwise(F.col("hist1")).alias("hist"),
+        F.when(F.col("d") == 0, F.col("steps.x1")).otherwise(F.col("steps.dx1")).alias("xs"))
+    j = j.withColumn("zpath", F.expr(AR_PATH)).withColumn("level", F.expr(LEVELS))
+    pts = j.select("series_id", "d", "config", F.explode(F.arrays_zip(F.col("steps.y").alias("actual"),
+                                                                     F.col("level").alias("forecast"))).alias("p"))
+    e = F.col("p.forecast") - F.col("p.actual")
+    return pts.groupBy("series_id", "d", "config").agg(
+        F.count(e).alias("n"), rnd(F.sqrt(F.avg(e * e))).alias("rmse"), rnd(F.avg(F.abs(e))).alias("mae"))
+
+
 @query("rolling_coefficient", f"""
 WITH {S.SPLIT_CTES}
 SELECT series_id, {S.iso('month')} AS month,
