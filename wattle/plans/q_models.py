@@ -449,3 +449,33 @@ def bootstrap_intervals(spark, sf_dir):
         F.first("y").alias("actual"), F.avg("f").alias("mean"), F.percentile("f", 0.1).alias("p10"),
         F.percentile("f", 0.9).alias("p90"), F.percentile("f", 0.025).alias("p025"), F.percentile("f", 0.975).alias("p975"))
     return round_doubles(out.select("series_id", iso_date("month").alias("month"), "actual", "mean", "p10", "p90", "p025", "p975"))
+
+
+@query("nation_regression_fit", f"""
+WITH px AS (SELECT {S.ms('CAST(l_shipdate AS DATE)')} AS month, avg(l_extendedprice / 1000) AS x1 FROM lineitem GROUP BY ALL),
+ny AS (SELECT n.n_name AS series_id, {S.ms('CAST(o.o_orderdate AS DATE)')} AS month, avg(o.o_totalprice / 1000) AS y
+       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+       GROUP BY ALL),
+tr AS (SELECT * FROM ny JOIN px USING (month) WHERE month <= DATE '1999-12-01')
+SELECT series_id, regr_count(y, x1) AS n, {S.r('regr_intercept(y, x1)')} AS intercept,
+       {S.r('regr_slope(y, x1)')} AS slope, {S.r('regr_r2(y, x1)', 6)} AS r2
+FROM tr GROUP BY series_id""")
+def nation_regression_fit(spark, sf_dir):
+    """Many series in one job: one target series per customer nation (orders joined
+    to customer and nation), every series' regression on x1 in one group-by."""
+    from ..sources.tables import table
+    from ..functions.calendar import month_start
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    # orders x customer is the large join (shuffle or broadcast by measured size);
+    # nation is a fixed 25-row dimension
+    oc = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    y = (oc.groupBy(F.col("n_name").alias("series_id"), month_start(F.col("o_orderdate").cast("date")).alias("month"))
+         .agg(F.avg(F.col("o_totalprice") / 1000).alias("y")))
+    from .panel import regressors
+    tr = y.join(regressors(spark, sf_dir).select("month", "x1"), "month") \
+        .filter(F.col("month") <= F.lit("1999-12-01").cast("date"))
+    return tr.groupBy("series_id").agg(
+        F.regr_count("y", "x1").alias("n"), rnd(F.regr_intercept("y", "x1")).alias("intercept"),
+        rnd(F.regr_slope("y", "x1")).alias("slope"), rnd(F.regr_r2("y", "x1"), 6).alias("r2"))
