@@ -156,7 +156,8 @@ def electricity_standin(spark: SparkSession, sf_dir: str, merge_years: bool = Fa
 
 
 def carbon_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return carbon_long(standins.carbon_raw(spark, sf_dir), standins.CARBON_BREAK_DATE)
+    from .materialize import carbon_raw_table
+    return carbon_long(carbon_raw_table(spark, sf_dir), standins.CARBON_BREAK_DATE)
 
 
 def all_sources(spark: SparkSession, sf_dir: str, merge_years: bool = False) -> list[DataFrame]:

@@ -20,7 +20,7 @@ from ..session import checkpoint_dir
 from ..sources.tables import TABLES
 from . import consolidate as C
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()   # re-entrant: a materialised build may materialise its inputs
 _DONE: dict[str, str] = {}
 
 
@@ -59,3 +59,11 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
 def consolidated_table(spark: SparkSession, sf_dir: str, how: str = "join") -> DataFrame:
     return materialized(spark, f"consolidated-{how}", sf_dir, lambda: C.consolidated(spark, sf_dir, how),
                         partition_by=["aggregation_level"])
+
+
+def carbon_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day-level carbon sheet (stand-in built from ``orders``), written once:
+    the carbon pipeline reads it in two branches (raw daily rows and the
+    weekly/monthly means), which would otherwise aggregate the orders twice."""
+    from ..sources import standins
+    return materialized(spark, "carbon-raw", sf_dir, lambda: standins.carbon_raw(spark, sf_dir), tables=("orders",))
