@@ -77,3 +77,14 @@ def test_sinks_roundtrip(spark, tmp_path):
     txt = "".join(open(f).read() for f in sorted((tmp_path / "csv").glob("part-*.csv")))
     assert "2020-02-01,monthly,,2" in txt
     assert decimal_comma_text(df).first().v == "1,5"
+
+
+def test_electricity_cp1252_fallback_and_file_isolation(spark, tmp_path):
+    ok = _write(tmp_path / "Day Ahead Preise_M15_2021_English.csv",
+                "Time from [CET/CEST],Time to,Price EXAA 10:15 Auction [€/MWh EUR],Price MC Auction [EUR/MWh]\n"
+                "01.01.2021 00:00,01.01.2021 00:15,40.5,50.25\n", "cp1252")
+    bad = str(tmp_path / "Day Ahead Preise_M15_2022_English.csv")   # does not exist
+    failures = []
+    r = files.read_electricity(spark, [ok, bad], failures=failures).collect()
+    assert len(r) == 1 and r[0].price_exaa_raw == 40.5 and r[0].price_mc_raw == 50.25
+    assert [p for p, _ in failures] == [bad]

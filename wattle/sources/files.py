@@ -49,25 +49,58 @@ def first_column_containing(columns: Sequence[str], *marks: str) -> str | None:
     return None
 
 
+# cp1252 code points 0x80-0x9F that ISO-8859-1 decodes as C1 controls.
+CP1252_C1 = {"\u0080": "\u20ac", "\u008a": "\u0160", "\u008e": "\u017d", "\u009a": "\u0161", "\u009e": "\u017e"}
+
+
+def fix_cp1252(c):
+    """Map the cp1252-only characters (euro sign, ...) read through ISO-8859-1."""
+    src, dst = "".join(CP1252_C1), "".join(CP1252_C1.values())
+    return F.translate(c, src, dst)
+
+
+def header_encoding(spark: SparkSession, path: str) -> str:
+    """UTF-8 unless the header line does not decode (replacement character), then
+    the cp1252 route (ISO-8859-1 + ``fix_cp1252``). Only one line is read."""
+    first = spark.read.option("encoding", "UTF-8").text(path).first()
+    return "UTF-8" if first is None or "\ufffd" not in first[0] else "cp1252"
+
+
 def read_electricity(spark: SparkSession, paths: Sequence[str], ts_format: str = "dd.MM.yyyy HH:mm",
-                     eras: Mapping[str, tuple] | None = None) -> DataFrame:
+                     eras: Mapping[str, tuple] | None = None, failures: list | None = None) -> DataFrame:
     """Yearly 15-minute price files -> (timestamp, source_year, price_exaa_raw, price_mc_raw).
 
     Headers differ between years, so each file is resolved by name (one small
-    driver-side loop over file *names*), then all files are one union."""
+    driver-side loop over file *names*), then all files are one union. The
+    encoding is chosen per file (UTF-8, else cp1252); a file that cannot be
+    resolved is skipped and recorded in ``failures`` (path, error)."""
     from ..plans.consolidate import REFERENCE_ERAS, select_era_columns
     eras = eras or REFERENCE_ERAS
     parts = []
     for p in paths:
-        raw = year_from_file(read_text_csv(spark, p))
-        cols = [c for c in raw.columns if c not in ("source_file", "source_year", "_corrupt_record")]
+        try:
+            enc = header_encoding(spark, p)
+            raw = year_from_file(read_text_csv(spark, p, encoding=enc))
+            if enc == "cp1252":
+                raw = raw.toDF(*[c.translate(str.maketrans(CP1252_C1)) for c in raw.columns])
+            cols = [c for c in raw.columns if c not in ("source_file", "source_year", "_corrupt_record")]
+            if not cols or raw.schema[cols[0]].dataType.simpleString() != "string":
+                raise ValueError("no header")
+        except Exception as ex:   # per-file isolation: the others still load
+            if failures is not None:
+                failures.append((p, str(ex)[:300]))
+            continue
         exaa = first_column_containing(cols, "EXAA", "EUR")
         mc = first_column_containing(cols, "MC Auction", "EUR")
         clean = cl.standardize_missing(raw, cols)
+        if exaa is None and mc is None and failures is not None:
+            failures.append((p, "no price column"))
         parts.append(clean.select(
             cl.lenient_timestamp(F.col(f"`{cols[0]}`"), ts_format).alias("timestamp"), "source_year",
             (cl.lenient_double(F.col(f"`{exaa}`")) if exaa else F.lit(None).cast("double")).alias("price_exaa_raw"),
             (cl.lenient_double(F.col(f"`{mc}`")) if mc else F.lit(None).cast("double")).alias("price_mc_raw")))
+    if not parts:
+        raise ValueError("no readable electricity file")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
