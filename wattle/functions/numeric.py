@@ -33,54 +33,58 @@ def iso_date(c) -> Column:
     return F.date_format(col_(c), "yyyy-MM-dd")
 
 
-def normal_quantile(p) -> Column:
-    """Inverse standard normal CDF as a Column expression.
-
-    Acklam's rational approximation (relative error < 1.2e-9), evaluated with
-    built-in arithmetic so it stays inside whole-stage codegen.
-    """
-    # Fixed coefficients of the published approximation.
-    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
-         1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
-    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
-         6.680131188771972e+01, -1.328068155288572e+01]
-    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
-         -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
-    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
-         3.754408661907416e+00]
-    p = col_(p).cast("double")
-    plow = 0.02425
-
-    def poly(coefs, x):
-        acc = F.lit(coefs[0])
-        for k in coefs[1:]:
-            acc = acc * x + F.lit(k)
-        return acc
-
-    q_lo = F.sqrt(-2 * F.log(p))
-    lo = poly(c, q_lo) / (poly(d, q_lo) * q_lo + 1)
-    q_hi = F.sqrt(-2 * F.log(1 - p))
-    hi = -poly(c, q_hi) / (poly(d, q_hi) * q_hi + 1)
-    q = p - 0.5
-    r = q * q
-    mid = poly(a, r) * q / (poly(b, r) * r + 1)
-    return (F.when(p < plow, lo).when(p > 1 - plow, hi).otherwise(mid))
-
-
-def chi2_sf_even(x, df: int) -> Column:
-    """Upper tail of a chi-square with an even number of degrees of freedom.
-
-    P(X > x) = exp(-x/2) * sum_{j < df/2} (x/2)^j / j!  (exact for even df).
-    """
+# Fixed coefficients of Acklam's rational approximation of the inverse normal CDF
+# (relative error < 1.2e-9).
+_QA = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+       1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+_QB = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+       6.680131188771972e+01, -1.328068155288572e+01]
+_QC = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+       -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+_QD = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+
+
+def _horner(coefs, x: str) -> str:
+    acc = repr(coefs[0])
+    for k in coefs[1:]:
+        acc = f"(({acc}) * {x} + {k!r})"
+    return acc
+
+
+def normal_quantile_sql(p: str) -> str:
+    """SQL text of the inverse standard normal CDF of the SQL expression ``p``
+    (valid in Spark SQL and DuckDB alike)."""
+    p = f"CAST({p} AS DOUBLE)"
+    qlo, qhi = f"sqrt(-2 * ln({p}))", f"sqrt(-2 * ln(1 - {p}))"
+    q = f"({p} - 0.5)"
+    r = f"({q} * {q})"
+    lo = f"({_horner(_QC, qlo)}) / (({_horner(_QD, qlo)}) * {qlo} + 1)"
+    hi = f"-({_horner(_QC, qhi)}) / (({_horner(_QD, qhi)}) * {qhi} + 1)"
+    mid = f"({_horner(_QA, r)}) * {q} / (({_horner(_QB, r)}) * {r} + 1)"
+    return f"(CASE WHEN {p} < 0.02425 THEN {lo} WHEN {p} > 1 - 0.02425 THEN {hi} ELSE {mid} END)"
+
+
+def normal_quantile(p: str) -> Column:
+    """Inverse standard normal CDF of a SQL expression / column name, as one
+    built-in expression (stays inside whole-stage codegen)."""
+    return F.expr(normal_quantile_sql(p))
+
+
+def chi2_sf_even_sql(x: str, df: int) -> str:
+    """P(X > x) for chi-square with even ``df``: exp(-x/2) * sum_{j < df/2} (x/2)^j / j!."""
     if df % 2:
         raise ValueError("closed form needs even degrees of freedom")
-    h = col_(x).cast("double") / 2
-    term = F.lit(1.0)
-    total = F.lit(1.0)
+    h = f"(CAST({x} AS DOUBLE) / 2.0)"
+    terms, fact = ["1.0"], 1
     for j in range(1, df // 2):
-        term = term * h / j
-        total = total + term
-    return F.exp(-h) * total
+        fact *= j
+        terms.append(f"power({h}, {j}) / {fact}.0")
+    return f"(exp(-{h}) * ({' + '.join(terms)}))"
+
+
+def chi2_sf_even(x: str, df: int) -> Column:
+    """Upper tail of a chi-square with an even number of degrees of freedom (exact)."""
+    return F.expr(chi2_sf_even_sql(x, df))
 
 
 def normal_sf(z) -> Column:

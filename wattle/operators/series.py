@@ -33,16 +33,15 @@ def acf(df: DataFrame, col: str, max_lag: int, key: str = "series_id", order: st
     """Sample autocorrelation r_k = sum (y_t - m)(y_{t-k} - m) / sum (y_t - m)^2, k = 1..max_lag.
 
     All lags come from one window pass (``lag`` columns) and one aggregate; no
-    self-join per lag."""
-    w = by_series(key, order)
-    wall = Window.partitionBy(key)
-    c = df.select(key, order, (F.col(col) - F.avg(col).over(wall)).alias("e")).filter(F.col("e").isNotNull())
-    lagged = c.select(key, "e", *[F.lag("e", k).over(w).alias(f"l{k}") for k in range(1, max_lag + 1)])
-    agg = lagged.groupBy(key).agg(F.sum(F.col("e") * F.col("e")).alias("c0"), F.count("*").alias("n"),
-                                  *[F.sum(F.col("e") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, max_lag + 1)])
-    rows = F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("lag"), (F.col(f"s{k}") / F.col("c0")).alias("acf"))
-                               for k in range(1, max_lag + 1)]))
-    return agg.select(key, "n", rows.alias("r")).select(key, "n", "r.lag", "r.acf")
+    self-join per lag. Generated expressions are SQL snippets (one driver call each)."""
+    c = (df.selectExpr(key, order, f"`{col}` - avg(`{col}`) OVER (PARTITION BY {key}) AS e")
+         .where("e IS NOT NULL"))
+    lags = [f"lag(e, {k}) OVER (PARTITION BY {key} ORDER BY {order}) AS l{k}" for k in range(1, max_lag + 1)]
+    lagged = c.selectExpr(key, "e", *lags)
+    agg = lagged.groupBy(key).agg(F.expr("sum(e * e)").alias("c0"), F.expr("count(1)").alias("n"),
+                                  *[F.expr(f"sum(e * l{k})").alias(f"s{k}") for k in range(1, max_lag + 1)])
+    rows = ", ".join(f"named_struct('lag', CAST({k} AS BIGINT), 'acf', s{k} / c0)" for k in range(1, max_lag + 1))
+    return agg.selectExpr(key, "n", f"inline(array({rows}))")
 
 
 def pacf_from_acf(acf_df: DataFrame, key: str = "series_id") -> DataFrame:

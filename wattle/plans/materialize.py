@@ -22,6 +22,7 @@ from . import consolidate as C
 
 _LOCK = threading.RLock()   # re-entrant: a materialised build may materialise its inputs
 _DONE: dict[str, str] = {}
+_READ: dict[str, DataFrame] = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, tables=TABLES) -> str:
@@ -53,7 +54,10 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
                 w = w.partitionBy(*partition_by)
             w.parquet(path)
             _DONE[key] = path
-    return spark.read.parquet(path)
+        df = _READ.get(path)
+        if df is None:
+            df = _READ[path] = spark.read.parquet(path)
+    return df
 
 
 def consolidated_table(spark: SparkSession, sf_dir: str, how: str = "join") -> DataFrame:

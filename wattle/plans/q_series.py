@@ -255,12 +255,10 @@ def ljung_box(spark, sf_dir):
     """Ljung-Box Q at lags 12 and 24 on AR(1) residuals; chi-square p-value in
     closed form for even degrees of freedom."""
     a = acf_op(_resid(spark, sf_dir), "e", MAX_LAG)
-    n = F.col("n")
-    terms = a.groupBy("series_id", "n").agg(
-        *[F.sum(F.when(F.col("lag") <= h, F.col("acf") * F.col("acf") / (n - F.col("lag")))).alias(f"t{h}") for h in (12, 24)])
-    rows = F.explode(F.array(*[F.struct(F.lit(h).cast("long").alias("lag"), (n * (n + 2) * F.col(f"t{h}")).alias("q"))
-                               for h in (12, 24)]))
-    x = terms.select("series_id", "n", rows.alias("r")).select("series_id", "n", "r.lag", "r.q")
+    q = {h: f"n * (n + 2) * sum(CASE WHEN lag <= {h} THEN acf * acf / (n - lag) END)" for h in (12, 24)}
+    terms = a.groupBy("series_id", "n").agg(*[F.expr(q[h]).alias(f"q{h}") for h in (12, 24)])
+    rows = ", ".join(f"named_struct('lag', CAST({h} AS BIGINT), 'q', q{h})" for h in (12, 24))
+    x = terms.selectExpr("series_id", "n", f"inline(array({rows}))")
     p = F.when(F.col("lag") == 12, chi2_sf_even("q", 12)).otherwise(chi2_sf_even("q", 24))
     return x.select("series_id", "n", "lag", rnd("q").alias("q"), rnd(p, 6).alias("p_value"))
 
@@ -285,7 +283,7 @@ def normality_jb(spark, sf_dir):
     ws = Window.partitionBy("series_id")
     rk = r.select("series_id", "e", F.row_number().over(Window.partitionBy("series_id").orderBy("e")).alias("i"),
                   F.count("*").over(ws).alias("n"))
-    sf = rk.groupBy("series_id").agg(F.corr("e", normal_quantile((F.col("i") - 0.375) / (F.col("n") + 0.25))).alias("r"))
+    sf = rk.groupBy("series_id").agg(F.corr("e", normal_quantile("(i - 0.375) / (n + 0.25)")).alias("r"))
     jb = F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("kurt") ** 2 / 4)
     return mo.join(sf, "series_id").select(
         "series_id", "n", rnd("skew", 6).alias("skewness"), rnd("kurt", 6).alias("excess_kurtosis"), rnd(jb).alias("jb"),
@@ -302,7 +300,7 @@ def qq_points(spark, sf_dir):
     rk = r.select("series_id", "e", F.row_number().over(Window.partitionBy("series_id").orderBy("e")).alias("i"),
                   F.count("*").over(Window.partitionBy("series_id")).alias("n"))
     return rk.select("series_id", F.col("i").cast("long").alias("i"),
-                     rnd(normal_quantile((F.col("i") - 0.5) / F.col("n")), 6).alias("theoretical"), rnd("e").alias("sample"))
+                     rnd(normal_quantile("(i - 0.5) / n"), 6).alias("theoretical"), rnd("e").alias("sample"))
 
 
 @query("adf_t", f"""

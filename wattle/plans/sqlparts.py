@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+# the closed forms are shared with the Spark side (one set of coefficients)
+from ..functions.numeric import chi2_sf_even_sql, normal_quantile_sql  # noqa: F401
+
 
 def wmon(d: str) -> str:
     """Monday on or after the day (pandas W-MON label)."""
@@ -279,37 +282,3 @@ res AS (SELECT trl.series_id, trl.month, trl.y - (ac.c + ac.phi * trl.y1) AS e
         FROM trl JOIN ac USING (series_id) WHERE trl.y1 IS NOT NULL)"""
 
 
-def chi2_sf_even_sql(x: str, df: int) -> str:
-    h = f"(({x}) / 2.0)"
-    terms = ["1.0"]
-    fact = 1
-    for j in range(1, df // 2):
-        fact *= j
-        terms.append(f"power({h}, {j}) / {fact}.0")
-    return f"(exp(-{h}) * ({' + '.join(terms)}))"
-
-
-def normal_quantile_sql(p: str) -> str:
-    """Same rational approximation as wattle.functions.numeric.normal_quantile."""
-    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
-         1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
-    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
-         6.680131188771972e+01, -1.328068155288572e+01]
-    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
-         -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
-    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
-
-    def poly(coefs, x):
-        acc = repr(coefs[0])
-        for k in coefs[1:]:
-            acc = f"(({acc}) * {x} + {k!r})"
-        return acc
-    p = f"CAST({p} AS DOUBLE)"
-    qlo = f"sqrt(-2 * ln({p}))"
-    qhi = f"sqrt(-2 * ln(1 - {p}))"
-    q = f"({p} - 0.5)"
-    r_ = f"({q} * {q})"
-    lo = f"({poly(c, qlo)}) / (({poly(d, qlo)}) * {qlo} + 1)"
-    hi = f"-({poly(c, qhi)}) / (({poly(d, qhi)}) * {qhi} + 1)"
-    mid = f"({poly(a, r_)}) * {q} / (({poly(b, r_)}) * {r_} + 1)"
-    return f"(CASE WHEN {p} < 0.02425 THEN {lo} WHEN {p} > 1 - 0.02425 THEN {hi} ELSE {mid} END)"
