@@ -76,3 +76,15 @@ def test_consolidation_job_report(spark, tmp_path):
     assert cons.filter(F.col("aggregation_level") == "monthly").count() > 0
     src_rows = sum(r.rows for r in rep.values())
     assert cons.count() <= src_rows
+
+
+def test_materialised_tables_are_reused_and_released(spark):
+    import os
+    from wattle.plans.materialize import consolidated_table, release
+    a = consolidated_table(spark, SF_SMALL)
+    b = consolidated_table(spark, SF_SMALL)
+    assert a is b                                    # written once, scanned from the shared folder
+    path = a.inputFiles()[0].split("/aggregation_level=")[0].replace("file:", "")
+    assert os.path.isdir(path)
+    assert release(spark) >= 1
+    assert not os.path.exists(path)

@@ -71,3 +71,21 @@ def carbon_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekly/monthly means), which would otherwise aggregate the orders twice."""
     from ..sources import standins
     return materialized(spark, "carbon-raw", sf_dir, lambda: standins.carbon_raw(spark, sf_dir), tables=("orders",))
+
+
+def release(spark: SparkSession) -> int:
+    """Delete this session's materialised tables from the shared folder (Hadoop FS
+    API, so the same call works on object stores); returns how many were removed."""
+    app = spark.sparkContext.applicationId
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    with _LOCK:
+        for key, path in list(_DONE.items()):
+            if key.startswith(app):
+                p = jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(conf).delete(p, True)
+                _DONE.pop(key)
+                _READ.pop(path, None)
+                n += 1
+    return n

@@ -52,6 +52,7 @@ def build_session(master: str | None = None, app: str = "wattle",
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the session-level settings a job depends on (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     ship_package(spark)
 
