@@ -25,3 +25,22 @@ def test_streaming_daily_resample_equals_batch(spark, tmp_path):
         g = got[r.d]
         assert g.price_exaa_raw_count == r.n
         assert (g.price_exaa_raw_mean is None and r.m is None) or math.isclose(g.price_exaa_raw_mean, r.m, rel_tol=1e-12)
+
+
+def test_append_mode_emits_only_closed_days(spark, tmp_path):
+    readings = electricity_readings(spark, SF_SMALL)
+    src = str(tmp_path / "in")
+    readings.repartition(3).write.parquet(src)
+    stream = daily_resample_stream(read_readings_stream(spark, src), ["price_exaa_raw", "price_mc_raw"],
+                                   lateness="1 day")
+    out = str(tmp_path / "out")
+    q = start(stream, str(tmp_path / "ckpt"), sink_path=out, output_mode="append", trigger_once=True)
+    q.awaitTermination(300)
+    got = {r.date: r for r in spark.read.parquet(out).collect()}
+    last = readings.agg(F.max("timestamp").alias("m")).first().m.date()
+    batch = {r.d: r.n for r in readings.groupBy(F.to_date("timestamp").alias("d"))
+             .agg(F.count("price_exaa_raw").alias("n")).collect()}
+    # days closed by the watermark (max event time - 1 day) are final and complete
+    assert got and max(got) < last
+    for d, r in got.items():
+        assert r.price_exaa_raw_count == batch[d]
