@@ -253,19 +253,68 @@ def regression_inference(spark, sf_dir):
                     rnd("z.beta").alias("beta"))
 
 
-@query("regime_regression")
+def _det3(m):
+    """SQL text of the determinant of a 3 x 3 matrix of SQL expressions."""
+    return (f"(({m[0][0]}) * (({m[1][1]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][1]}))"
+            f" - ({m[0][1]}) * (({m[1][0]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][0]}))"
+            f" + ({m[0][2]}) * (({m[1][0]}) * ({m[2][1]}) - ({m[1][1]}) * ({m[2][0]})))")
+
+
+def _regime_sql():
+    xs = ["x1", "rs", "rp"]
+    S_ = [[f"c_{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+    det = _det3(S_)
+    coefs = []
+    for j in range(3):
+        mj = [[(f"c_{i}y" if jj == j else S_[i][jj]) for jj in range(3)] for i in range(3)]
+        coefs.append(f"{_det3(mj)} / {det}")
+    mom = ["count(*) AS n", "avg(y) AS my", "var_pop(y) AS vyy"]
+    for i, a in enumerate(xs):
+        mom += [f"avg({a}) AS m_{i}", f"covar_pop({a}, y) AS c_{i}y"]
+        for j in range(i, 3):
+            mom.append(f"covar_pop({a}, {xs[j]}) AS c_{i}{j}")
+    return f"""
+WITH {S.SPLIT_CTES},
+d AS (SELECT series_id, y, x1, CAST(month >= DATE '{SHOCK}' AND month < DATE '{POST}' AS DOUBLE) AS rs,
+             CAST(month >= DATE '{POST}' AS DOUBLE) AS rp FROM tr WHERE y IS NOT NULL AND x1 IS NOT NULL),
+mo AS (SELECT series_id, {', '.join(mom)} FROM d GROUP BY 1),
+b AS (SELECT *, {coefs[0]} AS b0, {coefs[1]} AS b1, {coefs[2]} AS b2 FROM mo),
+f AS (SELECT *, my - (b0 * m_0 + b1 * m_1 + b2 * m_2) AS intercept, n * (vyy - (b0 * c_0y + b1 * c_1y + b2 * c_2y)) AS ssr FROM b)
+SELECT series_id, n, {S.r('intercept')} AS intercept, {S.r('b0')} AS coef_x1, {S.r('b1')} AS coef_shock,
+       {S.r('b2')} AS coef_post, {S.r('1 - ssr / (n * vyy)', 6)} AS r2,
+       {S.r('n * ln(2 * pi() * ssr / n) + n + 2 * (3 + 2)')} AS aic
+FROM f"""
+
+
+@query("regime_regression", _regime_sql())
 def regime_regression(spark, sf_dir):
-    """Regression with regime dummies (shock, post-shock) next to x1."""
+    """Regression with regime dummies (shock, post-shock) next to x1; p-values of
+    the dummies are in ``regime_inference``."""
+    sol = _regime_fit(spark, sf_dir)
+    return sol.select("series_id", "n", rnd("intercept").alias("intercept"), rnd(F.col("coef")[0]).alias("coef_x1"),
+                      rnd(F.col("coef")[1]).alias("coef_shock"), rnd(F.col("coef")[2]).alias("coef_post"),
+                      rnd("r2", 6).alias("r2"), rnd("aic").alias("aic"))
+
+
+def _regime_fit(spark, sf_dir):
     from ..functions.calendar import regime_dummies
     tr, _ = _split(spark, sf_dir)
     d = tr.select("*", *regime_dummies("month", SHOCK, POST)) \
         .withColumn("regime_shock", F.col("regime_shock").cast("double")) \
         .withColumn("regime_post", F.col("regime_post").cast("double"))
-    sol = ols(d, ["series_id"], "y", ["x1", "regime_shock", "regime_post"])
-    return sol.select("series_id", "n", rnd("intercept").alias("intercept"), rnd(F.col("coef")[0]).alias("coef_x1"),
-                      rnd(F.col("coef")[1]).alias("coef_shock"), rnd(F.col("coef")[2]).alias("coef_post"),
-                      rnd(F.col("p")[1], 6).alias("p_shock"), rnd(F.col("p")[2], 6).alias("p_post"),
-                      rnd("r2", 6).alias("r2"), rnd("aic").alias("aic"))
+    return ols(d, ["series_id"], "y", ["x1", "regime_shock", "regime_post"])
+
+
+@query("regime_inference")
+def regime_inference(spark, sf_dir):
+    """Standard errors, t and two-sided p-values (Student t) of the regime model."""
+    sol = _regime_fit(spark, sf_dir)
+    terms = F.array(F.lit("x1"), F.lit("regime_shock"), F.lit("regime_post"))
+    z = F.explode(F.arrays_zip(terms.alias("term"), F.col("coef").alias("coef"), F.col("se").alias("se"),
+                               F.col("t").alias("t"), F.col("p").alias("p")))
+    x = sol.select("series_id", z.alias("z"))
+    return x.select("series_id", F.col("z.term").alias("term"), rnd("z.coef").alias("coef"), rnd("z.se").alias("se"),
+                    rnd("z.t").alias("t"), rnd("z.p", 6).alias("p"))
 
 
 def _ar_grid(tr, window_filters):
