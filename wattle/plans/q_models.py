@@ -320,7 +320,7 @@ def regime_inference(spark, sf_dir):
 def _ar_grid(tr, window_filters):
     """AR(p)/ARX(p) fits for d in {0, 1} over the given windows, one solve pass.
 
-    Returns (solutions, lag names): coefficient slots are [z1, z2, z3, xx]."""
+    Returns (solutions, regressor names); coefficient slot i belongs to name i."""
     w = Window.partitionBy("series_id").orderBy("month")
     base = tr.select("series_id", "month", "y", "x1",
                      (F.col("y") - F.lag("y").over(w)).alias("dy"), (F.col("x1") - F.lag("x1").over(w)).alias("dx1"))
@@ -374,8 +374,10 @@ def ar_forecast_metrics(spark, sf_dir):
     tr, te = _split(spark, sf_dir)
     sol, all_x = _ar_grid(tr, [("full", F.lit(True))])
     co = F.col("coef")
+    slot = {name: co[all_x.index(src)] for name, src in
+            (("phi1", "z1"), ("phi2", "z2"), ("phi3", "z3"), ("beta", "xx"))}   # slots follow all_x
     fits = sol.select("series_id", "d", "config", F.col("intercept").alias("c"),
-                      *[F.coalesce(co[i], F.lit(0.0)).alias(n) for i, n in enumerate(["phi1", "phi2", "phi3", "beta"])])
+                      *[F.coalesce(slot[n], F.lit(0.0)).alias(n) for n in ("phi1", "phi2", "phi3", "beta")])
     w = Window.partitionBy("series_id").orderBy("month")
     full = tr.unionByName(te).select("series_id", "month", "split", "y", "x1",
                                      (F.col("y") - F.lag("y").over(w)).alias("dy"),

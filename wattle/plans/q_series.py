@@ -406,6 +406,7 @@ def arma_hannan_rissanen(spark, sf_dir):
         fit = fit + F.col(f"a{k}") * F.col(f"y{k}")
     innov = lagged.join(co, "series_id").select("series_id", "month", "y", "y1", "y2", (F.col("y") - fit).alias("u"))
     innov = innov.withColumn("u1", F.lag("u").over(_wser()))
-    sol, _ = ols_by_config(innov, ["series_id"], "y", {"arma11": ["y1", "u1"], "arma21": ["y1", "y2", "u1"]})
-    return round_doubles(sol.select("series_id", "config", "n", "intercept", F.col("coef")[0].alias("ar1"),
-                                    F.col("coef")[1].alias("ar2"), F.col("coef")[2].alias("ma1"), "sigma2", "aic"))
+    sol, names = ols_by_config(innov, ["series_id"], "y", {"arma11": ["y1", "u1"], "arma21": ["y1", "y2", "u1"]})
+    co = {n: F.col("coef")[i] for i, n in enumerate(names)}       # slots follow the returned names
+    return round_doubles(sol.select("series_id", "config", "n", "intercept", co["y1"].alias("ar1"),
+                                    co["y2"].alias("ar2"), co["u1"].alias("ma1"), "sigma2", "aic"))
