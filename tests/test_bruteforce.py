@@ -105,3 +105,15 @@ def test_arma_hannan_rissanen_equals_two_stage_lstsq(spark, panel):
             assert math.isclose(r.ar1, b[1], abs_tol=1e-3) and math.isclose(r.ma1, b[-1], abs_tol=1e-3)
             if name == "arma21":
                 assert math.isclose(r.ar2, b[2], abs_tol=1e-3)
+
+
+def test_pacf_equals_yule_walker_solve(spark, panel):
+    got = {(r.series_id, r.lag): r.pacf for r in Q["pacf"](spark, SF_SMALL).collect()}
+    for sid, g in panel.groupby("series_id"):
+        e = g.y.to_numpy() - g.y.mean()
+        c0 = float(e @ e)
+        r = np.array([1.0] + [float(e[k:] @ e[:-k]) / c0 for k in range(1, 25)])
+        for k in (1, 2, 5, 12):
+            T = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
+            phi = np.linalg.solve(T, r[1:k + 1])
+            assert math.isclose(got[(sid, k)], phi[-1], abs_tol=2e-6), (sid, k)
