@@ -83,3 +83,12 @@ def test_ar_recursion_expression_matches_python(spark):
     path = z[3:]
     assert np.allclose(out[0].level, path)
     assert np.allclose(out[1].level, y_T + np.cumsum(path))
+
+
+def test_t_p_values_against_numeric_integration():
+    for t, df in ((0.5, 3), (1.7, 12), (2.9, 45), (4.0, 100)):
+        logc = math.lgamma((df + 1) / 2) - math.lgamma(df / 2) - 0.5 * math.log(df * math.pi)
+        x = np.linspace(t, t + 400, 2_000_001)
+        pdf = np.exp(logc - (df + 1) / 2 * np.log1p(x * x / df))
+        tail = float(np.sum((pdf[1:] + pdf[:-1]) / 2 * np.diff(x)))
+        assert math.isclose(t_two_sided_p(t, df), 2 * tail, rel_tol=1e-4, abs_tol=1e-7)
