@@ -516,14 +516,18 @@ def nation_regression_fit(spark, sf_dir):
     to customer and nation), every series' regression on x1 in one group-by."""
     from ..sources.tables import table
     from ..functions.calendar import month_start
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    # pre-aggregate orders to (customer, month) sums and counts before the join:
+    # a customer holding a large share of orders collapses map-side, and the join
+    # moves one row per customer-month instead of one per order
+    o = (table(spark, sf_dir, "orders")
+         .groupBy("o_custkey", month_start(F.col("o_orderdate").cast("date")).alias("month"))
+         .agg(F.sum(F.col("o_totalprice") / 1000).alias("s"), F.count("o_totalprice").alias("c")))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # orders x customer is the large join (shuffle or broadcast by measured size);
-    # nation is a fixed 25-row dimension
+    # nation is a fixed 25-row dimension (broadcast); customer joins by key
     oc = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
-    y = (oc.groupBy(F.col("n_name").alias("series_id"), month_start(F.col("o_orderdate").cast("date")).alias("month"))
-         .agg(F.avg(F.col("o_totalprice") / 1000).alias("y")))
+    y = (oc.groupBy(F.col("n_name").alias("series_id"), "month")
+         .agg((F.sum("s") / F.sum("c")).alias("y")))
     from .panel import regressors
     tr = y.join(regressors(spark, sf_dir).select("month", "x1"), "month") \
         .filter(F.col("month") <= F.lit("1999-12-01").cast("date"))
