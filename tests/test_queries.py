@@ -76,6 +76,11 @@ def test_consolidation_job_report(spark, tmp_path):
     assert cons.filter(F.col("aggregation_level") == "monthly").count() > 0
     src_rows = sum(r.rows for r in rep.values())
     assert cons.count() <= src_rows
+    desc = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "out" / "reports" / "describe"))
+    assert desc.count() > 10 and "p50" in desc.columns
+    assert any("," in (r.mean or "") for r in desc.collect())          # decimal comma
+    avail = spark.read.option("sep", ";").option("header", True).csv(str(tmp_path / "out" / "reports" / "availability"))
+    assert avail.count() == desc.count()
 
 
 def test_materialised_tables_are_reused_and_released(spark):

@@ -28,7 +28,28 @@ SOURCES = {
 }
 
 
-def run(spark: SparkSession, sf_dir: str, out: str, how: str = "join") -> DataFrame:
+def write_reports(cons: DataFrame, out: str) -> None:
+    """Report exports of the written table: describe statistics of the monthly rows
+    and first/last date with data per column, ';'-separated with decimal comma."""
+    from ..operators import quality as Q
+    from ..sources.sinks import write_report_csv
+    value_cols = [c for c in cons.columns if c not in ("date", "aggregation_level", "month_name")]
+    monthly = cons.filter(F.col("aggregation_level") == "monthly")
+    desc = Q.profile(monthly, value_cols, {
+        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min,
+        "p25": lambda x: F.percentile(x, 0.25), "p50": lambda x: F.percentile(x, 0.5),
+        "p75": lambda x: F.percentile(x, 0.75), "max": F.max})
+    write_report_csv(desc, f"{out}/reports/describe")
+    long = cons.select("date", *[F.col(c).cast("string").alias(c) for c in value_cols]) \
+        .unpivot(["date"], value_cols, "column", "value")
+    v = F.col("value")
+    avail = long.groupBy("column").agg(F.min(F.when(v.isNotNull(), F.col("date"))).alias("first_date"),
+                                       F.max(F.when(v.isNotNull(), F.col("date"))).alias("last_date"),
+                                       F.count(v).alias("n_values"))
+    write_report_csv(avail, f"{out}/reports/availability")
+
+
+def run(spark: SparkSession, sf_dir: str, out: str, how: str = "join", reports: bool = True) -> DataFrame:
     report, written = [], []
     for name, fn in SOURCES.items():
         t0 = time.perf_counter()
@@ -44,6 +65,8 @@ def run(spark: SparkSession, sf_dir: str, out: str, how: str = "join") -> DataFr
             report.append((name, "failed", 0, 0, round(time.perf_counter() - t0, 3), str(ex)[:500]))
     if written:
         write_parquet(consolidate(written, how=how), f"{out}/consolidated", partition_by=["aggregation_level"])
+        if reports:
+            write_reports(spark.read.parquet(f"{out}/consolidated"), out)
     return spark.createDataFrame(report, "source string, status string, rows long, columns int, seconds double, error string")
 
 
