@@ -51,15 +51,7 @@ def any_not_null(cols: Sequence[str]) -> Column:
     return F.coalesce(*[F.col(c) for c in cols]).isNotNull()
 
 
-def first_k_by(df: DataFrame, keys: Sequence[str], order: Sequence, k: int) -> DataFrame:
-    """First ``k`` rows per key by ``order`` (``rn`` 1..k).
-
-    ``row_number() <= k`` lets Spark insert a WindowGroupLimit below the
-    shuffle, so each map task forwards at most k rows per key: the group is
-    never materialised whole in one task."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
+from .series import first_k_by  # noqa: E402,F401  (top-k per key, shared)
 
 
 def pairwise(cols: Sequence[str]) -> list[tuple[str, str]]:
