@@ -118,3 +118,9 @@ def test_header_normaliser():
     assert cl.normalize_header("Exchange rate EUR/USD(>2018)", "carbonprices_") == "carbonprices_exchange_rate_eur_usd2018"
     assert cl.normalize_header("Primary Market", "carbonprices_") == "carbonprices_primary_market"
     assert cl.is_junk_header("Unnamed: 3") and cl.is_junk_header(" ") and not cl.is_junk_header("Date")
+
+
+def test_output_rounding_range_and_nan(spark):
+    from wattle.functions.numeric import rnd
+    df = spark.createDataFrame([(1.23456789,), (3e30,), (float("nan"),), (None,), (0.12625,)], "x double")
+    assert [r.r for r in df.select(rnd("x").alias("r")).collect()] == [1.2346, 3e30, None, None, 0.1263]

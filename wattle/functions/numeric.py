@@ -15,7 +15,10 @@ def rnd(c, digits: int = 4) -> Column:
 
     Going through the decimal form makes the result independent of how an
     engine rounds binary near-ties (the DuckDB oracle does the same)."""
-    return F.round(col_(c).try_cast("decimal(38,10)"), digits).cast("double")
+    x = col_(c).cast("double")
+    via_decimal = F.round(x.try_cast("decimal(38,10)"), digits).cast("double")
+    # beyond DECIMAL(38,10) range (|x| >= 1e28) fall back to plain rounding; NaN -> NULL
+    return F.when(~F.isnan(x), F.coalesce(via_decimal, F.round(x, digits)))
 
 
 def half_even(c, digits: int = 0) -> Column:

@@ -32,7 +32,9 @@ def step(level_col: str = "aggregation_level") -> str:
 
 
 def r(x: str, n: int = 4) -> str:
-    return f"CAST(round(TRY_CAST({x} AS DECIMAL(38,10)), {n}) AS DOUBLE)"
+    d = f"CAST({x} AS DOUBLE)"
+    return (f"CASE WHEN NOT isnan({d}) THEN coalesce(CAST(round(TRY_CAST({d} AS DECIMAL(38,10)), {n}) AS DOUBLE), "
+            f"round({d}, {n})) END")
 
 
 def bround_long(x: str) -> str:
