@@ -12,6 +12,7 @@ from tests.conftest import SF_SMALL
 from wattle.sources.tables import TABLES
 
 QUERIES = E.queries()
+TYPE_MAP = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 ORACLES = E.oracle_sql()
 
 
@@ -58,8 +59,11 @@ def test_query_matches_oracle(spark, duck, name):
     sdf = QUERIES[name](spark, SF_SMALL)
     cur = duck.execute(ORACLES[name])
     dcols = [d[0] for d in cur.description]
+    drows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
-    assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(dcols, cur.fetchall())
+    dtypes = {r[0]: TYPE_MAP.get(r[1], r[1]) for r in duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert {f.name: f.dataType.simpleString() for f in sdf.schema.fields} == dtypes
+    assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(dcols, drows)
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))

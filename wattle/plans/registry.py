@@ -19,6 +19,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = sql.strip()
+            from .sqlparts import bigint_counts
+            ORACLES[name] = bigint_counts(sql.strip())
         return fn
     return deco

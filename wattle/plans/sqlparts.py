@@ -284,3 +284,57 @@ res AS (SELECT trl.series_id, trl.month, trl.y - (ac.c + ac.phi * trl.y1) AS e
         FROM trl JOIN ac USING (series_id) WHERE trl.y1 IS NOT NULL)"""
 
 
+
+
+def _matching(sql: str, open_idx: int) -> int:
+    depth = 0
+    for i in range(open_idx, len(sql)):
+        if sql[i] == "(":
+            depth += 1
+        elif sql[i] == ")":
+            depth -= 1
+            if depth == 0:
+                return i
+    raise ValueError("unbalanced parentheses")
+
+
+def _window_suffix(sql: str, k: int) -> int:
+    """End index of an ``OVER name`` / ``OVER (...)`` clause starting at ``k`` (or ``k``)."""
+    m = k
+    while m < len(sql) and sql[m].isspace():
+        m += 1
+    if sql[m:m + 4].upper() != "OVER":
+        return k
+    m += 4
+    while m < len(sql) and sql[m].isspace():
+        m += 1
+    if m < len(sql) and sql[m] == "(":
+        return _matching(sql, m) + 1
+    while m < len(sql) and (sql[m].isalnum() or sql[m] == "_"):
+        m += 1
+    return m
+
+
+def bigint_counts(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT and ``regr_count`` as UINTEGER where
+    Spark returns BIGINT: rewrite them so both engines agree on the schema
+    (a trailing window clause moves inside the cast)."""
+    for fn, wrap in (("count_if(", lambda a, w: f"count(CASE WHEN {a} THEN 1 END){w}"),
+                     ("regr_count(", lambda a, w: f"CAST(regr_count_({a}){w} AS BIGINT)")):
+        out, pos = [], 0
+        while True:
+            i = sql.find(fn, pos)
+            if i < 0:
+                break
+            if i > 0 and (sql[i - 1].isalnum() or sql[i - 1] == "_"):
+                out.append(sql[pos:i + len(fn)])
+                pos = i + len(fn)
+                continue
+            j = _matching(sql, i + len(fn) - 1)
+            e = _window_suffix(sql, j + 1)
+            out.append(sql[pos:i])
+            out.append(wrap(bigint_counts(sql[i + len(fn):j]), sql[j + 1:e]))
+            pos = e
+        out.append(sql[pos:])
+        sql = "".join(out)
+    return sql.replace("regr_count_(", "regr_count(")
