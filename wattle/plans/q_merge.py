@@ -78,13 +78,13 @@ def pivot_indicators(spark, sf_dir):
     """Indicators to columns per (month, geography); ``max_dup`` is 1 when every
     (month, indicator, geography) key is unique (duplicates would be reported)."""
     lng = standins.climate_long(spark, sf_dir)
-    dup = lng.groupBy("TIME_PERIOD", "indic_nrg", "geo").agg(F.count("*").alias("n"))
+    inds = standins.CLIMATE_INDICATORS
+    # one pivot aggregation gives the value and the key multiplicity per indicator
     piv = (lng.groupBy(F.to_date("TIME_PERIOD", "yyyy-MM").alias("m"), "geo")
-           .pivot("indic_nrg", standins.CLIMATE_INDICATORS).agg(F.first("OBS_VALUE")))
-    chk = dup.groupBy(F.to_date("TIME_PERIOD", "yyyy-MM").alias("m"), "geo").agg(F.max("n").cast("long").alias("max_dup"))
-    out = piv.join(chk, ["m", "geo"])
-    return out.select(iso_date("m").alias("date"), "geo",
-                      *[rnd(i).alias(f"climate_{i.lower()}") for i in standins.CLIMATE_INDICATORS], "max_dup")
+           .pivot("indic_nrg", inds).agg(F.first("OBS_VALUE").alias("v"), F.count(F.lit(1)).alias("n")))
+    max_dup = F.greatest(*[F.col(f"{i}_n") for i in inds]).cast("long")
+    return piv.select(iso_date("m").alias("date"), "geo",
+                      *[rnd(f"{i}_v").alias(f"climate_{i.lower()}") for i in inds], max_dup.alias("max_dup"))
 
 
 @query("seasonal_lag_fill", f"""
