@@ -97,3 +97,10 @@ def test_materialised_tables_are_reused_and_released(spark):
     assert os.path.isdir(path)
     assert release(spark) >= 1
     assert not os.path.exists(path)
+
+
+def test_queries_still_run_after_release(spark):
+    from wattle.plans.materialize import release
+    QUERIES["forecast_metrics"](spark, SF_SMALL).count()
+    release(spark)
+    assert QUERIES["forecast_metrics"](spark, SF_SMALL).count() > 0

@@ -80,6 +80,9 @@ def release(spark: SparkSession) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
+    from .registry import _PLANS
+    for k in [k for k in _PLANS if k[2] == app]:     # plans may read the released tables
+        _PLANS.pop(k, None)
     with _LOCK:
         for key, path in list(_DONE.items()):
             if key.startswith(app):

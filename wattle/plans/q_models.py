@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import sqlparts as S
 from .panel import monthly_panel, split_label
-from .registry import query
+from .registry import query, session_memo
 from ..functions.numeric import chi2_sf_even, iso_date, normal_quantile, rnd, round_doubles
 from ..operators import forecast as FC
 from ..operators import quality as Q
@@ -25,11 +25,13 @@ ADF_CRIT_5PCT = -2.86
 KPSS_CRIT_5PCT = 0.463
 
 
+@session_memo
 def _split(spark, sf_dir):
     p = monthly_panel(spark, sf_dir).withColumn("split", split_label()).withColumn("midx", month_index("month"))
     return p.filter(F.col("split") == "train"), p.filter(F.col("split") == "test")
 
 
+@session_memo
 def _fc(spark, sf_dir):
     tr, te = _split(spark, sf_dir)
     return FC.baseline_forecasts(tr, te)
@@ -296,6 +298,7 @@ def regime_regression(spark, sf_dir):
                       rnd("r2", 6).alias("r2"), rnd("aic").alias("aic"))
 
 
+@session_memo
 def _regime_fit(spark, sf_dir):
     from ..functions.calendar import regime_dummies
     tr, _ = _split(spark, sf_dir)
@@ -417,6 +420,7 @@ def rolling_coefficient(spark, sf_dir):
                     F.regr_count("y", "x1").over(w).alias("n_window"))
 
 
+@session_memo
 def _wf(spark, sf_dir):
     p = monthly_panel(spark, sf_dir).withColumn("midx", month_index("month")).withColumn("split", split_label())
     w = Window.partitionBy("series_id").orderBy("midx").rangeBetween(-WINDOW, -1)

@@ -13,7 +13,7 @@ from .panel import monthly_panel, split_label
 from .q_models import ADF_CRIT_5PCT, KPSS_CRIT_5PCT, _split
 from .q_quality import VALUE_COLS
 from .materialize import consolidated_table
-from .registry import query
+from .registry import query, session_memo
 from ..functions.numeric import chi2_sf_even, iso_date, normal_quantile, rnd, round_doubles
 from ..operators import forecast as FC
 from ..operators import quality as Q
@@ -86,6 +86,7 @@ def pacf(spark, sf_dir):
     return pacf_from_acf(a).withColumn("pacf", rnd("pacf", 6))
 
 
+@session_memo
 def _decomp(spark, sf_dir):
     p = monthly_panel(spark, sf_dir).select("series_id", "month", "y", F.month("month").alias("moy"))
     w13 = _wser().rowsBetween(-6, 6)
@@ -233,6 +234,7 @@ def label_lookup(spark, sf_dir):
                     "n_values")
 
 
+@session_memo
 def _resid(spark, sf_dir):
     """AR(1) residuals on the training months."""
     tr, _ = _split(spark, sf_dir)
