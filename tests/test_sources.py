@@ -88,3 +88,12 @@ def test_electricity_cp1252_fallback_and_file_isolation(spark, tmp_path):
     r = files.read_electricity(spark, [ok, bad], failures=failures).collect()
     assert len(r) == 1 and r[0].price_exaa_raw == 40.5 and r[0].price_mc_raw == 50.25
     assert [p for p, _ in failures] == [bad]
+
+
+def test_discover_files_chronological(spark, tmp_path):
+    for y in (2021, 2019, 2020):
+        _write(tmp_path / f"Day Ahead Preise_M15_{y}_English.csv", "a\n1\n")
+    _write(tmp_path / "notes.csv", "a\n")
+    got = files.discover_files(spark, str(tmp_path / "*.csv"))
+    assert [y for y, _ in got] == [2019, 2020, 2021]
+    assert all(p.endswith(f"M15_{y}_English.csv") for y, p in got)

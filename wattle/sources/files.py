@@ -41,6 +41,23 @@ def year_from_file(df: DataFrame, pattern: str = ELECTRICITY_YEAR_PATTERN) -> Da
     return df.withColumn("source_year", F.when(y != "", y.cast("int")))
 
 
+def discover_files(spark: SparkSession, pattern: str, year_pattern: str = ELECTRICITY_YEAR_PATTERN) -> list[tuple]:
+    """Files matching a glob, with the year taken from the file name, in
+    chronological order (Hadoop FS glob: local, HDFS and object stores alike).
+    Only file *names* are listed on the driver; no data is read."""
+    import re
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for st in fs.globStatus(p) or []:
+        path = st.getPath().toString()
+        m = re.search(year_pattern, st.getPath().getName())
+        if m:
+            found.append((int(m.group(1)), path))
+    return sorted(found)
+
+
 def first_column_containing(columns: Sequence[str], *marks: str) -> str | None:
     """First header that contains every mark (name-based feed choice)."""
     for c in columns:
