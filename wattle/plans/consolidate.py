@@ -166,17 +166,22 @@ def all_sources(spark: SparkSession, sf_dir: str, merge_years: bool = False) ->
             gas_long(spark, sf_dir), economy_long(spark, sf_dir)]
 
 
+def merge_sources(srcs: Sequence[DataFrame], how: str = "join", n_repeatable: int = 2) -> DataFrame:
+    """Merge long source tables (in precedence order) on (date, aggregation_level).
+
+    ``how='join'`` keeps the faithful full-outer-join semantics for the first
+    ``n_repeatable`` sources, whose keys can repeat (electricity weeks over New
+    Year per yearly file, raw carbon days). The remaining sources are keyed by
+    their own group-by, so their keys are unique by construction: they are
+    merged join-free (one union + one group-by) into a block that then joins
+    like a single source. Left-first precedence is the same as in a plain
+    chain of full outer joins. ``how='union'`` merges everything join-free."""
+    if how == "union" or len(srcs) <= n_repeatable + 1:
+        return consolidate(list(srcs), how=how)
+    block = consolidate(list(srcs[n_repeatable:]), how="union")
+    return consolidate([*srcs[:n_repeatable], block], how="join")
+
+
 def consolidated(spark: SparkSession, sf_dir: str, how: str = "join") -> DataFrame:
-    """The wide table: six sources merged on (date, aggregation_level).
-
-    ``how='join'`` keeps the faithful full-outer-join semantics where keys can
-    repeat (electricity weeks over New Year per yearly file, raw carbon days).
-    The four monthly sources are keyed by their own group-by, so their keys are
-    unique by construction: they are merged join-free (one union + one
-    group-by) into a block that then joins like a single source. Left-first
-    precedence is the same as in the six-way chain."""
-    srcs = all_sources(spark, sf_dir, merge_years=(how == "union"))
-    if how == "union":
-        return consolidate(srcs, how="union")
-    monthly = consolidate(srcs[2:], how="union")
-    return consolidate([srcs[0], srcs[1], monthly], how="join")
+    """The wide table: six sources merged on (date, aggregation_level)."""
+    return merge_sources(all_sources(spark, sf_dir, merge_years=(how == "union")), how)

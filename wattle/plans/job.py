@@ -18,7 +18,6 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import consolidate
 from ..sources.sinks import write_parquet
 from . import consolidate as C
 
@@ -64,7 +63,7 @@ def run(spark: SparkSession, sf_dir: str, out: str, how: str = "join", reports:
         except Exception as ex:  # keep going; the report carries the failure
             report.append((name, "failed", 0, 0, round(time.perf_counter() - t0, 3), str(ex)[:500]))
     if written:
-        write_parquet(consolidate(written, how=how), f"{out}/consolidated", partition_by=["aggregation_level"])
+        write_parquet(C.merge_sources(written, how=how), f"{out}/consolidated", partition_by=["aggregation_level"])
         if reports:
             write_reports(spark.read.parquet(f"{out}/consolidated"), out)
     return spark.createDataFrame(report, "source string, status string, rows long, columns int, seconds double, error string")
