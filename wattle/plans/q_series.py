@@ -347,20 +347,21 @@ SELECT series_id, n, lags, {S.r('stat', 6)} AS kpss_stat, stat > {KPSS_CRIT_5PCT
 def kpss_stat(spark, sf_dir):
     """KPSS level-stationarity statistic: partial sums of deviations over a
     Bartlett long-run variance with l = floor(4 (n/100)^(1/4)) lags."""
-    p = monthly_panel(spark, sf_dir).filter(F.col("y").isNotNull())
-    e = p.select("series_id", "month", (F.col("y") - F.avg("y").over(Window.partitionBy("series_id"))).alias("e"))
-    k1 = e.select("series_id", "e", F.sum("e").over(_wser().rowsBetween(Window.unboundedPreceding, 0)).alias("cs"),
-                  *[F.lag("e", k).over(_wser()).alias(f"l{k}") for k in range(1, KPSS_MAX_LAG + 1)])
-    n = F.count("*")
-    k2 = k1.groupBy("series_id").agg(n.alias("n"), F.sum(F.col("cs") * F.col("cs")).alias("ss"),
-                                     (F.sum(F.col("e") * F.col("e")) / n).alias("g0"),
-                                     *[(F.sum(F.col("e") * F.col(f"l{k}")) / n).alias(f"g{k}") for k in range(1, KPSS_MAX_LAG + 1)],
-                                     F.floor(4 * F.pow(n / 100.0, 0.25)).cast("long").alias("lags"))
-    lrv = F.col("g0")
-    for k in range(1, KPSS_MAX_LAG + 1):
-        lrv = lrv + F.when(F.lit(k) <= F.col("lags"), 2 * (1 - k / (F.col("lags") + 1.0)) * F.col(f"g{k}")).otherwise(0)
-    stat = F.col("ss") / (F.col("n") * F.col("n") * lrv)
-    return k2.select("series_id", "n", "lags", rnd(stat, 6).alias("kpss_stat"), (stat > KPSS_CRIT_5PCT).alias("reject_5pct"))
+    L = KPSS_MAX_LAG
+    p = monthly_panel(spark, sf_dir).where("y IS NOT NULL")
+    e = p.selectExpr("series_id", "month", "y - avg(y) OVER (PARTITION BY series_id) AS e")
+    w = "OVER (PARTITION BY series_id ORDER BY month"
+    k1 = e.selectExpr("series_id", "e", f"sum(e) {w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs",
+                      *[f"lag(e, {k}) {w}) AS l{k}" for k in range(1, L + 1)])
+    k2 = k1.groupBy("series_id").agg(
+        F.expr("count(1)").alias("n"), F.expr("sum(cs * cs)").alias("ss"), F.expr("sum(e * e) / count(1)").alias("g0"),
+        *[F.expr(f"sum(e * l{k}) / count(1)").alias(f"g{k}") for k in range(1, L + 1)],
+        F.expr("CAST(floor(4 * power(count(1) / 100.0, 0.25)) AS BIGINT)").alias("lags"))
+    lrv = " + ".join(["g0"] + [f"CASE WHEN {k} <= lags THEN 2 * (1 - {k} / (lags + 1.0)) * g{k} ELSE 0 END"
+                               for k in range(1, L + 1)])
+    k3 = k2.selectExpr("series_id", "n", "lags", f"ss / (n * n * ({lrv})) AS stat")
+    return k3.select("series_id", "n", "lags", rnd("stat", 6).alias("kpss_stat"),
+                     (F.col("stat") > KPSS_CRIT_5PCT).alias("reject_5pct"))
 
 
 @query("break_date_search", f"""
