@@ -65,7 +65,9 @@ def consolidate(sources: Sequence[DataFrame], key: Sequence[str] = KEY,
 
 
 def key_alignment(a: DataFrame, b: DataFrame, key: str = "date") -> DataFrame:
-    """Keys present on one side only (set difference both ways)."""
-    ka, kb = a.select(key).distinct(), b.select(key).distinct()
-    return (ka.exceptAll(kb).withColumn("side", F.lit("left_only"))
-            .unionByName(kb.exceptAll(ka).withColumn("side", F.lit("right_only"))))
+    """Keys present on one side only: one full outer join of the distinct keys with
+    presence flags (each input is scanned once)."""
+    ka = a.select(key).distinct().withColumn("_in_a", F.lit(True))
+    kb = b.select(key).distinct().withColumn("_in_b", F.lit(True))
+    j = ka.join(kb, key, "full_outer").filter(F.col("_in_a").isNull() | F.col("_in_b").isNull())
+    return j.select(key, F.when(F.col("_in_b").isNull(), F.lit("left_only")).otherwise(F.lit("right_only")).alias("side"))

@@ -98,7 +98,8 @@ FROM j WHERE month IN (SELECT month FROM xm)""")
 def seasonal_lag_fill(spark, sf_dir):
     """Months on the regressor calendar without a target take the same month one
     year earlier (equi-join on month + 12, robust to gaps)."""
-    y = target(spark, sf_dir)
+    from .panel import monthly_panel
+    y = monthly_panel(spark, sf_dir).select("series_id", "month", "y")     # written once per session
     xm = regressors(spark, sf_dir).select("month")
     shifted = y.select("series_id", F.add_months("month", 12).alias("month"), F.col("y").alias("y_lag12"))
     j = y.join(shifted, ["series_id", "month"], "full_outer").join(xm, "month", "left_semi")

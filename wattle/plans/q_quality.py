@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import consolidate as C
@@ -98,6 +99,9 @@ def yearly_column_profile(spark, sf_dir):
     lng = r.select("source_year", "timestamp", F.explode(F.array(*[
         F.struct(F.lit(f).alias("column"), F.col(f).alias("v")) for f in feeds])).alias("x")) \
         .select("source_year", "timestamp", "x.column", "x.v")
+    # two column-pruned passes: full counts need every row, while the samples come
+    # from a top-3 window that forwards at most 3 rows per key and map task; one
+    # bounded pass cannot give both without collecting whole groups
     cnt = lng.groupBy("source_year", "column").agg(F.count("*").alias("n_rows"), F.count("v").alias("n_non_null"))
     smp = Q.first_k_by(lng.filter(F.col("v").isNotNull()), ["source_year", "column"], ["timestamp", "v"], 3)
     smp = smp.groupBy("source_year", "column").agg(
@@ -304,6 +308,10 @@ def missing_months(spark, sf_dir):
     expected months (sequence first..last) anti-joined with the present ones."""
     o = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 490000)
     present = o.select(cal.month_start(F.col("o_orderdate").cast("date")).alias("m")).distinct()
-    bounds = present.agg(F.min("m").alias("lo"), F.max("m").alias("hi"))
-    expected = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("m"))
-    return expected.join(present, "m", "left_anti").select(iso_date("m").alias("month"))
+    # months strictly between consecutive present months: one pass over the
+    # distinct months (bounded by the calendar), no second scan for the bounds
+    nxt = present.withColumn("nx", F.lead("m").over(Window.orderBy("m")))
+    lo, hi = F.add_months("m", 1), F.add_months("nx", -1)
+    gaps = nxt.filter(F.col("nx").isNotNull() & (lo <= hi)).select(
+        F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("m"))
+    return gaps.select(iso_date("m").alias("month"))
