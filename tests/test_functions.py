@@ -124,3 +124,12 @@ def test_output_rounding_range_and_nan(spark):
     from wattle.functions.numeric import rnd
     df = spark.createDataFrame([(1.23456789,), (3e30,), (float("nan"),), (None,), (0.12625,)], "x double")
     assert [r.r for r in df.select(rnd("x").alias("r")).collect()] == [1.2346, 3e30, None, None, 0.1263]
+
+
+def test_iso_week_mode_labels_monday_start(spark):
+    days = [dt.date(2024, 12, 29), dt.date(2024, 12, 30), dt.date(2025, 1, 5), dt.date(2025, 1, 6)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = [r.w for r in df.select(cal.bin_of("d", "weekly", "iso").alias("w")).collect()]
+    assert got == [d - dt.timedelta(days=d.weekday()) for d in days]
+    via_sql = [r.w for r in df.selectExpr(f"{cal.bin_sql('d', 'weekly', 'iso')} AS w").collect()]
+    assert via_sql == got
