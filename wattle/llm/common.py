@@ -40,31 +40,11 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_bounds(df: DataFrame, key: str, parts: int) -> list[int]:
-    """At most ``parts - 1`` ascending split points of a long column (approximate
-    quantiles; ``parts`` numbers on the driver whatever the input size). The
-    points are fixed values from then on, so a recomputed task deals its rows
-    to the same buckets as the lost one."""
-    if parts < 2:
-        return []
-    qs = [i / parts for i in range(1, parts)]
-    got = df.select(F.percentile_approx(key, qs, 10 * parts).alias("q")).first()["q"]
-    return sorted(set(got or []))
-
-
-def range_bucket(key: Column, bounds: list[int]) -> Column:
-    """Index of the range a key falls in; nulls are in bucket -1, before all others."""
-    if not bounds:
-        return F.when(key.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("int")
-    arr = F.array(*[F.lit(b) for b in bounds])
-    below = F.size(F.filter(arr, lambda b: b <= key))
-    return F.when(key.isNull(), F.lit(-1)).otherwise(below).cast("int")
-
-
-def bucket_offsets(totals: DataFrame, value: str) -> DataFrame:
-    """Exclusive running sum over the few (one per bucket) rows of ``totals``."""
-    w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select("bucket", F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long").alias("base"))
+def running_base(totals: DataFrame, shard: str, value: str) -> DataFrame:
+    """Exclusive running sum over the rows of ``totals``, one for each written shard
+    (as many as shuffle partitions, whatever the input)."""
+    w = Window.orderBy(shard).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(shard, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long").alias("base"))
 
 
 def sql_text(c: str | Column) -> Column:
