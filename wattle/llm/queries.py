@@ -5,8 +5,10 @@ from __future__ import annotations
 from .chat import OP8_SQL, op8_chat
 from .decontam import OP2_SQL, op2_decontamination
 from .mixing import OP7_SQL, op7_mixing
+from .ngram_join import OP3_SQL, op3_ngram_join
 from .tokens import op9_tokens
 
-QUERIES = {"op2_decontamination": op2_decontamination, "op7_mixing": op7_mixing, "op8_chat": op8_chat,
+QUERIES = {"op2_decontamination": op2_decontamination, "op3_ngram_join": op3_ngram_join,
+           "op7_mixing": op7_mixing, "op8_chat": op8_chat,
            "op9_tokens": op9_tokens}
-ORACLES = {"op2_decontamination": OP2_SQL, "op7_mixing": OP7_SQL, "op8_chat": OP8_SQL}
+ORACLES = {"op2_decontamination": OP2_SQL, "op3_ngram_join": OP3_SQL, "op7_mixing": OP7_SQL, "op8_chat": OP8_SQL}
