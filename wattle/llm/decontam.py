@@ -26,7 +26,7 @@ from .common import keep, read
 from .nptext import ALNUM, U64, blocks, texts_of
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 QUERY_WORDS = 1 << 20
 
 INDEX = "shard long, doc_ids array<bigint>, n_words array<bigint>, terms binary, counts binary, positions binary"

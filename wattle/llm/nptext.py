@@ -62,18 +62,35 @@ class Block:
         self.len = np.fromiter((len(t) for t in texts), np.int64, len(texts))
         self.off = np.concatenate([[0], np.cumsum(self.len + 1)])[:-1]
 
+    def spans(self, table: np.ndarray, lower: bool = True) -> "Spans":
+        return Spans(self, table, lower)
+
     def words(self, table: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all words in order, and each document's bounds in that list (n + 1 numbers)."""
-        b = LOWER[self.buf] if lower else self.buf
-        m = table[b].view(np.int8)
-        d = np.diff(m, prepend=np.int8(0))
-        starts, ends = np.flatnonzero(d == 1), np.flatnonzero(d == -1)
-        pw, inv = _powers(len(b))
-        pre = np.zeros(len(b) + 1, U64)
-        np.cumsum(_BYTE[b] * pw, out=pre[1:])
-        h = mix((pre[ends] - pre[starts]) * inv[starts])
-        bounds = np.searchsorted(starts, np.concatenate([self.off, [len(b)]]))
-        return h, bounds
+        s = self.spans(table, lower)
+        return s.hashes(), s.bounds
+
+
+class Spans:
+    """Places of a block's words; hashes of them and of their first bytes."""
+
+    def __init__(self, block: Block, table: np.ndarray, lower: bool):
+        b = LOWER[block.buf] if lower else block.buf
+        d = np.diff(table[b].view(np.int8), prepend=np.int8(0))
+        self.starts, self.ends = np.flatnonzero(d == 1), np.flatnonzero(d == -1)   # the last byte is a space
+        pw, self.inv = _powers(len(b))
+        self.pre = np.zeros(len(b) + 1, U64)
+        np.cumsum(_BYTE[b] * pw, out=self.pre[1:])
+        self.bounds = np.searchsorted(self.starts, np.concatenate([block.off, [len(b)]]))
+
+    def hashes(self) -> np.ndarray:
+        return mix((self.pre[self.ends] - self.pre[self.starts]) * self.inv[self.starts])
+
+    def prefixes(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(which words, hashes of their first k bytes) for words of k bytes or more."""
+        w = np.flatnonzero(self.ends - self.starts >= k)
+        at = self.starts[w]
+        return w, mix((self.pre[at + k] - self.pre[at]) * self.inv[at] + _TAG[k])
 
 
 def texts_of(batch: pa.RecordBatch, col: str = "text") -> list[bytes]:

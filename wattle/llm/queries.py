@@ -7,8 +7,9 @@ from .decontam import OP2_SQL, op2_decontamination
 from .mixing import OP7_SQL, op7_mixing
 from .ngram_join import OP3_SQL, op3_ngram_join
 from .tokens import op9_tokens
+from .toxicity import op6_toxicity
 
 QUERIES = {"op2_decontamination": op2_decontamination, "op3_ngram_join": op3_ngram_join,
-           "op7_mixing": op7_mixing, "op8_chat": op8_chat,
+           "op6_toxicity": op6_toxicity, "op7_mixing": op7_mixing, "op8_chat": op8_chat,
            "op9_tokens": op9_tokens}
 ORACLES = {"op2_decontamination": OP2_SQL, "op3_ngram_join": OP3_SQL, "op7_mixing": OP7_SQL, "op8_chat": OP8_SQL}
