@@ -29,22 +29,24 @@ WINDOW = 10
 SHARD_BYTES = 2 << 20
 QUERY_WORDS = 1 << 20
 
-INDEX = "shard long, doc_ids array<bigint>, n_words array<bigint>, terms binary, counts binary, positions binary"
+INDEX = "shard long, doc_ids array<bigint>, text_keys array<bigint>, n_words array<bigint>, terms binary, counts binary, positions binary"
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shard = TaskContext.get().partitionId() << 32
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
+        ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
         for b in blocks(texts_of(batch), SHARD_BYTES):
             words, bounds = b.words(ALNUM)
             order = np.argsort(words, kind="stable")       # by term, then position
             terms, counts = np.unique(words, return_counts=True)
             yield pa.RecordBatch.from_pylist([{
-                "shard": shard, "doc_ids": ids[b.lo:b.lo + b.n], "n_words": np.diff(bounds).tolist(),
+                "shard": shard, "doc_ids": ids[b.lo:b.lo + b.n], "text_keys": keys[b.lo:b.lo + b.n],
+                "n_words": np.diff(bounds).tolist(),
                 "terms": terms.astype("<u8").tobytes(), "counts": counts.astype("<u4").tobytes(),
                 "positions": order.astype("<u4").tobytes()}],
-                pa.schema([("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())),
+                pa.schema([("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+                           ("text_keys", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())),
                            ("terms", pa.binary()), ("counts", pa.binary()), ("positions", pa.binary())]))
             shard += 1
 
@@ -56,7 +58,8 @@ def build_index(docs: DataFrame) -> DataFrame:
     A-Z. Null and empty texts are documents without words; null ids and repeated
     rows are kept as rows of their own; extra columns are ignored. A task holds
     one shard, or the longest document if that is longer."""
-    return keep(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_index, INDEX), "postings")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
+    return keep(rows.mapInArrow(_index, INDEX), "postings")
 
 
 class Shard:
@@ -233,9 +236,10 @@ def find_matches(index: DataFrame, benchmark: DataFrame, slop: int | None = None
 
 
 def documents_hit(index: DataFrame, hits: DataFrame) -> DataFrame:
-    """One row a document of the index: doc_id, n_words, ranges, items (null without a hit)."""
-    docs = (index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("ord", "d"))
-            .select("shard", "ord", F.col("d.doc_ids").alias("doc_id"), F.col("d.n_words").alias("n_words")))
+    """One row a document of the index: doc_id, text_key, n_words, ranges, items (null without a hit)."""
+    docs = (index.select("shard", F.posexplode(F.arrays_zip("doc_ids", "text_keys", "n_words")).alias("ord", "d"))
+            .select("shard", "ord", F.col("d.doc_ids").alias("doc_id"),
+                    F.col("d.text_keys").alias("text_key"), F.col("d.n_words").alias("n_words")))
     merged = hits.groupBy("shard", "ord").agg(
         F.flatten(F.collect_list("ranges")).alias("ranges"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
@@ -256,6 +260,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     (F.col("n_hit") > 0).alias("contaminated")))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark window; columns unchanged.
+
+    Hit rows are known by id and text hash, so an id that is repeated with
+    another text keeps its clean rows."""
+    index = build_index(docs)
+    hit = documents_hit(index, find_matches(index, benchmark)).filter("ranges IS NOT NULL")
+    hit = keep(hit.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "hit")
+    return docs.join(hit, (F.xxhash64(docs["text"]) == F.col("_key"))
+                     & docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_anti")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact benchmark windows in all documents, from a positional inverted index."""
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

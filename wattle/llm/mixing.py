@@ -66,62 +66,79 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, budget: float = BUDGET,
                     .otherwise(F.least(first * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ceiling: float = CEILING,
-        size: Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` (doc_id, text, source) -> doc_id, size, source_size, target, taken.
+def source_limits(sized: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ceiling: float = CEILING) -> DataFrame:
+    """(source, size, _h) -> source, source_size, target, copies, limit.
 
-    ``taken`` is the document's words times its number of copies: the whole
-    part of target/source_size for all, one more for documents whose hash is
-    below the source's threshold. The threshold is the hash at which the taken
-    words come nearest to the target from below or above. Null texts have size
-    0, a null source is a source of its own (last), rows repeating an id share
-    its hash and are taken together, an empty table gives an empty result.
-    Extra columns of ``docs`` are ignored except those named in ``extra``."""
-    size = word_count(F.col("text")) if size is None else size
-    sized = keep(docs.select("doc_id", "source", size.alias("size"), doc_hash(F.col("doc_id")).alias("_h"),
-                             *extra), "mix-sizes")
+    Every document of the source is taken ``copies`` times, and once more when
+    its hash is below ``limit``: the hash at which the taken words come nearest
+    to the target from below or above."""
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = source_targets(totals, weights, budget, ceiling)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     plan = (plan.withColumn("copies", F.floor(ratio).cast("long"))
             .withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")))
     # one row a source: level by level the prefix of the boundary bucket and the words below it
-    state = keep(plan.withColumn("prefix", F.lit(0).cast("long")).withColumn("below", F.lit(0).cast("long")), "mix-plan")
+    state = keep(plan.withColumn("prefix", F.lit(0).cast("long")).withColumn("below", F.lit(0).cast("long"))
+                 .withColumn("upto", F.lit(0).cast("long")), "mix-plan")
     for level in range(1, LEVELS + 1):
         shift = HASH_BITS - level * LEVEL_BITS
-        joined = sized.alias("d").join(state.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-        inside = joined if level == 1 else joined.filter(
-            F.shiftright("d._h", shift + LEVEL_BITS) == F.col("s.prefix"))
+        inside = sized.alias("d").join(state.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
+        if level > 1:
+            inside = inside.filter(F.shiftright("d._h", shift + LEVEL_BITS) == F.col("s.prefix"))
         hist = (inside.groupBy(F.col("s.source").alias("source"), F.shiftright("d._h", shift).alias("b"))
                 .agg(F.sum("d.size").alias("w"), F.first("s.rest").alias("rest"), F.first("s.below").alias("below")))
         run = F.sum("w").over(Window.partitionBy("source").orderBy("b"))
-        hist = hist.withColumn("upto", F.col("below") + run)
         # the boundary bucket: the first whose running sum exceeds the budget
-        edge = (hist.filter(F.col("upto") > F.col("rest"))
+        edge = (hist.withColumn("upto", F.col("below") + run).filter(F.col("upto") > F.col("rest"))
                 .groupBy("source").agg(F.min(F.struct("b", "upto", "w")).alias("e")))
-        last = level == LEVELS
-        nxt = (state.alias("s").join(edge.alias("e"), F.col("s.source").eqNullSafe(F.col("e.source")), "left")
-               .select("s.source", "s.source_size", "s.target", "s.copies", "s.rest",
-                       # only a source of no words has no boundary
-                       F.coalesce(F.col("e.e.b"), F.lit(0)).cast("long").alias("prefix"),
-                       F.coalesce(F.col("e.e.upto") - F.col("e.e.w"), F.col("s.below")).alias("below"),
-                       *([F.col("e.e.upto").alias("upto")] if last else [])))
-        state = keep(nxt, "mix-plan")
+        state = keep(state.alias("s").join(edge.alias("e"), F.col("s.source").eqNullSafe(F.col("e.source")), "left")
+                     .select("s.source", "s.source_size", "s.target", "s.copies", "s.rest",
+                             # only a source of no words has no boundary
+                             F.coalesce(F.col("e.e.b"), F.lit(0)).cast("long").alias("prefix"),
+                             F.coalesce(F.col("e.e.upto") - F.col("e.e.w"), F.lit(0)).cast("long").alias("below"),
+                             F.coalesce(F.col("e.e.upto"), F.lit(0)).cast("long").alias("upto")), "mix-plan")
     # the boundary is one hash value now: take it if that comes nearer to the budget
-    take_edge = (F.col("upto") - F.col("rest")) < (F.col("rest") - F.col("below"))
-    limit = state.select("source", "source_size", "target", "copies",
-                         F.when(take_edge, F.col("prefix") + 1).otherwise(F.col("prefix")).alias("limit"))
-    out = sized.alias("d").join(limit.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    extra_copy = F.when(F.col("d._h") < F.col("s.limit"), 1).otherwise(0)
-    return out.select("d.doc_id", "d.size", "s.source_size", "s.target",
-                      (F.col("d.size") * (F.col("s.copies") + extra_copy)).cast("long").alias("taken"),
-                      *[F.col(f"d.{c}") for c in extra],
-                      (F.col("s.copies") + extra_copy).cast("long").alias("_copies"))
+    nearer = (F.col("upto") - F.col("rest")) < (F.col("rest") - F.col("below"))
+    return state.select("source", "source_size", "target", "copies",
+                        F.when(nearer, F.col("prefix") + 1).otherwise(F.col("prefix")).alias("limit"))
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("size", word_count(F.col("text"))).withColumn("_h", doc_hash(F.col("doc_id")))
+
+
+def _taken(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """``rows`` with their source's plan and ``n_copies``."""
+    out = rows.alias("d").join(limits.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
+    n = F.col("s.copies") + F.when(F.col("d._h") < F.col("s.limit"), 1).otherwise(0)
+    return out.select("d.*", "s.source_size", "s.target", n.cast("long").alias("n_copies"))
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ceiling: float = CEILING) -> DataFrame:
+    """``docs`` (doc_id, text, source) -> doc_id, size, source_size, target, taken.
+
+    ``taken`` is the document's words times its number of copies. Null texts
+    have size 0, a null source is a source of its own (last), rows that repeat
+    an id share its hash and are taken together, an empty table gives no rows;
+    extra columns are ignored."""
+    sized = keep(_sized(docs.select("doc_id", "text", "source")).drop("text"), "mix-sizes")
+    out = _taken(sized, source_limits(sized, weights, budget, ceiling))
+    return out.select("doc_id", "size", "source_size", "target",
+                      (F.col("size") * F.col("n_copies")).cast("long").alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ceiling: float = CEILING) -> DataFrame:
+    """``docs`` itself after mixing: each row as often as the mix takes it, columns unchanged."""
+    sized = keep(_sized(docs.select("doc_id", "text", "source")).drop("text"), "mix-sizes")
+    limits = source_limits(sized, weights, budget, ceiling)
+    rows = _taken(docs.select("*", doc_hash(F.col("doc_id")).alias("_h")), limits)
+    return (rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("n_copies").cast("int"))))
+            .filter(F.col("_copy") > 0).select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix of all documents: words, source total, source target and words taken, per document."""
-    return mix(read(spark, sf_dir, "documents")).drop("_copies")
+    return mix(read(spark, sf_dir, "documents"))
 
 
 OP7_SQL = r"""

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import drop_kept, keep, read, shuffle_parts
 from .components import components
@@ -304,15 +305,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return keep(rows.mapInArrow(_verify, "a long, b long"), "links")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> doc_id, n_shingles, component_id; one row a row of ``docs``.
-
-    ``component_id`` is the smallest doc_id reachable by links, itself included.
-    Words are runs of ``[^\\x20\\x09-\\x0D]`` after lower-casing A-Z. Null texts and
-    texts without words have an empty set and link with nothing; repeated rows
-    are equal sets and link; a null id takes part in its group but never names
-    it (a null id alone has a null component); an empty table gives no rows;
-    extra columns are ignored."""
+def jaccard_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) -> doc_id, n_shingles, set_id, root: rows with one root are linked, directly or by
+    others; the root of an empty set is null."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     n = shuffle_parts(spark)
@@ -354,13 +349,46 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     second = _verified(pairs, texts)
 
     roots = components(first.unionAll(second)).withColumnRenamed("node", "set_id")
-    named = members.filter("n_shingles > 0").join(roots, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "set_id").alias("root"))
-    names = keep(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "names")
     drop_kept(texts, shared)
+    return keep(members.join(roots, "set_id", "left").select(
+        "doc_id", "n_shingles", "set_id",
+        F.when(F.col("n_shingles") > 0, F.coalesce("root", "set_id")).alias("root")), "groups")
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) -> doc_id, n_shingles, component_id; one row a row of ``docs``.
+
+    ``component_id`` is the smallest doc_id reachable by links, itself included.
+    Words are runs of ``[^\\x20\\x09-\\x0D]`` after lower-casing A-Z. Null texts and
+    texts without words have an empty set and link with nothing; repeated rows
+    are equal sets and link; a null id takes part in its group but never names
+    it (a null id alone has a null component); an empty table gives no rows;
+    extra columns are ignored."""
+    groups = jaccard_groups(docs)
+    named = groups.filter("root IS NOT NULL")
+    names = keep(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "names")
     out = named.join(names, "root").select("doc_id", "n_shingles", "component_id")
-    alone = members.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.unionAll(alone)
+    return out.unionAll(groups.filter("root IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def _with_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = pa.array([set_id(s) for _, _, s in document_sets(batch)], pa.int64())
+        yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "_set"])
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest doc_id (null last), of equal ids
+    that of the smallest set id. Rows without words all stay; columns unchanged."""
+    groups = jaccard_groups(docs).filter("root IS NOT NULL")
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "set_id")).alias("f"))
+    first = keep(first.select(F.col("f.doc_id").alias("_id"), F.col("f.set_id").alias("_kept")), "kept")
+    named = docs.mapInArrow(_with_set, StructType([*docs.schema.fields, StructField("_set", LongType())]))
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    one = (named.filter("_set <> 0").withColumn("_doc", F.col("doc_id").cast("long"))
+           .join(first, (F.col("_set") == F.col("_kept")) & F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
+           .dropDuplicates(["_set", "_doc"]))
+    return one.select(*cols).unionAll(named.filter("_set = 0").select(*cols))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

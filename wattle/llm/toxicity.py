@@ -307,41 +307,71 @@ def fit_linear(patterns: DataFrame, model: LabelModel, steps: int = FIT_STEPS) -
     return w
 
 
+def training_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic of the rows that may be learnt from (crc32 of the id as text mod 5 is not 0).
+
+    Null labels and ids are left out; of several labels of an id the larger counts."""
+    return (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
+            .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+            .filter(fold(F.col("doc_id"), FOLDS) != HELD))
+
+
+class ToxicityModel:
+    """The fitted voters and weights, and the votes of the documents they were fitted on."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame):
+        docs = docs.select(F.col("doc_id").cast("long"), "text")
+        known = training_labels(labels)
+        mined = mine_voters(docs, known)
+        kinds = [0] * len(LEXICON) + [h & 15 for h in mined]
+        # the low four bits hold the kind of a mined feature; hashes are compared without them
+        hashes = np.concatenate([word_hash(list(LEXICON)), np.array(mined, np.int64).astype(U64)]) & ~U64(15)
+        bits = [*range(len(LEXICON)), *(len(LEXICON) + len(PATTERNS) + i for i in range(len(mined)))]
+        self.vocab, self.m = Vocabulary(kinds, hashes, bits), len(LEXICON) + len(PATTERNS) + len(mined)
+        self.votes = keep(docs.mapInArrow(_voter(self.vocab), "doc_id long, mask long"), "votes")
+        patterns = keep(self.votes.join(known, "doc_id", "left")
+                        .groupBy("mask", F.coalesce("toxic", F.lit(-1)).alias("label")).agg(F.count("*").alias("n"))
+                        .coalesce(16), "patterns")
+        self.weights = fit_linear(patterns, fit_label_model(patterns, self.m))
+
+
+def _score(mask: np.ndarray, m: int, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(_bits(mask, m) @ weights[:-1] + weights[-1], -40, 40)))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs (doc_id, text), labels (doc_id, toxic) -> doc_id, held_out, score, predicted.
 
-    Labels are read only from rows outside the held-out fold (crc32 of the id as
-    text mod 5 is 0); no label, language, source or id is an input of a score.
-    Null and empty texts have no votes and get the score of none. Null labels
-    are left out, of several labels of an id the larger counts; a null id is
-    not held out and has no label; repeated rows are scored alike; without
-    labels the label model starts from fixed rates; extra columns are ignored."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    known = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
-             .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-             .filter(fold(F.col("doc_id"), FOLDS) != HELD))
-    mined = mine_voters(docs, known)
-    kinds = [0] * len(LEXICON) + [h & 15 for h in mined]
-    # the four bits that held the kind are lost; hashes of mined voters are compared without them
-    hashes = np.concatenate([word_hash(list(LEXICON)), np.array(mined, np.int64).astype(U64)]) & ~U64(15)
-    bits = [*range(len(LEXICON)), *(len(LEXICON) + len(PATTERNS) + i for i in range(len(mined)))]
-    m = len(LEXICON) + len(PATTERNS) + len(mined)
-    voted = keep(docs.mapInArrow(_voter(Vocabulary(kinds, hashes, bits)), "doc_id long, mask long"), "votes")
-    patterns = keep(voted.join(known, "doc_id", "left")
-                    .groupBy("mask", F.coalesce("toxic", F.lit(-1)).alias("label")).agg(F.count("*").alias("n"))
-                    .coalesce(16), "patterns")
-    weights = fit_linear(patterns, fit_label_model(patterns, m))
+    Labels are read only from rows outside the held-out fold; no label,
+    language, source or id is an input of a score. Null and empty texts have no
+    word votes and get the score of none. A null id is not held out and has no
+    label; repeated rows are scored alike; without labels the label model starts
+    from fixed rates; an empty table gives no rows; extra columns are ignored."""
+    model = ToxicityModel(docs, labels)
+    m, weights = model.m, model.weights
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            z = _bits(b.column("mask").to_numpy(), m) @ weights[:-1] + weights[-1]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))],
-                                             ["doc_id", "score"])
-    out = voted.mapInArrow(score, "doc_id long, score double")
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(_score(b.column("mask").to_numpy(), m, weights))], ["doc_id", "score"])
+    out = model.votes.mapInArrow(score, "doc_id long, score double")
     return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False)).alias("held_out"),
                       "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows predicted toxic; columns unchanged, nothing is joined or shuffled."""
+    model = ToxicityModel(docs, labels)
+    vocab, m, weights = model.vocab, model.m, model.weights
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masks = [votes(b, vocab) for b in blocks(texts_of(batch))]
+            if masks:
+                yield batch.filter(pa.array(_score(np.concatenate(masks), m, weights) < 0.5))
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from weak voters and the labels outside the held-out fold."""
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
