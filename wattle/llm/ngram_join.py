@@ -35,7 +35,7 @@ from .components import components
 from .nptext import NONSPACE, U64, blocks, mix, shingle_sets, texts_of
 
 SHINGLE, GROUPS, MINS = 5, 64, 8
-SKETCH_BITS, SKETCH_CHUNK = 18, 1 << 14
+SKETCH_BITS, SKETCH_CHUNK = 22, 1 << 16
 CELL, LEAF, FAN = 4096, 32, 16
 
 
@@ -73,46 +73,47 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: a row a document. Kind 1: the task's sketch in chunks (chunk number in set_id)."""
     schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()),
                         ("set_id", pa.int64()), ("counts", pa.binary()), ("mins", pa.list_(pa.int64()))])
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+    sketch = np.zeros(1 << SKETCH_BITS, np.int32)
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        n, key, counts, mins = [], [], [], []
+        n, key, counts, mins, cells = [], [], [], [], []
         for _, _, s in document_sets(batch):
             n.append(len(s))
             key.append(set_id(s))
             counts.append(count_vector(s).tobytes())
-            mins.append([int((s * m).min().astype(np.int64)) for m in _MULT] if len(s) else [])
-            np.add.at(sketch, (s >> U64(64 - SKETCH_BITS)).astype(np.int64), 1) if len(s) < 64 else \
-                np.add(sketch, np.bincount((s >> U64(64 - SKETCH_BITS)).astype(np.int64),
-                                           minlength=len(sketch)), out=sketch)
+            mins.append((s[:, None] * _MULT).min(0).astype(np.int64) if len(s) else [])
+            cells.append((s >> U64(64 - SKETCH_BITS)).astype(np.int64))
+        if cells:
+            np.add.at(sketch, np.concatenate(cells), 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array([0] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
              pa.array(key, pa.int64()), pa.array(counts, pa.binary()), pa.array(mins, pa.list_(pa.int64()))],
             schema=schema)
-    chunks = [(i, c) for i, c in enumerate(sketch.reshape(-1, SKETCH_CHUNK)) if c.any()]
-    yield pa.RecordBatch.from_pylist([{"kind": 1, "set_id": i, "counts": c.astype("<i8").tobytes()}
-                                      for i, c in chunks], schema)
+    for i, c in enumerate(np.minimum(sketch, 255).astype(np.uint8).reshape(-1, SKETCH_CHUNK)):
+        if c.any():
+            yield pa.RecordBatch.from_pylist([{"kind": 1, "set_id": i, "counts": c.tobytes()}], schema)
 
 
 def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for i, c in zip(batch.column("set_id").to_pylist(), batch.column("counts").to_pylist()):
-            c = np.frombuffer(c, "<i8")
-            total[i] = total[i] + c if i in total else c
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()),
-                                      pa.array([c.tobytes() for c in total.values()], pa.binary())],
-                                     ["set_id", "counts"])
+            total[i] = total.get(i, 0) + np.frombuffer(c, np.uint8).astype(np.int64)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(total), pa.int64()),
+         pa.array([np.minimum(c, 65535).astype("<u2").tobytes() for c in total.values()], pa.binary())],
+        ["set_id", "counts"])
 
 
 def _sketch(profile: DataFrame) -> np.ndarray:
-    """The corpus sketch: 2**SKETCH_BITS counters, whatever the input."""
+    """The corpus sketch: 2**SKETCH_BITS counters (8 MB), whatever the input. A task counts to 255
+    a cell, the corpus to 65,535: the sketch only orders shingles, any fixed order is right."""
     n = (1 << SKETCH_BITS) // SKETCH_CHUNK
-    rows = (profile.filter("kind = 1").select("set_id", "counts").repartition(n, "set_id")
+    rows = (profile.filter("kind = 1").select("set_id", "counts").repartition(min(n, shuffle_parts(profile.sparkSession)), "set_id")
             .mapInArrow(_add_chunks, "set_id long, counts binary").collect())
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
+    out = np.zeros(1 << SKETCH_BITS, np.uint16)
     for r in rows:
-        out[r.set_id * SKETCH_CHUNK:(r.set_id + 1) * SKETCH_CHUNK] = np.frombuffer(r.counts, "<i8")
+        out[r.set_id * SKETCH_CHUNK:(r.set_id + 1) * SKETCH_CHUNK] = np.frombuffer(r.counts, "<u2")
     return out
 
 
@@ -123,8 +124,7 @@ def prefix(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     p = n - (4 * n + 4) // 5 + 1
     if p >= n:
         return s
-    rank = (np.minimum(sketch[(s >> U64(64 - SKETCH_BITS)).astype(np.int64)], (1 << 24) - 1).astype(U64) << U64(40)) \
-        | (s & U64((1 << 40) - 1))
+    rank = (sketch[(s >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(U64) << U64(48)) | (s & U64((1 << 48) - 1))
     return s[rank <= np.partition(rank, p - 1)[p - 1]]
 
 
@@ -229,37 +229,61 @@ def overlap_bound(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) ->
     return out
 
 
+def _leaf_pairs(group: np.ndarray, vecs: np.ndarray, n: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of one group that the bound lets through, for many groups of at most LEAF rows
+    (each a tree of one leaf) at once: rows are compared at distance 1, 2, ... below LEAF."""
+    a, b = [], []
+    for d in range(1, LEAF):
+        i = np.flatnonzero(group[:-d] == group[d:])
+        if not len(i):
+            break
+        ok = (comp[i] != comp[i + d]) & (5 * n[i] >= 4 * n[i + d]) & (4 * n[i] <= 5 * n[i + d])
+        a.append(i[ok])
+        b.append(i[ok] + d)
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, cell): pairs of different components that a cell's tree lets through."""
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        ids, comp, part, n = (rows.column(c).to_numpy() for c in ("set_id", "comp", "part", "n_shingles"))
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        ids, comp, part, n, key, ci, cj = (rows.column(c).to_numpy() for c in
+                                           ("set_id", "comp", "part", "n_shingles", "key", "i", "j"))
         vecs = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32)
-        cell = rows.column("cell")[0].as_py()
-        left = part == cell["i"]
-        right = part == cell["j"]
-        tree = CountTree(vecs[right], n[right])
-        q, p = tree.search(vecs[left], n[left])
-        a, b = np.flatnonzero(left)[q], np.flatnonzero(right)[p]
-        ok = comp[a] != comp[b]
-        x, y = ids[a[ok]], ids[b[ok]]
-        two = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
+        new = np.append(True, (key[1:] != key[:-1]) | (ci[1:] != ci[:-1]) | (cj[1:] != cj[:-1]))
+        group, at = np.cumsum(new) - 1, np.append(np.flatnonzero(new), len(key))
+        size = np.diff(at)
+        small = np.flatnonzero((size <= LEAF)[group] & (ci == cj))
+        a, b = _leaf_pairs(group[small], vecs[small], n[small], comp[small])
+        left, right = [small[a]], [small[b]]
+        for g in np.flatnonzero((size > LEAF) | (ci != cj)[at[:-1]]):
+            row = np.arange(at[g], at[g + 1])
+            x, y = row[part[row] == ci[at[g]]], row[part[row] == cj[at[g]]]
+            q, p = CountTree(vecs[y], n[y]).search(vecs[x], n[x])
+            ok = comp[x[q]] != comp[y[p]]
+            left.append(x[q[ok]])
+            right.append(y[p[ok]])
+        a, b = np.concatenate(left), np.concatenate(right)
+        two, first = np.unique(np.stack([np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])], 1), axis=0,
+                               return_index=True)
+        ok = linked(overlap_bound(vecs, a[first], vecs, b[first]), n[a[first]], n[b[first]])
+        return pa.RecordBatch.from_arrays([pa.array(two[ok, 0], pa.int64()), pa.array(two[ok, 1], pa.int64())], ["a", "b"])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        key = batch.column("key").to_numpy()
-        cell = np.stack([batch.column("cell").field(f).to_numpy() for f in ("i", "j")], 1)
-        cut = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1]).any(1)) + 1).tolist(), len(key)]
-        for lo, hi in zip(cut[:-1], cut[1:]):
-            if hi == lo:
-                continue
-            if held and (held[-1].column("key")[-1].as_py(), held[-1].column("cell")[-1].as_py()) != \
-                    (int(key[lo]), batch.column("cell")[lo].as_py()):
-                yield from pairs(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(lo, hi - lo))
+        if not batch.num_rows:
+            continue
+        last = [batch.column(c)[-1].as_py() for c in ("key", "i", "j")]
+        same = np.ones(batch.num_rows, bool)
+        for c, v in zip(("key", "i", "j"), last):
+            same &= batch.column(c).to_numpy() == v
+        if same.all() and (not held or [held[-1].column(c)[-1].as_py() for c in ("key", "i", "j")] == last):
+            held.append(batch)                   # still inside one group
+            continue
+        cut = int(batch.num_rows - same.sum())   # rows are sorted: the last group is at the end
+        yield pairs(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+        held = [batch.slice(cut)]
     if held:
-        yield from pairs(pa.Table.from_batches(held))
+        yield pairs(pa.Table.from_batches(held))
 
 
 def _bound_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,7 +339,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     members = profile.filter("kind = 0").select("doc_id", "n_shingles", "set_id")
     sets = keep(profile.filter("kind = 0 AND n_shingles > 0").select("set_id", "n_shingles", "counts", "mins")
                 .dropDuplicates(["set_id"]), "sets")
-    sent = spark.sparkContext.broadcast(_sketch(profile))     # 2 MB, whatever the input
+    sent = spark.sparkContext.broadcast(_sketch(profile))     # 8 MB, whatever the input
     routed = docs.mapInArrow(_keys(sent), "key long, set_id long")
     shared = keep(routed.repartition(n, "key").sortWithinPartitions("key", "set_id")
                   .mapInArrow(_shared, "key long, set_id long"), "shared")
@@ -342,9 +366,9 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     rows = (rows.join(mixed, "key").join(sets.select("set_id", "n_shingles", "counts"), "set_id")
             .withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .withColumn("cell", F.struct(F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))))
-    pairs = (rows.select("key", "cell", "set_id", "comp", "part", "n_shingles", "counts")
-             .repartition(n, "key", "cell").sortWithinPartitions("key", "cell.i", "cell.j")
+            .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
+    pairs = (rows.select("key", "i", "j", "set_id", "comp", "part", "n_shingles", "counts")
+             .repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
              .mapInArrow(_cell_pairs, "a long, b long").distinct())
     second = _verified(pairs, texts)
 
