@@ -7,11 +7,12 @@ from .decontam import OP2_SQL, op2_decontamination
 from .langid import op1_language_id
 from .mixing import OP7_SQL, op7_mixing
 from .ngram_join import OP3_SQL, op3_ngram_join
+from .pii import op4_personal_data
 from .syncmers import op5_fingerprints
 from .tokens import op9_tokens
 from .toxicity import op6_toxicity
 
 QUERIES = {"op1_language_id": op1_language_id, "op2_decontamination": op2_decontamination, "op3_ngram_join": op3_ngram_join,
-           "op5_fingerprints": op5_fingerprints, "op6_toxicity": op6_toxicity, "op7_mixing": op7_mixing, "op8_chat": op8_chat,
+           "op4_personal_data": op4_personal_data, "op5_fingerprints": op5_fingerprints, "op6_toxicity": op6_toxicity, "op7_mixing": op7_mixing, "op8_chat": op8_chat,
            "op9_tokens": op9_tokens}
 ORACLES = {"op2_decontamination": OP2_SQL, "op3_ngram_join": OP3_SQL, "op7_mixing": OP7_SQL, "op8_chat": OP8_SQL}
