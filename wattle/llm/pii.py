@@ -12,6 +12,7 @@ their own sentences, and from corrupted ones and other proposals as negatives.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
@@ -273,14 +274,12 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     order = np.lexsort((*x.T, y))                                   # the same rows in any order give the same trees
     x, y, held = x[order], y[order], held[order]
     model = Boosted().fit(x[~held], y[~held])
-    import json
     return pd.DataFrame({"kind": [rows["kind"].iloc[0]], "trees": [json.dumps(model.trees)], "start": [model.start],
                          "threshold": [calibrate(model.predict(x[held]), y[held])]})
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> dict[str, Boosted]:
     """A model a kind from at most ``sample`` documents in which a base rule may hit."""
-    import json
     hints = F.col("text").rlike(r"@|[0-9]\.[0-9]+\.[0-9]|\+[0-9]|[0-9][ -]?[0-9]{4,}")
     rows = (docs.filter(hints).select(F.xxhash64("text").alias("h"), "text").orderBy("h").limit(sample)
             .repartition(16).mapInArrow(_training_rows, TRAIN))
