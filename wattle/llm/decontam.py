@@ -268,8 +268,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     index = build_index(docs)
     hit = documents_hit(index, find_matches(index, benchmark)).filter("ranges IS NOT NULL")
     hit = keep(hit.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "hit")
-    return docs.join(hit, (F.xxhash64(docs["text"]) == F.col("_key"))
-                     & docs["doc_id"].cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    return docs.join(hit, (F.xxhash64(docs["text"]) == hit["_key"])
+                     & docs["doc_id"].cast("long").eqNullSafe(hit["_id"]), "left_anti")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

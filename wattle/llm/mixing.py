@@ -131,9 +131,10 @@ def mixed_rows(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ceiling
     """``docs`` itself after mixing: each row as often as the mix takes it, columns unchanged."""
     sized = keep(_sized(docs.select("doc_id", "text", "source")).drop("text"), "mix-sizes")
     limits = source_limits(sized, weights, budget, ceiling)
-    rows = _taken(docs.select("*", doc_hash(F.col("doc_id")).alias("_h")), limits)
-    return (rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("n_copies").cast("int"))))
-            .filter(F.col("_copy") > 0).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    # the row travels as one struct, so its column names cannot clash with those used here
+    rows = _taken(docs.select(F.struct("*").alias("row"), "source", doc_hash(F.col("doc_id")).alias("_h")), limits)
+    return (rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies").cast("int"))))
+            .filter(F.col("copy") > 0).select("row.*"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

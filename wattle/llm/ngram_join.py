@@ -398,7 +398,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def _with_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = pa.array([set_id(s) for _, _, s in document_sets(batch)], pa.int64())
-        yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "_set"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "set_id"])
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
@@ -407,12 +407,13 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     groups = jaccard_groups(docs).filter("root IS NOT NULL")
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "set_id")).alias("f"))
     first = keep(first.select(F.col("f.doc_id").alias("_id"), F.col("f.set_id").alias("_kept")), "kept")
-    named = docs.mapInArrow(_with_set, StructType([*docs.schema.fields, StructField("_set", LongType())]))
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    one = (named.filter("_set <> 0").withColumn("_doc", F.col("doc_id").cast("long"))
-           .join(first, (F.col("_set") == F.col("_kept")) & F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
-           .dropDuplicates(["_set", "_doc"]))
-    return one.select(*cols).unionAll(named.filter("_set = 0").select(*cols))
+    # the row travels as one struct, so its column names cannot clash with those used here
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    named = rows.mapInArrow(_with_set, StructType([*rows.schema.fields, StructField("set_id", LongType())]))
+    one = (named.filter("set_id <> 0").drop("text")
+           .join(first, (F.col("set_id") == F.col("_kept")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+           .dropDuplicates(["set_id", "doc_id"]))
+    return one.select("row.*").unionAll(named.filter("set_id = 0").select("row.*"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

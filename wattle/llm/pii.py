@@ -270,7 +270,7 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["half", "positive"], kind="stable")
     x, y, held = np.array(rows["x"].tolist(), float), rows["positive"].to_numpy(float), rows["half"].to_numpy() == 1
     if y[~held].sum() < LEAST or (1 - y[~held]).sum() < 1:
-        return pd.DataFrame({"kind": [], "trees": [], "start": [], "threshold": []})
+        return pd.DataFrame({"kind": [rows["kind"].iloc[0]], "trees": ["[]"], "start": [0.0], "threshold": [2.0]})
     order = np.lexsort((*x.T, y))                                   # the same rows in any order give the same trees
     x, y, held = x[order], y[order], held[order]
     model = Boosted().fit(x[~held], y[~held])
