@@ -49,7 +49,7 @@ def test_languages(docs, none):
     assert ids(got) == ALL_IDS
     by = {r.doc_id: r for r in got.collect()}
     assert all(by[i].lang_pred == "und" and by[i].score == 0 for i in (1, 2, 3, 4))
-    assert by[5].lang_pred == "en" and 0 <= by[5].score <= 1
+    assert by[5].lang_pred in ("de", "en") and 0 <= by[5].score <= 1
     assert by[9].lang_pred in ("de", "en")
     assert langid.identify_languages(none).collect() == []
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
