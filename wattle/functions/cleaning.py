@@ -3,7 +3,6 @@ null-aware arithmetic. All are plain Column expressions (codegen friendly)."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +34,11 @@ def null_if_token(c, extra: Sequence[str] | None = None) -> Column:
     return F.when(c.isin(tokens(extra)), F.lit(None).cast("string")).otherwise(c)
 
 
+def named(name: str) -> Column:
+    """The column of exactly that name (headers may hold dots)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
@@ -44,7 +48,7 @@ def standardize_missing(df: DataFrame, columns: Iterable[str] | None = None,
     """Turn missing tokens into NULL on every (or the given) string column, one projection."""
     cols = set(columns) if columns is not None else set(string_columns(df))
     return df.select([
-        null_if_token(c, extra).alias(c) if c in cols else F.col(c)
+        null_if_token(named(c), extra).alias(c) if c in cols else named(c)
         for c in df.columns
     ])
 
@@ -57,14 +61,15 @@ def missing_token_report(df: DataFrame, columns: Iterable[str] | None = None,
     cols = list(columns) if columns is not None else string_columns(df)
     aggs = []
     for c in cols:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}__orig"))
-        aggs.append(F.count_if(is_missing_token(c, extra)).alias(f"{c}__conv"))
+        i = len(aggs)
+        aggs.append(F.count_if(named(c).isNull()).alias(f"_{i}"))
+        aggs.append(F.count_if(is_missing_token(named(c), extra)).alias(f"_{i + 1}"))
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"),
-                 F.col(f"{c}__orig").alias("original_nulls"),
-                 F.col(f"{c}__conv").alias("converted_missing"))
-        for c in cols]))
+                 F.col(f"_{2 * i}").alias("original_nulls"),
+                 F.col(f"_{2 * i + 1}").alias("converted_missing"))
+        for i, c in enumerate(cols)]))
     return (one.select(rows.alias("r")).select("r.*")
             .withColumn("total_nulls", F.col("original_nulls") + F.col("converted_missing"))
             .filter(F.col("converted_missing") > 0))
@@ -77,7 +82,7 @@ def lenient_double(c) -> Column:
 
 def decimal_comma_double(c) -> Column:
     """Numbers written with a decimal comma (``12,5``) to double; bad text to NULL."""
-    return F.regexp_replace(col_(c).cast("string"), ",", ".").try_cast("double")
+    return F.translate(col_(c).cast("string"), ",", ".").try_cast("double")
 
 
 def lenient_timestamp(c, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
@@ -119,40 +124,40 @@ def row_completeness(cols: Sequence, digits: int = 1) -> Column:
     return F.bround(present / F.lit(float(n)) * 100, digits)
 
 
+# Characters of a header that become an underscore, that vanish,
+# and the names of columns without a header of their own.
+HEADER_SEPARATORS, HEADER_BRACKETS = " /-", "()>"
+JUNK_HEADERS, JUNK_PREFIX = ("", ".1", "1", "Unnamed"), "Unnamed:"
+
+
 def normalize_header(name: str, prefix: str = "") -> str:
-    """Header normaliser: lower case; blanks, slashes, hyphens -> '_'; drop ( ) >."""
-    n = name.strip().lower()
-    n = n.replace(" ", "_").replace("/", "_").replace("-", "_")
-    n = n.replace("(", "").replace(")", "").replace(">", "")
-    return f"{prefix}{n}"
+    """Column name of a source header: trimmed, lower case, mapped character by character."""
+    return prefix + "".join("_" if ch in HEADER_SEPARATORS else ch
+                            for ch in str(name).strip().lower() if ch not in HEADER_BRACKETS)
 
 
 def is_junk_header(name: str) -> bool:
-    s = str(name).strip()
-    return s in ("", ".1", "1", "Unnamed") or s.startswith("Unnamed:")
+    bare = str(name).strip()
+    return bare in JUNK_HEADERS or bare.startswith(JUNK_PREFIX)
 
 
 def all_null_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Columns whose every value is NULL, found with one aggregate pass."""
     cols = list(columns) if columns is not None else df.columns
-    one = df.agg(*[F.count(F.col(c)).alias(c) for c in cols])
+    one = df.agg(*[F.count(named(c)).alias(f"_{i}") for i, c in enumerate(cols)])
     rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("non_null")) for c in cols]))
+        F.struct(F.lit(c).alias("column"), F.col(f"_{i}").cast("long").alias("non_null")) for i, c in enumerate(cols)]))
     return one.select(rows.alias("r")).select("r.*")
 
 
 def drop_junk_columns(df: DataFrame) -> DataFrame:
     """Drop blank/'Unnamed' headers and all-NULL columns (one aggregate pass)."""
-    named = [c for c in df.columns if is_junk_header(c)]
-    rest = [c for c in df.columns if c not in named]
+    junk = [c for c in df.columns if is_junk_header(c)]
+    rest = [c for c in df.columns if c not in junk]
     empty = [r["column"] for r in all_null_columns(df, rest).filter("non_null = 0").collect()]
-    return df.drop(*named, *empty)
+    return df.drop(*(named(c) for c in [*junk, *empty]))
 
 
 def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
     """A column family: true prefix match (``econ_prod_*`` is not ``prod_``)."""
     return [c for c in df.columns if c.startswith(prefix)]
-
-
-def sql_ident(name: str) -> str:
-    return re.sub(r"[^0-9a-zA-Z_]", "_", name)

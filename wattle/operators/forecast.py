@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .series import first_k_by
-
 
 def persistence(train: DataFrame, test: DataFrame) -> DataFrame:
     last = train.groupBy("series_id").agg(F.max_by("y", "month").alias("forecast"))
@@ -19,13 +17,12 @@ def persistence(train: DataFrame, test: DataFrame) -> DataFrame:
                                                F.col("y").alias("actual"), "forecast")
 
 
-def seasonal_naive(train: DataFrame, test: DataFrame, season: int = 12) -> DataFrame:
-    """Value of the same calendar month in the last training season (the last
-    ``season`` training rows, top-k limited per series)."""
-    last = first_k_by(train, ["series_id"], [F.col("month").desc()], season) \
-        .select("series_id", F.month("month").alias("moy"), F.col("y").alias("forecast"))
+def seasonal_naive(train: DataFrame, test: DataFrame) -> DataFrame:
+    """The last training value of the same calendar month; months that the training
+    series lacks forecast NULL, no test month is lost or repeated."""
+    last = train.groupBy("series_id", F.month("month").alias("moy")).agg(F.max_by("y", "month").alias("forecast"))
     t = test.withColumn("moy", F.month("month"))
-    return t.join(last, ["series_id", "moy"]).select("series_id", "month", F.lit("seasonal_naive").alias("model"),
+    return t.join(last, ["series_id", "moy"], "left").select("series_id", "month", F.lit("seasonal_naive").alias("model"),
                                                      F.col("y").alias("actual"), "forecast")
 
 

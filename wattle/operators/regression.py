@@ -77,7 +77,7 @@ def t_two_sided_p(t, df):
 
 
 SOLVE_FIELDS = [
-    T.StructField("n", T.LongType()), T.StructField("k", T.IntegerType()),
+    T.StructField("n", T.LongType()), T.StructField("k", T.IntegerType()), T.StructField("status", T.StringType()),
     T.StructField("intercept", T.DoubleType()), T.StructField("coef", T.ArrayType(T.DoubleType())),
     T.StructField("se", T.ArrayType(T.DoubleType())), T.StructField("t", T.ArrayType(T.DoubleType())),
     T.StructField("p", T.ArrayType(T.DoubleType())), T.StructField("beta", T.ArrayType(T.DoubleType())),
@@ -87,6 +87,20 @@ SOLVE_FIELDS = [
 ]
 
 
+def _full_rank(S, tol=1e-10):
+    """Pivots of the correlation matrix stay above ``tol``: no regressor is constant or
+    (nearly) a combination of the others."""
+    d = np.diag(S)
+    if len(d) and not (np.isfinite(S).all() and (d > 0).all()):
+        return False
+    c = S / np.sqrt(np.outer(d, d)) if len(d) else S.copy()
+    for i in range(len(d)):
+        if c[i, i] < tol:
+            return False
+        c[i + 1:, i + 1:] -= np.outer(c[i + 1:, i], c[i, i + 1:]) / c[i, i]
+    return True
+
+
 def _solve_row(row, k_all, active):
     n = int(row["n"])
     idx = [i for i in range(k_all) if active[i]]
@@ -96,11 +110,11 @@ def _solve_row(row, k_all, active):
     sy = np.array([row[f"c_{i}_y"] for i in idx], dtype=float)
     mx = np.array([row[f"m_{i}"] for i in idx], dtype=float)
     vyy, my = float(row["v_yy"]), float(row["m_y"])
-    try:
-        b = np.linalg.solve(S, sy) if k else np.zeros(0)
-        inv = np.linalg.inv(S) if k else np.zeros((0, 0))
-    except np.linalg.LinAlgError:
-        return None
+    if not _full_rank(S):
+        return {**dict.fromkeys(f.name for f in SOLVE_FIELDS), **out, "status": "singular"}
+    out["status"] = "ok"
+    b = np.linalg.solve(S, sy) if k else np.zeros(0)
+    inv = np.linalg.inv(S) if k else np.zeros((0, 0))
     ssr = max(n * (vyy - float(b @ sy)), 0.0)
     dof = n - k - 1
     sigma2 = ssr / dof if dof > 0 else float("nan")
@@ -126,7 +140,8 @@ def _solve_row(row, k_all, active):
 def ols_solve(moments: DataFrame, group_cols: Sequence[str], k_all: int,
               active: Mapping[str, Sequence[bool]] | None = None, config_col: str | None = None) -> DataFrame:
     """Solve every moment row; ``active[config]`` masks the regressors a config uses.
-    Coefficient arrays have one slot per regressor (NULL where masked)."""
+    Coefficient arrays have one slot per regressor (NULL where masked). A singular
+    fit keeps its row: status 'singular', n, k, all else NULL."""
     gfields = [moments.schema[c] for c in group_cols]
     schema = T.StructType(gfields + SOLVE_FIELDS)
     default = [True] * k_all
@@ -137,8 +152,6 @@ def ols_solve(moments: DataFrame, group_cols: Sequence[str], k_all: int,
             for rec in pdf.to_dict("records"):
                 mask = active[rec[config_col]] if (active and config_col) else default
                 sol = _solve_row(rec, k_all, mask)
-                if sol is None:
-                    continue
                 rows.append({**{c: rec[c] for c in group_cols}, **sol})
             yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
     return moments.mapInPandas(run, schema)

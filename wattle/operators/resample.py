@@ -25,12 +25,13 @@ STEP = {"daily": "INTERVAL 1 DAY", "weekly": "INTERVAL 7 DAYS", "monthly": "INTE
 
 def daily_moments(df: DataFrame, day_col, value_cols: Sequence[str],
                   keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, day) -> ``v__sum``, ``v__cnt`` for every value column."""
+    """(keys, day) -> ``v__sum``, ``v__cnt`` for every value column; readings whose
+    time did not parse belong to no day and are left out."""
     day = (F.col(day_col) if isinstance(day_col, str) else day_col).cast("date")
     aggs = []
     for v in value_cols:
         aggs += [F.sum(v).alias(f"{v}__sum"), F.count(v).alias(f"{v}__cnt")]
-    return df.groupBy(*keys, day.alias("day")).agg(*aggs)
+    return df.withColumn("day", day).filter("day IS NOT NULL").groupBy(*keys, "day").agg(*aggs)
 
 
 def _shift_sql(b: str, grain: str, k: int) -> str:

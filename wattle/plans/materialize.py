@@ -22,11 +22,10 @@ from . import consolidate as C
 
 _LOCK = threading.RLock()   # re-entrant: a materialised build may materialise its inputs
 _DONE: dict[str, str] = {}
-_READ: dict[str, DataFrame] = {}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, tables=TABLES) -> str:
-    """Path, size and modification time of every input, via the Hadoop FS API."""
+    """Name, size and modification time of every input file, via the Hadoop FS API."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     parts = [sf_dir]
@@ -34,9 +33,11 @@ def _fingerprint(spark: SparkSession, sf_dir: str, tables=TABLES) -> str:
         p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         fs = p.getFileSystem(conf)
         if fs.exists(p):
-            st = fs.getContentSummary(p)
-            parts.append(f"{t}:{st.getLength()}:{fs.getFileStatus(p).getModificationTime()}")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+            files = fs.listFiles(p, True)
+            while files.hasNext():
+                st = files.next()
+                parts.append(f"{t}:{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("|".join(sorted(parts)).encode()).hexdigest()[:16]
 
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_by=None,
@@ -54,10 +55,7 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build, partition_b
                 w = w.partitionBy(*partition_by)
             w.parquet(path)
             _DONE[key] = path
-        df = _READ.get(path)
-        if df is None:
-            df = _READ[path] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(path)
 
 
 def consolidated_table(spark: SparkSession, sf_dir: str, how: str = "join") -> DataFrame:
@@ -80,15 +78,11 @@ def release(spark: SparkSession) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    from .registry import _PLANS
-    for k in [k for k in _PLANS if k[2] == app]:     # plans may read the released tables
-        _PLANS.pop(k, None)
     with _LOCK:
         for key, path in list(_DONE.items()):
             if key.startswith(app):
                 p = jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(conf).delete(p, True)
                 _DONE.pop(key)
-                _READ.pop(path, None)
                 n += 1
     return n

@@ -20,11 +20,9 @@ BREAK = standins.CARBON_BREAK_DATE
 FEEDS = ["price_exaa_raw", "price_mc_raw"]
 
 
-def _feed_bins(spark, sf_dir, grains, gap_fill=True, extra_filter=None):
+def _feed_bins(spark, sf_dir, grains, gap_fill=True):
     r = C.select_era_columns(standins.electricity_readings(spark, sf_dir), "source_year",
                              standins.ELECTRICITY_ERAS)
-    if extra_filter is not None:
-        r = r.filter(extra_filter)
     out = resample(r, "timestamp", FEEDS, (), grains, gap_fill)
     return out.select("aggregation_level", iso_date("date").alias("date"),
                       rnd("price_exaa_raw_mean").alias("price_exaa_mean"),
@@ -59,12 +57,28 @@ def resample_monthly(spark, sf_dir):
     return _feed_bins(spark, sf_dir, ("monthly",))
 
 
-@query("resample_gapfill", S.elec_bins_sql(("daily", "weekly"), True, EL_A, EL_B, "value >= 300"))
+_GAP_UNION = " UNION ALL ".join(f"SELECT user_id, '{g}' AS aggregation_level, {b} AS bin, value FROM d"
+                               for g, b in (("daily", "day"), ("weekly", S.wmon("day"))))
+
+
+@query("resample_gapfill", f"""
+WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, value FROM events WHERE ts IS NOT NULL),
+binned AS ({_GAP_UNION}),
+agg AS (SELECT user_id, aggregation_level, bin, avg(value) AS m, count(value) AS c FROM binned GROUP BY ALL),
+bounds AS (SELECT user_id, aggregation_level, min(bin) AS lo, max(bin) AS hi FROM agg GROUP BY ALL),
+cal AS (SELECT user_id, aggregation_level,
+               CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), {S.step()})) AS DATE) AS bin FROM bounds)
+SELECT aggregation_level, {S.iso('bin')} AS date, count(*) AS n_series, count(*) - count(m) AS n_gaps,
+       CAST(coalesce(sum(c), 0) AS BIGINT) AS n_readings, {S.r('avg(m)')} AS mean_of_means
+FROM cal LEFT JOIN agg USING (user_id, aggregation_level, bin) GROUP BY ALL""")
 def resample_gapfill(spark, sf_dir):
-    """Sparse feed (readings of 300 and above): every empty bin between the first
-    and last is emitted with NULL mean and count 0."""
-    spikes = F.coalesce(F.col("price_exaa_raw"), F.col("price_mc_raw")) >= 300
-    return _feed_bins(spark, sf_dir, ("daily", "weekly"), True, spikes)
+    """Each user's readings as a series of its own: every empty bin between its first and last is
+    emitted with NULL mean and count 0; per bin the series that cover it and those with a gap there."""
+    r = resample(table(spark, sf_dir, "events").select("user_id", "ts", "value"), "ts", ["value"], ("user_id",),
+                 ("daily", "weekly"), True)
+    return r.groupBy("aggregation_level", iso_date("date").alias("date")).agg(
+        F.count("*").alias("n_series"), (F.count("*") - F.count("value_mean")).alias("n_gaps"),
+        F.sum("value_count").alias("n_readings"), rnd(F.avg("value_mean")).alias("mean_of_means"))
 
 
 @query("interval_completeness", f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import sqlparts as S
 from .panel import monthly_panel, split_label
-from .registry import query, session_memo
+from .registry import query
 from ..functions.numeric import chi2_sf_even, iso_date, normal_quantile, rnd, round_doubles
 from ..operators import forecast as FC
 from ..operators import quality as Q
@@ -25,13 +25,11 @@ ADF_CRIT_5PCT = -2.86
 KPSS_CRIT_5PCT = 0.463
 
 
-@session_memo
 def _split(spark, sf_dir):
     p = monthly_panel(spark, sf_dir).withColumn("split", split_label()).withColumn("midx", month_index("month"))
     return p.filter(F.col("split") == "train"), p.filter(F.col("split") == "test")
 
 
-@session_memo
 def _fc(spark, sf_dir):
     tr, te = _split(spark, sf_dir)
     return FC.baseline_forecasts(tr, te)
@@ -197,7 +195,7 @@ def _cmp_sql():
         rows.append(f"SELECT mo.*, '{name}' AS config, {len(cols)} AS k, {sel} FROM mo")
     fit_terms = " + ".join(f"coalesce(b_{x}, 0) * m_{x}" for x in xs)
     ssr_terms = " + ".join(f"coalesce(b_{x}, 0) * c_{x}_y" for x in xs)
-    pred = " + ".join(f"coalesce(b_{x}, 0) * te.{x}" for x in xs)
+    pred = " + ".join(f"CASE WHEN b_{x} IS NULL THEN 0 ELSE b_{x} * te.{x} END" for x in xs)
     return f"""
 mo AS (SELECT series_id, {', '.join(mom)} FROM tr WHERE {cond} GROUP BY 1),
 co AS ({' UNION ALL '.join(rows)}),
@@ -227,7 +225,7 @@ def regression_compare(spark, sf_dir):
                      *[coef[x].alias(f"coef_{x}") for x in REGRESSORS], "r2", "adj_r2", "aic")
     f = F.col("intercept")
     for x in REGRESSORS:
-        f = f + F.coalesce(f"coef_{x}", F.lit(0.0)) * F.col(x)
+        f = f + F.when(F.col(f"coef_{x}").isNull(), F.lit(0.0)).otherwise(F.col(f"coef_{x}") * F.col(x))
     e = f - F.col("y")
     # one reference to the solved fits: test errors and fit columns in one group-by
     keep = ["n", "k", "intercept", *[f"coef_{x}" for x in REGRESSORS], "r2", "adj_r2", "aic"]
@@ -298,7 +296,6 @@ def regime_regression(spark, sf_dir):
                       rnd("r2", 6).alias("r2"), rnd("aic").alias("aic"))
 
 
-@session_memo
 def _regime_fit(spark, sf_dir):
     from ..functions.calendar import regime_dummies
     tr, _ = _split(spark, sf_dir)
@@ -420,7 +417,6 @@ def rolling_coefficient(spark, sf_dir):
                     F.regr_count("y", "x1").over(w).alias("n_window"))
 
 
-@session_memo
 def _wf(spark, sf_dir):
     p = monthly_panel(spark, sf_dir).withColumn("midx", month_index("month")).withColumn("split", split_label())
     w = Window.partitionBy("series_id").orderBy("midx").rangeBetween(-WINDOW, -1)

@@ -299,19 +299,19 @@ def sample_per_grain(spark, sf_dir):
 
 
 @query("missing_months", f"""
-WITH big AS (SELECT DISTINCT {S.ms('CAST(o_orderdate AS DATE)')} AS m FROM orders WHERE o_totalprice > 490000),
-cal AS (SELECT CAST(unnest(generate_series(CAST(min(m) AS TIMESTAMP), CAST(max(m) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS m
-        FROM big)
-SELECT {S.iso('m')} AS month FROM cal WHERE m NOT IN (SELECT m FROM big)""")
+WITH p AS (SELECT DISTINCT o_custkey, {S.ms('CAST(o_orderdate AS DATE)')} AS m FROM orders),
+cal AS (SELECT o_custkey, CAST(unnest(generate_series(CAST(min(m) AS TIMESTAMP), CAST(max(m) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS m
+        FROM p GROUP BY 1)
+SELECT {S.iso('m')} AS month, count(*) AS n_customers
+FROM (SELECT * FROM cal EXCEPT SELECT o_custkey, m FROM p) GROUP BY 1""")
 def missing_months(spark, sf_dir):
-    """Calendar continuity of the monthly series of large orders (> 490,000):
-    expected months (sequence first..last) anti-joined with the present ones."""
-    o = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 490000)
-    present = o.select(cal.month_start(F.col("o_orderdate").cast("date")).alias("m")).distinct()
-    # months strictly between consecutive present months: one pass over the
-    # distinct months (bounded by the calendar), no second scan for the bounds
-    nxt = present.withColumn("nx", F.lead("m").over(Window.orderBy("m")))
+    """Calendar continuity of every customer's monthly orders: per month, the customers with orders
+    before and after but none in it."""
+    present = table(spark, sf_dir, "orders").select(
+        "o_custkey", cal.month_start(F.col("o_orderdate").cast("date")).alias("m")).distinct()
+    # months strictly between a customer's consecutive months, in one pass over the distinct months
+    nxt = present.withColumn("nx", F.lead("m").over(Window.partitionBy("o_custkey").orderBy("m")))
     lo, hi = F.add_months("m", 1), F.add_months("nx", -1)
     gaps = nxt.filter(F.col("nx").isNotNull() & (lo <= hi)).select(
         F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("m"))
-    return gaps.select(iso_date("m").alias("month"))
+    return gaps.groupBy(iso_date("m").alias("month")).agg(F.count("*").alias("n_customers"))

@@ -13,7 +13,7 @@ from .panel import monthly_panel, split_label
 from .q_models import ADF_CRIT_5PCT, KPSS_CRIT_5PCT, _split
 from .q_quality import VALUE_COLS
 from .materialize import consolidated_table
-from .registry import query, session_memo
+from .registry import query
 from ..functions.numeric import chi2_sf_even, iso_date, normal_quantile, rnd, round_doubles
 from ..operators import forecast as FC
 from ..operators import quality as Q
@@ -26,7 +26,6 @@ def _wser():
 
 
 MAX_LAG = 24
-KPSS_MAX_LAG = 16
 
 
 def _out(df):
@@ -86,7 +85,6 @@ def pacf(spark, sf_dir):
     return pacf_from_acf(a).withColumn("pacf", rnd("pacf", 6))
 
 
-@session_memo
 def _decomp(spark, sf_dir):
     p = monthly_panel(spark, sf_dir).select("series_id", "month", "y", F.month("month").alias("moy"))
     w13 = _wser().rowsBetween(-6, 6)
@@ -234,7 +232,6 @@ def label_lookup(spark, sf_dir):
                     "n_values")
 
 
-@session_memo
 def _resid(spark, sf_dir):
     """AR(1) residuals on the training months."""
     tr, _ = _split(spark, sf_dir)
@@ -250,7 +247,8 @@ def _lb_sql(h):
 
 @query("ljung_box", f"""
 WITH {S.RESID_CTES}, {_acf_sql('res', 'e', MAX_LAG, 'rac')},
-q AS (SELECT series_id, n, {_lb_sql(12)} AS q12, {_lb_sql(24)} AS q24 FROM rac_a)
+q AS (SELECT series_id, n, CASE WHEN n > 12 THEN {_lb_sql(12)} END AS q12,
+             CASE WHEN n > 24 THEN {_lb_sql(24)} END AS q24 FROM rac_a)
 SELECT series_id, n, CAST(12 AS BIGINT) AS lag, {S.r('q12')} AS q, {S.r(S.chi2_sf_even_sql('q12', 12), 6)} AS p_value FROM q
 UNION ALL SELECT series_id, n, 24, {S.r('q24')}, {S.r(S.chi2_sf_even_sql('q24', 24), 6)} FROM q""")
 def ljung_box(spark, sf_dir):
@@ -261,6 +259,7 @@ def ljung_box(spark, sf_dir):
     terms = a.groupBy("series_id", "n").agg(*[F.expr(q[h]).alias(f"q{h}") for h in (12, 24)])
     rows = ", ".join(f"named_struct('lag', CAST({h} AS BIGINT), 'q', q{h})" for h in (12, 24))
     x = terms.selectExpr("series_id", "n", f"inline(array({rows}))")
+    x = x.withColumn("q", F.when(F.col("n") > F.col("lag"), F.col("q")))     # a shorter series has no such lag
     p = F.when(F.col("lag") == 12, chi2_sf_even("q", 12)).otherwise(chi2_sf_even("q", 24))
     return x.select("series_id", "n", "lag", rnd("q").alias("q"), rnd(p, 6).alias("p_value"))
 
@@ -329,16 +328,17 @@ def adf_t(spark, sf_dir):
 
 
 def _kpss_sql():
-    lags = ", ".join(f"lag(e, {k}) OVER w AS l{k}" for k in range(1, KPSS_MAX_LAG + 1))
-    gs = ", ".join(f"sum(e * l{k}) / count(*) AS g{k}" for k in range(1, KPSS_MAX_LAG + 1))
-    lrv = " + ".join(f"CASE WHEN {k} <= lags THEN 2 * (1 - {k} / (lags + 1.0)) * g{k} ELSE 0 END" for k in range(1, KPSS_MAX_LAG + 1))
+    """Bartlett weights on every lag's autocovariance, by a join of each month with its predecessors."""
     return f"""{S.PANEL_CTES},
-k0 AS (SELECT series_id, month, y - avg(y) OVER (PARTITION BY series_id) AS e FROM panel WHERE y IS NOT NULL),
-k1 AS (SELECT series_id, e, sum(e) OVER (PARTITION BY series_id ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs,
-              {lags} FROM k0 WINDOW w AS (PARTITION BY series_id ORDER BY month)),
-k2 AS (SELECT series_id, count(*) AS n, sum(cs * cs) AS ss, sum(e * e) / count(*) AS g0, {gs},
+k0 AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY month) AS t,
+              y - avg(y) OVER (PARTITION BY series_id) AS e FROM panel WHERE y IS NOT NULL),
+k1 AS (SELECT *, sum(e) OVER (PARTITION BY series_id ORDER BY t) AS cs FROM k0),
+k2 AS (SELECT series_id, count(*) AS n, sum(cs * cs) AS ss, sum(e * e) / count(*) AS g0,
               CAST(floor(4 * power(count(*) / 100.0, 0.25)) AS BIGINT) AS lags FROM k1 GROUP BY 1),
-k3 AS (SELECT series_id, n, lags, ss / (n * n * (g0 + {lrv})) AS stat FROM k2)"""
+kg AS (SELECT a.series_id, sum(2 * (1 - (a.t - b.t) / (k2.lags + 1.0)) * a.e * b.e / k2.n) AS w
+       FROM k1 a JOIN k2 ON k2.series_id = a.series_id
+       JOIN k1 b ON b.series_id = a.series_id AND b.t < a.t AND b.t >= a.t - k2.lags GROUP BY 1),
+k3 AS (SELECT k2.series_id, n, lags, ss / (n * n * (g0 + coalesce(w, 0))) AS stat FROM k2 LEFT JOIN kg USING (series_id))"""
 
 
 @query("kpss_stat", f"""
@@ -346,22 +346,28 @@ WITH {_kpss_sql()}
 SELECT series_id, n, lags, {S.r('stat', 6)} AS kpss_stat, stat > {KPSS_CRIT_5PCT} AS reject_5pct FROM k3""")
 def kpss_stat(spark, sf_dir):
     """KPSS level-stationarity statistic: partial sums of deviations over a
-    Bartlett long-run variance with l = floor(4 (n/100)^(1/4)) lags."""
-    L = KPSS_MAX_LAG
-    p = monthly_panel(spark, sf_dir).where("y IS NOT NULL")
-    e = p.selectExpr("series_id", "month", "y - avg(y) OVER (PARTITION BY series_id) AS e")
+    Bartlett long-run variance with l = floor(4 (n/100)^(1/4)) lags, however many."""
+    return kpss(monthly_panel(spark, sf_dir)).select(
+        "series_id", "n", "lags", rnd("stat", 6).alias("kpss_stat"), (F.col("stat") > KPSS_CRIT_5PCT).alias("reject_5pct"))
+
+
+def kpss(panel):
+    """(series_id, month, y) -> series_id, n, lags, stat. With partial sums cs (zero outside
+    1..n-1) and L = lags + 1 the Bartlett variance is the mean over all windows of L months of
+    (cs_t - cs_(t-L))^2 / L: one equi-join on the position instead of a column a lag."""
     w = "OVER (PARTITION BY series_id ORDER BY month"
-    k1 = e.selectExpr("series_id", "e", f"sum(e) {w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs",
-                      *[f"lag(e, {k}) {w}) AS l{k}" for k in range(1, L + 1)])
-    k2 = k1.groupBy("series_id").agg(
-        F.expr("count(1)").alias("n"), F.expr("sum(cs * cs)").alias("ss"), F.expr("sum(e * e) / count(1)").alias("g0"),
-        *[F.expr(f"sum(e * l{k}) / count(1)").alias(f"g{k}") for k in range(1, L + 1)],
-        F.expr("CAST(floor(4 * power(count(1) / 100.0, 0.25)) AS BIGINT)").alias("lags"))
-    lrv = " + ".join(["g0"] + [f"CASE WHEN {k} <= lags THEN 2 * (1 - {k} / (lags + 1.0)) * g{k} ELSE 0 END"
-                               for k in range(1, L + 1)])
-    k3 = k2.selectExpr("series_id", "n", "lags", f"ss / (n * n * ({lrv})) AS stat")
-    return k3.select("series_id", "n", "lags", rnd("stat", 6).alias("kpss_stat"),
-                     (F.col("stat") > KPSS_CRIT_5PCT).alias("reject_5pct"))
+    e = panel.where("y IS NOT NULL").selectExpr(
+        "series_id", "month", "y - avg(y) OVER (PARTITION BY series_id) AS e", f"row_number() {w}) AS t",
+        "count(1) OVER (PARTITION BY series_id) AS n")
+    k = e.selectExpr("series_id", "t", "n", "CAST(floor(4 * power(n / 100.0, 0.25)) AS BIGINT) AS lags",
+                     f"sum(e) {w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cs")
+    back = k.selectExpr("series_id", "t + lags + 1 AS t", "cs AS before")
+    j = k.join(back, ["series_id", "t"], "left")
+    tail = F.when((F.col("t") > F.col("n") - F.col("lags") - 1) & (F.col("t") < F.col("n")), F.col("cs") ** 2)
+    step = F.col("cs") - F.coalesce("before", F.lit(0.0))
+    s = j.groupBy("series_id", "n", "lags").agg(F.sum(F.col("cs") ** 2).alias("ss"),
+                                                (F.sum(step * step) + F.coalesce(F.sum(tail), F.lit(0.0))).alias("sw"))
+    return s.selectExpr("series_id", "n", "lags", "ss / (n * n * (sw / (n * (lags + 1)))) AS stat")
 
 
 @query("break_date_search", f"""

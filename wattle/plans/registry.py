@@ -23,21 +23,3 @@ def query(name: str, sql: str | None = None):
             ORACLES[name] = bigint_counts(sql.strip())
         return fn
     return deco
-
-
-_PLANS: dict[tuple, object] = {}
-
-
-def session_memo(fn):
-    """Reuse a shared logical plan (immutable DataFrame objects) per session and
-    input folder; every query on top of it is still optimised on its own."""
-    import functools
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (fn.__module__, fn.__qualname__, spark.sparkContext.applicationId, sf_dir, args)
-        out = _PLANS.get(key)
-        if out is None:
-            out = _PLANS[key] = fn(spark, sf_dir, *args)
-        return out
-    return wrapper

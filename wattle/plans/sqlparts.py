@@ -46,7 +46,7 @@ ELEC_READINGS = """
   SELECT ts AS timestamp, year(ts) AS source_year,
          CASE WHEN event_type = 'view' AND year(ts) BETWEEN {a_lo} AND {a_hi} THEN value END AS price_exaa_raw,
          CASE WHEN event_type = 'click' AND year(ts) BETWEEN {b_lo} AND {b_hi} THEN value END AS price_mc_raw
-  FROM events WHERE event_type IN ('view', 'click')"""
+  FROM events"""
 
 
 def electricity_long_sql(a=(2015, 2025), b=(2020, 2025), merge_years=False) -> str:
@@ -78,11 +78,9 @@ FROM full_bins"""
 
 
 def elec_bins_sql(grains=("daily", "weekly", "monthly"), gap_fill=True, a=(2015, 2025), b=(2020, 2025),
-                  feed_filter: str | None = None) -> str:
+                  ) -> str:
     """Both feeds merged over years: (aggregation_level, date, means, counts)."""
     rd = ELEC_READINGS.format(a_lo=a[0], a_hi=a[1], b_lo=b[0], b_hi=b[1])
-    if feed_filter:
-        rd += f" AND {feed_filter}"
     parts = {"daily": "day", "weekly": wmon("day"), "monthly": ms("day")}
     union = "\n  UNION ALL ".join(
         f"SELECT '{g}' AS aggregation_level, {parts[g]} AS bin, a, b FROM d" for g in grains)
@@ -257,9 +255,9 @@ FORECAST_CTES = SPLIT_CTES + """,
 f_pers AS (SELECT te.series_id, te.month, 'persistence' AS model, te.y AS actual, l.f AS forecast
            FROM te JOIN (SELECT series_id, arg_max(y, month) AS f FROM tr GROUP BY 1) l USING (series_id)),
 last12 AS (SELECT series_id, month(month) AS moy, y AS f FROM tr
-           QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY month DESC) <= 12),
+           QUALIFY row_number() OVER (PARTITION BY series_id, month(month) ORDER BY month DESC) = 1),
 f_seas AS (SELECT te.series_id, te.month, 'seasonal_naive' AS model, te.y AS actual, s.f AS forecast
-           FROM te JOIN last12 s ON te.series_id = s.series_id AND month(te.month) = s.moy),
+           FROM te LEFT JOIN last12 s ON te.series_id = s.series_id AND month(te.month) = s.moy),
 rc AS (SELECT series_id, regr_intercept(y, x1) AS a, regr_slope(y, x1) AS b, regr_r2(y, x1) AS r2,
               regr_count(y, x1) AS n FROM tr GROUP BY 1),
 f_reg AS (SELECT te.series_id, te.month, 'regression_x1' AS model, te.y AS actual, rc.a + rc.b * te.x1 AS forecast

@@ -88,11 +88,14 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master may do
+    without: there a scratch folder is made; on a cluster executors would each
+    write to their own disk, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not d and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="wattle-ckpt-")
     sc.setCheckpointDir(d)

@@ -9,21 +9,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-_SCANS: dict[tuple, DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
-
-    The scan DataFrame (file listing + footer schema) is reused within a
-    session; DataFrames are immutable, every query still plans its own pruning
-    and pushdown."""
+    """Lazy parquet scan of the files that are there now; Catalyst prunes columns
+    and pushes filters into it."""
     if name not in TABLES:
         raise KeyError(name)
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
