@@ -397,7 +397,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def _with_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = pa.array([set_id(s) for _, _, s in document_sets(batch)], pa.int64())
+        texts = pa.RecordBatch.from_arrays([batch.column("row").field("text")], ["text"])
+        ids = pa.array([set_id(s) for _, _, s in document_sets(texts)], pa.int64())
         yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "set_id"])
 
 
@@ -408,9 +409,9 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "set_id")).alias("f"))
     first = keep(first.select(F.col("f.doc_id").alias("_id"), F.col("f.set_id").alias("_kept")), "kept")
     # the row travels as one struct, so its column names cannot clash with those used here
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     named = rows.mapInArrow(_with_set, StructType([*rows.schema.fields, StructField("set_id", LongType())]))
-    one = (named.filter("set_id <> 0").drop("text")
+    one = (named.filter("set_id <> 0")
            .join(first, (F.col("set_id") == F.col("_kept")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
            .dropDuplicates(["set_id", "doc_id"]))
     return one.select("row.*").unionAll(named.filter("set_id = 0").select("row.*"))

@@ -33,7 +33,7 @@ from .common import read, running_base, shuffle_parts
 
 BLOCK_IDS = 1 << 16
 END_ID = 1
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 200_000
 TOKENIZER = "word_bpe_49k.json"
 
 BLOCKS = ("shard int, block int, first long, n_ids long, width int, doc_ids array<bigint>, "
