@@ -54,6 +54,9 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    # texts are long: a Python worker holds a few MB of rows at a time, not 10,000 rows
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     ship_package(spark)
 
 
