@@ -43,14 +43,14 @@ def test_economy_sheet_banner_units_footer(spark, tmp_path):
     p = _write(tmp_path / "econ.csv",
                "Statistik Austria,,\n,Berichtszeitraum,Index\n,Einheit,2021=100\n"
                ",Jän.09,101.5\n,Feb.09,102\n,Mär.09,-\n,Quelle: Statistik Austria,\n")
-    out = files.read_economy_sheet(spark, p, ["Berichtszeitraum", "econ_index"]).orderBy("month").collect()
+    out = files.read_economy_sheet(spark, p, {"Index": "econ_index"}).orderBy("month").collect()
     assert [(x.month, x.econ_index) for x in out] == [(dt.date(2009, 1, 1), 101.5), (dt.date(2009, 2, 1), 102.0),
                                                       (dt.date(2009, 3, 1), None)]
 
 
 def test_gas_sheet_german_months(spark, tmp_path):
     p = _write(tmp_path / "gas.csv", "OeGPI\n\nDatum,Monat\n2020-Jan,10.5\n2020-Mrz,11\n2020-Xyz,12\n")
-    out = files.read_gas_sheet(spark, p, ["Datum", "oegpi_month"]).orderBy("month").collect()
+    out = files.read_gas_sheet(spark, p, {"Monat": "oegpi_month"}).orderBy("month").collect()
     assert [(x.month, x.oegpi_month) for x in out] == [(dt.date(2020, 1, 1), 10.5), (dt.date(2020, 3, 1), 11.0)]
 
 

@@ -43,8 +43,8 @@ def consolidate(sources: Sequence[DataFrame], key: Sequence[str] = KEY,
 
     ``how='join'``  chain of full outer joins (faithful: duplicate keys multiply).
     ``how='union'`` join-free: ``unionByName`` + one group-by on the key. One
-                    shuffle instead of one per source; valid only when the key
-                    is unique within each source.
+                    shuffle instead of one per source; a key that repeats
+                    within a source fails the job (its rows would be lost).
     """
     if how == "join":
         return reduce(lambda a, b: outer_merge(a, b, key, shared), sources)
@@ -61,7 +61,10 @@ def consolidate(sources: Sequence[DataFrame], key: Sequence[str] = KEY,
             cols.append(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_src"))).alias(c))
         else:
             cols.append(F.max(c).alias(c))
-    return u.groupBy(*key).agg(*cols)
+    cols.append(F.greatest(*[F.count_if(F.col("_src") == i) for i in range(len(sources))], F.lit(0)).alias("_most"))
+    merged = u.groupBy(*key).agg(*cols)
+    repeats = F.when(F.col("_most") > 1, F.raise_error(F.concat_ws(" ", F.lit("key repeats within a source:"), *key)))
+    return merged.withColumn(key[0], F.coalesce(repeats.cast("string"), F.col(key[0]))).drop("_most")
 
 
 def key_alignment(a: DataFrame, b: DataFrame, key: str = "date") -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import (EXPECTED_INTERVALS, calendar_parts, parse_austrian_month,
                                   parse_german_month, is_month_token)
-from ..functions.cleaning import (columns_with_prefix, normalize_header, row_completeness,
-                                  structural_break)
+from ..functions.cleaning import (columns_with_prefix, combined_mean, normalize_header, null_safe_sum,
+                                  row_completeness, share_pct, structural_break)
 from ..functions.numeric import half_even_long, iso_date
 from ..operators.merge import consolidate
 from ..operators.resample import daily_moments, resample_mean_family, rollup_days
@@ -108,14 +108,24 @@ def carbon_long(raw: DataFrame, break_date: str = REFERENCE_CARBON_BREAK,
 
 def climate_wide(long: DataFrame, indicators: Sequence[str], geos: Sequence[str],
                  prefix: str = "climate_") -> DataFrame:
-    """Long (TIME_PERIOD, indic_nrg, geo, OBS_VALUE) -> one column per indicator and
-    geography, in a single pivot (replaces pivot-per-geo plus an outer join)."""
-    pairs = [f"{i}|{g}" for g in geos for i in indicators]
-    names = {p: normalize_header(p.replace("|", "_"), prefix) for p in pairs}
-    piv = (long.withColumn("pair", F.concat_ws("|", "indic_nrg", "geo"))
-           .groupBy(F.to_date("TIME_PERIOD", "yyyy-MM").alias("month"))
-           .pivot("pair", pairs).agg(F.first("OBS_VALUE")))
-    return piv.select("month", *[F.col(f"`{p}`").alias(names[p]) for p in pairs])
+    """Long (TIME_PERIOD, indic_nrg, geo, OBS_VALUE) -> one column per indicator and geography.
+
+    One group-by (no pivot per geography, no join). Geographies are a choice;
+    an indicator that is not listed, or two rows for one month, indicator and
+    geography, fails the job when the month is computed instead of being lost."""
+    pairs = [(i, g) for g in geos for i in indicators]
+    here = F.col("geo").isin(list(geos))
+    cols, twice = [], F.lit(False)
+    for i, g in pairs:
+        hit = (F.col("indic_nrg") == i) & (F.col("geo") == g)
+        cols.append(F.max(F.when(hit, F.col("OBS_VALUE"))).alias(normalize_header(f"{i}_{g}", prefix)))
+        twice = twice | (F.count_if(hit) > 1)
+    unlisted = F.max(F.when(here & ~F.col("indic_nrg").isin(list(indicators)), F.col("indic_nrg")))
+    month = F.to_date("TIME_PERIOD", "yyyy-MM")
+    wide = long.groupBy(month.alias("month")).agg(*cols, twice.alias("_twice"), unlisted.alias("_unlisted"))
+    fault = F.when(F.col("_twice"), F.raise_error(F.lit("two climate values for one month, indicator and geography"))) \
+        .when(F.col("_unlisted").isNotNull(), F.raise_error(F.concat(F.lit("unlisted climate indicator "), F.col("_unlisted"))))
+    return wide.withColumn("month", F.coalesce(fault.cast("date"), F.col("month"))).drop("_twice", "_unlisted")
 
 
 def monthly_long(df: DataFrame, month_col: str, family: Sequence[str]) -> DataFrame:
@@ -185,3 +195,32 @@ def merge_sources(srcs: Sequence[DataFrame], how: str = "join", n_repeatable: in
 def consolidated(spark: SparkSession, sf_dir: str, how: str = "join") -> DataFrame:
     """The wide table: six sources merged on (date, aggregation_level)."""
     return merge_sources(all_sources(spark, sf_dir, merge_years=(how == "union")), how)
+
+
+# Columns that the analysis-ready table leaves out.
+ANALYSIS_DROPPED = (
+    "price_exaa_mean", "price_mc_auction_mean", "price_count_exaa", "price_count_mc", "data_completeness",
+    "carbonprices_secondary_market", "prod_geothermal_total", "econ_turnover_industry", "econ_prod_index_industry",
+    "econ_turnover_index_commercial_sales", "econ_prod_index_construction", "econ_turnover_index_construction",
+    "econ_count_employees_industry", "econ_count_employees_construction", "econ_turnover_index_wholesale",
+    "econ_total_production_construction", "econ_turnover_construction", "econ_turnover_index_retail",
+    "econ_count_employees_retail", "econ_turnover_index_car_retail")
+# The families that are summed.
+RENEWABLE = ("prod_hydropower_production_total", "prod_renewable_bio_production", "prod_renewable_SoBio_production",
+             "prod_wind_total", "prod_pv_total")
+NON_RENEWABLE = ("prod_fossil_subtotal_production", "prod_other_fuels_production")
+
+
+def finalised(cons: DataFrame) -> DataFrame:
+    """The consolidated table with ``date_dt``, its key as a date."""
+    return cons.withColumn("date_dt", F.to_date("date", "yyyy-MM-dd"))
+
+
+def analysis_ready(cons: DataFrame) -> DataFrame:
+    """Rows with a target: combined price, production sums and shares, without the columns that
+    other columns cover or that have too few values."""
+    out = cons.withColumn("price_combined", combined_mean("price_exaa_mean", "price_mc_auction_mean"))
+    out = out.filter(F.col("price_combined").isNotNull())
+    out = out.withColumn("prod_renewable", null_safe_sum(RENEWABLE)).withColumn("prod_non_renewable", null_safe_sum(NON_RENEWABLE))
+    out = out.withColumn("prod_total", null_safe_sum(("prod_renewable", "prod_non_renewable")))
+    return out.withColumn("prod_renewables_pct_total", share_pct("prod_renewable", "prod_total")).drop(*ANALYSIS_DROPPED)

@@ -2,11 +2,13 @@
 consolidated table, and a run report.
 
     python -m wattle.plans.job --sf-dir /root/testdata/sf0.01 --out <shared folder>
+    python -m wattle.plans.job --raw-dir <folder of raw files> --out <shared folder>
 
 Each source is written once (K1) with its row count taken by ``observe`` during
 that write (no second scan); a failing source is reported and the job goes on
-with the others; the consolidated table is written once (K2/K3), partitioned
-by grain. Exit code 1 when any source failed.
+with the others. The consolidated table and its finalised and analysis-ready
+exports (K2/K3) are written only when every source is in, so an older complete
+table is never replaced by one that lacks a source. Exit code 1 when any source failed.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import half_even_long
+from ..sources import files
 from ..sources.sinks import write_parquet
 from . import consolidate as C
 
@@ -27,6 +31,41 @@ SOURCES = {
 }
 
 
+# Files of each raw source in ``--raw-dir`` (globs, a parameter) and how they become a long table.
+RAW_FILES = {"electricity": "*M15_*_English.csv", "carbon": "carbon*.csv", "climate": "climate*.csv",
+             "production": "production*.csv", "gas": "gas*.csv", "economy": "econom*.csv"}
+# Indicators and geographies of the climate file.
+CLIMATE_INDICATORS, CLIMATE_GEOS = ("CDD", "HDD"), ("AT", "EU27_2020")
+
+
+def raw_sources(spark: SparkSession, raw_dir: str, failures: list, patterns=RAW_FILES) -> dict:
+    """Source name -> function that reads its raw files and returns the long table."""
+    def path(name: str) -> str:
+        return f"{raw_dir.rstrip('/')}/{patterns[name]}"
+
+    def electricity():
+        found = [p for _, p in files.discover_files(spark, path("electricity"))]
+        if not found:
+            raise FileNotFoundError(path("electricity"))
+        return C.electricity_long(files.read_electricity(spark, found, failures=failures))
+
+    def climate():
+        wide = C.climate_wide(files.read_climate(spark, path("climate")), CLIMATE_INDICATORS, CLIMATE_GEOS)
+        wide = wide.withColumnsRenamed({c: c.replace("_eu27_2020", "_eu") for c in wide.columns})
+        return C.monthly_long(wide, "month", [c for c in wide.columns if c != "month"])
+
+    def production():
+        p = files.read_production(spark, path("production"), files.PRODUCTION_COLUMNS)
+        return p.select(*C.base_columns("month", "monthly"),
+                        *[half_even_long(c).alias(c) for c in files.PRODUCTION_COLUMNS.values()])
+
+    return {"electricity": electricity, "carbon": lambda: C.carbon_long(files.read_carbon(spark, path("carbon"))),
+            "climate": climate, "production": production,
+            "gas": lambda: C.monthly_long(files.read_gas_sheet(spark, path("gas")), "month", list(files.GAS_COLUMNS.values())),
+            "economy": lambda: C.monthly_long(files.read_economy_sheet(spark, path("economy")), "month",
+                                              list(files.ECONOMY_COLUMNS.values()))}
+
+
 def write_reports(cons: DataFrame, out: str) -> None:
     """Report exports of the written table: describe statistics of the monthly rows
     and first/last date with data per column, ';'-separated with decimal comma."""
@@ -48,39 +87,50 @@ def write_reports(cons: DataFrame, out: str) -> None:
     write_report_csv(avail, f"{out}/reports/availability")
 
 
-def run(spark: SparkSession, sf_dir: str, out: str, how: str = "join", reports: bool = True) -> DataFrame:
-    report, written = [], []
-    for name, fn in SOURCES.items():
+def run(spark: SparkSession, sf_dir: str | None, out: str, how: str = "join", reports: bool = True,
+        raw_dir: str | None = None) -> DataFrame:
+    report, written, failures = [], [], []
+    sources = (raw_sources(spark, raw_dir, failures) if raw_dir
+               else {name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in SOURCES.items()})
+    for name, build in sources.items():
         t0 = time.perf_counter()
         try:
-            df = fn(spark, sf_dir)
+            df = build()
             obs = Observation(name)
             write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), f"{out}/sources/{name}",
                           partition_by=["aggregation_level"])
-            rows = obs.get["rows"]
             written.append(spark.read.parquet(f"{out}/sources/{name}"))
-            report.append((name, "ok", int(rows), len(df.columns), round(time.perf_counter() - t0, 3), None))
+            report.append((name, "ok", int(obs.get["rows"]), len(df.columns), round(time.perf_counter() - t0, 3), None))
         except Exception as ex:  # keep going; the report carries the failure
-            report.append((name, "failed", 0, 0, round(time.perf_counter() - t0, 3), str(ex)[:500]))
-    if written:
+            report.append((name, "failed", 0, 0, round(time.perf_counter() - t0, 3), str(ex)))
+    report += [(p, "failed file", 0, 0, 0.0, error) for p, error in failures]
+    if len(written) == len(sources):
         write_parquet(C.merge_sources(written, how=how), f"{out}/consolidated", partition_by=["aggregation_level"])
+        cons = spark.read.parquet(f"{out}/consolidated")
+        write_parquet(C.finalised(cons), f"{out}/finalised", partition_by=["aggregation_level"])
+        if all(c in cons.columns for c in (*C.RENEWABLE, *C.NON_RENEWABLE)):
+            write_parquet(C.analysis_ready(cons), f"{out}/analysis_ready", partition_by=["aggregation_level"])
         if reports:
-            write_reports(spark.read.parquet(f"{out}/consolidated"), out)
+            write_reports(cons, out)
+    else:
+        report.append(("consolidated", "not written", 0, 0, 0.0, "a source is missing"))
     return spark.createDataFrame(report, "source string, status string, rows long, columns int, seconds double, error string")
 
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(description=__doc__)
-    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--sf-dir", help="driver tables (stand-in sources)")
+    ap.add_argument("--raw-dir", help="folder of raw source files")
     ap.add_argument("--out", required=True, help="shared output folder")
     ap.add_argument("--how", default="join", choices=["join", "union"])
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
+    if not (a.sf_dir or a.raw_dir):
+        ap.error("--sf-dir or --raw-dir is needed")
     from ..session import build_session, input_bytes, size_shuffles
     spark = build_session(a.master, app="wattle-consolidate")
-    if not a.master or not a.master.startswith("local"):
-        size_shuffles(spark, input_bytes(spark, a.sf_dir))
-    rep = run(spark, a.sf_dir, a.out, a.how)
+    size_shuffles(spark, input_bytes(spark, a.raw_dir or a.sf_dir))
+    rep = run(spark, a.sf_dir, a.out, a.how, raw_dir=a.raw_dir)
     rows = rep.collect()   # one row per source
     for r in rows:
         print(f"{r.source:12s} {r.status:7s} rows={r.rows} cols={r.columns} {r.seconds}s {r.error or ''}")

@@ -524,8 +524,8 @@ def nation_regression_fit(spark, sf_dir):
          .agg(F.sum(F.col("o_totalprice") / 1000).alias("s"), F.count("o_totalprice").alias("c")))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation is a fixed 25-row dimension (broadcast); customer joins by key
-    oc = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    # both dimensions join by key; AQE broadcasts on the measured size
+    oc = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     y = (oc.groupBy(F.col("n_name").alias("series_id"), "month")
          .agg((F.sum("s") / F.sum("c")).alias("y")))
     from .panel import regressors

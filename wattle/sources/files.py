@@ -2,37 +2,94 @@
 
 Every reader scans text as strings with a declared or header schema (no
 inference pass), keeps the file name from ``_metadata`` where the year lives
-in it, and leaves typing to the lenient Column casts in ``functions``. Bad
-lines stay visible (``PERMISSIVE`` mode) instead of failing the job.
+in it, and leaves typing to the lenient Column casts in ``functions``. A line
+with more or fewer fields than the header keeps its raw text in
+``_corrupt_record``; typed readers pass that on as ``malformed_line`` (NULL for
+good lines), so nothing is cut without a trace and no line fails the job.
 """
 
 from __future__ import annotations
 
+import csv
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import calendar as cal
 from ..functions import cleaning as cl
 
 ELECTRICITY_YEAR_PATTERN = r"M15_(\d{4})_English"
+CORRUPT = "_corrupt_record"
 
+#: What cp1252 has where ISO-8859-1 has control characters (27 of the 32 places are taken).
+CP1252_C1 = {}
+for _i in range(0x80, 0xA0):
+    try:
+        CP1252_C1[chr(_i)] = bytes([_i]).decode("cp1252")
+    except UnicodeDecodeError:
+        pass
 
-def read_text_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8",
+
+def fix_cp1252(c):
+    """Map the cp1252-only characters (euro sign, dashes, quotes, ...) read through ISO-8859-1."""
+    return F.translate(c, "".join(CP1252_C1), "".join(CP1252_C1.values()))
+
+
+def file_heads(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, str]]:
+    """path -> (encoding, first line): one job over all lines of all files.
+
+    A file is UTF-8 if every line of it is valid UTF-8, else cp1252."""
+    t = spark.read.text(list(paths)).select(        # the text source keeps the bytes as they are
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"), "value")
+    rows = t.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+                                 F.min_by(F.col("value").cast("binary"), F.struct("at", "line")).alias("first")
+                                 ).collect()   # a row a file
+    out = {}
+    for r in rows:
+        enc = "utf-8" if r.utf8 else "cp1252"
+        out[r.path] = (enc, bytes(r["first"]).decode(enc, errors="replace").lstrip("\ufeff"))
+    return out
+
+
+def header_names(line: str, sep: str) -> list[str]:
+    """Column names of a header line; empty or repeated names get their position."""
+    names: list[str] = []
+    for i, n in enumerate(next(csv.reader([line], delimiter=sep), [])):
+        names.append(n if n and n not in names else f"{n}_c{i}")
+    return names
+
+
+def read_lines_as(spark: SparkSession, paths: Sequence[str], names: Sequence[str], sep: str, encoding: str,
+                  header: bool) -> DataFrame:
+    """Delimited files of one header and encoding in one scan: all strings, ``_corrupt_record``, ``source_file``."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    single = encoding.lower() in ("cp1252", "windows-1252")     # Spark's reader lacks cp1252; the bytes are the same
+    df = (spark.read.schema(schema).option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+          .option("encoding", "ISO-8859-1" if single else encoding).option("columnNameOfCorruptRecord", CORRUPT)
+          .option("columnPruning", False).csv(list(paths)))
+    cols = [cl.named(c) for c in df.columns]
+    if single:
+        cols = [fix_cp1252(c).alias(n) for c, n in zip(cols, df.columns)]
+    return df.select(*cols, F.col("_metadata.file_name").alias("source_file"))
+
+
+def read_text_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str | None = None,
                   header: bool = True, n_columns: int | None = None) -> DataFrame:
-    """All columns as strings; the file name is kept as ``source_file``.
+    """One delimited file, all columns as strings, plus ``_corrupt_record`` and ``source_file``.
 
-    Spark's CSV reader does not accept windows-1252; ISO-8859-1 reads the
-    same bytes (the few 0x80-0x9F code points, e.g. the euro sign, can be
-    mapped with ``translate`` afterwards)."""
-    enc = "ISO-8859-1" if encoding.lower() in ("cp1252", "windows-1252") else encoding
-    r = (spark.read.option("header", header).option("sep", sep).option("encoding", enc)
-         .option("mode", "PERMISSIVE").option("inferSchema", False))
-    if n_columns:   # declared positional schema (first lines may be banners)
-        r = r.schema(", ".join(f"_c{i} string" for i in range(n_columns)))
-    df = r.csv(path)
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
+    ``encoding`` None: UTF-8 or cp1252, decided on the whole file. ``n_columns``
+    declares positional columns ``_c0``... for files with banner lines."""
+    enc, line = encoding, ""
+    if enc is None or (header and n_columns is None):
+        (found, line), = file_heads(spark, [path]).values()
+        enc = enc or found
+    names = [f"_c{i}" for i in range(n_columns)] if n_columns else header_names(line, sep)
+    return read_lines_as(spark, [path], names, sep, enc, header)
 
 
 def year_from_file(df: DataFrame, pattern: str = ELECTRICITY_YEAR_PATTERN) -> DataFrame:
@@ -66,58 +123,46 @@ def first_column_containing(columns: Sequence[str], *marks: str) -> str | None:
     return None
 
 
-# cp1252 code points 0x80-0x9F that ISO-8859-1 decodes as C1 controls.
-CP1252_C1 = {"\u0080": "\u20ac", "\u008a": "\u0160", "\u008e": "\u017d", "\u009a": "\u0161", "\u009e": "\u017e"}
-
-
-def fix_cp1252(c):
-    """Map the cp1252-only characters (euro sign, ...) read through ISO-8859-1."""
-    src, dst = "".join(CP1252_C1), "".join(CP1252_C1.values())
-    return F.translate(c, src, dst)
-
-
-def header_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 unless the header line does not decode (replacement character), then
-    the cp1252 route (ISO-8859-1 + ``fix_cp1252``). Only one line is read."""
-    first = spark.read.option("encoding", "UTF-8").text(path).first()
-    return "UTF-8" if first is None or "\ufffd" not in first[0] else "cp1252"
-
-
 def read_electricity(spark: SparkSession, paths: Sequence[str], ts_format: str = "dd.MM.yyyy HH:mm",
                      eras: Mapping[str, tuple] | None = None, failures: list | None = None) -> DataFrame:
-    """Yearly 15-minute price files -> (timestamp, source_year, price_exaa_raw, price_mc_raw).
+    """Yearly 15-minute price files -> timestamp, source_year, price_exaa_raw, price_mc_raw, malformed_line.
 
-    Headers differ between years, so each file is resolved by name (one small
-    driver-side loop over file *names*), then all files are one union. The
-    encoding is chosen per file (UTF-8, else cp1252); a file that cannot be
-    resolved is skipped and recorded in ``failures`` (path, error)."""
+    Headers differ between years: one job finds every file's encoding and
+    header, files with the same ones are one scan, and the scans are one union.
+    A file that cannot be resolved is left out and recorded in ``failures``
+    (path, error); the others still load."""
     from ..plans.consolidate import REFERENCE_ERAS, select_era_columns
     eras = eras or REFERENCE_ERAS
+    failures = [] if failures is None else failures
+    heads: dict[str, tuple[str, str]] = {}
+    try:
+        found = file_heads(spark, paths)
+        heads = {p: next(h for q, h in found.items() if unquote(q).endswith(p.split(":", 1)[-1])) for p in paths}
+    except Exception:                            # one of them cannot be read: find out which
+        for p in paths:
+            try:
+                (heads[p],) = file_heads(spark, [p]).values()
+            except Exception as ex:
+                failures.append((p, str(ex) or "no line"))
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    for p, (enc, line) in heads.items():
+        groups[(enc, *header_names(line, ","))].append(p)
     parts = []
-    for p in paths:
-        try:
-            enc = header_encoding(spark, p)
-            raw = year_from_file(read_text_csv(spark, p, encoding=enc))
-            if enc == "cp1252":
-                raw = raw.toDF(*[c.translate(str.maketrans(CP1252_C1)) for c in raw.columns])
-            cols = [c for c in raw.columns if c not in ("source_file", "source_year", "_corrupt_record")]
-            if not cols or raw.schema[cols[0]].dataType.simpleString() != "string":
-                raise ValueError("no header")
-        except Exception as ex:   # per-file isolation: the others still load
-            if failures is not None:
-                failures.append((p, str(ex)[:300]))
+    for (enc, *names), group in groups.items():
+        exaa = first_column_containing(names, "EXAA", "EUR")
+        mc = first_column_containing(names, "MC Auction", "EUR")
+        if exaa is None and mc is None:
+            failures += [(p, "no price column") for p in group]
             continue
-        exaa = first_column_containing(cols, "EXAA", "EUR")
-        mc = first_column_containing(cols, "MC Auction", "EUR")
-        clean = cl.standardize_missing(raw, cols)
-        if exaa is None and mc is None and failures is not None:
-            failures.append((p, "no price column"))
+        raw = year_from_file(read_lines_as(spark, group, names, ",", enc, True))
+        clean = cl.standardize_missing(raw, names)
         parts.append(clean.select(
-            cl.lenient_timestamp(F.col(f"`{cols[0]}`"), ts_format).alias("timestamp"), "source_year",
-            (cl.lenient_double(F.col(f"`{exaa}`")) if exaa else F.lit(None).cast("double")).alias("price_exaa_raw"),
-            (cl.lenient_double(F.col(f"`{mc}`")) if mc else F.lit(None).cast("double")).alias("price_mc_raw")))
+            cl.lenient_timestamp(cl.named(names[0]), ts_format).alias("timestamp"), "source_year",
+            *[(cl.lenient_double(cl.named(c)) if c else F.lit(None).cast("double")).alias(n)
+              for c, n in ((exaa, "price_exaa_raw"), (mc, "price_mc_raw"))],
+            F.col(CORRUPT).alias("malformed_line")))
     if not parts:
-        raise ValueError("no readable electricity file")
+        raise ValueError(f"no readable electricity file: {failures}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -126,19 +171,19 @@ def read_electricity(spark: SparkSession, paths: Sequence[str], ts_format: str =
 
 def read_carbon(spark: SparkSession, path: str, date_column: str = "Date", sep: str = ",",
                 decimal: str = ".", date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """Delimited carbon sheet: date parsed, value columns lenient doubles, junk kept
-    for ``drop_junk_columns``."""
+    """Delimited carbon sheet: date parsed, value columns lenient doubles, junk and empty columns dropped."""
     raw = cl.standardize_missing(read_text_csv(spark, path, sep).drop("source_file"))
     conv = cl.decimal_comma_double if decimal == "," else cl.lenient_double
-    cols = [F.try_to_date(F.col(date_column), date_format).alias(date_column)]
+    cols = [F.try_to_date(cl.named(date_column), date_format).alias(date_column)]
     for c in raw.columns:
-        if c != date_column:
-            cols.append(conv(F.col(f"`{c}`")).alias(c) if "Market Currency" not in c else F.col(f"`{c}`"))
-    return raw.select(*cols)
+        if c not in (date_column, CORRUPT):
+            cols.append(conv(cl.named(c)).alias(c) if "Market Currency" not in c else cl.named(c))
+    out = cl.drop_junk_columns(raw.select(*cols, F.col(CORRUPT)).drop(CORRUPT))
+    return out.filter(cl.named(date_column).isNotNull())
 
 
 def read_climate(spark: SparkSession, path: str) -> DataFrame:
-    """Eurostat long file: only the 4 used columns are read (column pruning)."""
+    """Eurostat long file: the 4 used columns."""
     raw = read_text_csv(spark, path)
     return raw.select("TIME_PERIOD", "indic_nrg", "geo", cl.lenient_double("OBS_VALUE").alias("OBS_VALUE"))
 
@@ -148,43 +193,85 @@ def read_production(spark: SparkSession, path: str, mapping: Mapping[str, str],
     """``;``-separated, decimal comma, ISO-8859-1, with header-metadata rows under the
     header: data rows are the ones whose first field parses as a month."""
     raw = read_text_csv(spark, path, sep=";", encoding="ISO-8859-1")
-    m = F.try_to_date(F.trim(F.col(f"`{month_column}`")), month_format)
+    m = F.try_to_date(F.trim(cl.named(month_column)), month_format)
     return (raw.withColumn("month", m).filter(F.col("month").isNotNull())
-            .select("month", *[cl.decimal_comma_double(F.col(f"`{src}`")).alias(dst) for src, dst in mapping.items()]))
-
-
-def read_sheet_export(spark: SparkSession, path: str, columns: Sequence[str], date_position: int,
-                      parse, shape=None, sep: str = ",", drop_first: bool = False) -> DataFrame:
-    """CSV export of a spreadsheet with banner rows, a split header and a footer.
-
-    Read without header (positional ``_cN`` columns); the caller names the
-    columns. Banner, unit and footer rows fall out because the date column
-    must have month shape (``shape``) and parse (``parse``)."""
-    raw = read_text_csv(spark, path, sep=sep, header=False,
-                        n_columns=len(columns) + (1 if drop_first else 0)).drop("source_file")
-    cols = raw.columns[1:] if drop_first else raw.columns
-    named = raw.select(*[F.trim(F.col(c)).alias(n) for c, n in zip(cols, columns)])
-    d = named.columns[date_position]
-    if shape is not None:
-        named = named.filter(shape(d))
-    out = named.withColumn("month", parse(d)).filter(F.col("month").isNotNull())
-    return out.select("month", *[cl.lenient_double(c).alias(c) for c in named.columns if c != d])
-
-
-def read_gas_sheet(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    return read_sheet_export(spark, path, columns, 0, cal.parse_german_month)
-
-
-def read_economy_sheet(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    return read_sheet_export(spark, path, columns, 0, cal.parse_austrian_month, cal.is_month_token, drop_first=True)
-
-
-def read_meta_library(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Label library (column, label, unit) with ',' or ';' as separator, chosen from
-    the header line (one line is read to decide)."""
-    first = spark.read.option("encoding", encoding).text(path).first()
-    sep = ";" if first is not None and first[0].count(";") > first[0].count(",") else ","
-    lib = read_text_csv(spark, path, sep=sep, encoding=encoding).drop("source_file")
+            .select("month", *[cl.decimal_comma_double(cl.named(src)).alias(dst) for src, dst in mapping.items()]))
+
+
+def sheet_header(spark: SparkSession, path: str, mark: str, sep: str) -> list[str]:
+    """Trimmed names of the first line that holds ``mark`` as a field: the header under a sheet's banner."""
+    lines = (spark.read.text(path).select(F.monotonically_increasing_id().alias("i"), "value")
+             .filter(F.col("value").contains(mark)))
+    first = lines.filter(F.array_contains(F.transform(F.split("value", sep, -1), lambda x: F.trim(F.translate(x, '"', ""))), mark)) \
+        .agg(F.min(F.struct("i", "value")).alias("h")).first()["h"]
+    if first is None:
+        raise ValueError(f"no header with {mark!r} in {path}")
+    return [n.strip() for n in next(csv.reader([first["value"]], delimiter=sep))]
+
+
+def read_sheet_export(spark: SparkSession, path: str, mapping: Mapping[str, str], date_column: str, parse,
+                      shape=None, sep: str = ",") -> DataFrame:
+    """CSV export of a spreadsheet with banner rows and a footer; columns are chosen by header name.
+
+    ``mapping``: header name -> column. Banner, unit and footer rows fall out
+    because the date field must have month shape (``shape``) and parse. A
+    missing column raises; columns that are not named are left out; a data row
+    with surplus fields keeps its text in ``malformed_line``."""
+    header = sheet_header(spark, path, date_column, sep)
+    lacking = [c for c in mapping if c not in header]
+    if lacking:
+        raise ValueError(f"columns {lacking} are not in {path}")
+    raw = read_text_csv(spark, path, sep=sep, encoding="UTF-8", header=False, n_columns=len(header))
+    d = F.trim(F.col(f"_c{header.index(date_column)}"))
+    rows = raw.filter(shape(d)) if shape is not None else raw
+    cols = [cl.lenient_double(cl.null_if_token(F.trim(F.col(f"_c{header.index(c)}")))).alias(n) for c, n in mapping.items()]
+    surplus = F.when(F.size(F.split(F.col(CORRUPT), sep, -1)) > len(header), F.col(CORRUPT))
+    return rows.select(parse(d).alias("month"), *cols, surplus.alias("malformed_line")).filter(F.col("month").isNotNull())
+
+
+# Header names of the sources and the columns they become.
+GAS_COLUMNS = {"Monat": "oegpi_month", "Quartal": "oegpi_quarter", "Saison": "oegpi_season", "Jahr": "oegpi_year"}
+PRODUCTION_COLUMNS = {
+    "15": "prod_gross_electricity_production", "16": "prod_gross_electricity_consumption",
+    "37": "prod_hydropower_production_total", "38": "prod_fossil_sk_production", "39": "prod_fossil_DvfB_production",
+    "40": "prod_fossil_DvOe_production", "41": "prod_fossil_gas_production", "42": "prod_fossil_subtotal_production",
+    "43": "prod_renewable_bio_production", "44": "prod_renewable_SoBio_production", "45": "prod_other_fuels_production",
+    "46": "prod_fuel_production_total", "47": "prod_wind_total", "48": "prod_pv_total", "49": "prod_geothermal_total",
+    "51": "prod_power_production_total", "57": "prod_electricity_imports", "58": "prod_electricity_exports"}
+ECONOMY_COLUMNS = {
+    "Produktionsindex Industrie (at; 2021=100)": "econ_prod_index_industry",
+    "Verbraucherpreisindex (2015=100)": "econ_consumer_price_index",
+    "Ausfuhren Insgesamt in €": "econ_exports_total_EUR",
+    "Umsatzindex Handel (nom.; 2021=100)": "econ_turnover_index_commercial_sales",
+    "Nächtigungen": "econ_count_overnight_stays",
+    "Umsatz Industrie inTsd.€ (KJE)": "econ_turnover_industry",
+    "Beschäftigte Industrie gesamt (KJE)": "econ_count_employees_industry",
+    "Produktionsindex Bau (at; 2021=100)": "econ_prod_index_construction",
+    "Technische Gesamtproduktion Bau in Tsd. € (KJE)": "econ_total_production_construction",
+    "Umsatzindex Bau (2021=100)": "econ_turnover_index_construction",
+    "Umsatz Bau in Tsd. € (KJE)": "econ_turnover_construction",
+    "Beschäftigte Bau gesamt (KJE)": "econ_count_employees_construction",
+    "Umsatzindex - Großhandel (G46; nom.; 2021=100)": "econ_turnover_index_wholesale",
+    "Umsatzindex - Einzelhandel (G47; nom.; 2021=100)": "econ_turnover_index_retail",
+    "Beschäftigtenindex Handel  (2021=100)": "econ_count_employees_retail",
+    "Umsatzindex - KfZ-Handel (G45; nom.; 2021=100)": "econ_turnover_index_car_retail",
+    "Einfuhren Insgesamt in €": "econ_imports_total_EUR",
+    "Einfuhren Insg. SITC-3 Brennstoffe, Energie in €": "econ_imports_energy_EUR"}
+
+
+def read_gas_sheet(spark: SparkSession, path: str, mapping: Mapping[str, str] = GAS_COLUMNS, sep: str = ",") -> DataFrame:
+    return read_sheet_export(spark, path, mapping, "Datum", cal.parse_german_month, sep=sep)
+
+
+def read_economy_sheet(spark: SparkSession, path: str, mapping: Mapping[str, str] = ECONOMY_COLUMNS, sep: str = ",") -> DataFrame:
+    return read_sheet_export(spark, path, mapping, "Berichtszeitraum", cal.parse_austrian_month, cal.is_month_token, sep)
+
+
+def read_meta_library(spark: SparkSession, path: str) -> DataFrame:
+    """Label library (column, label, unit): encoding from the whole file, ',' or ';' from its header."""
+    (enc, line), = file_heads(spark, [path]).values()
+    sep = ";" if line.count(";") > line.count(",") else ","
+    lib = read_text_csv(spark, path, sep=sep, encoding=enc)
     return lib.select(F.trim("column").alias("column"), F.trim("label").alias("label"), F.trim("unit").alias("unit"))
 
 

@@ -28,7 +28,7 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) ->
 
 def decimal_comma_text(df: DataFrame) -> DataFrame:
     """Doubles rendered with a decimal comma (report exports for ';' locales)."""
-    return df.select([F.regexp_replace(F.col(f.name).cast("string"), r"\.", ",").alias(f.name)
+    return df.select([F.translate(F.col(f.name).cast("string"), ".", ",").alias(f.name)
                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                       for f in df.schema.fields])
 
