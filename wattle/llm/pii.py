@@ -279,10 +279,15 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> dict[str, Boosted]:
-    """A model a kind from at most ``sample`` documents in which a base rule may hit."""
+    """A model a kind from at most ``sample`` distinct texts in which a base rule may hit."""
     hints = F.col("text").rlike(r"@|[0-9]\.[0-9]+\.[0-9]|\+[0-9]|[0-9][ -]?[0-9]{4,}")
-    rows = (docs.filter(hints).select(F.xxhash64("text").alias("h"), "text").orderBy("h").limit(sample)
-            .repartition(16).mapInArrow(_training_rows, TRAIN))
+    hashed = docs.select(F.xxhash64("text").alias("h"), "text")
+    # the sample is known by its hashes, so no task or driver gathers more than ``sample`` numbers of another
+    last = hashed.filter(hints).select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    if last is None:
+        return {}
+    rows = (hashed.filter((F.col("h") <= last) & hints).dropDuplicates(["h"])
+            .repartition(16, "h").mapInArrow(_training_rows, TRAIN))
     got = rows.groupBy("kind").applyInPandas(_fit, "kind string, trees string, start double, threshold double").collect()
     return {r.kind: Boosted(json.loads(r.trees), r.start, r.threshold) for r in got}
 
