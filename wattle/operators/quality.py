@@ -1,6 +1,5 @@
-"""Data-quality operators. Each section is one aggregate pass over the table
-(partial aggregation on every executor) followed by an unpivot of the single
-result row; nothing is looped per column on the driver."""
+"""Data-quality operators on bin-level tables: columns are unpivoted to (column,
+value) and aggregated by column in one pass; nothing is looped per column on the driver."""
 
 from __future__ import annotations
 

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import (EXPECTED_INTERVALS, calendar_parts, parse_austrian_month,
+from ..functions.calendar import (EXPECTED_INTERVALS, GRAINS, calendar_parts, parse_austrian_month,
                                   parse_german_month, is_month_token)
 from ..functions.cleaning import (columns_with_prefix, combined_mean, normalize_header, null_safe_sum,
                                   row_completeness, share_pct, structural_break)
@@ -51,7 +51,7 @@ def select_era_columns(df: DataFrame, year_col: str, eras: Mapping[str, tuple])
 
 
 def electricity_long(readings: DataFrame, eras: Mapping[str, tuple] = REFERENCE_ERAS,
-                     merge_years: bool = False, week_mode: str = "w-mon") -> DataFrame:
+                     merge_years: bool = False, week_mode: str = "w-mon", grains: Sequence[str] = GRAINS) -> DataFrame:
     """15-minute two-feed readings -> daily/weekly/monthly means, counts, completeness.
 
     Bins are made per ``source_year`` (one file per year in the reference), so
@@ -61,7 +61,7 @@ def electricity_long(readings: DataFrame, eras: Mapping[str, tuple] = REFERENCE_
     r = select_era_columns(readings, "source_year", eras)
     keys = () if merge_years else ("source_year",)
     days = daily_moments(r, "timestamp", feeds, keys)
-    agg = rollup_days(days, feeds, keys, week_mode=week_mode)
+    agg = rollup_days(days, feeds, keys, grains, week_mode=week_mode)
     expected = (F.when(F.col("aggregation_level") == "daily", EXPECTED_INTERVALS["daily"])
                 .when(F.col("aggregation_level") == "weekly", EXPECTED_INTERVALS["weekly"])
                 .otherwise(EXPECTED_INTERVALS["monthly"]))
@@ -160,9 +160,10 @@ def economy_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_long(e, "month", list(ren.values()))
 
 
-def electricity_standin(spark: SparkSession, sf_dir: str, merge_years: bool = False) -> DataFrame:
+def electricity_standin(spark: SparkSession, sf_dir: str, merge_years: bool = False,
+                        grains: Sequence[str] = GRAINS) -> DataFrame:
     return electricity_long(standins.electricity_readings(spark, sf_dir),
-                            standins.ELECTRICITY_ERAS, merge_years)
+                            standins.ELECTRICITY_ERAS, merge_years, grains=grains)
 
 
 def carbon_standin(spark: SparkSession, sf_dir: str) -> DataFrame:

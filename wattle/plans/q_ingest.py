@@ -456,8 +456,8 @@ def degree_days(spark, sf_dir):
 @query("grain_filter", f"""
 SELECT * FROM ({S.electricity_long_sql(EL_A, EL_B)}) WHERE aggregation_level = 'weekly'""")
 def grain_filter(spark, sf_dir):
-    """Rows of one grain (partition-pruned when the table is stored by grain)."""
-    return C.electricity_standin(spark, sf_dir).filter(F.col("aggregation_level") == "weekly")
+    """Rows of one grain: only that grain's bins are made from the day moments."""
+    return C.electricity_standin(spark, sf_dir, grains=("weekly",))
 
 
 @query("time_window_filter", f"""
@@ -507,11 +507,9 @@ SELECT series_id, count(*) AS n_rows, count_if(y IS NOT NULL AND x1 IS NOT NULL
 FROM panel GROUP BY series_id""")
 def complete_cases(spark, sf_dir):
     """Rows with target and every chosen regressor present (x and y share a row)."""
-    p = monthly_panel(spark, sf_dir)
-    cc = p.dropna(subset=["y", "x1", "x2"])
-    return (p.groupBy("series_id").agg(F.count("*").alias("n_rows"))
-            .join(cc.groupBy("series_id").agg(F.count("*").alias("n_complete")), "series_id", "left")
-            .select("series_id", "n_rows", F.coalesce("n_complete", F.lit(0)).alias("n_complete")))
+    whole = F.col("y").isNotNull() & F.col("x1").isNotNull() & F.col("x2").isNotNull()
+    return monthly_panel(spark, sf_dir).groupBy("series_id").agg(F.count("*").alias("n_rows"),
+                                                                 F.count_if(whole).alias("n_complete"))
 
 
 @query("month_slice_count", """

@@ -237,7 +237,37 @@ def regression_compare(spark, sf_dir):
                       rnd("aic").alias("aic"), rnd("rmse_test").alias("rmse_test"), rnd("mae_test").alias("mae_test"))
 
 
-@query("regression_inference")
+def _inference_sql():
+    """Each configuration on its own complete cases: coefficient, standard error, t, p and Beta per term."""
+    ctes, rows = [], []
+    for name, cols in CONFIGS.items():
+        if not cols:
+            continue
+        mom = ["count(*) AS n", "var_pop(y) AS vyy"]
+        for i, a in enumerate(cols):
+            mom += [f"covar_pop({a}, y) AS s{i}y"] + [f"covar_pop({a}, {b}) AS s{i}{j}" for j, b in enumerate(cols) if j >= i]
+        full = " AND ".join(f"{c} IS NOT NULL" for c in ["y", *cols])
+        if len(cols) == 1:
+            b, inv = ["s0y / s00"], ["1 / s00"]
+        else:
+            det = "(s00 * s11 - s01 * s01)"
+            b = [f"(s11 * s0y - s01 * s1y) / {det}", f"(s00 * s1y - s01 * s0y) / {det}"]
+            inv = [f"s11 / {det}", f"s00 / {det}"]
+        fit = " + ".join(f"({x}) * s{i}y" for i, x in enumerate(b))
+        ctes.append(f"i_{name} AS (SELECT *, n * (vyy - ({fit})) / (n - {len(cols)} - 1) AS s2 FROM "
+                    f"(SELECT series_id, {', '.join(mom)} FROM tr WHERE {full} GROUP BY 1))")
+        rows += [f"SELECT series_id, '{name}' AS config, '{c}' AS term, n - {len(cols)} - 1 AS df, {b[i]} AS coef, "
+                 f"sqrt(s2 * ({inv[i]}) / n) AS se, ({b[i]}) * sqrt(s{i}{i} / vyy) AS beta FROM i_{name}"
+                 for i, c in enumerate(cols)]
+    return f"{', '.join(ctes)}, it AS ({' UNION ALL '.join(rows)})"
+
+
+@query("regression_inference", f"""
+WITH {S.SPLIT_CTES}, {_inference_sql()},
+pv AS (SELECT *, coef / se AS t, {S.t_two_sided_sql('(coef / se)', 'df')} AS p FROM it)
+SELECT series_id, config, term, {S.r('coef')} AS coef, {S.r('se')} AS se, {S.r('t')} AS t, {S.r('p', 6)} AS p,
+       CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE '' END AS stars,
+       {S.r('beta')} AS beta FROM pv""")
 def regression_inference(spark, sf_dir):
     """Per configuration: standard errors, t, two-sided p (Student t), stars and
     standardised Beta of every coefficient (classical OLS errors)."""
@@ -260,7 +290,7 @@ def _det3(m):
             f" + ({m[0][2]}) * (({m[1][0]}) * ({m[2][1]}) - ({m[1][1]}) * ({m[2][0]})))")
 
 
-def _regime_sql():
+def _regime_sql(inference: bool = False):
     xs = ["x1", "rs", "rp"]
     S_ = [[f"c_{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
     det = _det3(S_)
@@ -273,17 +303,29 @@ def _regime_sql():
         mom += [f"avg({a}) AS m_{i}", f"covar_pop({a}, y) AS c_{i}y"]
         for j in range(i, 3):
             mom.append(f"covar_pop({a}, {xs[j]}) AS c_{i}{j}")
+    minors = []
+    for j in range(3):
+        a, b = [i for i in range(3) if i != j]
+        minors.append(f"(({S_[a][a]}) * ({S_[b][b]}) - ({S_[a][b]}) * ({S_[a][b]})) / {det} AS inv{j}")
+    if inference:
+        terms = " UNION ALL ".join(
+            f"SELECT series_id, '{t}' AS term, n - 4 AS df, b{j} AS coef, sqrt(ssr / (n - 4) * inv{j} / n) AS se FROM f"
+            for j, t in enumerate(("x1", "regime_shock", "regime_post")))
+        tail = f""", it AS ({terms}), pv AS (SELECT *, coef / se AS t, {S.t_two_sided_sql('(coef / se)', 'df')} AS p FROM it)
+SELECT series_id, term, {S.r('coef')} AS coef, {S.r('se')} AS se, {S.r('t')} AS t, {S.r('p', 6)} AS p FROM pv"""
+    else:
+        tail = f"""
+SELECT series_id, n, {S.r('intercept')} AS intercept, {S.r('b0')} AS coef_x1, {S.r('b1')} AS coef_shock,
+       {S.r('b2')} AS coef_post, {S.r('1 - ssr / (n * vyy)', 6)} AS r2,
+       {S.r('n * ln(2 * pi() * ssr / n) + n + 2 * (3 + 2)')} AS aic
+FROM f"""
     return f"""
 WITH {S.SPLIT_CTES},
 d AS (SELECT series_id, y, x1, CAST(month >= DATE '{SHOCK}' AND month < DATE '{POST}' AS DOUBLE) AS rs,
              CAST(month >= DATE '{POST}' AS DOUBLE) AS rp FROM tr WHERE y IS NOT NULL AND x1 IS NOT NULL),
 mo AS (SELECT series_id, {', '.join(mom)} FROM d GROUP BY 1),
-b AS (SELECT *, {coefs[0]} AS b0, {coefs[1]} AS b1, {coefs[2]} AS b2 FROM mo),
-f AS (SELECT *, my - (b0 * m_0 + b1 * m_1 + b2 * m_2) AS intercept, n * (vyy - (b0 * c_0y + b1 * c_1y + b2 * c_2y)) AS ssr FROM b)
-SELECT series_id, n, {S.r('intercept')} AS intercept, {S.r('b0')} AS coef_x1, {S.r('b1')} AS coef_shock,
-       {S.r('b2')} AS coef_post, {S.r('1 - ssr / (n * vyy)', 6)} AS r2,
-       {S.r('n * ln(2 * pi() * ssr / n) + n + 2 * (3 + 2)')} AS aic
-FROM f"""
+b AS (SELECT *, {coefs[0]} AS b0, {coefs[1]} AS b1, {coefs[2]} AS b2, {', '.join(minors)} FROM mo),
+f AS (SELECT *, my - (b0 * m_0 + b1 * m_1 + b2 * m_2) AS intercept, n * (vyy - (b0 * c_0y + b1 * c_1y + b2 * c_2y)) AS ssr FROM b){tail}"""
 
 
 @query("regime_regression", _regime_sql())
@@ -305,7 +347,7 @@ def _regime_fit(spark, sf_dir):
     return ols(d, ["series_id"], "y", ["x1", "regime_shock", "regime_post"])
 
 
-@query("regime_inference")
+@query("regime_inference", _regime_sql(inference=True))
 def regime_inference(spark, sf_dir):
     """Standard errors, t and two-sided p-values (Student t) of the regime model."""
     sol = _regime_fit(spark, sf_dir)

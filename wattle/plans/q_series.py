@@ -78,7 +78,16 @@ def acf(spark, sf_dir):
     return a.withColumn("acf", rnd("acf", 6))
 
 
-@query("pacf")
+@query("pacf", f"""
+WITH RECURSIVE {S.PANEL_CTES}, {_acf_sql('panel', 'y', MAX_LAG, 'ac')},
+rl AS (SELECT series_id, list(acf ORDER BY lag) AS r FROM ac GROUP BY 1),
+dl AS (SELECT series_id, r, 1 AS k, [r[1]] AS phi, 1 - r[1] * r[1] AS v FROM rl
+       UNION ALL
+       SELECT series_id, r, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - a * phi[k + 1 - j]), a),
+              v * (1 - a * a)
+       FROM (SELECT *, (r[k + 1] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 1 - j]))) / v AS a
+             FROM dl WHERE k < {MAX_LAG}))
+SELECT series_id, CAST(k AS BIGINT) AS lag, {S.r('phi[k]', 6)} AS pacf FROM dl""")
 def pacf(spark, sf_dir):
     """Partial autocorrelation by Durbin-Levinson on each series' ACF."""
     a = acf_op(monthly_panel(spark, sf_dir), "y", MAX_LAG)

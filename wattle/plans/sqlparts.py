@@ -2,8 +2,24 @@
 
 from __future__ import annotations
 
-# the closed forms are shared with the Spark side (one set of coefficients)
-from ..functions.numeric import chi2_sf_even_sql, normal_quantile_sql  # noqa: F401
+# the quantile's coefficients are shared with the Spark side; tests hold it against another source
+from ..functions.numeric import normal_quantile_sql  # noqa: F401
+
+
+def chi2_sf_even_sql(x: str, df: int) -> str:
+    """P(X > x) of a chi-square with even df as a Poisson sum in logarithms."""
+    return (f"list_sum(list_transform(range(0, {df // 2}), "
+            f"lambda j: exp(j * ln(({x}) / 2.0) - lgamma(j + 1) - ({x}) / 2.0)))")
+
+
+def t_two_sided_sql(t: str, df: str) -> str:
+    """Two-sided p of Student's t for whole df: the finite trigonometric sums."""
+    th = f"atan(abs({t}) / sqrt({df}))"
+    even = (f"1 - sin({th}) * list_sum(list_transform(range(0, {df} // 2), lambda j: "
+            f"exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1)) * power(cos({th}), 2 * j)))")
+    odd = (f"1 - 2 / pi() * ({th} + sin({th}) * coalesce(list_sum(list_transform(range(0, ({df} - 1) // 2), lambda j: "
+           f"sqrt(pi()) / 2 * exp(lgamma(j + 1) - lgamma(j + 1.5)) * power(cos({th}), 2 * j + 1))), 0))")
+    return f"(CASE WHEN {df} % 2 = 0 THEN {even} ELSE {odd} END)"
 
 
 def wmon(d: str) -> str:
