@@ -68,8 +68,8 @@ def test_shingle_sets_match_strings(texts):
 def test_tree_search_loses_no_pair():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 6, (40, ngram_join.GROUPS))
-    vecs = np.concatenate([np.maximum(base + rng.integers(-1, 2, base.shape), 0) for _ in range(12)]).astype(np.int32)
-    n = vecs.sum(1)
+    vecs = np.concatenate([np.maximum(base + rng.integers(-1, 2, base.shape) * (rng.random(base.shape) < 0.3), 0) for _ in range(12)]).astype(np.uint16)
+    n = vecs.sum(1, dtype=np.int64)
     q, p = ngram_join.CountTree(vecs, n).search(vecs, n)
     got = set(zip(q.tolist(), p.tolist()))
     low = np.minimum(vecs[:, None], vecs[None]).sum(2)
@@ -78,6 +78,14 @@ def test_tree_search_loses_no_pair():
     assert got == exp and len(exp) > len(n)
 
 
+def test_huge_sets_are_never_pruned():
+    a = np.arange(70_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    va, vb, vc = (ngram_join.count_vector(x)[None] for x in (a, a[:60_000], a[:66_000]))
+    one = np.array([0])
+    assert ngram_join.overlap_bound(va, one, vb, one)[0] == 60_000
+    assert ngram_join.overlap_bound(va, one, vc, one)[0] >= 66_000
+
+
 def test_prefixes_of_linked_sets_meet():
     rng = np.random.default_rng(5)
     sketch = rng.integers(0, 50, 1 << ngram_join.SKETCH_BITS).astype(np.uint16)

@@ -6,7 +6,7 @@ of two sets is at most the sum over the groups of the smaller count, and at
 most that sum with a node's upper corner for all points below an R-tree node.
 Sets link when 100 * |A and B| >= 80 * |A or B|, that is 9 * overlap >= 4 * (|A| + |B|).
 
-In 64 dimensions the corners of a tree over a whole corpus bound nothing (any
+In so many dimensions the corners of a tree over a whole corpus bound nothing (any
 two random documents of 300 shingles are inside each other's node), so one tree
 would compare all with all. Points are therefore routed first, without loss:
 linked sets share one of each other's |A| - ceil(0.8 |A|) + 1 first shingles in
@@ -34,7 +34,7 @@ from .common import drop_kept, keep, read, shuffle_parts
 from .components import components
 from .nptext import NONSPACE, U64, blocks, mix, shingle_sets, texts_of
 
-SHINGLE, GROUPS, MINS = 5, 64, 8
+SHINGLE, GROUPS, MINS = 5, 256, 8
 SKETCH_BITS, SKETCH_CHUNK = 22, 1 << 16
 CELL, LEAF, FAN = 4096, 32, 16
 
@@ -52,8 +52,19 @@ def set_id(s: np.ndarray) -> int:
     return int(mix(np.array([both & (1 << 64) - 1], U64)).astype(np.int64)[0])
 
 
+HUGE = 65_535
+
+
 def count_vector(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> U64(58)).astype(np.int64), minlength=GROUPS).astype("<u4")
+    """Counts by group in 16 bits; a set of HUGE shingles or more has HUGE everywhere, so that
+    summed minima with it are still no smaller than the overlap."""
+    if len(s) >= HUGE:
+        return np.full(GROUPS, HUGE, "<u2")
+    return np.bincount((s >> U64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS).astype("<u2")
+
+
+def vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, GROUPS)
 
 
 def document_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray]]:
@@ -221,11 +232,12 @@ class CountTree:
 
 
 def overlap_bound(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Summed coordinate minima of a[i] and b[j]."""
+    """Summed coordinate minima of a[i] and b[j] (no bound for two huge sets)."""
     out = np.empty(len(i), np.int64)
-    for lo in range(0, len(i), 1 << 14):
-        s = slice(lo, lo + (1 << 14))
+    for lo in range(0, len(i), 1 << 12):
+        s = slice(lo, lo + (1 << 12))
         out[s] = np.minimum(a[i[s]], b[j[s]]).sum(1, dtype=np.int64)
+    out[out == GROUPS * HUGE] = 1 << 60
     return out
 
 
@@ -248,7 +260,7 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         ids, comp, part, n, key, ci, cj = (rows.column(c).to_numpy() for c in
                                            ("set_id", "comp", "part", "n_shingles", "key", "i", "j"))
-        vecs = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int32)
+        vecs = vectors(rows.column("counts"))
         new = np.append(True, (key[1:] != key[:-1]) | (ci[1:] != ci[:-1]) | (cj[1:] != cj[:-1]))
         group, at = np.cumsum(new) - 1, np.append(np.flatnonzero(new), len(key))
         size = np.diff(at)
@@ -288,9 +300,10 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bound_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        va, vb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS) for c in ("ca", "cb"))
+        va, vb = (vectors(batch.column(c)) for c in ("ca", "cb"))
         na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-        ok = linked(np.minimum(va, vb).sum(1, dtype=np.int64), na, nb)
+        every = np.arange(batch.num_rows)
+        ok = linked(overlap_bound(va, every, vb, every), na, nb)
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
 
 
