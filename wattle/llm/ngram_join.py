@@ -15,9 +15,10 @@ of fixed size counts them), so a passage that many documents share routes only
 documents made of little else. A tree then holds the points that share a
 routing shingle, in blocks of at most ``CELL`` points.
 
-Equal sets are one point. Before the trees, each min-hash class is compared
-with its smallest member; what is then known to be connected needs no further
-pair, so a large group of near copies costs about its size, not its square.
+Equal sets are one point. Before the trees, in rounds, each min-hash class is
+compared with one member, another one in every class; what is then known to be
+connected needs no further pair, so a large group of near copies costs about
+its size, not its square.
 """
 
 from __future__ import annotations
@@ -32,9 +33,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import drop_kept, keep, read, shuffle_parts
 from .components import components
+from .membership import may_contain, only_known, passes
 from .nptext import NONSPACE, U64, blocks, mix, shingle_sets, texts_of
 
-SHINGLE, GROUPS, MINS = 5, 256, 8
+SHINGLE, GROUPS = 5, 256
+#: min-hash classes of the rounds that come before the trees
+ROUNDS = (4, 8, 12)
+MINS = sum(ROUNDS)
 SKETCH_BITS, SKETCH_CHUNK = 22, 1 << 16
 CELL, LEAF, FAN = 4096, 32, 16
 
@@ -307,11 +312,16 @@ def _bound_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok)) for c in ("a", "b")], ["a", "b"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        got = [(set_id(s), t) for _, t, s in document_sets(batch) if len(s)]
-        yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()),
-                                          pa.array([g[1] for g in got], pa.binary())], ["set_id", "text"])
+def _texts(sent):
+    """Texts of the sets that the sent table may contain."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [(set_id(s), t) for _, t, s in document_sets(batch) if len(s)]
+            ids = np.array([g[0] for g in got], np.int64)
+            ok = np.flatnonzero(passes(sent.value, ids))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array([got[i][1] for i in ok], pa.binary())],
+                                             ["set_id", "text"])
+    return run
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,12 +346,35 @@ def _set_of(text: bytes) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    ta = texts.select(F.col("set_id").alias("a"), F.col("text").alias("ta"))
-    tb = texts.select(F.col("set_id").alias("b"), F.col("text").alias("tb"))
+    """The pairs (a, b) that are linked, written; texts of other sets are not shuffled."""
+    pairs = keep(pairs, "pairs")
+    ta = only_known(texts, "set_id", may_contain(pairs.select("a"))).select(F.col("set_id").alias("a"), F.col("text").alias("ta"))
+    tb = only_known(texts, "set_id", may_contain(pairs.select("b"))).select(F.col("set_id").alias("b"), F.col("text").alias("tb"))
     rows = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").sortWithinPartitions("a")
     return keep(rows.mapInArrow(_verify, "a long, b long"), "links")
 
 
+def _with_component(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    if known is None:
+        return rows.withColumn("comp", F.col("set_id"))
+    return (rows.join(known.withColumnRenamed("node", "set_id"), "set_id", "left")
+            .withColumn("comp", F.coalesce("root", "set_id")).drop("root"))
+
+
+def _star_pairs(sets: DataFrame, known: DataFrame | None, first: int, last: int) -> DataFrame:
+    """Of the min-hash classes ``first:last``, pairs of a member and the class's centre that are not
+    known to be connected and that the bound lets through. The centre has the smallest hash of
+    (class, set), so classes of the same sets have different centres."""
+    slots = _with_component(sets.select("set_id", F.posexplode(F.slice("mins", first + 1, last - first)).alias("slot", "m")), known)
+    centre = slots.groupBy("slot", "m").agg(F.min_by(F.struct(F.col("set_id").alias("c"), F.col("comp").alias("cc")),
+                                                     F.xxhash64("slot", "m", "set_id")).alias("centre"))
+    star = (slots.join(centre, ["slot", "m"]).filter(F.col("comp") != F.col("centre.cc"))
+            .select(F.least("set_id", "centre.c").alias("a"), F.greatest("set_id", "centre.c").alias("b")).distinct())
+    one = sets.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("na"), F.col("counts").alias("ca"))
+    two = sets.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("counts").alias("cb"))
+    return star.join(one, "a").join(two, "b").mapInArrow(_bound_filter, "a long, b long")
+
+
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, set_id, root: rows with one root are linked, directly or by
     others; the root of an empty set is null."""
@@ -357,35 +390,28 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     shared = keep(routed.repartition(n, "key").sortWithinPartitions("key", "set_id")
                   .mapInArrow(_shared, "key long, set_id long"), "shared")
     ids = keep(shared.select("set_id").distinct(), "ids")
-    texts = keep(docs.mapInArrow(_texts, "set_id long, text binary")
+    wanted = spark.sparkContext.broadcast(may_contain(ids))   # 2 MB
+    texts = keep(docs.mapInArrow(_texts(wanted), "set_id long, text binary")
                  .join(ids.hint("shuffle_hash"), "set_id", "left_semi").dropDuplicates(["set_id"]), "texts")
-
-    # each min-hash class against its smallest member
-    slots = sets.join(ids, "set_id", "left_semi").select("set_id", F.posexplode("mins").alias("slot", "m"))
-    centre = slots.groupBy("slot", "m").agg(F.min("set_id").alias("a"))
-    star = (slots.join(centre, ["slot", "m"]).filter("a <> set_id")
-            .select("a", F.col("set_id").alias("b")).distinct())
-    one = sets.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("na"), F.col("counts").alias("ca"))
-    two = sets.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("counts").alias("cb"))
-    star = star.join(one, "a").join(two, "b").mapInArrow(_bound_filter, "a long, b long")
-    first = _verified(star, texts)
-    known = keep(components(first), "known")
+    routed_sets = keep(sets.join(ids, "set_id", "left_semi"), "routed")
+    links, known, at = None, None, 0
+    for size in ROUNDS:
+        found = _verified(_star_pairs(routed_sets, known, at, at + size), texts)
+        links = found if links is None else links.unionAll(found)
+        known, at = keep(components(links), "known"), at + size
 
     # all other pairs that share a routing shingle, through the trees
-    rows = (shared.join(known.withColumnRenamed("node", "set_id"), "set_id", "left")
-            .select("key", "set_id", F.coalesce("root", "set_id").alias("comp")))
+    rows = _with_component(shared, known)
     mixed = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
              .filter("lo <> hi").select("key", F.ceil(F.col("size") / CELL).cast("int").alias("parts")))
-    rows = (rows.join(mixed, "key").join(sets.select("set_id", "n_shingles", "counts"), "set_id")
+    rows = (rows.join(mixed, "key").join(routed_sets.select("set_id", "n_shingles", "counts"), "set_id")
             .withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
     pairs = (rows.select("key", "i", "j", "set_id", "comp", "part", "n_shingles", "counts")
              .repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
              .mapInArrow(_cell_pairs, "a long, b long").distinct())
-    second = _verified(pairs, texts)
-
-    roots = components(first.unionAll(second)).withColumnRenamed("node", "set_id")
+    roots = components(links.unionAll(_verified(pairs, texts))).withColumnRenamed("node", "set_id")
     drop_kept(texts, shared)
     return keep(members.join(roots, "set_id", "left").select(
         "doc_id", "n_shingles", "set_id",
