@@ -23,6 +23,7 @@ its size, not its square.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ SHINGLE, GROUPS = 5, 256
 ROUNDS = (4, 8, 12)
 MINS = sum(ROUNDS)
 SKETCH_BITS, SKETCH_CHUNK = 22, 1 << 16
-CELL, LEAF, FAN = 4096, 32, 16
+CELL, LEAF, FAN, REGION = 4096, 32, 16, 50_000
 
 
 def linked(common, a, b):
@@ -89,7 +90,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: a row a document. Kind 1: the task's sketch in chunks (chunk number in set_id)."""
     schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()),
                         ("set_id", pa.int64()), ("counts", pa.binary()), ("mins", pa.list_(pa.int64()))])
-    sketch = np.zeros(1 << SKETCH_BITS, np.int32)
+    sketch = np.zeros(1 << SKETCH_BITS, np.uint16)
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
         n, key, counts, mins, cells = [], [], [], [], []
@@ -105,16 +106,17 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([0] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
              pa.array(key, pa.int64()), pa.array(counts, pa.binary()), pa.array(mins, pa.list_(pa.int64()))],
             schema=schema)
-    for i, c in enumerate(np.minimum(sketch, 255).astype(np.uint8).reshape(-1, SKETCH_CHUNK)):
+    for i, c in enumerate(sketch.reshape(-1, SKETCH_CHUNK)):
         if c.any():
-            yield pa.RecordBatch.from_pylist([{"kind": 1, "set_id": i, "counts": c.tobytes()}], schema)
+            small = zlib.compress(np.minimum(c, 255).astype(np.uint8).tobytes(), 1)
+            yield pa.RecordBatch.from_pylist([{"kind": 1, "set_id": i, "counts": small}], schema)
 
 
 def _add_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for i, c in zip(batch.column("set_id").to_pylist(), batch.column("counts").to_pylist()):
-            total[i] = total.get(i, 0) + np.frombuffer(c, np.uint8).astype(np.int64)
+            total[i] = total.get(i, 0) + np.frombuffer(zlib.decompress(c), np.uint8).astype(np.int64)
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(total), pa.int64()),
          pa.array([np.minimum(c, 65535).astype("<u2").tobytes() for c in total.values()], pa.binary())],
@@ -285,7 +287,20 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ok = linked(overlap_bound(vecs, a[first], vecs, b[first]), n[a[first]], n[b[first]])
         return pa.RecordBatch.from_arrays([pa.array(two[ok, 0], pa.int64()), pa.array(two[ok, 1], pa.int64())], ["a", "b"])
 
+    def flush(found: list[np.ndarray]) -> pa.RecordBatch:
+        two = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
+
+    def emit(rows: pa.Table, found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Pairs that several routing shingles of neighbouring rows give go out once."""
+        got = pairs(rows)
+        found.append(np.stack([got.column(0).to_numpy(), got.column(1).to_numpy()], 1))
+        if sum(map(len, found)) > 200_000:
+            yield flush(found)
+            found.clear()
+
     held: list[pa.RecordBatch] = []
+    found: list[np.ndarray] = []
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -297,10 +312,12 @@ def _cell_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(batch)                   # still inside one group
             continue
         cut = int(batch.num_rows - same.sum())   # rows are sorted: the last group is at the end
-        yield pairs(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+        yield from emit(pa.Table.from_batches([*held, batch.slice(0, cut)]), found)
         held = [batch.slice(cut)]
     if held:
-        yield pairs(pa.Table.from_batches(held))
+        yield from emit(pa.Table.from_batches(held), found)
+    if found:
+        yield flush(found)
 
 
 def _bound_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,13 +420,19 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     # all other pairs that share a routing shingle, through the trees
     rows = _with_component(shared, known)
     mixed = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-             .filter("lo <> hi").select("key", F.ceil(F.col("size") / CELL).cast("int").alias("parts")))
+             .filter("lo <> hi").select("key", "lo", "size", F.ceil(F.col("size") / CELL).cast("int").alias("parts")))
+    # shingles of one family of texts lie together, so its pairs go out once; a family of more than
+    # REGION rows is dealt to as many regions as it needs
+    regions = mixed.groupBy("lo").agg(F.ceil(F.sum("size") / REGION).alias("regions"))
+    mixed = mixed.join(regions, "lo").withColumn("region", F.pmod(F.xxhash64("key"), F.col("regions"))).drop("size", "regions")
     rows = (rows.join(mixed, "key").join(routed_sets.select("set_id", "n_shingles", "counts"), "set_id")
             .withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
-    pairs = (rows.select("key", "i", "j", "set_id", "comp", "part", "n_shingles", "counts")
-             .repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
+            # the cells of one very common shingle are dealt out one by one
+            .withColumn("region", F.when(F.col("parts") > 1, F.xxhash64("key", "i", "j")).otherwise(F.col("region"))))
+    pairs = (rows.select("lo", "region", "key", "i", "j", "set_id", "comp", "part", "n_shingles", "counts")
+             .repartition(n, "lo", "region").sortWithinPartitions("lo", "region", "key", "i", "j")
              .mapInArrow(_cell_pairs, "a long, b long").distinct())
     roots = components(links.unionAll(_verified(pairs, texts))).withColumnRenamed("node", "set_id")
     drop_kept(texts, shared)
