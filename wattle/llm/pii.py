@@ -100,24 +100,38 @@ def base_spans(t: str) -> dict[str, list[Span]]:
 # --- proposals
 
 _RUN = re.compile(r"[0-9][0-9 ().,/\-]{5,}[0-9]")
-_AT = re.compile(r"\s?(?:@|\(at\)|\[at\]|\sat\s)\s?")
-_AFTER = re.compile(r"[A-Za-z0-9-]+(?:\s?(?:\.|\(dot\)|\[dot\]|\sdot\s)\s?[A-Za-z0-9-]+)*")
-_BEFORE = re.compile(r"[A-Za-z0-9._%+-]+$")
-AT_MARKS = ("@", "(at)", "[at]", " at ")
+_AT = re.compile(r"@|[(\[{<]\s?at\s?[)\]}>]|(?<=\s)at(?=\s)", re.I)
+_DOT = r"\s?(?:\.|[(\[{<]\s?dot\s?[)\]}>]|(?<=\s)dot(?=\s))\s?"
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+_LABELS = re.compile(rf"(?:{_DOT})([A-Za-z0-9-]+)", re.I)
+_GAP = re.compile(r"[ ().,/\-]{0,3}(?=[0-9])")
+LABELS = 127                                              # a domain name has no more labels
+
+
+def propose_emails(t: str) -> Iterator[Span]:
+    """Every mark, written in any case, with the local part before it and each run of labels after it.
+    The word "at" needs a dot of some form after it."""
+    for m in _AT.finditer(t):
+        s, e = m.span()
+        while s and t[s - 1].isspace():
+            s -= 1
+        while e < len(t) and t[e].isspace():
+            e += 1
+        start = s
+        while start and t[start - 1] in _LOCAL:
+            start -= 1
+        label = _LABEL.match(t, e) if start < s else None
+        for n in range(LABELS):
+            if not label:
+                break
+            if n or len(m[0]) != 2:
+                yield start, label.end()
+            label = _LABELS.match(t, label.end())
 
 
 def propose(t: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of everything that may be personal data; spans may overlap."""
-    found = []
-    for mark in AT_MARKS if " dot " in t or "[dot]" in t or "(dot)" in t or "@" in t else ("(at)", "[at]"):
-        at = t.find(mark)
-        while at >= 0:
-            m = _AT.match(t, at - 1 if at and t[at - 1].isspace() and mark != " at " else at)
-            b = _BEFORE.search(t, max(0, m.start() - 64), m.start()) if m else None
-            a = _AFTER.match(t, m.end()) if m else None
-            if a and b and (mark != " at " or " dot " in a[0] or "." in a[0]):
-                found.append(("email", b.start(), a.end()))
-            at = t.find(mark, at + len(mark))
+    found = [("email", s, e) for s, e in propose_emails(t)]
     for m in _RUN.finditer(t):
         s, e = m.span()
         s0 = s
@@ -136,7 +150,7 @@ def propose(t: str) -> list[tuple[str, int, int]]:
 # Words whose presence shortly before a span is a feature.
 CONTEXT = {"email": ("mail", "contact", "write", "e-mail", "email"), "ip": ("ip", "address", "host", "server"),
            "card": ("card", "visa", "credit", "account", "payment"), "phone": ("tel", "phone", "call", "fax", "mobile")}
-FEATURES = 22
+FEATURES = 25
 
 
 def features(t: str, kind: str, s: int, e: int) -> list[float]:
@@ -151,7 +165,19 @@ def features(t: str, kind: str, s: int, e: int) -> list[float]:
             float(all(map(_octet, groups))) if len(groups) == 4 else -1.0,
             float(edge.isalnum()) + 2 * float(edge in "\"'=#$_:"), float(after.isalnum()) + 2 * float(after in "\"'=%$_:"),
             float(any(w in before for w in CONTEXT[kind])), float("@" in x) + 2 * float("at" in x.lower()),
-            float(len(re.split(r"\W+", x)[-1])), float(len(set(d))) / max(1, len(d))]
+            float(len(re.split(r"\W+", x)[-1])), float(len(set(d))) / max(1, len(d)),
+            _gap(before[::-1], 0), _gap(t, e), float(_LABELS.match(t, e) is not None)]
+
+
+def _gap(t: str, at: int) -> float:
+    """1 + places to the next digit if only separators stand between, else 0."""
+    m = _GAP.match(t, at)
+    return 1.0 + len(m[0]) if m else 0.0
+
+
+def _same(t: str, a: Span, b: Span) -> bool:
+    """The same span, but for a leading plus or bracket."""
+    return a[1] == b[1] and t[a[0]:a[1]].lstrip("+(") == t[b[0]:b[1]].lstrip("+(")
 
 
 def _disguise(kind: str, x: str) -> tuple[list[str], list[str]]:
@@ -160,7 +186,8 @@ def _disguise(kind: str, x: str) -> tuple[list[str], list[str]]:
     if kind == "email":
         local, _, domain = x.partition("@")
         return ([f"{local} at {domain.replace('.', ' dot ')}", f"{local} (at) {domain}", f"{local}[at]{domain}",
-                 f"{local} @ {domain}"], [f"{local}@", f"{local} at {domain.split('.')[0]}", f"{local} @ {domain.split('.')[0]}"])
+                 f"{local} @ {domain}", f"{local} at {domain}", f"{local} AT {domain.replace('.', ' DOT ')}",
+                 f"{local} at {domain.replace('.', ' [dot] ')}", f"{local} (at) {domain.replace('.', ' (dot) ')}"], [f"{local}@", f"{local} at {domain.split('.')[0]}", f"{local} @ {domain.split('.')[0]}"])
     if kind == "ip":
         p = x.split(".")
         return [" . ".join(p), ". ".join(p), "-".join(p)], [".".join(str(int(y) + 256) for y in p), ", ".join(f"{y}0" for y in p),
@@ -184,12 +211,13 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             def add(text: str, at: tuple[int, int] | None, kind: str | None, good: bool, n=n, rows=rows) -> None:
                 for k, s, e in propose(text):
                     if at is None or (k == kind and s < at[1] and e > at[0]):
-                        rows.append({"kind": k, "half": int(n % 2), "positive": int(good), "x": features(text, k, s, e)})
+                        right_cut = good and (at is None or _same(text, (s, e), at))
+                        rows.append({"kind": k, "half": int(n % 2), "positive": int(right_cut), "x": features(text, k, s, e)})
             taken = [z for v in base.values() for z in v]
             for k, s, e in propose(t):
-                if any(s <= a and b <= e for a, b in base[k]):
+                if any(_same(t, (s, e), z) for z in base[k]):
                     rows.append({"kind": k, "half": int(n % 2), "positive": 1, "x": features(t, k, s, e)})
-                elif not any(s < b and a < e for a, b in taken):
+                elif any(s < b and a < e for a, b in base[k]) or not any(s < b and a < e for a, b in taken):
                     rows.append({"kind": k, "half": int(n % 2), "positive": 0, "x": features(t, k, s, e)})
             for k, spans in base.items():
                 for s, e in spans[:3]:                    # a few examples a document; this only feeds the training
