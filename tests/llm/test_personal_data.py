@@ -32,3 +32,28 @@ def test_an_address_without_any_other_mark_is_added(spark):
     more = [(1000, "Please write to john at example.com today"), (1001, "Please write to ANN (AT) MAIL.COM today")]
     got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(good + more, "doc_id long, text string")).collect()}
     assert got[1000].spans == "email:16:35" and got[1001].n_added == 1
+
+
+@pytest.mark.parametrize("t, kind, parts", [
+    ("0171 5551234, 0171 5559876", "phone", {"0171 5551234", "0171 5559876"}),
+    ("4111.1111.1111.1111 5500.0000.0000.0004", "card", {"4111.1111.1111.1111", "5500.0000.0000.0004"}),
+    ("on 12/05/2024 0171 5551234", "phone", {"0171 5551234"}),
+    ("10-1-2-3, 10-1-2-4", "ip", {"10-1-2-3", "10-1-2-4"}),
+    ("1, 2, 3, " * 50 + "(0171) 5551234", "phone", {"(0171) 5551234"})])
+def test_neighbouring_numbers_are_proposed_one_by_one(t, kind, parts):
+    assert parts <= proposed(t, kind)
+
+
+def test_long_lists_of_numbers_give_few_proposals_a_number():
+    assert len(pii.propose("1 " * 20_000)) <= 20_000 * 2 * pii.MOST_DIGITS
+
+
+def test_numbers_in_a_list_are_added(spark):
+    cards = [f"4111 1111 1111 {n}" for n in range(1000, 5000) if pii.luhn(f"411111111111{n}")]
+    good = [(i, f"Please call +1 ({200 + i}) 555-{7000 + i} or pay with {cards[i]} today") for i in range(400)]
+    one, two = cards[3].replace(" ", "."), cards[7].replace(" ", ".")
+    more = [(1000, f"Please pay with {one}, {two} today")]
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(good + more, "doc_id long, text string")).collect()}
+    t = more[0][1]
+    spans = {t[int(s):int(e)] for _, s, e in (x.split(":") for x in got[1000].spans.split(",") if x)}
+    assert spans == {one, two}

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,11 +101,13 @@ def base_spans(t: str) -> dict[str, list[Span]]:
 # --- proposals
 
 _RUN = re.compile(r"[0-9][0-9 ().,/\-]{5,}[0-9]")
+_GROUP = re.compile(r"[0-9]+")
 _AT = re.compile(r"@|[(\[{<]\s?at\s?[)\]}>]|(?<=\s)at(?=\s)", re.I)
 _DOT = r"\s?(?:\.|[(\[{<]\s?dot\s?[)\]}>]|(?<=\s)dot(?=\s))\s?"
 _LABEL = re.compile(r"[A-Za-z0-9-]+")
 _LABELS = re.compile(rf"(?:{_DOT})([A-Za-z0-9-]+)", re.I)
 _GAP = re.compile(r"[ ().,/\-]{0,3}(?=[0-9])")
+MOST_DIGITS = 21                                          # of a card number
 LABELS = 127                                              # a domain name has no more labels
 
 
@@ -130,20 +133,25 @@ def propose_emails(t: str) -> Iterator[Span]:
 
 
 def propose(t: str) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of everything that may be personal data; spans may overlap."""
+    """(kind, start, end) of everything that may be personal data; spans may overlap. Of a run of
+    numbers each stretch of neighbouring groups counts whose digits fit the kind."""
     found = [("email", s, e) for s, e in propose_emails(t)]
     for m in _RUN.finditer(t):
-        s, e = m.span()
-        s0 = s
-        while s0 and t[s0 - 1] in "+(" and s - s0 < 2:
-            s0 -= 1
-        d = len(only_digits(m[0]))
-        if 7 <= d <= 17:
-            found.append(("phone", s0, e))
-        if 13 <= d <= 21:
-            found.append(("card", s, e))
-        if 4 <= d <= 12 and len(re.split(r"[^0-9]+", m[0])) == 4:
-            found.append(("ip", s, e))
+        groups = [g.span() for g in _GROUP.finditer(t, *m.span())]
+        for i, (s, _) in enumerate(groups):
+            s0, d = s, 0
+            while s0 and t[s0 - 1] in "+(" and s - s0 < 2:
+                s0 -= 1
+            for n, (at, e) in enumerate(groups[i:], 1):
+                d += e - at
+                if d > MOST_DIGITS:
+                    break
+                if 7 <= d <= 17:
+                    found.append(("phone", s0, e))
+                if 13 <= d:
+                    found.append(("card", s, e))
+                if n == 4 and d <= 12:
+                    found.append(("ip", s, e))
     return found
 
 
@@ -225,6 +233,9 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     for forms, good in zip(_disguise(k, t[s:e]), (True, False)):
                         for form in forms:
                             add(left + form + right, (len(left), len(left) + len(form)), k, good)
+                    if k != "email":                      # two numbers side by side
+                        for form, mid in zip(_disguise(k, t[s:e])[0], (", ", " / ", " ")):
+                            add(left + form + mid + form + right, (len(left), len(left) + len(form)), k, True)
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("kind", pa.string()), ("half", pa.int32()),
                                                           ("positive", pa.int32()), ("x", pa.list_(pa.float64()))]))
 
@@ -320,11 +331,30 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> dict[str, Boosted]:
     return {r.kind: Boosted(json.loads(r.trees), r.start, r.threshold) for r in got}
 
 
+class Taken:
+    """Places already taken, as disjoint spans in order."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans: list[Span] = []
+        for s, e in sorted(spans):
+            if self.spans and s < self.spans[-1][1]:
+                self.spans[-1] = (self.spans[-1][0], max(e, self.spans[-1][1]))
+            else:
+                self.spans.append((s, e))
+
+    def overlaps(self, s: int, e: int) -> bool:
+        i = bisect_left(self.spans, (e,))
+        return i > 0 and self.spans[i - 1][1] > s
+
+    def add(self, s: int, e: int) -> None:
+        insort(self.spans, (s, e))
+
+
 def added_spans(t: str, base: dict[str, list[Span]], models: dict[str, Boosted]) -> dict[str, list[Span]]:
     """Accepted proposals that overlap no base span; of overlapping ones the likelier, then the earlier and longer."""
     out: dict[str, list[Span]] = {k: [] for k in KINDS}
-    proposals = [c for c in propose(t) if c[0] in models]
-    taken = [z for v in base.values() for z in v]
+    taken = Taken([z for v in base.values() for z in v])
+    proposals = [c for c in propose(t) if c[0] in models and not taken.overlaps(*c[1:])]
     scored = []
     for kind in models:
         own = [c for c in proposals if c[0] == kind]
@@ -332,8 +362,8 @@ def added_spans(t: str, base: dict[str, list[Span]], models: dict[str, Boosted])
             p = models[kind].predict(np.array([features(t, *c) for c in own]))
             scored += [(-q, s, -e, kind) for q, (_, s, e) in zip(p.tolist(), own) if q >= models[kind].threshold]
     for _, s, e, kind in sorted(scored):
-        if not any(s < b and a < -e for a, b in taken):
-            taken.append((s, -e))
+        if not taken.overlaps(s, -e):
+            taken.add(s, -e)
             out[kind].append((s, -e))
     return out
 
