@@ -57,3 +57,26 @@ def test_numbers_in_a_list_are_added(spark):
     t = more[0][1]
     spans = {t[int(s):int(e)] for _, s, e in (x.split(":") for x in got[1000].spans.split(",") if x)}
     assert spans == {one, two}
+
+
+def test_a_rare_kind_in_a_large_table_is_learnt(spark):
+    many = [(i, f"Write to ann{i}@mail{i % 7}.example.com on day {i}") for i in range(1200)]
+    rare = [(10_000 + i, f"The server at 10.{i}.4.{200 - i} is up") for i in range(30)]
+    more = [(20_000, "The server at 10-7-4-9 is up")]
+    docs = spark.createDataFrame(many + rare + more, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find_personal_data(docs, sample=100).collect()}
+    assert got[20_000].spans == "ip:14:22"
+
+
+def test_each_kind_is_drawn_by_itself_and_copies_count_once(spark):
+    rows = [(i, f"Write to a{i}@b.org", i) for i in range(500)] + [(0, "Write to a0@b.org", 0)] * 500
+    rows += [(1000 + i, f"from 10.0.0.{i}", 1000 + i) for i in range(50)]
+    got = pii.draw(spark.createDataFrame(rows, "doc_id long, text string, h long"), 80)
+    assert got["ip"] == set(range(1000, 1050)) and 80 <= len(got["email"]) <= 120
+
+
+def test_the_cut_counts_every_text():
+    import numpy as np
+    score, y, n = np.array([9.0, 5.0, 5.0, 1.0]), np.array([1.0, 1.0, 0.0, 0.0]), np.array([1000, 2000, 20, 500])
+    assert pii.lowest_cut(score, y, n) == 5.0
+    assert pii.lowest_cut(score, y, np.array([1000, 2000, 200, 500])) == 9.0

@@ -3,9 +3,9 @@
 The base rules always count. Besides them, generators of high recall propose
 overlapping spans (written-out or bracketed "at" and "dot", numbers without a
 plus, spaced addresses, other separators). Boosted trees per kind, trained here
-on a bounded sample, score each proposal from its format and its context; a
-threshold calibrated for precision on the sample's second half selects what is
-added. The trees learn from the base spans, from the same spans disguised in
+on a bounded sample of the texts that hold the kind, score each proposal from
+its format and its context; a threshold calibrated for precision on the scores
+of all texts outside the training selects what is added. The trees learn from the base spans, from the same spans disguised in
 their own sentences, and from corrupted ones and other proposals as negatives.
 """
 
@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import drop_kept, keep, read
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE = 4_000                 # documents with base spans (lowest text hashes) that the trees are trained on
+SAMPLE = 4_000                 # distinct texts a kind (lowest hashes of those with its base spans); half of them train
+NATURAL = 64                   # proposals a kind and text that train
+STEPS = 64                     # score bins a unit of the logit
 ROUNDS, RATE, DEPTH, BINS = 30, 0.3, 3, 16
-PRECISION, LEAST = 0.99, 20    # a kind adds nothing unless LEAST held-out proposals reach this precision
+PRECISION, LEAST = 0.99, 20    # a kind adds nothing unless LEAST proposals outside the training reach this precision
 
 _LOCAL = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -207,44 +209,73 @@ def _disguise(kind: str, x: str) -> tuple[list[str], list[str]]:
     return ([x.lstrip("+"), "00" + x.lstrip("+"), x.lstrip("+").replace(" ", ".")], [d[:6], d[:3] + "," + d[3:6] + "," + d[6:9], d[:4] + "/" + d[4:8]])
 
 
-TRAIN = "kind string, half int, positive int, x array<double>"
+class Taken:
+    """Places already taken, as disjoint spans in order."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans: list[Span] = []
+        for s, e in sorted(spans):
+            if self.spans and s < self.spans[-1][1]:
+                self.spans[-1] = (self.spans[-1][0], max(e, self.spans[-1][1]))
+            else:
+                self.spans.append((s, e))
+
+    def overlaps(self, s: int, e: int) -> bool:
+        i = bisect_left(self.spans, (e,))
+        return i > 0 and self.spans[i - 1][1] > s
+
+    def add(self, s: int, e: int) -> None:
+        insort(self.spans, (s, e))
+
+
+def proposals(t: str, base: dict[str, list[Span]]) -> Iterator[tuple[str, int, int, bool, bool]]:
+    """(kind, start, end, is a base span of its kind, overlaps no base span) of every proposal; those
+    that overlap base spans of other kinds alone are left out."""
+    taken, own = Taken([z for v in base.values() for z in v]), {k: Taken(v) for k, v in base.items()}
+    ends = {k: {z[1]: z for z in v} for k, v in base.items()}
+    for k, s, e in propose(t):
+        free = not taken.overlaps(s, e)
+        if free or own[k].overlaps(s, e):
+            yield k, s, e, e in ends[k] and _same(t, (s, e), ends[k][e]), free
+
+
+def disguised(t: str, base: dict[str, list[Span]], most: int | None = None) -> Iterator[tuple[str, bool, list[float]]]:
+    """(kind, is right, features) of what is proposed where base spans stand disguised or corrupted in their sentences."""
+    for k, spans in base.items():
+        for s, e in spans[:most]:
+            left, right = t[max(0, s - 60):s], t[e:e + 60]
+            good, bad = _disguise(k, t[s:e])
+            texts = [(x, "", True) for x in good] + [(x, "", False) for x in bad]
+            if k != "email":                              # two numbers side by side
+                texts += [(x, mid + x, True) for x, mid in zip(good, (", ", " / ", " "))]
+            for form, more, right_form in texts:
+                text, at = left + form + more + right, (len(left), len(left) + len(form))
+                for kind, s1, e1 in propose(text):
+                    if kind == k and s1 < at[1] and e1 > at[0]:
+                        yield k, right_form and _same(text, (s1, e1), at), features(text, k, s1, e1)
 
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[dict] = []
-        for n, t in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist()):
+        for t in batch.column("text").to_pylist():
             base = base_spans(t)
-
-            def add(text: str, at: tuple[int, int] | None, kind: str | None, good: bool, n=n, rows=rows) -> None:
-                for k, s, e in propose(text):
-                    if at is None or (k == kind and s < at[1] and e > at[0]):
-                        right_cut = good and (at is None or _same(text, (s, e), at))
-                        rows.append({"kind": k, "half": int(n % 2), "positive": int(right_cut), "x": features(text, k, s, e)})
-            taken = [z for v in base.values() for z in v]
-            for k, s, e in propose(t):
-                if any(_same(t, (s, e), z) for z in base[k]):
-                    rows.append({"kind": k, "half": int(n % 2), "positive": 1, "x": features(t, k, s, e)})
-                elif any(s < b and a < e for a, b in base[k]) or not any(s < b and a < e for a, b in taken):
-                    rows.append({"kind": k, "half": int(n % 2), "positive": 0, "x": features(t, k, s, e)})
-            for k, spans in base.items():
-                for s, e in spans[:3]:                    # a few examples a document; this only feeds the training
-                    left, right = t[max(0, s - 60):s], t[e:e + 60]
-                    for forms, good in zip(_disguise(k, t[s:e]), (True, False)):
-                        for form in forms:
-                            add(left + form + right, (len(left), len(left) + len(form)), k, good)
-                    if k != "email":                      # two numbers side by side
-                        for form, mid in zip(_disguise(k, t[s:e])[0], (", ", " / ", " ")):
-                            add(left + form + mid + form + right, (len(left), len(left) + len(form)), k, True)
-        yield pa.RecordBatch.from_pylist(rows, pa.schema([("kind", pa.string()), ("half", pa.int32()),
-                                                          ("positive", pa.int32()), ("x", pa.list_(pa.float64()))]))
+            found: dict[str, list] = {k: [] for k in KINDS}
+            for k, s, e, right, _ in proposals(t, base):
+                found[k].append((s, e, right))
+            for k, v in found.items():                    # examples of a text are bounded; this only feeds the training
+                rows += [{"kind": k, "positive": int(right), "x": features(t, k, s, e)}
+                         for s, e, right in v[::-(-len(v) // NATURAL) or 1]]
+            rows += [{"kind": k, "positive": int(right), "x": x} for k, right, x in disguised(t, base, 3)]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("kind", pa.string()), ("positive", pa.int32()),
+                                                          ("x", pa.list_(pa.float64()))]))
 
 
 class Boosted:
     """Gradient-boosted depth-3 trees on binned features (logistic loss, Newton leaves)."""
 
-    def __init__(self, trees: list | None = None, start: float = 0.0, threshold: float = 2.0):
-        self.trees, self.start, self.threshold = trees or [], start, threshold
+    def __init__(self, trees: list | None = None, start: float = 0.0):
+        self.trees, self.start = trees or [], start
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> "Boosted":
         edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
@@ -284,7 +315,7 @@ class Boosted:
                 best = (float(gain[k]), j, float(e[k]))
         return best[1], best[2]
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
+    def logit(self, x: np.ndarray) -> np.ndarray:
         score = np.full(len(x), self.start)
         for split, leaf in self.trees:
             node, first = np.zeros(len(x), np.int64), 0
@@ -293,75 +324,121 @@ class Boosted:
                 v = np.array([s[1] for s in split[first:first + (1 << depth)]])
                 node, first = 2 * node + (x[np.arange(len(x)), f[node]] > v[node]), first + (1 << depth)
             score += np.array(leaf)[node]
-        return 1 / (1 + np.exp(-np.clip(score, -40, 40)))
+        return np.clip(score, -40, 40)
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-self.logit(x)))
+
+
+def lowest_cut(score: np.ndarray, y: np.ndarray, n: np.ndarray) -> float | None:
+    """The lowest score from which on PRECISION of the proposals are right; ``n`` of them have a score and an answer."""
+    order = np.argsort(-score, kind="stable")
+    hits, all_ = np.cumsum((y * n)[order]), np.cumsum(n[order])
+    last = np.append(score[order][1:] != score[order][:-1], True)   # only between different scores
+    ok = np.flatnonzero(last & (hits >= PRECISION * all_) & (hits >= LEAST))
+    return float(score[order][ok[-1]]) if len(ok) else None
 
 
 def calibrate(p: np.ndarray, y: np.ndarray) -> float:
-    """The lowest score from which on PRECISION of held-out proposals are right (2: none is)."""
-    order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    last = np.append(p[order][1:] != p[order][:-1], True)           # only between different scores
-    ok = np.flatnonzero(last & (hits >= PRECISION * np.arange(1, len(p) + 1)) & (hits >= LEAST))
-    return max(0.5, float(p[order][ok[-1]])) if len(ok) else 2.0
+    """``lowest_cut`` of likelihoods, 0.5 at least (2: there is none)."""
+    cut = lowest_cut(p, y, np.ones(len(p)))
+    return 2.0 if cut is None else max(0.5, cut)
 
 
 def _fit(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["half", "positive"], kind="stable")
-    x, y, held = np.array(rows["x"].tolist(), float), rows["positive"].to_numpy(float), rows["half"].to_numpy() == 1
-    if y[~held].sum() < LEAST or (1 - y[~held]).sum() < 1:
-        return pd.DataFrame({"kind": [rows["kind"].iloc[0]], "trees": ["[]"], "start": [0.0], "threshold": [2.0]})
+    x, y = np.array(rows["x"].tolist(), float), rows["positive"].to_numpy(float)
+    if y.sum() < LEAST or (1 - y).sum() < 1:
+        return pd.DataFrame({"kind": [rows["kind"].iloc[0]], "trees": ["[]"], "start": [0.0]})
     order = np.lexsort((*x.T, y))                                   # the same rows in any order give the same trees
-    x, y, held = x[order], y[order], held[order]
-    model = Boosted().fit(x[~held], y[~held])
-    return pd.DataFrame({"kind": [rows["kind"].iloc[0]], "trees": [json.dumps(model.trees)], "start": [model.start],
-                         "threshold": [calibrate(model.predict(x[held]), y[held])]})
-
-
-def train(docs: DataFrame, sample: int = SAMPLE) -> dict[str, Boosted]:
-    """A model a kind from at most ``sample`` distinct texts in which a base rule may hit."""
-    hints = F.col("text").rlike(r"@|[0-9]\.[0-9]+\.[0-9]|\+[0-9]|[0-9][ -]?[0-9]{4,}")
-    hashed = docs.select(F.xxhash64("text").alias("h"), "text")
-    # the sample is known by its hashes, so no task or driver gathers more than ``sample`` numbers of another
-    last = hashed.filter(hints).select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if last is None:
-        return {}
-    rows = (hashed.filter((F.col("h") <= last) & hints).dropDuplicates(["h"])
-            .repartition(16, "h").mapInArrow(_training_rows, TRAIN))
-    got = rows.groupBy("kind").applyInPandas(_fit, "kind string, trees string, start double, threshold double").collect()
-    return {r.kind: Boosted(json.loads(r.trees), r.start, r.threshold) for r in got}
+    model = Boosted().fit(x[order], y[order])
+    return pd.DataFrame({"kind": [rows["kind"].iloc[0]], "trees": [json.dumps(model.trees)], "start": [model.start]})
 
 
-class Taken:
-    """Places already taken, as disjoint spans in order."""
-
-    def __init__(self, spans: list[Span]):
-        self.spans: list[Span] = []
-        for s, e in sorted(spans):
-            if self.spans and s < self.spans[-1][1]:
-                self.spans[-1] = (self.spans[-1][0], max(e, self.spans[-1][1]))
-            else:
-                self.spans.append((s, e))
+def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for h, t in zip(batch.column("h").to_pylist(), batch.column("text").to_pylist()):
+            rows += [{"kind": k, "h": h} for k, v in base_spans(t).items() if v]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("kind", pa.string()), ("h", pa.int64())]))
+
+
+def draw(rows: DataFrame, sample: int = SAMPLE) -> dict[str, set[int]]:
+    """A kind's hashes: the lowest ``sample`` of all distinct texts that hold a base span of it, and those in one step
+    of the logarithm with the last."""
+    step = F.floor(F.log2(F.shiftrightunsigned("h", 1).cast("double") + 1) * 16).alias("step")
+    hits = keep(rows.mapInArrow(_kinds, "kind string, h long").distinct(), "personal-kinds")
+    counts = sorted(hits.groupBy("kind", step).count().collect())   # at most 1,009 steps a kind
+    out: dict[str, set[int]] = {}
+    for kind in {r[0] for r in counts}:
+        total, last = 0, 0
+        for _, last, n in (r for r in counts if r[0] == kind):
+            total += n
+            if total >= sample:
+                break
+        out[kind] = {r.h for r in hits.filter((F.col("kind") == kind) & (step <= last)).select("h").collect()}
+    drop_kept(hits)
+    return out
 
-    def overlaps(self, s: int, e: int) -> bool:
-        i = bisect_left(self.spans, (e,))
-        return i > 0 and self.spans[i - 1][1] > s
 
-    def add(self, s: int, e: int) -> None:
-        insort(self.spans, (s, e))
+def train(rows: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, Boosted], frozenset[int]]:
+    """A model a kind, and the hashes of the texts it is from: half of those drawn, so that the others can calibrate."""
+    hashes = frozenset(h for v in draw(rows, sample).values() for h in v if h % 2 == 0)
+    if not hashes:
+        return {}, hashes
+    ids = rows.sparkSession.createDataFrame([(h,) for h in sorted(hashes)], "h long")
+    examples = (rows.select("h", "text").join(F.broadcast(ids), "h", "left_semi").dropDuplicates(["h"])
+                .repartition(16, "h").mapInArrow(_training_rows, "kind string, positive int, x array<double>"))
+    got = examples.groupBy("kind").applyInPandas(_fit, "kind string, trees string, start double").collect()
+    return {r.kind: Boosted(json.loads(r.trees), r.start) for r in got if r.trees != "[]"}, hashes
+
+
+def scores(models: dict[str, Boosted], items: Iterator[tuple]) -> Iterator[tuple]:
+    """(kind, features, *more) -> (kind, score, *more) of those that are rather right than wrong, in batches."""
+    waiting: dict[str, list] = {k: [] for k in models}
+
+    def flush(k: str) -> Iterator[tuple]:
+        got, waiting[k] = waiting[k], []
+        z = np.floor(models[k].logit(np.array([i[1] for i in got])) * STEPS).astype(int) if got else []
+        return ((k, int(q), *i[2:]) for q, i in zip(z, got) if q >= 0)
+    for i in items:
+        if i[0] in waiting:
+            waiting[i[0]].append(i)
+            if len(waiting[i[0]]) >= 4096:
+                yield from flush(i[0])
+    for k in waiting:
+        yield from flush(k)
+
+
+def _items(batch: pa.RecordBatch, bases: list[dict], trained: frozenset[int]) -> Iterator[tuple]:
+    """(kind, features, row, span or None, answer or None): the spans to choose from, and the answers to calibrate by."""
+    for i, (h, t) in enumerate(zip(batch.column("h").to_pylist(), batch.column("text").to_pylist())):
+        held = h not in trained
+        for k, s, e, right, free in proposals(t, bases[i]):
+            if free or held:
+                yield k, features(t, k, s, e), i, (s, e) if free else None, int(right) if held else None
+        if held:
+            for k, right, x in disguised(t, bases[i]):
+                yield k, x, i, None, int(right)
+
+
+def cuts_of(scored: DataFrame) -> dict[str, int]:
+    """A kind's lowest score to accept, from the histogram over all texts that the trees were not made from."""
+    counts = (scored.select(F.explode("answers").alias("a")).groupBy("a.kind", "a.score", "a.good").count().collect())
+    out = {}
+    for kind in {r[0] for r in counts}:
+        q, y, n = np.array([r[1:] for r in counts if r[0] == kind], float).T
+        cut = lowest_cut(q, y, n)
+        if cut is not None:
+            out[kind] = int(cut)
+    return out
 
 
-def added_spans(t: str, base: dict[str, list[Span]], models: dict[str, Boosted]) -> dict[str, list[Span]]:
-    """Accepted proposals that overlap no base span; of overlapping ones the likelier, then the earlier and longer."""
+def choose(scored: list[tuple[str, int, int, int]], base: dict[str, list[Span]], cuts: dict[str, int]) -> dict[str, list[Span]]:
+    """Accepted of the scored proposals (kind, start, end, score), which overlap no base span; of overlapping ones the
+    likelier, then the earlier and longer."""
     out: dict[str, list[Span]] = {k: [] for k in KINDS}
     taken = Taken([z for v in base.values() for z in v])
-    proposals = [c for c in propose(t) if c[0] in models and not taken.overlaps(*c[1:])]
-    scored = []
-    for kind in models:
-        own = [c for c in proposals if c[0] == kind]
-        if own:
-            p = models[kind].predict(np.array([features(t, *c) for c in own]))
-            scored += [(-q, s, -e, kind) for q, (_, s, e) in zip(p.tolist(), own) if q >= models[kind].threshold]
-    for _, s, e, kind in sorted(scored):
+    for _, s, e, kind in sorted((-q, s, -e, k) for k, s, e, q in scored if k in cuts and q >= cuts[k]):
         if not taken.overlaps(s, -e):
             taken.add(s, -e)
             out[kind].append((s, -e))
@@ -372,32 +449,60 @@ def join_spans(spans: dict[str, list[Span]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k in KINDS for s, e in sorted(spans[k]))
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
+def _spans_of(joined: str) -> dict[str, list[Span]]:
+    out: dict[str, list[Span]] = {k: [] for k in KINDS}
+    for k, s, e in (x.split(":") for x in joined.split(",") if x):
+        out[k].append((int(s), int(e)))
+    return out
+
+
+def find_personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
     Counts and digest are of the base spans; ``spans`` also holds what the trees
     add. Places are code points, end exclusive. Null and empty texts have no
     spans; null ids and repeated rows are rows like others; an empty table gives
     no rows; without enough examples of a kind nothing of it is added; extra
-    columns are ignored. Nothing is shuffled but the bounded training sample."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    models = train(rows)
+    columns are ignored. Hashes and the bounded training sample are shuffled,
+    not the texts; spans and scores are written to the shared folder once."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("h"))
+    models, trained = train(rows, sample)
+    part = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.int32())])
+    answer = pa.struct([("kind", pa.string()), ("score", pa.int32()), ("good", pa.int32())])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bases = [base_spans(t) for t in batch.column("text").to_pylist()]
+            free: list[list] = [[] for _ in bases]
+            answers: list[list] = [[] for _ in bases]
+            for k, q, i, span, good in scores(models, _items(batch, bases, trained)):
+                if span:
+                    free[i].append({"kind": k, "start": span[0], "end": span[1], "score": q})
+                if good is not None:
+                    answers[i].append({"kind": k, "score": q, "good": good})
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(list(map(join_spans, bases)), pa.string()),
+                 pa.array(free, pa.list_(part)), pa.array(answers, pa.list_(answer))], ["doc_id", "base", "free", "answers"])
+    scored = keep(rows.mapInArrow(score, "doc_id long, base string, free array<struct<kind:string,start:int,end:int,score:int>>, "
+                                         "answers array<struct<kind:string,score:int,good:int>>"), "personal-data")
+    cuts = cuts_of(scored)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                base = base_spans(t)
-                more = added_spans(t, base, models)
+            for d, joined, free in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "base", "free"))):
+                base = _spans_of(joined)
+                more = choose([(c["kind"], c["start"], c["end"], c["score"]) for c in free], base, cuts)
                 out.append({"doc_id": d, **{f"n_{k}": len(base[k]) for k in KINDS},
-                            "base_sha256": hashlib.sha256(join_spans(base).encode()).hexdigest(),
+                            "base_sha256": hashlib.sha256(joined.encode()).hexdigest(),
                             "spans": join_spans({k: base[k] + more[k] for k in KINDS}),
                             "n_added": sum(map(len, more.values()))})
             yield pa.RecordBatch.from_pylist(out, pa.schema([
                 ("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()),
                 ("spans", pa.string()), ("n_added", pa.int64())]))
-    return rows.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-                                "spans string, n_added long")
+    return scored.select("doc_id", "base", "free").mapInArrow(
+        run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
 def redact(text: str, spans: str) -> str:
