@@ -2,8 +2,8 @@
 
 A candidate block is a run of words around a hint word of a licence. It is
 compressed alone and with every template as a zstandard raw-content
-dictionary: the template that shrinks it most explains it best. The leading
-templates are then confirmed word by word: the block must hold one of the
+dictionary: the template that shrinks it most explains it best. Every template
+that saves ``LEAST_REDUCTION`` is then confirmed word by word: the block must hold one of the
 template's notices with every one of its key words unchanged and in order and
 at most ``TOLERANCE`` of its other words changed.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import read
 
-LEVEL, CONTEXT, LEAST_REDUCTION, TOLERANCE, LEADERS = 9, 60, 0.03, 0.15, 3
+LEVEL, CONTEXT, LEAST_REDUCTION, TOLERANCE = 9, 60, 0.03, 0.15
 # Stems that mark candidate blocks.
 HINTS = ("licen", "copyright", "spdx", "redistribut", "permission is", "warrant", "public domain", "cc by", "cc0")
 # Identifier, notices of the licence, and the words a notice may not change.
@@ -113,12 +114,13 @@ class Scanner:
 
     def confirm(self, block: list[str], t: int) -> tuple[int, int] | None:
         """(words of the nearest notice that are changed, words of it) if that is allowed, else None."""
-        best = None
-        for notice in self.templates[t][1]:
-            for at, w in enumerate(block):
-                if w != notice[0] and notice[0] in block:
-                    continue
-                d = notice_difference(notice, block[at:at + len(notice) + 4], self.templates[t][2])
+        name, notices, keys = self.templates[t]
+        best, held = None, set(block)
+        for notice in notices:
+            if not held.issuperset(keys.intersection(notice)):
+                continue
+            for window in windows_of(block, notice, keys):
+                d = notice_difference(notice, window, keys)
                 if d is not None and d <= TOLERANCE * len(notice) and (best is None or d < best[0]):
                     best = (d, len(notice))
         return best
@@ -128,22 +130,35 @@ class Scanner:
         out = []
         for n, block in enumerate(blocks_of(text)):
             w, found = block.split(), []
-            pieces = pieces_around(w)
-            gains = [self.reductions(" ".join(p)) for p in pieces]
-            leaders = set()
-            for g in gains:                      # the piece's own ranking, so neighbours do not hide each other
-                ranked = sorted(range(len(g)), key=lambda t: (-g[t], t))
-                leaders |= {t for t in ranked[:LEADERS] if g[t] >= LEAST_REDUCTION}
-            for t in sorted(leaders):
-                d = self.confirm(w, t)
+            gains = [self.reductions(" ".join(p)) for p in pieces_around(w)]
+            most = [max(g) for g in zip(*gains)]
+            for t, (name, _, _) in enumerate(self.templates):
+                d = self.confirm(w, t) if most[t] >= LEAST_REDUCTION else None
                 if d is not None:
-                    found.append({"block": n, "license": self.templates[t][0],
-                                  "reduction": max(g[t] for g in gains), "changed": d[0], "notice_words": d[1]})
-            out += found or [{"block": n, "license": None, "reduction": max(map(max, gains), default=0.0),
+                    found.append({"block": n, "license": name, "reduction": most[t], "changed": d[0], "notice_words": d[1]})
+            out += found or [{"block": n, "license": None, "reduction": max(most, default=0.0),
                               "changed": None, "notice_words": None}]
         return out
 
 
+def windows_of(block: list[str], notice: list[str], keys: set[str]) -> Iterator[list[str]]:
+    """The block's windows that hold enough of the notice's words, and all its key words, to be it; each begins
+    with a word of the notice."""
+    allowed = int(TOLERANCE * len(notice))
+    size, need = len(notice) + max(4, allowed), Counter(notice)
+    have: Counter[str] = Counter()
+    shared, end = 0, 0
+    for at, w in enumerate(block):
+        while end < min(len(block), at + size):
+            have[block[end]] += 1
+            shared += have[block[end]] <= need[block[end]]
+            end += 1
+        if w in need and shared >= len(notice) - allowed and all(have[k] >= need[k] for k in keys if k in need):
+            yield block[at:at + size]
+        shared -= have[w] <= need[w]
+        have[w] -= 1
+
+
 def pieces_around(block: list[str], size: int = 8) -> list[list[str]]:
     """The windows of a block that hold a hint, ``size`` words to either side."""
     joined_hints = [h.split()[0] for h in HINTS]
@@ -151,9 +166,9 @@ def pieces_around(block: list[str], size: int = 8) -> list[list[str]]:
     return [block[max(0, i - size):i + size + 1] for i in marks] or [block]
 
 
-def notice_difference(notice: list[str], window: list[str], keys: set[str]) -> int | None:
+def notice_difference(notice: list[str], window: list[str], keys: set[str], others: frozenset[str] | set[str] = frozenset()) -> int | None:
     """Words of ``notice`` that ``window`` lacks or changes, plus words it puts between them; None
-    if a key word is among the lacking ones."""
+    if a key word is among the lacking ones or one of ``others`` stands between."""
     m = SequenceMatcher(None, notice, window, autojunk=False)
     same = [x for x in m.get_matching_blocks() if x.size]
     if not same:
@@ -161,8 +176,10 @@ def notice_difference(notice: list[str], window: list[str], keys: set[str]) -> i
     kept = {i for x in same for i in range(x.a, x.a + x.size)}
     if any(w in keys and i not in kept for i, w in enumerate(notice)):
         return None
-    between = same[-1].b + same[-1].size - same[0].b - len(kept)
-    return len(notice) - len(kept) + between
+    first, last = same[0].b, same[-1].b + same[-1].size
+    if others.intersection(window[first:last]):
+        return None
+    return len(notice) - len(kept) + last - first - len(kept)
 
 
 _SCANNER: list[Scanner] = []
