@@ -25,42 +25,87 @@ from .common import read
 
 LEVEL, CONTEXT, LEAST_REDUCTION, TOLERANCE = 9, 60, 0.03, 0.15
 # Stems that mark candidate blocks.
-HINTS = ("licen", "copyright", "spdx", "redistribut", "permission is", "warrant", "public domain", "cc by", "cc0")
+HINTS = ("licen", "copyright", "spdx", "redistribut", "permission is", "warrant", "public domain", "cc by", "cc0", "gpl")
 # Identifier, notices of the licence, and the words a notice may not change.
+
+
+def _gnu(family: str, short: str, version: str, *more: str) -> tuple[str, ...]:
+    """The headers, headings and short forms of a GNU licence."""
+    full = f"GNU {family} License"
+    dotted = version if "." in version else f"{version}.0"
+    return (f"{full} version {version}", f"{full} v{version}", f"{full} v{dotted}", f"{full} version {dotted}",
+            f"GNU {short} version {version}", f"{short} version {version}", f"{short} v{version}", f"{short}v{version}", *more,
+            f"{full} as published by the Free Software Foundation, either version {version}",
+            f"under the terms of the {full} version {version} as published by the Free Software Foundation")
+
+
+def _gnu_keys(family: str, short: str, version: str) -> tuple[str, ...]:
+    short, dotted = short.lower(), version if "." in version else f"{version}.0"
+    return ("gnu", *family.lower().split(), "version", version, dotted, f"v{version}", f"v{dotted}", short, f"{short}v{version}")
+
+
+def _cc(short: str, full: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    return ((f"Licensed under CC {short} 4.0", f"CC {short} 4.0", f"Creative Commons {full} 4.0 International License",
+             f"Creative Commons {full} 4.0 International"),
+            (short.lower(), full.lower(), "4.0", "cc"))
+
+
 TEMPLATES = (
+    ("AGPL-3.0", _gnu("Affero General Public", "AGPL", "3"), _gnu_keys("Affero General Public", "AGPL", "3")),
     ("Apache-2.0", ("Licensed under the Apache License, Version 2.0",
                     "you may not use this file except in compliance with the License",
-                    "distributed under the Apache License 2.0", "SPDX-License-Identifier: Apache-2.0"),
-     ("apache", "2.0", "compliance")),
+                    "distributed under the Apache License 2.0", "Apache License, Version 2.0", "Apache License 2.0",
+                    "Apache License v2.0"),
+     ("apache", "2.0", "v2.0", "compliance")),
+    ("BSD-2-Clause", ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+                      "following disclaimer in the documentation and/or other materials provided with the distribution. "
+                      "THIS SOFTWARE IS PROVIDED BY",
+                      "Licensed under the BSD 2-Clause License", "BSD 2-Clause License", "Simplified BSD License"),
+     ("bsd", "2-clause", "simplified", "redistributions", "distribution", "software", "provided")),
     ("BSD-3-Clause", ("Redistribution and use in source and binary forms, with or without modification, are permitted",
+                      "may be used to endorse or promote products derived from this software without specific prior written permission",
                       "Licensed under the BSD 3-Clause License", "Released under the BSD 3-Clause License",
-                      "SPDX-License-Identifier: BSD-3-Clause"),
-     ("bsd", "3-clause", "redistribution", "binary")),
-    ("CC-BY-4.0", ("Licensed under CC BY 4.0", "Creative Commons Attribution 4.0 International License",
-                   "SPDX-License-Identifier: CC-BY-4.0"), ("by", "cc-by-4.0", "attribution", "4.0", "cc")),
-    ("CC-BY-NC-4.0", ("Licensed under CC BY-NC 4.0",
-                      "Creative Commons Attribution-NonCommercial 4.0 International License",
-                      "SPDX-License-Identifier: CC-BY-NC-4.0"),
-     ("by-nc", "cc-by-nc-4.0", "attribution-noncommercial", "4.0", "cc")),
-    ("CC-BY-SA-4.0", ("Licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License",
-                      "SPDX-License-Identifier: CC-BY-SA-4.0"),
-     ("by-sa", "cc-by-sa-4.0", "attribution-sharealike", "4.0", "cc")),
-    ("CC0-1.0", ("dedicated to the public domain under CC0 1.0", "SPDX-License-Identifier: CC0-1.0"),
-     ("cc0", "1.0", "cc0-1.0")),
-    ("GPL-2.0", ("This work is licensed under the GNU General Public License, version 2",
-                 "under the terms of the GNU General Public License version 2", "SPDX-License-Identifier: GPL-2.0"),
-     ("gnu", "general", "public", "version", "2", "gpl-2.0")),
-    ("GPL-3.0", ("This work is licensed under the GNU General Public License, version 3",
-                 "under the terms of the GNU General Public License version 3", "SPDX-License-Identifier: GPL-3.0"),
-     ("gnu", "general", "public", "version", "3", "gpl-3.0")),
-    ("LGPL-3.0", ("This work is licensed under the GNU Lesser General Public License, version 3",
-                  "SPDX-License-Identifier: LGPL-3.0"), ("lesser", "gnu", "3", "lgpl-3.0")),
-    ("MIT", ("Released under the MIT License", "Licensed under the MIT License",
-             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-             "SPDX-License-Identifier: MIT"), ("mit", "permission", "granted", "free", "charge")),
+                      "BSD 3-Clause License"),
+     ("bsd", "3-clause", "redistribution", "binary", "endorse", "promote")),
+    ("BSL-1.0", ("Distributed under the Boost Software License, Version 1.0", "Boost Software License Version 1.0"),
+     ("boost", "1.0")),
+    ("CC-BY-4.0", *_cc("BY", "Attribution")),
+    ("CC-BY-NC-4.0", *_cc("BY-NC", "Attribution-NonCommercial")),
+    ("CC-BY-NC-ND-4.0", *_cc("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")),
+    ("CC-BY-NC-SA-4.0", *_cc("BY-NC-SA", "Attribution-NonCommercial-ShareAlike")),
+    ("CC-BY-ND-4.0", *_cc("BY-ND", "Attribution-NoDerivatives")),
+    ("CC-BY-SA-4.0", *_cc("BY-SA", "Attribution-ShareAlike")),
+    ("CC0-1.0", ("dedicated to the public domain under CC0 1.0", "CC0 1.0", "CC0 1.0 Universal",
+                 "waived all copyright and related or neighboring rights to this work"),
+     ("cc0", "1.0", "waived", "neighboring")),
+    ("EPL-1.0", ("made available under the terms of the Eclipse Public License v1.0", "Eclipse Public License v1.0",
+                 "Eclipse Public License v 1.0", "Eclipse Public License 1.0", "Eclipse Public License Version 1.0"),
+     ("eclipse", "1.0", "v1.0")),
+    ("EPL-2.0", ("made available under the terms of the Eclipse Public License 2.0", "Eclipse Public License 2.0",
+                 "Eclipse Public License v 2.0", "Eclipse Public License v2.0", "Eclipse Public License Version 2.0"),
+     ("eclipse", "2.0", "v2.0")),
+    ("GPL-2.0", _gnu("General Public", "GPL", "2", "This work is licensed under the GNU General Public License, version 2",
+                     "under the terms of the GNU General Public License version 2"), _gnu_keys("General Public", "GPL", "2")),
+    ("GPL-3.0", _gnu("General Public", "GPL", "3", "This work is licensed under the GNU General Public License, version 3",
+                     "under the terms of the GNU General Public License version 3"), _gnu_keys("General Public", "GPL", "3")),
+    ("ISC", ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+             "granted, provided that the above copyright notice and this permission notice appear in all copies", "ISC License"),
+     ("isc", "purpose", "fee", "granted", "provided", "appear", "copies")),
+    ("LGPL-2.1", _gnu("Lesser General Public", "LGPL", "2.1"), _gnu_keys("Lesser General Public", "LGPL", "2.1")),
+    ("LGPL-3.0", _gnu("Lesser General Public", "LGPL", "3", "This work is licensed under the GNU Lesser General Public License, version 3"),
+     _gnu_keys("Lesser General Public", "LGPL", "3")),
+    ("MIT", ("Released under the MIT License", "Licensed under the MIT License", "MIT License",
+             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+     ("mit", "permission", "granted", "free", "charge")),
     ("MPL-2.0", ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-                 "SPDX-License-Identifier: MPL-2.0"), ("mozilla", "2.0", "mpl-2.0")),
+                 "Mozilla Public License Version 2.0", "Mozilla Public License 2.0", "Mozilla Public License v2.0"),
+     ("mozilla", "2.0", "v2.0")),
+    ("Unlicense", ("This is free and unencumbered software released into the public domain", "Released under the Unlicense"),
+     ("unencumbered", "public", "domain", "unlicense")),
 )
+# Words that, inside a notice of the licence, make it one of another.
+OTHERS = {"GPL-2.0": {"lesser", "library", "affero"}, "GPL-3.0": {"lesser", "library", "affero"}}
+SPDX = {i: name for name, _, _ in TEMPLATES for i in (name.lower(), f"{name.lower()}-only", f"{name.lower()}-or-later")}
 
 _WORD = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 
@@ -120,7 +165,7 @@ class Scanner:
             if not held.issuperset(keys.intersection(notice)):
                 continue
             for window in windows_of(block, notice, keys):
-                d = notice_difference(notice, window, keys)
+                d = notice_difference(notice, window, keys, OTHERS.get(name, set()))
                 if d is not None and d <= TOLERANCE * len(notice) and (best is None or d < best[0]):
                     best = (d, len(notice))
         return best
@@ -132,15 +177,37 @@ class Scanner:
             w, found = block.split(), []
             gains = [self.reductions(" ".join(p)) for p in pieces_around(w)]
             most = [max(g) for g in zip(*gains)]
+            ids = spdx_names(w)
             for t, (name, _, _) in enumerate(self.templates):
                 d = self.confirm(w, t) if most[t] >= LEAST_REDUCTION else None
+                if d is None and name in ids:
+                    d = (0, 2)
                 if d is not None:
                     found.append({"block": n, "license": name, "reduction": most[t], "changed": d[0], "notice_words": d[1]})
+            if "endorse" not in w and any(f["license"] == "BSD-2-Clause" for f in found):   # both begin alike
+                found = [f for f in found if f["license"] != "BSD-3-Clause" or "3-clause" in w or f["license"] in ids]
             out += found or [{"block": n, "license": None, "reduction": max(most, default=0.0),
                               "changed": None, "notice_words": None}]
         return out
 
 
+def spdx_names(block: list[str]) -> set[str]:
+    """Licences of the SPDX expressions in a block."""
+    out = set()
+    for at, w in enumerate(block):
+        if w == "spdx-license-identifier":
+            i = at + 1
+            while i < len(block):
+                out.add(SPDX.get(block[i]))
+                i += 1
+                if block[i:i + 1] == ["with"]:            # an exception's name
+                    i += 2
+                if block[i:i + 1] not in (["and"], ["or"]):
+                    break
+                i += 1
+    return out - {None}
+
+
 def windows_of(block: list[str], notice: list[str], keys: set[str]) -> Iterator[list[str]]:
     """The block's windows that hold enough of the notice's words, and all its key words, to be it; each begins
     with a word of the notice."""
