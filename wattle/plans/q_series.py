@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import consolidate as C
 from . import sqlparts as S
 from .panel import monthly_panel, split_label
-from .q_models import ADF_CRIT_5PCT, KPSS_CRIT_5PCT, _split
+from .q_models import ADF_CRIT_5PCT, KPSS_CRIT_5PCT, SHOCK, _split
 from .q_quality import VALUE_COLS
 from .materialize import consolidated_table
 from .registry import query
@@ -410,21 +410,38 @@ def break_date_search(spark, sf_dir):
                        rnd(s1 / n1).alias("mean_before"), rnd((s - s1) / (n - n1)).alias("mean_after"))
 
 
-@query("arma_hannan_rissanen")
-def arma_hannan_rissanen(spark, sf_dir):
-    """ARMA(p, 1) by Hannan-Rissanen: a long AR(6) gives innovation estimates, then
-    y is regressed on its own lags and the lagged innovation (least squares, an
-    estimator choice; not a likelihood fit)."""
-    tr, _ = _split(spark, sf_dir)
-    lagged = tr.select("series_id", "month", "y", *[F.lag("y", k).over(_wser()).alias(f"y{k}") for k in range(1, 7)])
-    longar = ols(lagged, ["series_id"], "y", [f"y{k}" for k in range(1, 7)])
+ARMA = {"arma11": ["z1", "u1"], "arma21": ["z1", "z2", "u1"], "arma12": ["z1", "u1", "u2"],
+        "arma22": ["z1", "z2", "u1", "u2"], "armax21": ["z1", "z2", "u1", "xx"], "armax31": ["z1", "z2", "z3", "u1", "xx"]}
+
+
+def _hannan_rissanen(d, configs):
+    """Two-stage fits of z (and regressor xx) per series; ``configs`` name lags z1.., innovations u1, u2 and xx."""
+    lagged = d.select("series_id", "month", "z", "xx", *[F.lag("z", k).over(_wser()).alias(f"z{k}") for k in range(1, 7)])
+    longar = ols(lagged, ["series_id"], "z", [f"z{k}" for k in range(1, 7)])
     co = longar.select("series_id", F.col("intercept").alias("c0"), *[F.col("coef")[k - 1].alias(f"a{k}") for k in range(1, 7)])
     fit = F.col("c0")
     for k in range(1, 7):
-        fit = fit + F.col(f"a{k}") * F.col(f"y{k}")
-    innov = lagged.join(co, "series_id").select("series_id", "month", "y", "y1", "y2", (F.col("y") - fit).alias("u"))
-    innov = innov.withColumn("u1", F.lag("u").over(_wser()))
-    sol, names = ols_by_config(innov, ["series_id"], "y", {"arma11": ["y1", "u1"], "arma21": ["y1", "y2", "u1"]})
+        fit = fit + F.col(f"a{k}") * F.col(f"z{k}")
+    innov = lagged.join(co, "series_id").select("series_id", "month", "z", "z1", "z2", "z3", "xx", (F.col("z") - fit).alias("u"))
+    innov = innov.withColumns({f"u{k}": F.lag("u", k).over(_wser()) for k in (1, 2)})
+    sol, names = ols_by_config(innov, ["series_id"], "z", configs)
     co = {n: F.col("coef")[i] for i, n in enumerate(names)}       # slots follow the returned names
-    return round_doubles(sol.select("series_id", "config", "n", "intercept", co["y1"].alias("ar1"),
-                                    co["y2"].alias("ar2"), co["u1"].alias("ma1"), "sigma2", "aic"))
+    slot = lambda n, out: co.get(n, F.lit(None).cast("double")).alias(out)
+    return sol.select("series_id", "config", "n", "intercept", slot("z1", "ar1"), slot("z2", "ar2"), slot("u1", "ma1"),
+                      "sigma2", "aic", slot("z3", "ar3"), slot("u2", "ma2"), slot("xx", "beta_x1"))
+
+
+@query("arma_hannan_rissanen")
+def arma_hannan_rissanen(spark, sf_dir):
+    """ARMA(p, q) and ARMAX(p, q) by Hannan-Rissanen: a long AR(6) gives innovation
+    estimates, then y is regressed on its own lags, the lagged innovations and, in
+    the ARMAX fits, x1 (least squares, an estimator choice; not a likelihood fit).
+    arima111 and arima211 are fits of the differences; pre_ fits end before the shock."""
+    tr, _ = _split(spark, sf_dir)
+    level = tr.select("series_id", "month", F.col("y").alias("z"), F.col("x1").alias("xx"))
+    diff = level.select("series_id", "month", (F.col("z") - F.lag("z").over(_wser())).alias("z"), "xx")
+    fits = _hannan_rissanen(level, ARMA)
+    fits = fits.unionByName(_hannan_rissanen(diff, {f"arima{p}11": ARMA[f"arma{p}1"] for p in (1, 2)}))
+    fits = fits.unionByName(_hannan_rissanen(level.filter(F.col("month") < F.lit(SHOCK).cast("date")),
+                                             {f"pre_{c}": ARMA[c] for c in ("arma11", "arma21", "arma12")}))
+    return round_doubles(fits)
