@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bpe import op11_bpe
 from .chat import OP8_SQL, op8_chat
 from .decontam import OP2_SQL, op2_decontamination
 from .langid import op1_language_id
@@ -15,5 +16,6 @@ from .toxicity import op6_toxicity
 
 QUERIES = {"op1_language_id": op1_language_id, "op2_decontamination": op2_decontamination, "op3_ngram_join": op3_ngram_join,
            "op4_personal_data": op4_personal_data, "op5_fingerprints": op5_fingerprints, "op6_toxicity": op6_toxicity, "op7_mixing": op7_mixing, "op8_chat": op8_chat,
-           "op9_tokens": op9_tokens, "op10_license_scan": op10_license_scan}
+           "op9_tokens": op9_tokens, "op10_license_scan": op10_license_scan,
+           "op11_bpe": op11_bpe}
 ORACLES = {"op2_decontamination": OP2_SQL, "op3_ngram_join": OP3_SQL, "op7_mixing": OP7_SQL, "op8_chat": OP8_SQL}
