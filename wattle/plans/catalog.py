@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_ingest, q_merge, q_models, q_quality, q_series  # noqa: F401
+from . import q_arma, q_ingest, q_merge, q_models, q_quality, q_series, q_unitroot  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

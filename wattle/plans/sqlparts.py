@@ -352,3 +352,20 @@ def bigint_counts(sql: str) -> str:
         out.append(sql[pos:])
         sql = "".join(out)
     return sql.replace("regr_count_(", "regr_count(")
+
+
+def eliminate_ctes(src: str, keys: list[str], columns: list[str], name: str, tol: float = 1e-10) -> str:
+    """CTEs ``{name}_0`` .. ``{name}_u``: moments of ``columns`` (the response last) of ``src`` by ``keys``, and one
+    elimination step a CTE. ``g{i}_{j}`` (i <= j) of ``{name}_u`` is row i when i was the pivot; ``o{i}`` the pivots at first."""
+    k = len(columns) - 1
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    key = ", ".join(keys)
+    out = [f"{name}_0 AS MATERIALIZED (SELECT {key}, " + ", ".join(f"sum(CAST({columns[i]} AS DOUBLE) * {columns[j]}) AS g{i}_{j}" for i, j in pairs)
+           + ", " + ", ".join(f"sum(CAST({columns[i]} AS DOUBLE) * {columns[i]}) AS o{i}" for i in range(k + 1)) + f" FROM {src} GROUP BY ALL)"]
+    for p in range(k):
+        cells = [f"CASE WHEN g{p}_{p} > {tol} * o{p} THEN g{i}_{j} - g{p}_{i} * g{p}_{j} / g{p}_{p} ELSE g{i}_{j} END AS g{i}_{j}"
+                 for i, j in pairs if i > p]
+        rest = [f"g{i}_{j}" for i, j in pairs if i <= p] + [f"o{i}" for i in range(k + 1)]
+        to = f"{name}_{p + 1}" if p < k - 1 else f"{name}_u"
+        out.append(f"{to} AS MATERIALIZED (SELECT {key}, {', '.join(cells + rest)} FROM {name}_{p})")
+    return ",\n".join(out)
