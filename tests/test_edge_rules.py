@@ -81,7 +81,8 @@ def test_header_names(raw, name):
 
 def test_appended_files_are_seen(spark, tmp_path):
     sf = tmp_path / "sf"
-    shutil.copytree(SF_SMALL, sf)
+    shutil.copytree(SF_SMALL, sf, copy_function=shutil.copyfile)
+    sf.chmod(0o755)                                     # the given folder may be read-only
     orders = sf / "orders.parquet"
     rows = spark.read.parquet(str(orders)).cache()
     rows.count()

@@ -92,3 +92,46 @@ def test_t_p_values_against_numeric_integration():
         pdf = np.exp(logc - (df + 1) / 2 * np.log1p(x * x / df))
         tail = float(np.sum((pdf[1:] + pdf[:-1]) / 2 * np.diff(x)))
         assert math.isclose(t_two_sided_p(t, df), 2 * tail, rel_tol=1e-4, abs_tol=1e-7)
+
+
+def test_dependent_columns_are_named_and_left_out(spark):
+    rng = np.random.default_rng(9)
+    x1, x2 = rng.standard_normal(40), rng.standard_normal(40)
+    y = 1 + 2 * x1 - x2 + 0.1 * rng.standard_normal(40)
+    rows = [("s", float(a), float(a * 2 + 3), float(b), 7.0, float(c)) for a, b, c in zip(x1, x2, y)]
+    df = spark.createDataFrame(rows, "k string, x1 double, twin double, x2 double, flat double, y double")
+    xs = ["x1", "twin", "x2", "flat"]
+    hard = ols(df, ["k"], "y", xs).first()
+    assert hard.status == "singular" and hard.coef is None
+    got = ols(df, ["k"], "y", xs, reduce=True).first()
+    assert (got.status, got.dropped, got.k) == ("reduced", [1, 3], 2) and got.coef[1] is None and got.coef[3] is None
+    want = np.linalg.lstsq(np.column_stack([np.ones(40), x1, x2]), y, rcond=None)[0]
+    assert np.allclose([got.intercept, got.coef[0], got.coef[2]], want) and got.se[1] is None and got.p[0] is not None
+    assert ols(df, ["k"], "y", ["flat"], reduce=True).first().dropped == [0]
+    both, names = ols_by_config(df, ["k"], "y", {"a": ["x1", "twin"], "b": ["x2"], "c": []}, reduce=True)
+    by = {r.config: r for r in both.collect()}
+    assert [names[i] for i in by["a"].dropped] == ["twin"] and by["b"].dropped == [] and by["c"].status == "ok"
+
+
+def test_singular_fits_keep_their_inference_rows(spark):
+    from wattle.plans.q_models import inference_rows
+    df = spark.createDataFrame([("s", float(i), 5.0, float(i % 3)) for i in range(20)], "series_id string, x1 double, x2 double, y double")
+    configs = {"a": ["x1", "x2"], "b": ["x1"], "c": []}
+    got = {(r.config, r.term): r for r in inference_rows(*ols_by_config(df, ["series_id"], "y", configs), configs).collect()}
+    assert set(got) == {("a", "x1"), ("a", "x2"), ("b", "x1")}
+    assert got["a", "x1"].status == "singular" and got["a", "x2"].coef is None and got["b", "x1"].status == "ok"
+
+
+def test_a_series_without_a_later_regime_keeps_its_fit(spark):
+    from wattle.plans.q_models import ARX_REGIME, _lag_windows
+    import datetime as dt
+    rng = np.random.default_rng(2)
+    rows = [("s", dt.date(1995 + i // 12, i % 12 + 1, 1), float(v)) for i, v in enumerate(rng.standard_normal(30).cumsum())]
+    df = spark.createDataFrame(rows, "series_id string, month date, y double")
+    sol, names = ols_by_config(_lag_windows(df), ["series_id", "window_name", "d"], "z", ARX_REGIME, reduce=True)
+    got = {(r.window_name, r.d, r.config): r for r in sol.collect()}
+    r = got["full", 0, "arx2"]
+    y = np.array([v[2] for v in rows])
+    want = np.linalg.lstsq(np.column_stack([np.ones(28), y[1:-1], y[:-2]]), y[2:], rcond=None)[0]
+    assert sorted(names[i] for i in r.dropped) == ["rp", "rs"]
+    assert np.allclose([r.intercept, r.coef[names.index("z1")], r.coef[names.index("z2")]], want)

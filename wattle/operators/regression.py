@@ -84,35 +84,42 @@ SOLVE_FIELDS = [
     T.StructField("ssr", T.DoubleType()), T.StructField("sigma2", T.DoubleType()),
     T.StructField("r2", T.DoubleType()), T.StructField("adj_r2", T.DoubleType()),
     T.StructField("aic", T.DoubleType()), T.StructField("bic", T.DoubleType()),
+    T.StructField("dropped", T.ArrayType(T.IntegerType())),
 ]
 
 
-def _full_rank(S, tol=1e-10):
-    """Pivots of the correlation matrix stay above ``tol``: no regressor is constant or
-    (nearly) a combination of the others."""
+def _independent(S, tol=1e-10):
+    """Columns of the moment matrix that are neither constant nor (nearly) a combination of
+    the ones kept before them: those whose pivot of the correlation matrix stays above ``tol``."""
     d = np.diag(S)
-    if len(d) and not (np.isfinite(S).all() and (d > 0).all()):
-        return False
-    c = S / np.sqrt(np.outer(d, d)) if len(d) else S.copy()
+    if not np.isfinite(S).all():
+        return []
+    c = S / np.sqrt(np.outer(np.where(d > 0, d, 1), np.where(d > 0, d, 1)))
+    kept = []
     for i in range(len(d)):
-        if c[i, i] < tol:
-            return False
-        c[i + 1:, i + 1:] -= np.outer(c[i + 1:, i], c[i, i + 1:]) / c[i, i]
-    return True
+        if c[i, i] >= tol:
+            kept.append(i)
+            c[i + 1:, i + 1:] -= np.outer(c[i + 1:, i], c[i, i + 1:]) / c[i, i]
+    return kept
 
 
-def _solve_row(row, k_all, active):
+def _solve_row(row, k_all, active, reduce=False):
     n = int(row["n"])
     idx = [i for i in range(k_all) if active[i]]
     k = len(idx)
-    out = {"n": n, "k": k}
+    out = {"n": n, "k": k, "dropped": []}
     S = np.array([[row[f"c_{min(i, j)}_{max(i, j)}"] for j in idx] for i in idx], dtype=float).reshape(k, k)
+    kept = _independent(S)
+    if len(kept) < k and reduce:
+        out["dropped"] = [x for i, x in enumerate(idx) if i not in kept]
+        S, idx, k = S[np.ix_(kept, kept)], [idx[i] for i in kept], len(kept)
+        out["k"] = k
     sy = np.array([row[f"c_{i}_y"] for i in idx], dtype=float)
     mx = np.array([row[f"m_{i}"] for i in idx], dtype=float)
     vyy, my = float(row["v_yy"]), float(row["m_y"])
-    if not _full_rank(S):
+    if len(kept) < k:
         return {**dict.fromkeys(f.name for f in SOLVE_FIELDS), **out, "status": "singular"}
-    out["status"] = "ok"
+    out["status"] = "reduced" if out["dropped"] else "ok"
     b = np.linalg.solve(S, sy) if k else np.zeros(0)
     inv = np.linalg.inv(S) if k else np.zeros((0, 0))
     ssr = max(n * (vyy - float(b @ sy)), 0.0)
@@ -128,7 +135,7 @@ def _solve_row(row, k_all, active):
     ll = -0.5 * n * (math.log(2 * math.pi * s2_ml) + 1) if s2_ml > 0 else float("nan")
     def full(vals):
         it = iter(float(v) for v in vals)
-        return [next(it) if a else None for a in active]
+        return [next(it) if i in idx else None for i in range(k_all)]
 
     out.update(intercept=my - float(b @ mx), coef=full(b), se=full(se), t=full(tt), p=full(p),
                beta=full(beta), ssr=ssr, sigma2=sigma2, r2=r2,
@@ -138,10 +145,13 @@ def _solve_row(row, k_all, active):
 
 
 def ols_solve(moments: DataFrame, group_cols: Sequence[str], k_all: int,
-              active: Mapping[str, Sequence[bool]] | None = None, config_col: str | None = None) -> DataFrame:
+              active: Mapping[str, Sequence[bool]] | None = None, config_col: str | None = None,
+              reduce: bool = False) -> DataFrame:
     """Solve every moment row; ``active[config]`` masks the regressors a config uses.
     Coefficient arrays have one slot per regressor (NULL where masked). A singular
-    fit keeps its row: status 'singular', n, k, all else NULL."""
+    fit keeps its row: status 'singular', n, k, all else NULL. With ``reduce`` the
+    regressors that are constant or depend on earlier ones are left out instead
+    (their slots NULL, their places in ``dropped``, status 'reduced')."""
     gfields = [moments.schema[c] for c in group_cols]
     schema = T.StructType(gfields + SOLVE_FIELDS)
     default = [True] * k_all
@@ -151,20 +161,20 @@ def ols_solve(moments: DataFrame, group_cols: Sequence[str], k_all: int,
             rows = []
             for rec in pdf.to_dict("records"):
                 mask = active[rec[config_col]] if (active and config_col) else default
-                sol = _solve_row(rec, k_all, mask)
+                sol = _solve_row(rec, k_all, mask, reduce)
                 rows.append({**{c: rec[c] for c in group_cols}, **sol})
             yield pd.DataFrame(rows, columns=[f.name for f in schema.fields])
     return moments.mapInPandas(run, schema)
 
 
-def ols(df: DataFrame, group_cols: Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:
+def ols(df: DataFrame, group_cols: Sequence[str], y: str, xs: Sequence[str], reduce: bool = False) -> DataFrame:
     """OLS of ``y`` on ``xs`` (with intercept) per group, complete cases only."""
     clean = df.dropna(subset=[y, *xs])
-    return ols_solve(ols_moments(clean, group_cols, y, xs), group_cols, len(xs))
+    return ols_solve(ols_moments(clean, group_cols, y, xs), group_cols, len(xs), reduce=reduce)
 
 
 def ols_by_config(df: DataFrame, group_cols: Sequence[str], y: str,
-                  configs: Mapping[str, Sequence[str]], config_col: str = "config") -> DataFrame:
+                  configs: Mapping[str, Sequence[str]], config_col: str = "config", reduce: bool = False) -> DataFrame:
     """Many regressor sets in one pass: rows are replicated once per config by a
     generator (no join), unused regressors are zeroed and masked in the solve,
     and each config keeps its own complete cases."""
@@ -186,5 +196,5 @@ def ols_by_config(df: DataFrame, group_cols: Sequence[str], y: str,
     masked = ex.filter(ok).select(*group_cols, config_col, y, *xs)
     mom = ols_moments(masked, [*group_cols, config_col], y, [f"x_{i}" for i in range(len(all_x))])
     active = {n: [c in configs[n] for c in all_x] for n in names}
-    sol = ols_solve(mom, [*group_cols, config_col], len(all_x), active, config_col)
+    sol = ols_solve(mom, [*group_cols, config_col], len(all_x), active, config_col, reduce)
     return sol, all_x

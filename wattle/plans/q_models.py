@@ -165,41 +165,60 @@ def ar1_fit(spark, sf_dir):
 
 
 REGRESSORS = ["x1", "x2", "x3", "x4"]
-# Named configurations: intercept only, every single regressor, every pair.
+# Named configurations: intercept only, every single regressor, every pair, one set of three.
 CONFIGS = {"const": []}
 CONFIGS.update({x: [x] for x in REGRESSORS})
 CONFIGS.update({f"{a}_{b}": [a, b] for i, a in enumerate(REGRESSORS) for b in REGRESSORS[i + 1:]})
+CONFIGS["x1_x2_x3"] = ["x1", "x2", "x3"]
+
+
+def _det3(m):
+    """SQL text of the determinant of a 3 x 3 matrix of SQL expressions."""
+    return (f"(({m[0][0]}) * (({m[1][1]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][1]}))"
+            f" - ({m[0][1]}) * (({m[1][0]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][0]}))"
+            f" + ({m[0][2]}) * (({m[1][0]}) * ({m[2][1]}) - ({m[1][1]}) * ({m[2][0]})))")
+
+
+def _closed_form(k):
+    """SQL text of the coefficients and of the diagonal of the inverse for 0 to 3 regressors, from centred
+    moments s<i><j> (i <= j) and s<i>y."""
+    m = [[f"s{min(i, j)}{max(i, j)}" for j in range(k)] for i in range(k)]
+    if k == 0:
+        return [], []
+    if k == 1:
+        return ["s0y / s00"], ["1 / s00"]
+    if k == 2:
+        det = "(s00 * s11 - s01 * s01)"
+        return ([f"(s11 * s0y - s01 * s1y) / {det}", f"(s00 * s1y - s01 * s0y) / {det}"], [f"s11 / {det}", f"s00 / {det}"])
+    det = _det3(m)
+    coefs = [_det3([[f"s{i}y" if j == at else m[i][j] for j in range(3)] for i in range(3)]) + f" / {det}" for at in range(3)]
+    rest = [[i for i in range(3) if i != at] for at in range(3)]
+    return coefs, [f"({m[a][a]} * {m[b][b]} - {m[a][b]} * {m[a][b]}) / {det}" for a, b in rest]
+
+
+def _config_moments(cols):
+    """Centred moments of a configuration's own complete cases."""
+    mom = ["count(*) AS n", "avg(y) AS my", "var_pop(y) AS vyy"]
+    for i, a in enumerate(cols):
+        mom += [f"avg({a}) AS m{i}", f"covar_pop({a}, y) AS s{i}y"] + [f"covar_pop({a}, {b}) AS s{i}{j}" for j, b in enumerate(cols) if j >= i]
+    full = " AND ".join(f"{c} IS NOT NULL" for c in ["y", *cols])
+    return f"SELECT series_id, {', '.join(mom)} FROM tr WHERE {full} GROUP BY 1"
 
 
 def _cmp_sql():
-    """Closed-form OLS per configuration (0, 1 or 2 regressors) from centred moments."""
-    xs = REGRESSORS
-    cond = " AND ".join(f"{x} IS NOT NULL" for x in ["y"] + xs)
-    mom = [f"count(*) AS n", "avg(y) AS my", "var_pop(y) AS vyy"]
-    for i, a in enumerate(xs):
-        mom += [f"avg({a}) AS m_{a}", f"covar_pop({a}, y) AS c_{a}_y"]
-        for b in xs[i:]:
-            mom.append(f"covar_pop({a}, {b}) AS c_{a}_{b}")
+    """Closed-form OLS per configuration (0 to 3 regressors) on its own complete cases."""
     rows = []
     for name, cols in CONFIGS.items():
-        coef = {x: "CAST(NULL AS DOUBLE)" for x in xs}
-        if len(cols) == 1:
-            a = cols[0]
-            coef[a] = f"c_{a}_y / c_{a}_{a}"
-        elif len(cols) == 2:
-            a, b = cols
-            det = f"(c_{a}_{a} * c_{b}_{b} - c_{a}_{b} * c_{a}_{b})"
-            coef[a] = f"(c_{b}_{b} * c_{a}_y - c_{a}_{b} * c_{b}_y) / {det}"
-            coef[b] = f"(c_{a}_{a} * c_{b}_y - c_{a}_{b} * c_{a}_y) / {det}"
-        sel = ", ".join(f"{coef[x]} AS b_{x}" for x in xs)
-        rows.append(f"SELECT mo.*, '{name}' AS config, {len(cols)} AS k, {sel} FROM mo")
-    fit_terms = " + ".join(f"coalesce(b_{x}, 0) * m_{x}" for x in xs)
-    ssr_terms = " + ".join(f"coalesce(b_{x}, 0) * c_{x}_y" for x in xs)
-    pred = " + ".join(f"CASE WHEN b_{x} IS NULL THEN 0 ELSE b_{x} * te.{x} END" for x in xs)
+        b, _ = _closed_form(len(cols))
+        at = {c: b[i] for i, c in enumerate(cols)}
+        sel = ", ".join(f"{at.get(x, 'CAST(NULL AS DOUBLE)')} AS b_{x}" for x in REGRESSORS)
+        mean = " + ".join([f"({b[i]}) * m{i}" for i in range(len(cols))] or ["0"])
+        fit = " + ".join([f"({b[i]}) * s{i}y" for i in range(len(cols))] or ["0"])
+        rows.append(f"SELECT series_id, '{name}' AS config, {len(cols)} AS k, n, vyy, {sel}, my - ({mean}) AS intercept, "
+                    f"n * (vyy - ({fit})) AS ssr FROM ({_config_moments(cols)})")
+    pred = " + ".join(f"CASE WHEN b_{x} IS NULL THEN 0 ELSE b_{x} * te.{x} END" for x in REGRESSORS)
     return f"""
-mo AS (SELECT series_id, {', '.join(mom)} FROM tr WHERE {cond} GROUP BY 1),
-co AS ({' UNION ALL '.join(rows)}),
-co2 AS (SELECT *, my - ({fit_terms}) AS intercept, n * (vyy - ({ssr_terms})) AS ssr FROM co),
+co2 AS MATERIALIZED ({' UNION ALL '.join(rows)}),
 tm AS (SELECT co2.series_id, config, sqrt(avg((intercept + {pred} - te.y) ^ 2)) AS rmse_test,
               avg(abs(intercept + {pred} - te.y)) AS mae_test
        FROM co2 JOIN te USING (series_id) GROUP BY ALL)"""
@@ -214,11 +233,9 @@ SELECT series_id, config, n, CAST(k AS INTEGER) AS k, {S.r('intercept')} AS inte
        {S.r('rmse_test')} AS rmse_test, {S.r('mae_test')} AS mae_test
 FROM co2 JOIN tm USING (series_id, config)""")
 def regression_compare(spark, sf_dir):
-    """Several regressor sets fitted in one pass (moments group-by + tiny solves);
-    R2, adjusted R2, AIC and test errors per series and configuration."""
+    """Several regressor sets fitted in one pass (moments group-by + tiny solves), each on its own
+    complete cases; R2, adjusted R2, AIC and test errors per series and configuration."""
     tr, te = _split(spark, sf_dir)
-    # complete cases on every regressor, so all configurations share the rows
-    tr = tr.dropna(subset=["y", *REGRESSORS])
     sol, all_x = ols_by_config(tr, ["series_id"], "y", CONFIGS)
     coef = {c: F.col("coef")[i] for i, c in enumerate(all_x)}
     fit = sol.select("series_id", "config", "n", "k", "intercept",
@@ -243,19 +260,9 @@ def _inference_sql():
     for name, cols in CONFIGS.items():
         if not cols:
             continue
-        mom = ["count(*) AS n", "var_pop(y) AS vyy"]
-        for i, a in enumerate(cols):
-            mom += [f"covar_pop({a}, y) AS s{i}y"] + [f"covar_pop({a}, {b}) AS s{i}{j}" for j, b in enumerate(cols) if j >= i]
-        full = " AND ".join(f"{c} IS NOT NULL" for c in ["y", *cols])
-        if len(cols) == 1:
-            b, inv = ["s0y / s00"], ["1 / s00"]
-        else:
-            det = "(s00 * s11 - s01 * s01)"
-            b = [f"(s11 * s0y - s01 * s1y) / {det}", f"(s00 * s1y - s01 * s0y) / {det}"]
-            inv = [f"s11 / {det}", f"s00 / {det}"]
+        b, inv = _closed_form(len(cols))
         fit = " + ".join(f"({x}) * s{i}y" for i, x in enumerate(b))
-        ctes.append(f"i_{name} AS (SELECT *, n * (vyy - ({fit})) / (n - {len(cols)} - 1) AS s2 FROM "
-                    f"(SELECT series_id, {', '.join(mom)} FROM tr WHERE {full} GROUP BY 1))")
+        ctes.append(f"i_{name} AS (SELECT *, n * (vyy - ({fit})) / (n - {len(cols)} - 1) AS s2 FROM ({_config_moments(cols)}))")
         rows += [f"SELECT series_id, '{name}' AS config, '{c}' AS term, n - {len(cols)} - 1 AS df, {b[i]} AS coef, "
                  f"sqrt(s2 * ({inv[i]}) / n) AS se, ({b[i]}) * sqrt(s{i}{i} / vyy) AS beta FROM i_{name}"
                  for i, c in enumerate(cols)]
@@ -267,27 +274,26 @@ WITH {S.SPLIT_CTES}, {_inference_sql()},
 pv AS (SELECT *, coef / se AS t, {S.t_two_sided_sql('(coef / se)', 'df')} AS p FROM it)
 SELECT series_id, config, term, {S.r('coef')} AS coef, {S.r('se')} AS se, {S.r('t')} AS t, {S.r('p', 6)} AS p,
        CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE '' END AS stars,
-       {S.r('beta')} AS beta FROM pv""")
+       {S.r('beta')} AS beta, CASE WHEN coef IS NULL THEN 'singular' ELSE 'ok' END AS status FROM pv""")
 def regression_inference(spark, sf_dir):
     """Per configuration: standard errors, t, two-sided p (Student t), stars and
-    standardised Beta of every coefficient (classical OLS errors)."""
+    standardised Beta of every coefficient (classical OLS errors). A singular fit
+    keeps a row for each term, with status 'singular' and nulls."""
     tr, _ = _split(spark, sf_dir)
-    sol, all_x = ols_by_config(tr, ["series_id"], "y", CONFIGS)
-    rows = F.explode(F.arrays_zip(F.array(*[F.lit(c) for c in all_x]).alias("term"), F.col("coef").alias("coef"),
-                                  F.col("se").alias("se"), F.col("t").alias("t"), F.col("p").alias("p"),
-                                  F.col("beta").alias("beta")))
-    x = sol.select("series_id", "config", rows.alias("z")).filter(F.col("z.coef").isNotNull())
+    return inference_rows(*ols_by_config(tr, ["series_id"], "y", CONFIGS), CONFIGS)
+
+
+def inference_rows(sol, all_x, configs):
+    """One row a series, configuration and term of it."""
+    parts = ["coef", "se", "t", "p", "beta"]
+    terms = F.array(*[F.struct(F.lit(c).alias("term"), *[F.col(v)[i].alias(v) for v in parts]) for i, c in enumerate(all_x)])
+    mine = F.create_map(*[v for n, cols in configs.items() for v in (F.lit(n), F.array(*map(F.lit, cols)).cast("array<string>"))])
+    x = sol.select("series_id", "config", "status", F.explode(terms).alias("z"))
+    x = x.filter(F.array_contains(mine[F.col("config")], F.col("z.term")))
     stars = F.when(F.col("z.p") < 0.001, "***").when(F.col("z.p") < 0.01, "**").when(F.col("z.p") < 0.05, "*").otherwise("")
     return x.select("series_id", "config", F.col("z.term").alias("term"), rnd("z.coef").alias("coef"),
                     rnd("z.se").alias("se"), rnd("z.t").alias("t"), rnd("z.p", 6).alias("p"), stars.alias("stars"),
-                    rnd("z.beta").alias("beta"))
-
-
-def _det3(m):
-    """SQL text of the determinant of a 3 x 3 matrix of SQL expressions."""
-    return (f"(({m[0][0]}) * (({m[1][1]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][1]}))"
-            f" - ({m[0][1]}) * (({m[1][0]}) * ({m[2][2]}) - ({m[1][2]}) * ({m[2][0]}))"
-            f" + ({m[0][2]}) * (({m[1][0]}) * ({m[2][1]}) - ({m[1][1]}) * ({m[2][0]})))")
+                    rnd("z.beta").alias("beta"), "status")
 
 
 def _regime_sql(inference: bool = False):
@@ -331,7 +337,8 @@ f AS (SELECT *, my - (b0 * m_0 + b1 * m_1 + b2 * m_2) AS intercept, n * (vyy - (
 @query("regime_regression", _regime_sql())
 def regime_regression(spark, sf_dir):
     """Regression with regime dummies (shock, post-shock) next to x1; p-values of
-    the dummies are in ``regime_inference``."""
+    the dummies are in ``regime_inference``. A dummy that is constant for a series is
+    left out (NULL) and the rest fitted."""
     sol = _regime_fit(spark, sf_dir)
     return sol.select("series_id", "n", rnd("intercept").alias("intercept"), rnd(F.col("coef")[0]).alias("coef_x1"),
                       rnd(F.col("coef")[1]).alias("coef_shock"), rnd(F.col("coef")[2]).alias("coef_post"),
@@ -344,7 +351,7 @@ def _regime_fit(spark, sf_dir):
     d = tr.select("*", *regime_dummies("month", SHOCK, POST)) \
         .withColumn("regime_shock", F.col("regime_shock").cast("double")) \
         .withColumn("regime_post", F.col("regime_post").cast("double"))
-    return ols(d, ["series_id"], "y", ["x1", "regime_shock", "regime_post"])
+    return ols(d, ["series_id"], "y", ["x1", "regime_shock", "regime_post"], reduce=True)
 
 
 @query("regime_inference", _regime_sql(inference=True))
@@ -359,6 +366,68 @@ def regime_inference(spark, sf_dir):
                     rnd("z.t").alias("t"), rnd("z.p", 6).alias("p"))
 
 
+ARX_REGIME = {f"arx{p}": [*[f"z{k}" for k in range(1, p + 1)], "rs", "rp"] for p in (1, 2)}
+ARX_WINDOWS = {"full": "TRUE", "pre_shock": f"month < DATE '{SHOCK}'", "from_shock": f"month >= DATE '{SHOCK}'"}
+
+
+def _lag_windows(tr):
+    """Levels (d = 0) and differences (d = 1) of y and of the regime dummies with lags of y, over three windows."""
+    from ..functions.calendar import regime_dummies
+    w = Window.partitionBy("series_id").orderBy("month")
+    base = tr.filter(F.col("y").isNotNull()).select("series_id", "month", "y", *regime_dummies("month", SHOCK, POST))
+    base = base.select("series_id", "month", "y", F.col("regime_shock").cast("double").alias("s"), F.col("regime_post").cast("double").alias("p"))
+    diffs = base.select("*", *[(F.col(c) - F.lag(c).over(w)).alias(f"d{c}") for c in ("y", "s", "p")])
+    parts = [diffs.filter(F.expr(cond)).select(
+        "series_id", F.lit(name).alias("window_name"), F.lit(d).alias("d"), F.col(f"{pre}y").alias("z"), F.col(f"{pre}s").alias("rs"),
+        F.col(f"{pre}p").alias("rp"), *[F.lag(f"{pre}y", k).over(w).alias(f"z{k}") for k in (1, 2)])
+        for name, cond in ARX_WINDOWS.items() for d, pre in ((0, ""), (1, "d"))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _arx_regime_sql():
+    w = "OVER (PARTITION BY series_id ORDER BY month)"
+    lags = ", ".join(f"lag({{z}}, {k}) {w} AS z{k}" for k in (1, 2))
+    parts = [f"SELECT series_id, '{name}' AS window_name, {d} AS d, {pre}y AS z, {pre}s AS rs, {pre}p AS rp, {lags.format(z=pre + 'y')} "
+             f"FROM xd WHERE {cond}" for name, cond in ARX_WINDOWS.items() for d, pre in ((0, ""), (1, "d"))]
+    ctes, rows = [], []
+    keys = ["series_id", "window_name", "d"]
+    for name, cols in ARX_REGIME.items():
+        k = len(cols) + 1
+        full = " AND ".join(f"{c} IS NOT NULL" for c in ["z", *cols])
+        ctes += [f"c_{name} AS (SELECT * FROM xw WHERE {full})", S.eliminate_ctes(f"c_{name}", keys, ["1", *cols, "z"], name),
+                 S.solve_cte(name, keys, k), f"n_{name} AS (SELECT series_id, window_name, d, count(*) AS n, var_pop(z) AS vyy FROM c_{name} GROUP BY ALL)"]
+        at = {c: f"b{i + 1}" for i, c in enumerate(cols)}
+        gone = " || ".join(f"CASE WHEN {at[c]} IS NULL THEN ',{c}' ELSE '' END" for c in cols)
+        left = " + ".join(f"CASE WHEN {at[c]} IS NULL THEN 0 ELSE 1 END" for c in cols)
+        rows.append(f"SELECT series_id, window_name, d, '{name}' AS config, n, {left} AS k, b0, {at['z1']} AS ar1, {at.get('z2', 'NULL::DOUBLE')} AS ar2, "
+                    f"{at['rs']} AS shock, {at['rp']} AS post, ltrim({gone}, ',') AS dropped, ssr, vyy FROM {name}_b JOIN n_{name} USING (series_id, window_name, d)")
+    return f"""WITH {S.SPLIT_CTES},
+xb AS (SELECT series_id, month, y, CASE WHEN month >= DATE '{SHOCK}' AND month < DATE '{POST}' THEN 1.0 ELSE 0.0 END AS s,
+              CASE WHEN month >= DATE '{POST}' THEN 1.0 ELSE 0.0 END AS p FROM tr WHERE y IS NOT NULL),
+xd AS (SELECT *, y - lag(y) {w} AS dy, s - lag(s) {w} AS ds, p - lag(p) {w} AS dp FROM xb),
+xw AS ({' UNION ALL '.join(parts)}), {', '.join(ctes)}, u AS ({' UNION ALL '.join(rows)})
+SELECT series_id, window_name, CAST(d AS INTEGER) AS d, config, n, CAST(k AS INTEGER) AS k, {S.r('b0')} AS intercept, {S.r('ar1')} AS ar1, {S.r('ar2')} AS ar2,
+       {S.r('shock')} AS shock, {S.r('post')} AS post, dropped, CASE WHEN dropped = '' THEN 'ok' ELSE 'reduced' END AS status,
+       {S.r('1 - ssr / (n * vyy)')} AS r2, {S.r('n * ln(2 * pi() * ssr / n) + n + 2 * (k + 2)')} AS aic FROM u"""
+
+
+@query("arx_regime", _arx_regime_sql())
+def arx_regime(spark, sf_dir):
+    """ARX(1) and ARX(2) with shock and post-shock dummies, on levels and differences, over all training
+    months, those before the shock and those from it on. Dummies that are constant in a window, or that
+    depend on the other, are named in ``dropped`` and the rest is fitted."""
+    tr, _ = _split(spark, sf_dir)
+    sol, names = ols_by_config(_lag_windows(tr), ["series_id", "window_name", "d"], "z", ARX_REGIME, reduce=True)
+    slot = {n: F.col("coef")[i] for i, n in enumerate(names)}
+    dropped = F.array_join(F.transform("dropped", lambda i: F.array(*map(F.lit, names))[i]), ",")
+    return sol.select("series_id", "window_name", "d", "config", "n", "k", rnd("intercept").alias("intercept"), rnd(slot["z1"]).alias("ar1"),
+                      rnd(slot["z2"]).alias("ar2"), rnd(slot["rs"]).alias("shock"), rnd(slot["rp"]).alias("post"),
+                      dropped.alias("dropped"), "status", rnd("r2").alias("r2"), rnd("aic").alias("aic"))
+
+
 def _ar_grid(tr, window_filters):
     """AR(p)/ARX(p) fits for d in {0, 1} over the given windows, one solve pass.
 
@@ -385,7 +454,64 @@ def _ar_grid(tr, window_filters):
     return sol, all_x
 
 
-@query("ar_order_grid")
+AR_GRID = {f"ar{x}{p}": (p, bool(x)) for p in (1, 2, 3) for x in ("", "x")}
+
+
+def _grid_ctes(windows):
+    """Every (window, d) with lag columns, and the solved fits ``gf`` of every order on the common rows."""
+    w = "OVER (PARTITION BY series_id ORDER BY month)"
+    lag = lambda z: ", ".join(f"lag({z}, {k}) {w} AS z{k}" for k in (1, 2, 3))
+    parts = [f"SELECT series_id, '{name}' AS win, {d} AS d, {z} AS z, {x} AS xx, {lag(z)} FROM gd WHERE {cond}"
+             for name, cond in windows for d, z, x in ((0, "y", "x1"), (1, "dy", "dx1"))]
+    keys, ctes, rows = ["series_id", "win", "d"], [], []
+    for name, (p, x) in AR_GRID.items():
+        cols = [f"z{k}" for k in range(1, p + 1)] + ["xx"] * x
+        k = len(cols) + 1
+        full = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+        ctes += [f"g_{name} AS (SELECT * FROM gw WHERE {full})", S.eliminate_ctes(f"g_{name}", keys, ["1", *cols, "z"], name),
+                 S.solve_cte(name, keys, k), f"m_{name} AS (SELECT series_id, win, d, count(*) AS n, var_pop(z) AS vyy FROM g_{name} GROUP BY ALL)"]
+        at = {c: f"b{i + 1}" for i, c in enumerate(cols)}
+        phis = ", ".join(f"{at.get(f'z{i}', '0.0')} AS phi{i}" for i in (1, 2, 3))
+        rows.append(f"SELECT series_id, win, d, '{name}' AS config, n, {len(cols)} AS k, b0 AS c, {phis}, {at.get('xx', '0.0')} AS beta, ssr, vyy "
+                    f"FROM {name}_b JOIN m_{name} USING (series_id, win, d)")
+    return f"""{S.SPLIT_CTES},
+gd AS (SELECT *, y - lag(y) {w} AS dy, x1 - lag(x1) {w} AS dx1 FROM tr),
+gw AS (SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE z3 IS NOT NULL AND z IS NOT NULL AND xx IS NOT NULL),
+{', '.join(ctes)}, gf AS MATERIALIZED ({' UNION ALL '.join(rows)})"""
+
+
+def _grid_sql():
+    return f"""WITH {_grid_ctes([("full", "TRUE"), ("pre_shock", f"month < DATE '{SHOCK}'")])},
+ga AS (SELECT *, n * (ln(2 * pi() * ssr / n) + 1) AS m2ll FROM gf)
+SELECT series_id, win AS "window", CAST(d AS INTEGER) AS d, config, n, CAST(k AS INTEGER) AS k, {S.r('m2ll + 2 * (k + 2)')} AS aic,
+       {S.r('m2ll + ln(n) * (k + 2)')} AS bic, {S.r('1 - ssr / (n * vyy)')} AS r2,
+       CAST(row_number() OVER (PARTITION BY series_id, win ORDER BY m2ll + 2 * (k + 2), d, config) AS INTEGER) AS aic_rank
+FROM ga"""
+
+
+def _grid_forecast_sql():
+    """The recursion month by month as a recursive CTE."""
+    w = "OVER (PARTITION BY series_id ORDER BY month)"
+    return f"""WITH RECURSIVE {_grid_ctes([("full", "TRUE")])},
+ft AS (SELECT *, y - lag(y) {w} AS dy, x1 - lag(x1) {w} AS dx1 FROM sp WHERE split IS NOT NULL),
+fl AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY month DESC) AS rn FROM ft WHERE split = 'train'),
+fh AS (SELECT series_id, max(CASE WHEN rn = 1 THEN y END) AS y1, max(CASE WHEN rn = 2 THEN y END) AS y2, max(CASE WHEN rn = 3 THEN y END) AS y3,
+              max(CASE WHEN rn = 1 THEN dy END) AS d1, max(CASE WHEN rn = 2 THEN dy END) AS d2, max(CASE WHEN rn = 3 THEN dy END) AS d3 FROM fl GROUP BY 1),
+fs AS (SELECT *, row_number() {w} AS h FROM ft WHERE split = 'test'),
+rc AS (SELECT gf.series_id, gf.d, gf.config, CAST(0 AS BIGINT) AS h, CASE WHEN d = 0 THEN y1 ELSE d1 END AS a1,
+              CASE WHEN d = 0 THEN y2 ELSE d2 END AS a2, CASE WHEN d = 0 THEN y3 ELSE d3 END AS a3, y1 AS lev, NULL::DOUBLE AS actual
+       FROM gf JOIN fh USING (series_id)
+       UNION ALL
+       SELECT series_id, d, config, h, a0, a1, a2, CASE WHEN d = 0 THEN a0 ELSE lev + a0 END, y FROM (
+         SELECT rc.series_id, rc.d, rc.config, fs.h, rc.a1, rc.a2, rc.lev, fs.y,
+                gf.c + gf.phi1 * rc.a1 + gf.phi2 * rc.a2 + gf.phi3 * rc.a3 + gf.beta * CASE WHEN rc.d = 0 THEN fs.x1 ELSE fs.dx1 END AS a0
+         FROM rc JOIN fs ON fs.series_id = rc.series_id AND fs.h = rc.h + 1
+         JOIN gf ON gf.series_id = rc.series_id AND gf.d = rc.d AND gf.config = rc.config))
+SELECT series_id, CAST(d AS INTEGER) AS d, config, count(lev - actual) AS n, {S.r('sqrt(avg((lev - actual) ^ 2))')} AS rmse,
+       {S.r('avg(abs(lev - actual))')} AS mae FROM rc WHERE h > 0 GROUP BY 1, 2, 3"""
+
+
+@query("ar_order_grid", _grid_sql())
 def ar_order_grid(spark, sf_dir):
     """AR(p) / ARX(p) with d in {0, 1}, p in {1, 2, 3}, on the full training window
     and on the pre-shock window: conditional least squares on lag columns, all
@@ -407,7 +533,7 @@ LEVELS = """CASE WHEN d = 0 THEN zpath ELSE
       slice(aggregate(zpath, array(y_T), (acc, v) -> concat(acc, array(element_at(acc, -1) + v))), 2, size(zpath)) END"""
 
 
-@query("ar_forecast_metrics")
+@query("ar_forecast_metrics", _grid_forecast_sql())
 def ar_forecast_metrics(spark, sf_dir):
     """Test-horizon RMSE/MAE of every AR/ARX order (d = 0 on levels, d = 1 on
     differences integrated back): forecasts are built recursively per series

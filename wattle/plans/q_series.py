@@ -431,7 +431,39 @@ def _hannan_rissanen(d, configs):
                       "sigma2", "aic", slot("z3", "ar3"), slot("u2", "ma2"), slot("xx", "beta_x1"))
 
 
-@query("arma_hannan_rissanen")
+def _arma_sql():
+    w = "OVER (PARTITION BY src, series_id ORDER BY month)"
+    lags = [f"z{k}" for k in range(1, 7)]
+    fit = " + ".join(["b0"] + [f"b{k} * z{k}" for k in range(1, 7)])
+    long_rows = " AND ".join(f"{c} IS NOT NULL" for c in ["z", *lags])
+    configs = [("level", n, cols) for n, cols in ARMA.items()]
+    configs += [("diff", f"arima{p}11", ARMA[f"arma{p}1"]) for p in (1, 2)] + [("pre", f"pre_{c}", ARMA[c]) for c in ("arma11", "arma21", "arma12")]
+    ctes, rows = [], []
+    for src, name, cols in configs:
+        k = len(cols) + 1
+        full = " AND ".join(f"{c} IS NOT NULL" for c in ["z", *cols])
+        ctes += [f"h_{name} AS (SELECT * FROM hu WHERE src = '{src}' AND {full})", S.eliminate_ctes(f"h_{name}", ["series_id"], ["1", *cols, "z"], name),
+                 S.solve_cte(name, ["series_id"], k), f"n_{name} AS (SELECT series_id, count(*) AS n FROM h_{name} GROUP BY 1)"]
+        at = {c: f"b{i + 1}" for i, c in enumerate(cols)}
+        sel = ", ".join(f"{at.get(c, 'NULL::DOUBLE')} AS {out}" for c, out in
+                        (("z1", "ar1"), ("z2", "ar2"), ("u1", "ma1"), ("z3", "ar3"), ("u2", "ma2"), ("xx", "beta_x1")))
+        rows.append(f"SELECT series_id, '{name}' AS config, n, {len(cols)} AS k, b0, {sel}, ssr FROM {name}_b JOIN n_{name} USING (series_id)")
+    out = ", ".join(f"{S.r(c)} AS {c}" for c in ("ar1", "ar2", "ma1", "ar3", "ma2", "beta_x1"))
+    return f"""WITH {S.SPLIT_CTES},
+h0 AS (SELECT 'level' AS src, series_id, month, y AS z, x1 AS xx FROM tr
+       UNION ALL SELECT 'diff', series_id, month, y - lag(y) OVER (PARTITION BY series_id ORDER BY month), x1 FROM tr
+       UNION ALL SELECT 'pre', series_id, month, y, x1 FROM tr WHERE month < DATE '{SHOCK}'),
+hl AS (SELECT *, {', '.join(f'lag(z, {k}) {w} AS z{k}' for k in range(1, 7))} FROM h0),
+hc AS (SELECT * FROM hl WHERE {long_rows}), {S.eliminate_ctes("hc", ["src", "series_id"], ["1", *lags, "z"], "ha")},
+{S.solve_cte("ha", ["src", "series_id"], 7)},
+hi AS (SELECT hl.*, z - ({fit}) AS u FROM hl JOIN ha_b USING (src, series_id)),
+hu AS (SELECT *, lag(u, 1) {w} AS u1, lag(u, 2) {w} AS u2 FROM hi),
+{', '.join(ctes)}, ho AS ({' UNION ALL '.join(rows)})
+SELECT series_id, config, n, {S.r('b0')} AS intercept, {out}, {S.r('ssr / (n - k - 1)')} AS sigma2,
+       {S.r('n * (ln(2 * pi() * ssr / n) + 1) + 2 * (k + 2)')} AS aic FROM ho"""
+
+
+@query("arma_hannan_rissanen", _arma_sql())
 def arma_hannan_rissanen(spark, sf_dir):
     """ARMA(p, q) and ARMAX(p, q) by Hannan-Rissanen: a long AR(6) gives innovation
     estimates, then y is regressed on its own lags, the lagged innovations and, in

@@ -369,3 +369,12 @@ def eliminate_ctes(src: str, keys: list[str], columns: list[str], name: str, tol
         to = f"{name}_{p + 1}" if p < k - 1 else f"{name}_u"
         out.append(f"{to} AS MATERIALIZED (SELECT {key}, {', '.join(cells + rest)} FROM {name}_{p})")
     return ",\n".join(out)
+
+
+def solve_cte(name: str, keys: list[str], k: int, tol: float = 1e-10) -> str:
+    """CTE ``{name}_b`` after ``eliminate_ctes``: coefficients ``b0`` .. (null where the column was passed over), ``ssr``."""
+    terms = []
+    for i in reversed(range(k)):
+        later = "".join(f" - g{i}_{j} * coalesce(b{j}, 0)" for j in range(i + 1, k))
+        terms.append(f"CASE WHEN g{i}_{i} > {tol} * o{i} THEN (g{i}_{k}{later}) / g{i}_{i} END AS b{i}")
+    return f"{name}_b AS MATERIALIZED (SELECT {', '.join(keys)}, {', '.join(terms)}, g{k}_{k} AS ssr FROM {name}_u)"
