@@ -77,7 +77,8 @@ def test_consolidation_job_report(spark, tmp_path):
     rep = {r.source: r for r in run(spark, SF_SMALL, str(tmp_path / "out")).collect()}
     assert set(rep) == {"electricity", "carbon", "climate", "production", "gas", "economy"}
     assert all(r.status == "ok" and r.rows > 0 for r in rep.values())
-    cons = spark.read.parquet(str(tmp_path / "out" / "consolidated"))
+    from wattle.sources import versions
+    cons = versions.read(spark, str(tmp_path / "out" / "consolidated"))
     assert cons.filter(F.col("aggregation_level") == "monthly").count() > 0
     src_rows = sum(r.rows for r in rep.values())
     assert cons.count() <= src_rows

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wattle.operators.merge import consolidate
 from wattle.plans import consolidate as C
 from wattle.plans.job import run
-from wattle.sources import files
+from wattle.sources import files, versions
 
 HEAD = "Time from [CET/CEST],Time to,Price EXAA 10:15 Auction [EUR/MWh],Price MC Auction [EUR/MWh]\n"
 
@@ -95,16 +95,20 @@ def test_job_from_raw_files_to_exports(spark, tmp_path):
     raw.mkdir()
     _raw_folder(raw)
     _write(raw / "Day Ahead Preise_M15_2022_English.csv", "nothing,useful\n1,2\n")
-    rep = {r.source: r for r in run(spark, None, out, raw_dir=str(raw)).collect()}
+    _write(raw / "meta.csv", "column;label;unit\noegpi_month;Gas, monthly;index\n")
+    rep = {r.source: r for r in run(spark, None, out, raw_dir=str(raw), allow_missing_files=True).collect()}
     assert {k for k, r in rep.items() if r.status == "ok"} == {"electricity", "carbon", "climate", "production", "gas", "economy"}
     assert [r.error for k, r in rep.items() if k.endswith("M15_2022_English.csv")] == ["no price column"]
-    cons = spark.read.parquet(out + "/consolidated")
+    cons = versions.read(spark, out + "/consolidated")
     assert len(cons.columns) == 59
-    fin = spark.read.parquet(out + "/finalised")
+    fin = versions.read(spark, out + "/finalised")
     assert len(fin.columns) == 60 and dict(fin.dtypes)["date_dt"] == "date"
     jan = fin.filter("aggregation_level = 'monthly' AND date = '2020-01-01'").first()
     assert (jan.climate_cdd_at, jan.climate_hdd_eu, jan.oegpi_year, jan.econ_imports_energy_EUR) == (0.0, 4.0, 4.0, 7.0)
-    ready = spark.read.parquet(out + "/analysis_ready")
+    assert rep["electricity"].rejected == 2                       # the hours "2A"
+    describe = spark.read.option("header", True).option("sep", ";").csv(out + "/reports/describe")
+    assert {r.column: (r.label, r.unit) for r in describe.collect()}["oegpi_month"] == ("Gas, monthly", "index")
+    ready = versions.read(spark, out + "/analysis_ready")
     assert not set(C.ANALYSIS_DROPPED) & set(ready.columns)
     assert ready.filter(F.col("price_combined").isNull()).count() == 0
     r = ready.filter("aggregation_level = 'monthly' AND date = '2020-01-01'").first()
@@ -119,4 +123,88 @@ def test_a_missing_source_keeps_the_old_table(spark, tmp_path):
     (raw / "gas.csv").unlink()
     rep = {r.source: r.status for r in run(spark, None, out, raw_dir=str(raw), reports=False).collect()}
     assert rep["gas"] == "failed" and rep["consolidated"] == "not written"
-    assert "oegpi_year" in spark.read.parquet(out + "/consolidated").columns
+    assert "oegpi_year" in versions.read(spark, out + "/consolidated").columns
+
+
+def test_an_unreadable_file_blocks_publication(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    _raw_folder(raw)
+    run(spark, None, out, raw_dir=str(raw), reports=False)
+    _write(raw / "Day Ahead Preise_M15_2022_English.csv", "nothing,useful\n1,2\n")
+    rep = {r.source: r.status for r in run(spark, None, out, raw_dir=str(raw), reports=False).collect()}
+    assert rep["electricity"] == "failed" and rep["consolidated"] == "not written"
+    assert versions.read(spark, out + "/consolidated").count() > 0
+
+
+def test_every_source_feeds_the_ledger(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    _raw_folder(raw)
+    before = {r.source: r for r in run(spark, None, out, raw_dir=str(raw), reports=False).collect()}
+    rows = sorted(map(str, versions.read(spark, out + "/consolidated").collect()))
+    cut = {}
+    for f, sep in (("Day Ahead Preise_M15_2020_English.csv", ","), ("carbon.csv", ","), ("climate.csv", ","), ("production.csv", ";"),
+                   ("gas.csv", ","), ("economy.csv", ",")):
+        lines = (raw / f).read_bytes().split(b"\n")
+        at = max(i for i, x in enumerate(lines) if x.count(sep.encode()) > 1 and b"Quelle" not in x and b"2A:00" not in x)
+        cut[f] = lines[at] + (sep + "SURPLUS").encode() * 40
+        (raw / f).write_bytes(b"\n".join([*lines[:at + 1], cut[f], *lines[at + 1:]]))
+    rep = {r.source: r for r in run(spark, None, out, raw_dir=str(raw), reports=False).collect()}
+    assert all(rep[s].status == "ok" and rep[s].rejected == before[s].rejected + 1 for s in
+               ("electricity", "carbon", "climate", "production", "gas", "economy"))
+    lines = versions.read(spark, out + "/rejects").filter("reason = 'too many fields'").collect()
+    assert {r.source_file.replace("%20", " ") for r in lines} == set(cut) and all("SURPLUS" in r.line for r in lines)
+    assert sorted(map(str, versions.read(spark, out + "/consolidated").collect())) == rows       # the good lines are as before
+
+
+def test_found_indicators_become_columns(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    _raw_folder(raw)
+    with open(raw / "climate.csv", "a") as f:
+        f.write("M,WND,AT,2020-01,42\n")
+    rep = {r.source: r.status for r in run(spark, None, out, raw_dir=str(raw), reports=False).collect()}
+    cons = versions.read(spark, out + "/consolidated")
+    assert rep["climate"] == "ok" and cons.filter("climate_wnd_at = 42").count() == 1 and "climate_wnd_eu" not in cons.columns
+    with open(raw / "climate.csv", "a") as f:
+        f.write("M,WND,AT,2020-01,43\n")
+    rep = {r.source: r for r in run(spark, None, out, raw_dir=str(raw), reports=False).collect()}
+    assert rep["climate"].status == "failed" and "WND" in rep["climate"].error and rep["consolidated"].status == "not written"
+
+
+def test_a_run_that_dies_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(10).withColumn("k", F.col("id") % 2)
+    first = versions.publish(df, path, ["k"], "a")
+    dying = df.withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("killed"))).otherwise(F.col("id")))
+    with pytest.raises(Exception):
+        versions.publish(dying, path, ["k"], "b")
+    assert versions.current(spark, path) == first and versions.read(spark, path).count() == 10
+    second = versions.publish(df.filter("id < 3"), path, ["k"])
+    assert second["before"] == first["version"] and versions.read(spark, path).count() == 3
+    versions.publish(df.limit(0), path, ["k"])
+    assert versions.read(spark, path).columns == ["id", "k"] and versions.read(spark, path).count() == 0
+    kept = {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("v-")}
+    assert len(kept) == 2 and first["version"] not in kept
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, str(tmp_path / "none"))
+
+
+def test_only_a_changed_source_is_built_again(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    _raw_folder(raw)
+    run(spark, None, out, raw_dir=str(raw), reports=False)
+    stamp = {s: versions.current(spark, f"{out}/sources/{s}")["version"] for s in files_of(out)}
+    _write(raw / "gas.csv", "b,,,,\nDatum,Monat,Quartal,Saison,Jahr\n2020-Jan,1,2,3,99\n")
+    rep = {r.source: r.status for r in run(spark, None, out, raw_dir=str(raw), reports=False, changed_only=True).collect()}
+    assert rep == dict.fromkeys(stamp, "kept") | {"gas": "ok"}
+    now = {s: versions.current(spark, f"{out}/sources/{s}")["version"] for s in stamp}
+    assert {s for s in stamp if now[s] != stamp[s]} == {"gas"}
+    assert versions.read(spark, out + "/consolidated").filter("oegpi_year = 99").count() == 1
+
+
+def files_of(out):
+    from pathlib import Path
+    return [p.name for p in Path(out, "sources").iterdir()]

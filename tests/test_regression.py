@@ -99,16 +99,16 @@ def test_dependent_columns_are_named_and_left_out(spark):
     x1, x2 = rng.standard_normal(40), rng.standard_normal(40)
     y = 1 + 2 * x1 - x2 + 0.1 * rng.standard_normal(40)
     rows = [("s", float(a), float(a * 2 + 3), float(b), 7.0, float(c)) for a, b, c in zip(x1, x2, y)]
-    df = spark.createDataFrame(rows, "k string, x1 double, twin double, x2 double, flat double, y double")
+    df = spark.createDataFrame(rows, "sid string, x1 double, twin double, x2 double, flat double, y double")
     xs = ["x1", "twin", "x2", "flat"]
-    hard = ols(df, ["k"], "y", xs).first()
+    hard = ols(df, ["sid"], "y", xs).first()
     assert hard.status == "singular" and hard.coef is None
-    got = ols(df, ["k"], "y", xs, reduce=True).first()
+    got = ols(df, ["sid"], "y", xs, reduce=True).first()
     assert (got.status, got.dropped, got.k) == ("reduced", [1, 3], 2) and got.coef[1] is None and got.coef[3] is None
     want = np.linalg.lstsq(np.column_stack([np.ones(40), x1, x2]), y, rcond=None)[0]
     assert np.allclose([got.intercept, got.coef[0], got.coef[2]], want) and got.se[1] is None and got.p[0] is not None
-    assert ols(df, ["k"], "y", ["flat"], reduce=True).first().dropped == [0]
-    both, names = ols_by_config(df, ["k"], "y", {"a": ["x1", "twin"], "b": ["x2"], "c": []}, reduce=True)
+    assert ols(df, ["sid"], "y", ["flat"], reduce=True).first().dropped == [0]
+    both, names = ols_by_config(df, ["sid"], "y", {"a": ["x1", "twin"], "b": ["x2"], "c": []}, reduce=True)
     by = {r.config: r for r in both.collect()}
     assert [names[i] for i in by["a"].dropped] == ["twin"] and by["b"].dropped == [] and by["c"].status == "ok"
 

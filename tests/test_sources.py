@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from wattle.functions.calendar import is_month_token, parse_austrian_month
@@ -60,10 +61,26 @@ def test_meta_library_separator_detection(spark, tmp_path):
     assert (r.column, r.label, r.unit) == ("price_exaa_mean", "Preis EXAA", "EUR/MWh")
 
 
+def test_separator_is_found_from_all_lines(spark, tmp_path):
+    cases = {"a": ('column,label,unit\nx,"Preis; EXAA; alt",EUR\ny,"a;b;c;d",t\n', "utf-8", ","),
+             "b": ("column;label;unit\nx;Preis, \u00f6ffentlich, neu;\u20ac/MWh\n\ny;a, b, c;t\n", "cp1252", ";"),
+             "c": ("Column\tLabel\tUnit\nx\ta,b\tc;d\n", "utf-8", "\t")}
+    for name, (text, enc, sep) in cases.items():
+        p = _write(tmp_path / f"{name}.csv", text, enc)
+        assert files.find_separator(spark, p) == sep
+    got = {r.column: (r.label, r.unit) for r in files.read_meta_library(spark, str(tmp_path / "b.csv")).collect()}
+    assert got["x"] == ("Preis, \u00f6ffentlich, neu", "\u20ac/MWh") and got["y"] == ("a, b, c", "t")
+    assert files.read_meta_library(spark, str(tmp_path / "a.csv")).filter("column = 'x'").first().label == "Preis; EXAA; alt"
+    with pytest.raises(ValueError):
+        files.find_separator(spark, _write(tmp_path / "d.csv", "one\ntwo\n"))
+    with pytest.raises(ValueError):
+        files.read_meta_library(spark, _write(tmp_path / "e.csv", "a,b\n1,2\n"))
+
+
 def test_climate_prunes_columns(spark, tmp_path):
     p = _write(tmp_path / "clim.csv", "DATAFLOW,freq,indic_nrg,geo,TIME_PERIOD,OBS_VALUE,OBS_FLAG\nx,M,HDD,AT,2020-01,410.2,\n")
     df = files.read_climate(spark, p)
-    assert df.columns == ["TIME_PERIOD", "indic_nrg", "geo", "OBS_VALUE"] and df.first().OBS_VALUE == 410.2
+    assert df.columns == ["TIME_PERIOD", "indic_nrg", "geo", "OBS_VALUE", "malformed_line"] and df.first().OBS_VALUE == 410.2
 
 
 def test_sinks_roundtrip(spark, tmp_path):

@@ -112,7 +112,8 @@ def _solve_row(row, k_all, active, reduce=False):
     kept = _independent(S)
     if len(kept) < k and reduce:
         out["dropped"] = [x for i, x in enumerate(idx) if i not in kept]
-        S, idx, k = S[np.ix_(kept, kept)], [idx[i] for i in kept], len(kept)
+        at = np.array(kept, int)
+        S, idx, k = S[np.ix_(at, at)], [idx[i] for i in kept], len(kept)
         out["k"] = k
     sy = np.array([row[f"c_{i}_y"] for i in idx], dtype=float)
     mx = np.array([row[f"m_{i}"] for i in idx], dtype=float)

@@ -106,22 +106,40 @@ def carbon_long(raw: DataFrame, break_date: str = REFERENCE_CARBON_BREAK,
                        row_completeness(family).alias("data_completeness"))
 
 
-def climate_wide(long: DataFrame, indicators: Sequence[str], geos: Sequence[str],
+def pivot_values(long: DataFrame, key, names: Sequence[str], most: int = 2000) -> list[tuple]:
+    """The values that a pivot on ``names`` turns into columns, sorted: found by one aggregate that also
+    counts rows a cell, so a cell with two rows fails here instead of losing one. More than ``most``
+    columns (or none) is a fault too."""
+    cells = long.groupBy(key.alias("_key"), *names).agg(F.count("*").alias("_n"))
+    found = cells.groupBy(*names).agg(F.max("_n").alias("_most")).orderBy(*names).limit(most + 1).collect()
+    twice = [tuple(r[n] for n in names) for r in found if r["_most"] > 1]
+    if twice or not 0 < len(found) <= most:
+        raise ValueError(f"two values for one cell of {twice}" if twice else f"{len(found)} columns from {names}")
+    return [tuple(r[n] for n in names) for r in found]
+
+
+def climate_wide(long: DataFrame, indicators: Sequence[str] | None, geos: Sequence[str],
                  prefix: str = "climate_") -> DataFrame:
     """Long (TIME_PERIOD, indic_nrg, geo, OBS_VALUE) -> one column per indicator and geography.
 
-    One group-by (no pivot per geography, no join). Geographies are a choice;
-    an indicator that is not listed, or two rows for one month, indicator and
-    geography, fails the job when the month is computed instead of being lost."""
-    pairs = [(i, g) for g in geos for i in indicators]
+    One group-by (no pivot per geography, no join). Geographies are a choice.
+    ``indicators`` None: those that the data hold, found first. Listed ones are a
+    contract: an indicator that is not listed fails the job. So do two rows for one
+    month, indicator and geography, instead of one being lost."""
+    month = F.to_date("TIME_PERIOD", "yyyy-MM")
     here = F.col("geo").isin(list(geos))
+    if indicators is None:
+        found = pivot_values(long.filter(here & F.col("indic_nrg").isNotNull()), month, ["geo", "indic_nrg"])
+        pairs = sorted(((i, g) for g, i in found), key=lambda p: (list(geos).index(p[1]), p[0]))
+        indicators = sorted({i for i, _ in pairs})
+    else:
+        pairs = [(i, g) for g in geos for i in indicators]
     cols, twice = [], F.lit(False)
     for i, g in pairs:
         hit = (F.col("indic_nrg") == i) & (F.col("geo") == g)
         cols.append(F.max(F.when(hit, F.col("OBS_VALUE"))).alias(normalize_header(f"{i}_{g}", prefix)))
         twice = twice | (F.count_if(hit) > 1)
     unlisted = F.max(F.when(here & ~F.col("indic_nrg").isin(list(indicators)), F.col("indic_nrg")))
-    month = F.to_date("TIME_PERIOD", "yyyy-MM")
     wide = long.groupBy(month.alias("month")).agg(*cols, twice.alias("_twice"), unlisted.alias("_unlisted"))
     fault = F.when(F.col("_twice"), F.raise_error(F.lit("two climate values for one month, indicator and geography"))) \
         .when(F.col("_unlisted").isNotNull(), F.raise_error(F.concat(F.lit("unlisted climate indicator "), F.col("_unlisted"))))

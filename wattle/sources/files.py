@@ -5,7 +5,9 @@ inference pass), keeps the file name from ``_metadata`` where the year lives
 in it, and leaves typing to the lenient Column casts in ``functions``. A line
 with more or fewer fields than the header keeps its raw text in
 ``_corrupt_record``; typed readers pass that on as ``malformed_line`` (NULL for
-good lines), so nothing is cut without a trace and no line fails the job.
+good lines), so nothing is cut without a trace and no line fails the job. With
+``trace=True`` they also keep the lines whose key does not parse and the columns
+that ``ledger.split`` needs.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from ..functions import calendar as cal
 from ..functions import cleaning as cl
 
 ELECTRICITY_YEAR_PATTERN = r"M15_(\d{4})_English"
-CORRUPT = "_corrupt_record"
+CORRUPT, SURPLUS = "_corrupt_record", "_surplus"
 
 #: What cp1252 has where ISO-8859-1 has control characters (27 of the 32 places are taken).
 CP1252_C1 = {}
@@ -75,7 +77,17 @@ def read_lines_as(spark: SparkSession, paths: Sequence[str], names: Sequence[str
     cols = [cl.named(c) for c in df.columns]
     if single:
         cols = [fix_cp1252(c).alias(n) for c, n in zip(cols, df.columns)]
-    return df.select(*cols, F.col("_metadata.file_name").alias("source_file"))
+    return df.select(*cols, F.col("_metadata.file_name").alias("source_file"), (n_fields(F.col(CORRUPT), sep) > len(names)).alias(SURPLUS))
+
+
+def n_fields(line, sep: str):
+    """Fields of a delimited line; separators inside quotes do not count."""
+    return F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), "[" + sep + "]", -1))
+
+
+def traced(key_text) -> list:
+    """The columns of ``ledger.TRACE`` from those of ``read_lines_as``."""
+    return [F.col("source_file"), key_text.alias("key_text"), F.col(CORRUPT).alias("malformed_line"), F.col(SURPLUS).alias("surplus_fields")]
 
 
 def read_text_csv(spark: SparkSession, path: str, sep: str = ",", encoding: str | None = None,
@@ -124,7 +136,7 @@ def first_column_containing(columns: Sequence[str], *marks: str) -> str | None:
 
 
 def read_electricity(spark: SparkSession, paths: Sequence[str], ts_format: str = "dd.MM.yyyy HH:mm",
-                     eras: Mapping[str, tuple] | None = None, failures: list | None = None) -> DataFrame:
+                     eras: Mapping[str, tuple] | None = None, failures: list | None = None, trace: bool = False) -> DataFrame:
     """Yearly 15-minute price files -> timestamp, source_year, price_exaa_raw, price_mc_raw, malformed_line.
 
     Headers differ between years: one job finds every file's encoding and
@@ -160,7 +172,7 @@ def read_electricity(spark: SparkSession, paths: Sequence[str], ts_format: str =
             cl.lenient_timestamp(cl.named(names[0]), ts_format).alias("timestamp"), "source_year",
             *[(cl.lenient_double(cl.named(c)) if c else F.lit(None).cast("double")).alias(n)
               for c, n in ((exaa, "price_exaa_raw"), (mc, "price_mc_raw"))],
-            F.col(CORRUPT).alias("malformed_line")))
+            *(traced(cl.named(names[0])) if trace else [F.col(CORRUPT).alias("malformed_line")])))
     if not parts:
         raise ValueError(f"no readable electricity file: {failures}")
     out = parts[0]
@@ -170,32 +182,45 @@ def read_electricity(spark: SparkSession, paths: Sequence[str], ts_format: str =
 
 
 def read_carbon(spark: SparkSession, path: str, date_column: str = "Date", sep: str = ",",
-                decimal: str = ".", date_format: str = "yyyy-MM-dd") -> DataFrame:
+                decimal: str = ".", date_format: str = "yyyy-MM-dd", trace: bool = False) -> DataFrame:
     """Delimited carbon sheet: date parsed, value columns lenient doubles, junk and empty columns dropped."""
-    raw = cl.standardize_missing(read_text_csv(spark, path, sep).drop("source_file"))
+    own = ("source_file", SURPLUS, CORRUPT)
+    raw = read_text_csv(spark, path, sep)
+    raw = cl.standardize_missing(raw, [c for c in raw.columns if c not in own])
     conv = cl.decimal_comma_double if decimal == "," else cl.lenient_double
     cols = [F.try_to_date(cl.named(date_column), date_format).alias(date_column)]
     for c in raw.columns:
-        if c not in (date_column, CORRUPT):
+        if c not in (date_column, *own):
             cols.append(conv(cl.named(c)).alias(c) if "Market Currency" not in c else cl.named(c))
-    out = cl.drop_junk_columns(raw.select(*cols, F.col(CORRUPT)).drop(CORRUPT))
+    # Spark fills the corrupt-record column only in scans that ask for it, so the junk names are found first
+    values = cl.drop_junk_columns(raw.select(*cols)).columns
+    if trace:
+        return raw.select(*cols, *traced(cl.named(date_column))).select(*[cl.named(c) for c in values], "source_file", "key_text",
+                                                                         "malformed_line", "surplus_fields")
+    out = raw.select(*cols, F.col(CORRUPT).alias("malformed_line")).select(*[cl.named(c) for c in values], "malformed_line")
     return out.filter(cl.named(date_column).isNotNull())
 
 
-def read_climate(spark: SparkSession, path: str) -> DataFrame:
-    """Eurostat long file: the 4 used columns."""
+def read_climate(spark: SparkSession, path: str, trace: bool = False) -> DataFrame:
+    """Eurostat long file: the 4 used columns, ``malformed_line`` (with ``trace`` also ``month``)."""
     raw = read_text_csv(spark, path)
-    return raw.select("TIME_PERIOD", "indic_nrg", "geo", cl.lenient_double("OBS_VALUE").alias("OBS_VALUE"))
+    cols = ["TIME_PERIOD", "indic_nrg", "geo", cl.lenient_double("OBS_VALUE").alias("OBS_VALUE")]
+    if trace:
+        return raw.select(*cols, F.try_to_date("TIME_PERIOD", "yyyy-MM").alias("month"), *traced(F.col("TIME_PERIOD")))
+    return raw.select(*cols, F.col(CORRUPT).alias("malformed_line"))
 
 
 def read_production(spark: SparkSession, path: str, mapping: Mapping[str, str],
-                    month_column: str = "Header & Timestamp", month_format: str = "yyyy-MM") -> DataFrame:
+                    month_column: str = "Header & Timestamp", month_format: str = "yyyy-MM",
+                    trace: bool = False) -> DataFrame:
     """``;``-separated, decimal comma, ISO-8859-1, with header-metadata rows under the
     header: data rows are the ones whose first field parses as a month."""
     raw = read_text_csv(spark, path, sep=";", encoding="ISO-8859-1")
     m = F.try_to_date(F.trim(cl.named(month_column)), month_format)
-    return (raw.withColumn("month", m).filter(F.col("month").isNotNull())
-            .select("month", *[cl.decimal_comma_double(cl.named(src)).alias(dst) for src, dst in mapping.items()]))
+    cols = [m.alias("month"), *[cl.decimal_comma_double(cl.named(src)).alias(dst) for src, dst in mapping.items()]]
+    if trace:
+        return raw.select(*cols, *traced(cl.named(month_column)))
+    return raw.select(*cols, F.col(CORRUPT).alias("malformed_line")).filter(F.col("month").isNotNull())
 
 
 def sheet_header(spark: SparkSession, path: str, mark: str, sep: str) -> list[str]:
@@ -210,7 +235,7 @@ def sheet_header(spark: SparkSession, path: str, mark: str, sep: str) -> list[st
 
 
 def read_sheet_export(spark: SparkSession, path: str, mapping: Mapping[str, str], date_column: str, parse,
-                      shape=None, sep: str = ",") -> DataFrame:
+                      shape=None, sep: str = ",", trace: bool = False) -> DataFrame:
     """CSV export of a spreadsheet with banner rows and a footer; columns are chosen by header name.
 
     ``mapping``: header name -> column. Banner, unit and footer rows fall out
@@ -223,10 +248,12 @@ def read_sheet_export(spark: SparkSession, path: str, mapping: Mapping[str, str]
         raise ValueError(f"columns {lacking} are not in {path}")
     raw = read_text_csv(spark, path, sep=sep, encoding="UTF-8", header=False, n_columns=len(header))
     d = F.trim(F.col(f"_c{header.index(date_column)}"))
-    rows = raw.filter(shape(d)) if shape is not None else raw
+    month = parse(d) if shape is None else F.when(shape(d), parse(d))
     cols = [cl.lenient_double(cl.null_if_token(F.trim(F.col(f"_c{header.index(c)}")))).alias(n) for c, n in mapping.items()]
-    surplus = F.when(F.size(F.split(F.col(CORRUPT), sep, -1)) > len(header), F.col(CORRUPT))
-    return rows.select(parse(d).alias("month"), *cols, surplus.alias("malformed_line")).filter(F.col("month").isNotNull())
+    if trace:
+        return raw.select(month.alias("month"), *cols, *traced(d))
+    surplus = F.when(F.col(SURPLUS), F.col(CORRUPT))
+    return raw.select(month.alias("month"), *cols, surplus.alias("malformed_line")).filter(F.col("month").isNotNull())
 
 
 # Header names of the sources and the columns they become.
@@ -259,20 +286,44 @@ ECONOMY_COLUMNS = {
     "Einfuhren Insg. SITC-3 Brennstoffe, Energie in €": "econ_imports_energy_EUR"}
 
 
-def read_gas_sheet(spark: SparkSession, path: str, mapping: Mapping[str, str] = GAS_COLUMNS, sep: str = ",") -> DataFrame:
-    return read_sheet_export(spark, path, mapping, "Datum", cal.parse_german_month, sep=sep)
+def read_gas_sheet(spark: SparkSession, path: str, mapping: Mapping[str, str] = GAS_COLUMNS, sep: str = ",",
+                   trace: bool = False) -> DataFrame:
+    return read_sheet_export(spark, path, mapping, "Datum", cal.parse_german_month, sep=sep, trace=trace)
+
 
+def read_economy_sheet(spark: SparkSession, path: str, mapping: Mapping[str, str] = ECONOMY_COLUMNS, sep: str = ",",
+                       trace: bool = False) -> DataFrame:
+    return read_sheet_export(spark, path, mapping, "Berichtszeitraum", cal.parse_austrian_month, cal.is_month_token, sep, trace)
 
-def read_economy_sheet(spark: SparkSession, path: str, mapping: Mapping[str, str] = ECONOMY_COLUMNS, sep: str = ",") -> DataFrame:
-    return read_sheet_export(spark, path, mapping, "Berichtszeitraum", cal.parse_austrian_month, cal.is_month_token, sep)
+
+SEPARATORS = (",", ";", "\t", "|")
+
+
+def find_separator(spark: SparkSession, path: str, candidates: Sequence[str] = SEPARATORS) -> str:
+    """The separator of a delimited file: the candidate for which most lines agree on a number of fields
+    above one (ties: more fields, then the order of ``candidates``). One pass over all lines; separators
+    inside quotes do not count, blank lines neither."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    counts = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), n_fields(F.col("value"), c).alias("fields"))
+                                 for i, c in enumerate(candidates)]))
+    # candidates x different field counts
+    seen = lines.select(counts.alias("c")).groupBy("c.i", "c.fields").agg(F.count("*").alias("n")).filter("fields > 1")
+    best = seen.orderBy(F.desc("n"), F.desc("fields"), "i").first()
+    if best is None:
+        raise ValueError(f"no separator of {candidates} divides the lines of {path}")
+    return candidates[best["i"]]
 
 
 def read_meta_library(spark: SparkSession, path: str) -> DataFrame:
-    """Label library (column, label, unit): encoding from the whole file, ',' or ';' from its header."""
+    """Label library (column, label, unit): encoding and separator from the whole file; names of any case."""
     (enc, line), = file_heads(spark, [path]).values()
-    sep = ";" if line.count(";") > line.count(",") else ","
+    sep = find_separator(spark, path)
     lib = read_text_csv(spark, path, sep=sep, encoding=enc)
-    return lib.select(F.trim("column").alias("column"), F.trim("label").alias("label"), F.trim("unit").alias("unit"))
+    names = {n.strip().lower(): n for n in header_names(line, sep)}
+    lacking = [c for c in ("column", "label", "unit") if c not in names]
+    if lacking:
+        raise ValueError(f"columns {lacking} are not in {path}")
+    return lib.select(*[F.trim(cl.named(names[c])).alias(c) for c in ("column", "label", "unit")])
 
 
 def sample_per_file(df: DataFrame, n: int, key: str = "source_year", order: str = "timestamp") -> DataFrame:
