@@ -33,7 +33,7 @@ from .common import read, running_base, shuffle_parts
 
 BLOCK_IDS = 1 << 16
 END_ID = 1
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 190_000      # entries of each of a worker's two cache generations
 TOKENIZER = "word_bpe_49k.json"
 
 BLOCKS = ("shard int, block int, first long, n_ids long, width int, doc_ids array<bigint>, "
@@ -87,9 +87,11 @@ class Encoder(dict):
 
     For a tokenizer that drops white space, a text's ids are those of its
     chunks in turn, so each worker encodes a chunk once while it stays in the
-    cache of ``CACHE_CHUNKS`` entries. Latin-1 chunks are cut into the
-    pre-tokenizer's pieces here and encoded by the library's model; all others
-    go through the library whole. If a probe shows that the tokenizer does not
+    cache. The cache has two generations of ``CACHE_CHUNKS`` entries: the dict
+    itself and, when it is full, what it held before, so chunks that come often
+    are never lost. Latin-1 chunks are cut into the pre-tokenizer's pieces here,
+    which share the cache, and encoded by the library's model; all others go
+    through the library whole. If a probe shows that the tokenizer does not
     work this way, every text goes through the library whole."""
 
     def __init__(self, path: str):
@@ -103,7 +105,7 @@ class Encoder(dict):
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.table = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(256)}
-        self.pieces: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         probe = "It's 12\xbd o'clock, na\xefve \xc9T\xc9!! <a@b.c> we'll\tsee\nŒuvre 你好 é x_y --\xbf"
         self.by_chunk = True
         self.by_chunk = self.encode(probe) == self.whole(probe)
@@ -112,22 +114,25 @@ class Encoder(dict):
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        if max(chunk) < "Ā":
-            low = chunk.lower()
-            ids = b"".join([self.pieces.get(p) or self._piece(p) for p in _PIECES.findall(low)])
-        else:
-            ids = self.whole(chunk)
+        ids = self.old.get(chunk)
+        if ids is None:
+            if chunk.isascii() and chunk.isalpha():
+                ids = self._piece(chunk.lower())
+            elif max(chunk) < "Ā":
+                low = chunk.lower()
+                pieces = _PIECES.findall(low)
+                ids = self._piece(low) if len(pieces) == 1 else b"".join([self[p] for p in pieces])
+            else:
+                ids = self.whole(chunk)
         if len(self) >= CACHE_CHUNKS:
+            self.old = dict(self)
             self.clear()
         self[chunk] = ids
         return ids
 
     def _piece(self, p: str) -> bytes:
-        ids = array(self.code, [t.id for t in self.tok.model.tokenize(p.translate(self.table))]).tobytes()
-        if len(self.pieces) >= CACHE_CHUNKS:
-            self.pieces.clear()
-        self.pieces[p] = ids
-        return ids
+        """Ids of a piece; printable ASCII stands for itself in the byte-level alphabet."""
+        return array(self.code, [t.id for t in self.tok.model.tokenize(p if p.isalpha() and p.isascii() else p.translate(self.table))]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not self.by_chunk or self.special.search(text) or _SPECIAL_SPACE.search(text):
