@@ -187,7 +187,8 @@ def test_fingerprints_match_brute_force(spark, texts):
         r = got[d]
         assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(e.encode()).hexdigest())
         assert (r.fingerprint, r.edited_fingerprint) == (syncmers.as_text(a), syncmers.as_text(b))
-        assert (r.near_edited, r.near_next) == (syncmers.likeness(a, b), syncmers.likeness(a, c))
+        a, b, c = map(syncmers.as_bytes, (a, b, c))                     # the contract: likeness of the fingerprints alone
+        assert (r.near_edited, r.near_next) == (syncmers.print_likeness(a, b), syncmers.print_likeness(a, c))
 
 
 def test_anchors_are_closed_syncmers_and_match_passages():

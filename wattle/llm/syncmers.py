@@ -109,20 +109,37 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return n / (len(a) + len(b) - n)
 
 
-def as_bytes(sketch: np.ndarray) -> bytes:
-    """The fingerprint's anchors in text order, twelve bytes each, the higher first: places since the one
-    before, hash."""
+def chosen(sketch: np.ndarray) -> np.ndarray:
+    """The fingerprint's anchors (place, hash) in text order: those below a fixed hash threshold, LEAST at least."""
     if not len(sketch):
-        return b""
+        return sketch
     h = sketch[:, 1]
     low = h < U64(2 ** 64 // RATE)
     if low.sum() < LEAST:
         low = h <= np.partition(h, min(LEAST, len(h)) - 1)[min(LEAST, len(h)) - 1]
-    out = np.zeros(int(low.sum()), [("gap", ">u4"), ("hash", ">u8")])
-    out["gap"], out["hash"] = np.diff(sketch[low, 0], prepend=U64(0)), h[low]
+    return sketch[low]
+
+
+def as_bytes(sketch: np.ndarray) -> bytes:
+    """The fingerprint: twelve bytes an anchor, the higher first: places since the one before, hash."""
+    kept = chosen(sketch)
+    out = np.zeros(len(kept), [("gap", ">u4"), ("hash", ">u8")])
+    if len(kept):
+        out["gap"], out["hash"] = np.diff(kept[:, 0], prepend=U64(0)), kept[:, 1]
     return out.tobytes()
 
 
+def from_bytes(prints: bytes) -> np.ndarray:
+    """The anchors (place, hash) of a fingerprint."""
+    got = np.frombuffer(prints, [("gap", ">u4"), ("hash", ">u8")])
+    return np.stack([np.cumsum(got["gap"], dtype=U64), got["hash"].astype(U64)], 1)
+
+
+def print_likeness(a: bytes, b: bytes) -> float:
+    """Likeness of two fingerprints, from nothing but their bytes; equal ones have 1."""
+    return 1.0 if a == b else likeness(from_bytes(a), from_bytes(b))
+
+
 def as_text(sketch: np.ndarray) -> str:
     return as_bytes(sketch).hex()
 
@@ -186,12 +203,12 @@ def _compare(ids: list, texts: list[str], following: list[str], part: int) -> pa
     own = sketches([t.encode() for t in ([*texts, following[-1]] if chain else texts)])
     nxt = own[1:] if chain else sketches([t.encode() for t in following])
     new = sketches(raw)
-    prints = [as_bytes(x) for x in own[:len(texts)]]
+    prints, after, changed = ([as_bytes(x) for x in group] for group in (own[:len(texts)], nxt, new))
     return pa.RecordBatch.from_pylist([
         {"kind": 0, "part": part, "doc_id": ids[i], "text": None, "n_chars": len(texts[i]),
-         "edited_sha256": hashlib.sha256(raw[i]).hexdigest(), "prints": prints[i] + as_bytes(new[i]),
-         "own": len(prints[i]), "near_edited": likeness(own[i], new[i]),
-         "near_next": likeness(own[i], nxt[i])} for i in range(len(texts))], _SCHEMA)
+         "edited_sha256": hashlib.sha256(raw[i]).hexdigest(), "prints": prints[i] + changed[i],
+         "own": len(prints[i]), "near_edited": print_likeness(prints[i], changed[i]),
+         "near_next": print_likeness(prints[i], after[i])} for i in range(len(texts))], _SCHEMA)
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
