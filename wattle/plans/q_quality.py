@@ -315,3 +315,21 @@ def missing_months(spark, sf_dir):
     gaps = nxt.filter(F.col("nx").isNotNull() & (lo <= hi)).select(
         F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("m"))
     return gaps.groupBy(iso_date("m").alias("month")).agg(F.count("*").alias("n_customers"))
+
+
+RAW_COLUMNS = {"lineitem": ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "orders": ["o_totalprice"], "events": ["value"]}
+
+
+def _raw_describe_sql():
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS n, {S.r(f'avg({c})')} AS mean, {S.r(f'stddev_samp({c})')} AS std, {S.r(f'min({c})')} AS min, "
+        + ", ".join(f"{S.r(f'quantile_cont({c}, {q})')} AS p{round(100 * q)}" for q in (0.25, 0.5, 0.75)) + f", {S.r(f'max({c})')} AS max FROM {t}"
+        for t, cols in RAW_COLUMNS.items() for c in cols)
+
+
+@query("raw_describe", _raw_describe_sql())
+def raw_describe(spark, sf_dir):
+    """Descriptive statistics with exact quartiles of raw columns: distributed selection by refined histograms."""
+    from ..operators.quantiles import describe
+    parts = [describe(table(spark, sf_dir, t), cols) for t, cols in RAW_COLUMNS.items()]
+    return round_doubles(parts[0].unionByName(parts[1]).unionByName(parts[2]))
