@@ -130,6 +130,17 @@ def test_toxicity(docs, none, labels):
     assert toxicity.drop_toxic(docs, labels).columns == docs.columns
 
 
+@pytest.mark.parametrize("known", [[], [(1, 0), (2, 0), (3, 0)], [(7, 1)]])
+def test_toxicity_without_labels_of_both_classes(spark, known):
+    clean = [(i, f"a walk by the river on day {i} was calm") for i in range(1, 7)] + [(10, None), (11, "")]
+    toxic = [(7, "you are a stupid idiot and a moron"), (8, "shut up you pathetic loser, stupid scum")]
+    docs = spark.createDataFrame(clean + toxic, "doc_id long, text string")
+    labels = spark.createDataFrame(known, "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert max(got[i] for i, _ in clean) < 0.25 and min(got[i] for i, _ in toxic) > 0.5
+    assert sorted(r.doc_id for r in toxicity.drop_toxic(docs, labels).collect()) == [i for i, _ in clean]
+
+
 def test_mixing(docs, none):
     got = mixing.mix(docs)
     assert ids(got) == ALL_IDS

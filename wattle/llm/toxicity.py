@@ -14,7 +14,7 @@ iteration adds up fixed-size sums over the patterns.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ LEXICON = ("arrogant", "clown", "coward", "creep", "cretin", "degenerate", "disg
            "liar", "loser", "losers", "moron", "morons", "parasite", "pathetic", "pig", "scum", "shut", "stupid",
            "subhuman", "trash", "ugly", "vermin", "worthless")
 PATTERNS = ("shouting", "exclaiming", "masked", "you_are", "silent")
+SILENT = len(LEXICON) + PATTERNS.index("silent")      # the voter that speaks for clean texts
 MINED, MIN_DF, MIN_Z, MIN_LIFT = 20, 12, 6.0, 30.0
 BEGINNINGS = (3, 4, 5, 6, 7, 8)      # bytes of word beginnings that are mined besides whole words
 SAMPLE = 3_000             # labelled rows of each class (lowest hashes) from which voters are mined
@@ -206,10 +207,12 @@ def _bits(mask: np.ndarray, m: int) -> np.ndarray:
 class LabelModel:
     """Hidden class, voters that fire with class-dependent rates, discounts for correlated voters."""
 
-    def __init__(self, m: int):
+    def __init__(self, m: int, clean: Sequence[int] = ()):
         self.m = m
         self.prior = 0.1
         self.rate = np.stack([np.full(m, 0.01), np.full(m, 0.2)])     # P(fires | class)
+        self.rate[:, list(clean)] = self.rate[::-1, list(clean)]      # voters that speak for class 0
+        self.pseudo = np.where(self.rate > 0.1, 0.2, 0.02)            # fires in two made-up texts of each class
         self.label = np.array([0.03, 0.9])                            # P(label is 1 | class)
         self.weight = np.ones(m)
 
@@ -226,9 +229,9 @@ class LabelModel:
         n = s[:, 0]
         if n.sum() == 0:
             return
-        self.prior = float(np.clip(n[1] / n.sum(), 1e-3, 0.5))
+        self.prior = float(np.clip((n[1] + 1) / (n.sum() + 10), 1e-3, 0.5))
         fired = s[:, 1:1 + self.m]
-        self.rate = np.clip((fired + np.array([[0.02], [0.2]])) / (n[:, None] + 2.0), 1e-5, 1 - 1e-5)
+        self.rate = np.clip((fired + self.pseudo) / (n[:, None] + 2.0), 1e-5, 1 - 1e-5)
         yes, all_ = s[:, -2], s[:, -1]
         self.label = np.clip((yes + np.array([3.0, 90.0])) / (all_ + 100.0), [1e-3, 0.6], [0.2, 0.999])
         # within-class correlations, mean over the classes by size of class 1
@@ -272,8 +275,8 @@ def _moments(model: LabelModel, first: bool):
     return fn
 
 
-def fit_label_model(patterns: DataFrame, m: int, steps: int = EM_STEPS) -> LabelModel:
-    model = LabelModel(m)
+def fit_label_model(patterns: DataFrame, m: int, steps: int = EM_STEPS, clean: Sequence[int] = ()) -> LabelModel:
+    model = LabelModel(m, clean)
     shape = (2, 1 + m + m * m + 2)
     start = _sums(patterns, _moments(model, True), shape)
     if start[:, 0].min() > 0:
@@ -330,9 +333,9 @@ class ToxicityModel:
         self.vocab, self.m = Vocabulary(kinds, hashes, bits), len(LEXICON) + len(PATTERNS) + len(mined)
         self.votes = keep(docs.mapInArrow(_voter(self.vocab), "doc_id long, mask long"), "votes")
         patterns = keep(self.votes.join(known, "doc_id", "left")
-                        .groupBy("mask", F.coalesce("toxic", F.lit(-1)).alias("label")).agg(F.count("*").alias("n"))
-                        .coalesce(16), "patterns")
-        self.weights = fit_linear(patterns, fit_label_model(patterns, self.m))
+                        .groupBy("mask", F.coalesce("toxic", F.lit(-1)).alias("label")).agg(F.count("*").alias("n")),
+                        "patterns")
+        self.weights = fit_linear(patterns, fit_label_model(patterns, self.m, clean=[SILENT]))
 
 
 def _score(mask: np.ndarray, m: int, weights: np.ndarray) -> np.ndarray:
@@ -345,8 +348,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Labels are read only from rows outside the held-out fold; no label,
     language, source or id is an input of a score. Null and empty texts have no
     word votes and get the score of none. A null id is not held out and has no
-    label; repeated rows are scored alike; without labels the label model starts
-    from fixed rates; an empty table gives no rows; extra columns are ignored."""
+    label; repeated rows are scored alike; without labels of both classes the label
+    model starts from fixed rates, the silent voter's the other way round; tied and very long texts are scored
+    whole and alike; an empty table gives no rows; extra columns are ignored."""
     model = ToxicityModel(docs, labels)
     m, weights = model.m, model.weights
 
@@ -360,7 +364,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows predicted toxic; columns unchanged, nothing is joined or shuffled."""
+    """``docs`` without the rows predicted toxic; columns unchanged, nothing is joined or shuffled.
+
+    Null and empty texts stay, as no word voter fires on them; repeated rows share their fate; an empty
+    table stays empty. Any other column, whatever its name, passes through."""
     model = ToxicityModel(docs, labels)
     vocab, m, weights = model.vocab, model.m, model.weights
 
