@@ -62,9 +62,30 @@ def ar1(train: DataFrame, test: DataFrame) -> DataFrame:
                                              F.col("y").alias("actual"), f.alias("forecast"))
 
 
-def baseline_forecasts(train: DataFrame, test: DataFrame) -> DataFrame:
-    return (persistence(train, test).unionByName(seasonal_naive(train, test))
-            .unionByName(regression(train, test)).unionByName(ar1(train, test)))
+def baseline_coefs(train: DataFrame, x: str = "x1") -> DataFrame:
+    """One row a series with what all four models need: last value, last value of each calendar
+    month, regression on ``x`` and AR(1)."""
+    of_month = [F.expr(f"max_by(y, month) FILTER (WHERE month(month) = {m})") for m in range(1, 13)]
+    return with_lag1(train).groupBy("series_id").agg(
+        F.max_by("y", "month").alias("yT"), F.max("midx").alias("T"), F.array(*of_month).alias("season"),
+        F.regr_intercept("y", x).alias("a"), F.regr_slope("y", x).alias("b"),
+        F.regr_intercept("y", "y1").alias("c"), F.regr_slope("y", "y1").alias("phi"))
+
+
+def baseline_forecasts(train: DataFrame, test: DataFrame, x: str = "x1") -> DataFrame:
+    """Persistence, seasonal naive, regression and AR(1) of every test month: one aggregate of the training
+    rows, one join, four rows a test month. Each model is as in its own function above."""
+    j = test.join(baseline_coefs(train, x).withColumn("trained", F.lit(True)), "series_id", "left")
+    h, ph = F.col("midx") - F.col("T"), F.pow("phi", F.col("midx") - F.col("T"))
+    path = F.when(F.col("phi") == 1, F.col("c") * h + F.col("yT")) \
+        .otherwise(F.col("c") * (1 - ph) / (1 - F.col("phi")) + ph * F.col("yT"))
+    models = {"persistence": F.col("yT"), "seasonal_naive": F.get("season", F.month("month") - 1),
+              f"regression_{x}": F.col("a") + F.col("b") * F.col(x), "ar1": path}
+    rows = F.inline(F.array(*[F.struct(F.lit(m).alias("model"), f.alias("forecast")) for m, f in models.items()]))
+    # a series without training rows has no forecast but the seasonal one, which is null
+    return (j.select("series_id", "month", F.col("y").alias("actual"), "trained", rows)
+            .filter(F.col("trained") | (F.col("model") == "seasonal_naive"))
+            .select("series_id", "month", "model", "actual", "forecast"))
 
 
 def metrics(fc: DataFrame, keys=("series_id", "model")) -> DataFrame:

@@ -32,7 +32,7 @@ def add_lags(df: DataFrame, col: str, lags: Sequence[int], key: str = "series_id
 def acf(df: DataFrame, col: str, max_lag: int, key: str = "series_id", order: str = "month") -> DataFrame:
     """Sample autocorrelation r_k = sum (y_t - m)(y_{t-k} - m) / sum (y_t - m)^2, k = 1..max_lag.
 
-    All lags come from one window pass (``lag`` columns) and one aggregate; no
+    A constant series has null. All lags come from one window pass (``lag`` columns) and one aggregate; no
     self-join per lag. Generated expressions are SQL snippets (one driver call each)."""
     c = (df.selectExpr(key, order, f"`{col}` - avg(`{col}`) OVER (PARTITION BY {key}) AS e")
          .where("e IS NOT NULL"))
@@ -40,38 +40,29 @@ def acf(df: DataFrame, col: str, max_lag: int, key: str = "series_id", order: st
     lagged = c.selectExpr(key, "e", *lags)
     agg = lagged.groupBy(key).agg(F.expr("sum(e * e)").alias("c0"), F.expr("count(1)").alias("n"),
                                   *[F.expr(f"sum(e * l{k})").alias(f"s{k}") for k in range(1, max_lag + 1)])
-    rows = ", ".join(f"named_struct('lag', CAST({k} AS BIGINT), 'acf', s{k} / c0)" for k in range(1, max_lag + 1))
+    rows = ", ".join(f"named_struct('lag', CAST({k} AS BIGINT), 'acf', s{k} / nullif(c0, 0))" for k in range(1, max_lag + 1))
     return agg.selectExpr(key, "n", f"inline(array({rows}))")
 
 
+# One step of Durbin-Levinson: state (phi, v, out), the autocorrelations ``r`` and the step's ``at`` in order.
+_REFLECTION = """(r[size(st.phi)] - aggregate(zip_with(st.phi, reverse(slice(r, 1, size(st.phi))), (p, a) -> p * a),
+                  CAST(0 AS DOUBLE), (t, x) -> t + x)) / nullif(st.v, 0)"""
+_LEVINSON = f"""aggregate(r,
+    named_struct('phi', CAST(array() AS array<double>), 'v', CAST(1 AS DOUBLE), 'out', CAST(array() AS array<double>)),
+    (st, at) -> transform(array({_REFLECTION}), k -> named_struct(
+        'phi', concat(zip_with(st.phi, reverse(st.phi), (p, q) -> p - k * q), array(k)),
+        'v', st.v * (1 - k * k), 'out', concat(st.out, array(k))))[0],
+    st -> st.out)"""
+
+
 def pacf_from_acf(acf_df: DataFrame, key: str = "series_id") -> DataFrame:
-    """Partial autocorrelation by Durbin-Levinson over each series' ACF (<= 24 values
-    per group, so the per-group pandas step is bounded)."""
-    import numpy as np
-    import pandas as pd
-
-    def dl(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        r = pdf["acf"].to_numpy(dtype=float)
-        m = len(r)
-        out = np.full(m, np.nan)
-        phi_prev = np.zeros(0)
-        v = 1.0
-        for k in range(1, m + 1):
-            if k == 1:
-                phi_kk = r[0]
-                phi = np.array([phi_kk])
-            else:
-                num = r[k - 1] - np.dot(phi_prev, r[k - 2::-1][:k - 1])
-                phi_kk = num / v if v != 0 else np.nan
-                phi = np.append(phi_prev - phi_kk * phi_prev[::-1], phi_kk)
-            v = v * (1 - phi_kk ** 2)
-            out[k - 1] = phi_kk
-            phi_prev = phi
-        return pd.DataFrame({key: pdf[key].iloc[0], "lag": pdf["lag"].to_numpy(), "pacf": out})
-
-    schema = f"{key} string, lag long, pacf double"
-    return acf_df.select(key, "lag", "acf").groupBy(key).applyInPandas(dl, schema)
+    """Partial autocorrelation by Durbin-Levinson, a fold over each series' ACF (as many values as lags).
+
+    The key keeps its type. From the lag on at which nothing is left to explain, values are null."""
+    lags = acf_df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(
+        F.col("lag").cast("long").alias("lag"), F.col("acf").cast("double").alias("acf")))).alias("s"))
+    out = lags.select(key, "s", F.col("s.acf").alias("r")).select(key, "s", F.expr(_LEVINSON).alias("out"))
+    return out.selectExpr(f"`{key}`", "inline(zip_with(s, out, (a, p) -> named_struct('lag', a.lag, 'pacf', p)))")
 
 
 def first_k_by(df: DataFrame, keys: Sequence[str], order: Sequence, k: int) -> DataFrame:

@@ -648,26 +648,41 @@ SELECT series_id, {S.iso('month')} AS month, {S.r('any_value(y)')} AS actual, {S
 FROM fb GROUP BY series_id, month""")
 def bootstrap_intervals(spark, sf_dir):
     """Residual bootstrap (B = 1000) of the x1 regression: residuals are drawn by an
-    arithmetic hash of (replicate, row), every replicate is refitted by one
-    group-by, and forecast bands are exact percentiles per test month."""
-    tr, te = _split(spark, sf_dir)
-    rc = FC.regression_coefs(tr)
-    w = Window.partitionBy("series_id").orderBy("month")
-    rt = (tr.filter(F.col("y").isNotNull() & F.col("x1").isNotNull()).join(rc, "series_id")
-          .select("series_id", "month", "x1", (F.col("a") + F.col("b") * F.col("x1")).alias("fit"),
-                  (F.col("y") - (F.col("a") + F.col("b") * F.col("x1"))).alias("e"),
-                  F.row_number().over(w).cast("long").alias("i"),
-                  F.count("*").over(Window.partitionBy("series_id")).alias("n")))
-    rep = rt.select("series_id", "i", "x1", "fit", "n", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("rep"))
-    rep = rep.withColumn("j", (F.col("rep").cast("long") * 7919 + F.col("i") * 104729) % F.col("n") + 1)
-    res = rt.select("series_id", F.col("i").alias("j"), "e")
-    ys = rep.join(res, ["series_id", "j"]).select("series_id", "rep", "x1", (F.col("fit") + F.col("e")).alias("ystar"))
-    cb = ys.groupBy("series_id", "rep").agg(F.regr_intercept("ystar", "x1").alias("a"), F.regr_slope("ystar", "x1").alias("b"))
-    fb = te.join(cb, "series_id").select("series_id", "month", "y", (F.col("a") + F.col("b") * F.col("x1")).alias("f"))
-    out = fb.groupBy("series_id", "month").agg(
-        F.first("y").alias("actual"), F.avg("f").alias("mean"), F.percentile("f", 0.1).alias("p10"),
-        F.percentile("f", 0.9).alias("p90"), F.percentile("f", 0.025).alias("p025"), F.percentile("f", 0.975).alias("p975"))
-    return round_doubles(out.select("series_id", iso_date("month").alias("month"), "actual", "mean", "p10", "p90", "p025", "p975"))
+    arithmetic hash of (replicate, row), and forecast bands are exact percentiles per
+    test month. One group-by makes a series an array of its months; the replicates
+    are refitted in it by the closed form of the slope, so none is shuffled."""
+    p = monthly_panel(spark, sf_dir).withColumn("split", split_label())
+    train, test = F.col("split") == "train", F.col("split") == "test"
+    both = train & F.col("y").isNotNull() & F.col("x1").isNotNull()
+    row = F.struct("month", "x1", "y")
+    s = p.groupBy("series_id").agg(
+        F.regr_intercept(F.when(train, F.col("y")), F.col("x1")).alias("a"),
+        F.regr_slope(F.when(train, F.col("y")), F.col("x1")).alias("b"),
+        F.sort_array(F.collect_list(F.when(both, row))).alias("tr"),
+        F.sort_array(F.collect_list(F.when(test, row))).alias("te")).filter("size(tr) > 0")
+    mean = "aggregate({0}, CAST(0 AS DOUBLE), (s, v) -> s + v) / size(tr)"
+    s = s.selectExpr("*", mean.format("tr.x1") + " AS xm", mean.format("transform(tr, r -> a + b * r.x1)") + " AS fm",
+                     "transform(tr, r -> r.y - (a + b * r.x1)) AS e")
+    s = s.selectExpr("*", "transform(tr, r -> r.x1 - xm) AS xc")
+    # a replicate: mean of its residuals, and its slope
+    drawn = "e[CAST((r * 7919 + (i + 1) * 104729) % size(tr) AS INT)]"
+    s = s.selectExpr("series_id", "te", "xm", "fm", f"""
+        transform(sequence(0L, {B - 1}L), r -> aggregate(sequence(0, size(tr) - 1),
+            named_struct('m', CAST(0 AS DOUBLE), 'c', CAST(0 AS DOUBLE)),
+            (t, i) -> named_struct('m', t.m + {drawn}, 'c', t.c + xc[i] * {drawn}),
+            t -> named_struct('m', t.m / size(tr),
+                              'b', b + t.c / nullif(aggregate(xc, CAST(0 AS DOUBLE), (q, v) -> q + v * v), 0)))) AS reps""")
+    f = s.selectExpr("series_id", "xm", "fm", "reps", "explode(te) AS t").selectExpr(
+        "series_id", "t.month", "t.y AS actual", "array_sort(transform(reps, k -> fm + k.m + k.b * (t.x1 - xm))) AS f")
+
+    def band(q: float) -> str:
+        at, part = divmod(q * (B - 1), 1)
+        lo, hi = f"f[{int(at)}]", f"f[{min(int(at) + 1, B - 1)}]"
+        return f"{1 - part!r}D * {lo} + {part!r}D * {hi}"
+    out = f.select("series_id", iso_date("month").alias("month"), "actual",
+                   F.expr(f"aggregate(f, CAST(0 AS DOUBLE), (s, v) -> s + v) / {B}").alias("mean"),
+                   *[F.expr(band(q)).alias(n) for n, q in (("p10", 0.1), ("p90", 0.9), ("p025", 0.025), ("p975", 0.975))])
+    return round_doubles(out)
 
 
 @query("nation_regression_fit", f"""
