@@ -80,3 +80,30 @@ def test_the_cut_counts_every_text():
     score, y, n = np.array([9.0, 5.0, 5.0, 1.0]), np.array([1.0, 1.0, 0.0, 0.0]), np.array([1000, 2000, 20, 500])
     assert pii.lowest_cut(score, y, n) == 5.0
     assert pii.lowest_cut(score, y, np.array([1000, 2000, 200, 500])) == 9.0
+
+
+HIDDEN = {"email": ("Please write to ann{i}@mail{j}.example.com today", "Please write to bob{i} (at) post{j}.example.com today"),
+          "phone": ("Please call +49 171 555{n} today", "Please call 0171 556{n} today"),
+          "ip": ("The server at 10.{j}.4.{j} is up", "The server at 10-{j}-7-{j} is up"),
+          "card": ("Please pay with {card} today", "Please pay with {dots} today")}
+CLEAN = ["On 12/05/2024 we paid 1,250 and 3,400 in 17 parts", "Chapters 1.2.3 and 4.5 hold 120 tables", "we met at noon. It sat at home",
+         "In 2019 2020 2021 the yield was 12.5, 13.75 and 14.25", "", "plain words alone"]
+
+
+@pytest.mark.parametrize("many", [1, 40, 400])
+def test_the_more_is_hidden_the_more_is_found(spark, many):
+    cards = [f"4111 1111 {a} {n}" for a in range(1000, 1020) for n in range(1000, 1999) if pii.luhn(f"41111111{a}{n}")]
+
+    def text(form, i):
+        return form.format(i=i, j=i % 250, n=1000 + i, card=cards[i], dots=cards[i].replace(" ", "."))
+    rows, want = [], {}
+    for k, (plain, hidden) in enumerate(HIDDEN.values()):
+        rows += [(10_000 * k + i, text(plain, i)) for i in range(400)]
+        want.update({10_000 * k + 1_000 + i: text(hidden, 500 + i) for i in range(many)})
+    clean = [(90_000 + i, t) for i, t in enumerate(CLEAN)]
+    docs = spark.createDataFrame(rows + list(want.items()) + clean, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    for k, kind in enumerate(HIDDEN):
+        found = [got[d].n_added == 1 and got[d].spans.startswith(kind) for d in want if d // 10_000 == k]
+        assert sum(found) >= 0.9 * len(found), kind
+    assert all(got[d].n_added == 0 for d, _ in clean + rows)

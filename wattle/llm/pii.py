@@ -4,9 +4,13 @@ The base rules always count. Besides them, generators of high recall propose
 overlapping spans (written-out or bracketed "at" and "dot", numbers without a
 plus, spaced addresses, other separators). Boosted trees per kind, trained here
 on a bounded sample of the texts that hold the kind, score each proposal from
-its format and its context; a threshold calibrated for precision on the scores
-of all texts outside the training selects what is added. The trees learn from the base spans, from the same spans disguised in
-their own sentences, and from corrupted ones and other proposals as negatives.
+its format and its context; thresholds, one for each form that a kind is written
+in, calibrated for precision on the scores of all texts outside the training
+select what is added. The trees learn from the base spans, from the same spans
+disguised in their own sentences, and from corrupted and wrongly cut ones as
+negatives. A proposal that no base span touches may be right or wrong: the trees
+take it as a negative of little weight, the thresholds do not count it, so much
+disguised data in a table does not speak against itself.
 """
 
 from __future__ import annotations
@@ -30,7 +34,8 @@ SAMPLE = 4_000                 # distinct texts a kind (lowest hashes of those w
 NATURAL = 64                   # proposals a kind and text that train
 STEPS = 64                     # score bins a unit of the logit
 ROUNDS, RATE, DEPTH, BINS = 30, 0.3, 3, 16
-PRECISION, LEAST = 0.99, 20    # a kind adds nothing unless LEAST proposals outside the training reach this precision
+UNSURE = 0.1                   # weight in the training of a proposal that no base span touches
+PRECISION, LEAST = 0.99, 20    # a form adds nothing unless LEAST proposals outside the training reach this precision
 
 _LOCAL = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -160,7 +165,6 @@ def propose(t: str) -> list[tuple[str, int, int]]:
 # Words whose presence shortly before a span is a feature.
 CONTEXT = {"email": ("mail", "contact", "write", "e-mail", "email"), "ip": ("ip", "address", "host", "server"),
            "card": ("card", "visa", "credit", "account", "payment"), "phone": ("tel", "phone", "call", "fax", "mobile")}
-FEATURES = 25
 
 
 def features(t: str, kind: str, s: int, e: int) -> list[float]:
@@ -176,7 +180,8 @@ def features(t: str, kind: str, s: int, e: int) -> list[float]:
             float(edge.isalnum()) + 2 * float(edge in "\"'=#$_:"), float(after.isalnum()) + 2 * float(after in "\"'=%$_:"),
             float(any(w in before for w in CONTEXT[kind])), float("@" in x) + 2 * float("at" in x.lower()),
             float(len(re.split(r"\W+", x)[-1])), float(len(set(d))) / max(1, len(d)),
-            _gap(before[::-1], 0), _gap(t, e), float(_LABELS.match(t, e) is not None)]
+            _gap(before[::-1], 0), _gap(t, e), float(_LABELS.match(t, e) is not None),
+            float(x.count(". ") + x.count(" ."))]
 
 
 def _gap(t: str, at: int) -> float:
@@ -190,6 +195,22 @@ def _same(t: str, a: Span, b: Span) -> bool:
     return a[1] == b[1] and t[a[0]:a[1]].lstrip("+(") == t[b[0]:b[1]].lstrip("+(")
 
 
+def form_of(kind: str, x: str) -> str:
+    """How a span is written, one of a few forms a kind; each has its own threshold."""
+    if kind == "email":
+        return "mark" if "@" in x else "word"
+    if kind == "phone":
+        return "plus" if x.lstrip("(")[:1] == "+" else "zero" if only_digits(x)[:1] == "0" else "bare"
+    seps = {c for c in x if not "0" <= c <= "9" and c != " "}
+    return "plain" if not seps else min(seps) if len(seps) == 1 else "mixed"
+
+
+def _national(x: str) -> str | None:
+    """A phone number with a zero in place of its country's digits."""
+    m = re.match(r"\+[0-9]{1,3}[ .-]+(?=[0-9])", x)
+    return "0" + x[m.end():] if m else None
+
+
 def _disguise(kind: str, x: str) -> tuple[list[str], list[str]]:
     """(disguised forms, corrupted forms) of a base span."""
     d = only_digits(x)
@@ -197,7 +218,8 @@ def _disguise(kind: str, x: str) -> tuple[list[str], list[str]]:
         local, _, domain = x.partition("@")
         return ([f"{local} at {domain.replace('.', ' dot ')}", f"{local} (at) {domain}", f"{local}[at]{domain}",
                  f"{local} @ {domain}", f"{local} at {domain}", f"{local} AT {domain.replace('.', ' DOT ')}",
-                 f"{local} at {domain.replace('.', ' [dot] ')}", f"{local} (at) {domain.replace('.', ' (dot) ')}"], [f"{local}@", f"{local} at {domain.split('.')[0]}", f"{local} @ {domain.split('.')[0]}"])
+                 f"{local} at {domain.replace('.', ' [dot] ')}", f"{local} (at) {domain.replace('.', ' (dot) ')}"], [f"{local}@", f"{local} at {domain.split('.')[0]}", f"{local} @ {domain.split('.')[0]}",
+                                                         f"{local} at {domain.replace('.', '. ')}"])
     if kind == "ip":
         p = x.split(".")
         return [" . ".join(p), ". ".join(p), "-".join(p)], [".".join(str(int(y) + 256) for y in p), ", ".join(f"{y}0" for y in p),
@@ -206,7 +228,8 @@ def _disguise(kind: str, x: str) -> tuple[list[str], list[str]]:
         four = [d[i:i + 4] for i in range(0, len(d), 4)]
         wrong = d[:-1] + str((int(d[-1]) + 1 + int(d[0]) % 8) % 10)
         return [".".join(four), "/".join(four), "  ".join(four)], [wrong, ".".join(wrong[i:i + 4] for i in range(0, len(d), 4))]
-    return ([x.lstrip("+"), "00" + x.lstrip("+"), x.lstrip("+").replace(" ", ".")], [d[:6], d[:3] + "," + d[3:6] + "," + d[6:9], d[:4] + "/" + d[4:8]])
+    home = _national(x)
+    return ([x.lstrip("+"), "00" + x.lstrip("+"), x.lstrip("+").replace(" ", "."), *([home] if home else [])], [d[:6], d[:3] + "," + d[3:6] + "," + d[6:9], d[:4] + "/" + d[4:8]])
 
 
 class Taken:
@@ -239,8 +262,8 @@ def proposals(t: str, base: dict[str, list[Span]]) -> Iterator[tuple[str, int, i
             yield k, s, e, e in ends[k] and _same(t, (s, e), ends[k][e]), free
 
 
-def disguised(t: str, base: dict[str, list[Span]], most: int | None = None) -> Iterator[tuple[str, bool, list[float]]]:
-    """(kind, is right, features) of what is proposed where base spans stand disguised or corrupted in their sentences."""
+def disguised(t: str, base: dict[str, list[Span]], most: int | None = None) -> Iterator[tuple[str, bool, str, list[float]]]:
+    """(kind, is right, form, features) of what is proposed where base spans stand disguised or corrupted in their sentences."""
     for k, spans in base.items():
         for s, e in spans[:most]:
             left, right = t[max(0, s - 60):s], t[e:e + 60]
@@ -252,7 +275,7 @@ def disguised(t: str, base: dict[str, list[Span]], most: int | None = None) -> I
                 text, at = left + form + more + right, (len(left), len(left) + len(form))
                 for kind, s1, e1 in propose(text):
                     if kind == k and s1 < at[1] and e1 > at[0]:
-                        yield k, right_form and _same(text, (s1, e1), at), features(text, k, s1, e1)
+                        yield k, right_form and _same(text, (s1, e1), at), form_of(k, text[s1:e1]), features(text, k, s1, e1)
 
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,14 +284,14 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for t in batch.column("text").to_pylist():
             base = base_spans(t)
             found: dict[str, list] = {k: [] for k in KINDS}
-            for k, s, e, right, _ in proposals(t, base):
-                found[k].append((s, e, right))
+            for k, s, e, right, free in proposals(t, base):
+                found[k].append((s, e, right, UNSURE if free else 1.0))
             for k, v in found.items():                    # examples of a text are bounded; this only feeds the training
-                rows += [{"kind": k, "positive": int(right), "x": features(t, k, s, e)}
-                         for s, e, right in v[::-(-len(v) // NATURAL) or 1]]
-            rows += [{"kind": k, "positive": int(right), "x": x} for k, right, x in disguised(t, base, 3)]
+                rows += [{"kind": k, "positive": int(right), "weight": w, "x": features(t, k, s, e)}
+                         for s, e, right, w in v[::-(-len(v) // NATURAL) or 1]]
+            rows += [{"kind": k, "positive": int(right), "weight": 1.0, "x": x} for k, right, _, x in disguised(t, base, 3)]
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("kind", pa.string()), ("positive", pa.int32()),
-                                                          ("x", pa.list_(pa.float64()))]))
+                                                          ("weight", pa.float64()), ("x", pa.list_(pa.float64()))]))
 
 
 class Boosted:
@@ -277,15 +300,16 @@ class Boosted:
     def __init__(self, trees: list | None = None, start: float = 0.0):
         self.trees, self.start = trees or [], start
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> "Boosted":
+    def fit(self, x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> "Boosted":
+        w = np.ones(len(y)) if w is None else w
         edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
         binned = np.stack([np.searchsorted(e, x[:, j]) for j, e in enumerate(edges)], 1)
-        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        p = np.clip((w * y).sum() / max(w.sum(), 1e-9), 1e-3, 1 - 1e-3)
         self.start = float(np.log(p / (1 - p)))
         score = np.full(len(y), self.start)
         for _ in range(ROUNDS):
             q = 1 / (1 + np.exp(-score))
-            g, h = y - q, q * (1 - q)
+            g, h = w * (y - q), w * q * (1 - q)
             split, leaf, node = [], [], np.zeros(len(y), np.int64)
             for depth in range(DEPTH):
                 for i in range(1 << depth):
@@ -346,11 +370,11 @@ def calibrate(p: np.ndarray, y: np.ndarray) -> float:
 
 
 def _fit(rows: pd.DataFrame) -> pd.DataFrame:
-    x, y = np.array(rows["x"].tolist(), float), rows["positive"].to_numpy(float)
+    x, y, w = np.array(rows["x"].tolist(), float), rows["positive"].to_numpy(float), rows["weight"].to_numpy(float)
     if y.sum() < LEAST or (1 - y).sum() < 1:
         return pd.DataFrame({"kind": [rows["kind"].iloc[0]], "trees": ["[]"], "start": [0.0]})
-    order = np.lexsort((*x.T, y))                                   # the same rows in any order give the same trees
-    model = Boosted().fit(x[order], y[order])
+    order = np.lexsort((*x.T, w, y))                                # the same rows in any order give the same trees
+    model = Boosted().fit(x[order], y[order], w[order])
     return pd.DataFrame({"kind": [rows["kind"].iloc[0]], "trees": [json.dumps(model.trees)], "start": [model.start]})
 
 
@@ -387,7 +411,7 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, Boosted], fr
         return {}, hashes
     ids = rows.sparkSession.createDataFrame([(h,) for h in sorted(hashes)], "h long")
     examples = (rows.select("h", "text").join(F.broadcast(ids), "h", "left_semi").dropDuplicates(["h"])
-                .repartition(16, "h").mapInArrow(_training_rows, "kind string, positive int, x array<double>"))
+                .repartition(16, "h").mapInArrow(_training_rows, "kind string, positive int, weight double, x array<double>"))
     got = examples.groupBy("kind").applyInPandas(_fit, "kind string, trees string, start double").collect()
     return {r.kind: Boosted(json.loads(r.trees), r.start) for r in got if r.trees != "[]"}, hashes
 
@@ -410,35 +434,38 @@ def scores(models: dict[str, Boosted], items: Iterator[tuple]) -> Iterator[tuple
 
 
 def _items(batch: pa.RecordBatch, bases: list[dict], trained: frozenset[int]) -> Iterator[tuple]:
-    """(kind, features, row, span or None, answer or None): the spans to choose from, and the answers to calibrate by."""
+    """(kind, features, row, form, span or None, answer or None): the spans to choose from, and the answers to
+    calibrate by. What no base span touches has no answer."""
     for i, (h, t) in enumerate(zip(batch.column("h").to_pylist(), batch.column("text").to_pylist())):
         held = h not in trained
         for k, s, e, right, free in proposals(t, bases[i]):
             if free or held:
-                yield k, features(t, k, s, e), i, (s, e) if free else None, int(right) if held else None
+                yield k, features(t, k, s, e), i, form_of(k, t[s:e]), (s, e) if free else None, None if free else int(right)
         if held:
-            for k, right, x in disguised(t, bases[i]):
-                yield k, x, i, None, int(right)
+            for k, right, form, x in disguised(t, bases[i]):
+                yield k, x, i, form, None, int(right)
 
 
-def cuts_of(scored: DataFrame) -> dict[str, int]:
-    """A kind's lowest score to accept, from the histogram over all texts that the trees were not made from."""
-    counts = (scored.select(F.explode("answers").alias("a")).groupBy("a.kind", "a.score", "a.good").count().collect())
+def cuts_of(scored: DataFrame) -> dict[tuple[str, str], int]:
+    """The lowest score to accept for each form of a kind, from the histogram over all texts that the trees were
+    not made from (a few forms, at most 5,121 scores)."""
+    counts = (scored.select(F.explode("answers").alias("a")).groupBy("a.kind", "a.form", "a.score", "a.good").count().collect())
     out = {}
-    for kind in {r[0] for r in counts}:
-        q, y, n = np.array([r[1:] for r in counts if r[0] == kind], float).T
+    for key in {(r[0], r[1]) for r in counts}:
+        q, y, n = np.array([r[2:] for r in counts if (r[0], r[1]) == key], float).T
         cut = lowest_cut(q, y, n)
         if cut is not None:
-            out[kind] = int(cut)
+            out[key] = int(cut)
     return out
 
 
-def choose(scored: list[tuple[str, int, int, int]], base: dict[str, list[Span]], cuts: dict[str, int]) -> dict[str, list[Span]]:
-    """Accepted of the scored proposals (kind, start, end, score), which overlap no base span; of overlapping ones the
+def choose(scored: list[tuple[str, str, int, int, int]], base: dict[str, list[Span]],
+           cuts: dict[tuple[str, str], int]) -> dict[str, list[Span]]:
+    """Accepted of the scored proposals (kind, form, start, end, score), which overlap no base span; of overlapping ones the
     likelier, then the earlier and longer."""
     out: dict[str, list[Span]] = {k: [] for k in KINDS}
     taken = Taken([z for v in base.values() for z in v])
-    for _, s, e, kind in sorted((-q, s, -e, k) for k, s, e, q in scored if k in cuts and q >= cuts[k]):
+    for _, s, e, kind in sorted((-q, s, -e, k) for k, f, s, e, q in scored if (k, f) in cuts and q >= cuts[k, f]):
         if not taken.overlaps(s, -e):
             taken.add(s, -e)
             out[kind].append((s, -e))
@@ -462,30 +489,31 @@ def find_personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     Counts and digest are of the base spans; ``spans`` also holds what the trees
     add. Places are code points, end exclusive. Null and empty texts have no
     spans; null ids and repeated rows are rows like others; an empty table gives
-    no rows; without enough examples of a kind nothing of it is added; extra
-    columns are ignored. Hashes and the bounded training sample are shuffled,
+    no rows; without enough examples of a kind nothing of it is added; of tied
+    proposals the earlier and longer counts; texts of any length are searched
+    whole; extra columns are ignored. Hashes and the bounded training sample are shuffled,
     not the texts; spans and scores are written to the shared folder once."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("h"))
     models, trained = train(rows, sample)
-    part = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.int32())])
-    answer = pa.struct([("kind", pa.string()), ("score", pa.int32()), ("good", pa.int32())])
+    part = pa.struct([("kind", pa.string()), ("form", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.int32())])
+    answer = pa.struct([("kind", pa.string()), ("form", pa.string()), ("score", pa.int32()), ("good", pa.int32())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bases = [base_spans(t) for t in batch.column("text").to_pylist()]
             free: list[list] = [[] for _ in bases]
             answers: list[list] = [[] for _ in bases]
-            for k, q, i, span, good in scores(models, _items(batch, bases, trained)):
+            for k, q, i, form, span, good in scores(models, _items(batch, bases, trained)):
                 if span:
-                    free[i].append({"kind": k, "start": span[0], "end": span[1], "score": q})
+                    free[i].append({"kind": k, "form": form, "start": span[0], "end": span[1], "score": q})
                 if good is not None:
-                    answers[i].append({"kind": k, "score": q, "good": good})
+                    answers[i].append({"kind": k, "form": form, "score": q, "good": good})
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(list(map(join_spans, bases)), pa.string()),
                  pa.array(free, pa.list_(part)), pa.array(answers, pa.list_(answer))], ["doc_id", "base", "free", "answers"])
-    scored = keep(rows.mapInArrow(score, "doc_id long, base string, free array<struct<kind:string,start:int,end:int,score:int>>, "
-                                         "answers array<struct<kind:string,score:int,good:int>>"), "personal-data")
+    scored = keep(rows.mapInArrow(score, "doc_id long, base string, free array<struct<kind:string,form:string,start:int,end:int,score:int>>, "
+                                         "answers array<struct<kind:string,form:string,score:int,good:int>>"), "personal-data")
     cuts = cuts_of(scored)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -493,7 +521,7 @@ def find_personal_data(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
             out = []
             for d, joined, free in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "base", "free"))):
                 base = _spans_of(joined)
-                more = choose([(c["kind"], c["start"], c["end"], c["score"]) for c in free], base, cuts)
+                more = choose([(c["kind"], c["form"], c["start"], c["end"], c["score"]) for c in free], base, cuts)
                 out.append({"doc_id": d, **{f"n_{k}": len(base[k]) for k in KINDS},
                             "base_sha256": hashlib.sha256(joined.encode()).hexdigest(),
                             "spans": join_spans({k: base[k] + more[k] for k in KINDS}),
