@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -330,13 +331,15 @@ def _bound_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _texts(sent):
-    """Texts of the sets that the sent table may contain."""
+    """Texts of the sets that the sent table may contain, compressed: they are written once and shuffled in
+    every round of verification."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             got = [(set_id(s), t) for _, t, s in document_sets(batch) if len(s)]
             ids = np.array([g[0] for g in got], np.int64)
             ok = np.flatnonzero(passes(sent.value, ids))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array([got[i][1] for i in ok], pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array([pack(got[i][1]) for i in ok], pa.binary())],
                                              ["set_id", "text"])
     return run
 
@@ -357,8 +360,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep_rows) for c in ("a", "b")], ["a", "b"])
 
 
-def _set_of(text: bytes) -> np.ndarray:
-    b = next(blocks([text]))
+def _set_of(packed: bytes) -> np.ndarray:
+    b = next(blocks([zstandard.ZstdDecompressor().decompress(packed)]))
     return next(shingle_sets(*b.words(NONSPACE), SHINGLE))
 
 
