@@ -149,6 +149,13 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget_chunks() -> None:
+    """Empty this worker's caches, whose memory other steps of the same workers need."""
+    for enc in _ENCODERS.values():
+        enc.old = {}
+        enc.clear()
+
+
 def _packer(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard = encoder(path), TaskContext.get().partitionId()
@@ -217,6 +224,7 @@ def read_range(spark: SparkSession, path: str, start: int, stop: int) -> np.ndar
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget_chunks()                                       # all is encoded when files are read back
     for batch in batches:
         for b in batch.to_pylist():
             ids = unpack(b["packed"], b["width"], 0, b["n_ids"]).astype("<u4")
