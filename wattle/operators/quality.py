@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Column families by name prefix.
@@ -88,3 +88,30 @@ def column_set_difference(actual: Sequence[str], expected: Sequence[str]) -> dic
     """Expected vs. actual column names (schema only)."""
     a, e = set(actual), set(expected)
     return {"missing": sorted(e - a), "unexpected": sorted(a - e)}
+
+
+def first_hours(hours: DataFrame, group: str, counts: Sequence[str], k: int) -> list:
+    """The hours that hold the first ``k`` rows of each group, for each count column: at most ``k`` a group and
+    column, as each has a row. ``hours``: (group, hour, counts). None stands for rows without a time."""
+    per = hours.select(group, "hour", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("of"), F.col(c).alias("n")) for c in counts])).alias("x")).select(group, "hour", "x.*")
+    w = Window.partitionBy(group, "of").orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = per.filter("n > 0").withColumn("before", F.sum("n").over(w) - F.col("n")).filter(F.col("before") < k)
+    text = F.date_format("hour", "yyyy-MM-dd HH:mm:ss").alias("h")
+    return sorted((r["h"] for r in first.select(text).distinct().collect()), key=lambda h: (h is None, h))
+
+
+def in_hours(df: DataFrame, ts_col: str, hours: Sequence) -> DataFrame:
+    """Rows whose time lies in one of the hours, as a filter that reaches the scan (None: no time).
+    Neighbouring hours become one range."""
+    from datetime import datetime, timedelta
+    kind = "TIMESTAMP_NTZ" if df.schema[ts_col].dataType.typeName() == "timestamp_ntz" else "TIMESTAMP"
+    spans: list[list[datetime]] = []
+    for h in (datetime.fromisoformat(h) for h in hours if h is not None):
+        if spans and spans[-1][1] == h:
+            spans[-1][1] = h + timedelta(hours=1)
+        else:
+            spans.append([h, h + timedelta(hours=1)])
+    hit = [f"(`{ts_col}` >= {kind}'{a}' AND `{ts_col}` < {kind}'{b}')" for a, b in spans]
+    hit += [f"`{ts_col}` IS NULL"] if None in hours else []
+    return df.filter(" OR ".join(hit) or "false")

@@ -151,19 +151,22 @@ def monthly_long(df: DataFrame, month_col: str, family: Sequence[str]) -> DataFr
 
 
 def climate_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = climate_wide(standins.climate_long(spark, sf_dir), standins.CLIMATE_INDICATORS,
+    from .materialize import order_days_table
+    wide = climate_wide(standins.climate_triples(order_days_table(spark, sf_dir)), standins.CLIMATE_INDICATORS,
                         standins.CLIMATE_GEOS)
     return monthly_long(wide, "month", [c for c in wide.columns if c != "month"])
 
 
 def production_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = standins.production_monthly(spark, sf_dir)
+    from .materialize import shipped_months_table
+    p = standins.production_sheet(shipped_months_table(spark, sf_dir))
     fam = [c for c in p.columns if c.startswith("prod_")]
     return p.select(*base_columns("month", "monthly"), *[half_even_long(c).alias(c) for c in fam])
 
 
 def gas_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = standins.gas_sheet(spark, sf_dir)
+    from .materialize import shipped_months_table
+    g = standins.gas_labels(shipped_months_table(spark, sf_dir))
     ren = {"Monat": "oegpi_month", "Quartal": "oegpi_quarter", "Saison": "oegpi_season", "Jahr": "oegpi_year"}
     g = g.select(parse_german_month("Datum").alias("month"), *[F.col(k).alias(v) for k, v in ren.items()])
     return monthly_long(g.filter(F.col("month").isNotNull()), "month", list(ren.values()))

@@ -15,6 +15,7 @@ import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from ..sources.tables import TABLES
@@ -63,12 +64,37 @@ def consolidated_table(spark: SparkSession, sf_dir: str, how: str = "join") -> D
                         partition_by=["aggregation_level"])
 
 
+def order_days_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order moments by day, written once: the carbon and the climate sheet share this one scan."""
+    from ..sources import standins
+    return materialized(spark, "order-days", sf_dir, lambda: standins.order_days(spark, sf_dir), tables=("orders",))
+
+
+def shipped_months_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly measures of ``lineitem``, written once: the production and the gas sheet share this one scan."""
+    from ..sources import standins
+    return materialized(spark, "shipped-months", sf_dir, lambda: standins.shipped_months(spark, sf_dir),
+                        tables=("lineitem",))
+
+
 def carbon_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The day-level carbon sheet (stand-in built from ``orders``), written once:
-    the carbon pipeline reads it in two branches (raw daily rows and the
-    weekly/monthly means), which would otherwise aggregate the orders twice."""
+    """The day-level carbon sheet, written once: the carbon pipeline reads it in two
+    branches (raw daily rows and the weekly/monthly means)."""
     from ..sources import standins
-    return materialized(spark, "carbon-raw", sf_dir, lambda: standins.carbon_raw(spark, sf_dir), tables=("orders",))
+    return materialized(spark, "carbon-raw", sf_dir, lambda: standins.carbon_sheet(order_days_table(spark, sf_dir)),
+                        tables=("orders",))
+
+
+def reading_hours_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings and non-null prices by source year and hour, written once: tells the scans that want
+    a year's first readings which few hours to read."""
+    from ..sources import standins
+
+    def build():
+        r = C.select_era_columns(standins.electricity_readings(spark, sf_dir), "source_year", standins.ELECTRICITY_ERAS)
+        return r.groupBy("source_year", F.date_trunc("hour", "timestamp").alias("hour")).agg(
+            F.count("*").alias("n_rows"), *[F.count(c).alias(f"n_{c}") for c in standins.ELECTRICITY_ERAS])
+    return materialized(spark, "reading-hours", sf_dir, build, tables=("events",))
 
 
 def release(spark: SparkSession) -> int:

@@ -529,11 +529,13 @@ SELECT CAST(source_year AS BIGINT) AS source_year, strftime(timestamp, '%Y-%m-%d
        CAST(row_number() OVER (PARTITION BY source_year ORDER BY timestamp, price_exaa_raw, price_mc_raw) AS BIGINT) AS rn
 FROM rd QUALIFY rn <= 5""")
 def sampled_scan(spark, sf_dir):
-    """First five readings of each yearly file, for structure profiling (top-k per
-    file, limited below the shuffle)."""
+    """First five readings of each yearly file, for structure profiling: only the hours
+    that hold them are read and sorted."""
     r = C.select_era_columns(standins.electricity_readings(spark, sf_dir), "source_year", standins.ELECTRICITY_ERAS)
-    from ..operators.quality import first_k_by
-    s = first_k_by(r, ["source_year"], [F.col("timestamp"), F.col("price_exaa_raw"), F.col("price_mc_raw")], 5)
+    from ..operators.quality import first_hours, first_k_by, in_hours
+    from .materialize import reading_hours_table
+    early = first_hours(reading_hours_table(spark, sf_dir), "source_year", ["n_rows"], 5)
+    s = first_k_by(in_hours(r, "timestamp", early), ["source_year"], [F.col("timestamp"), F.col("price_exaa_raw"), F.col("price_mc_raw")], 5)
     return s.select(F.col("source_year").cast("long").alias("source_year"),
                     F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
                     "price_exaa_raw", "price_mc_raw", F.col("rn").cast("long").alias("rn"))

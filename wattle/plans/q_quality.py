@@ -9,7 +9,7 @@ from . import consolidate as C
 from . import sqlparts as S
 from .panel import monthly_panel
 from .q_ingest import STANDIN_PERIODS, _period_sql
-from .materialize import consolidated_table
+from .materialize import consolidated_table, reading_hours_table
 from .registry import query
 from ..functions import calendar as cal
 from ..functions.numeric import iso_date, rnd, round_doubles
@@ -93,16 +93,17 @@ SELECT CAST(c.source_year AS BIGINT) AS source_year, c."column", c.n_rows, c.n_n
        max(CASE WHEN rn = 3 THEN v END) AS sample_3
 FROM cnt c LEFT JOIN smp s USING (source_year, "column") GROUP BY ALL""")
 def yearly_column_profile(spark, sf_dir):
-    """Per source year and feed: rows, non-null count and share, first three values."""
+    """Per source year and feed: rows, non-null count and share, first three values. Counts come from
+    the hourly counts; of the readings only the hours that hold the first values are read."""
     r = C.select_era_columns(standins.electricity_readings(spark, sf_dir), "source_year", standins.ELECTRICITY_ERAS)
     feeds = ["price_exaa_raw", "price_mc_raw"]
+    hours = reading_hours_table(spark, sf_dir)
+    r = Q.in_hours(r, "timestamp", Q.first_hours(hours, "source_year", [f"n_{f}" for f in feeds], 3))
     lng = r.select("source_year", "timestamp", F.explode(F.array(*[
         F.struct(F.lit(f).alias("column"), F.col(f).alias("v")) for f in feeds])).alias("x")) \
         .select("source_year", "timestamp", "x.column", "x.v")
-    # two column-pruned passes: full counts need every row, while the samples come
-    # from a top-3 window that forwards at most 3 rows per key and map task; one
-    # bounded pass cannot give both without collecting whole groups
-    cnt = lng.groupBy("source_year", "column").agg(F.count("*").alias("n_rows"), F.count("v").alias("n_non_null"))
+    cnt = hours.groupBy("source_year").agg(F.sum("n_rows").alias("n_rows"), *[F.sum(f"n_{f}").alias(f) for f in feeds])
+    cnt = cnt.unpivot(["source_year", "n_rows"], feeds, "column", "n_non_null")
     smp = Q.first_k_by(lng.filter(F.col("v").isNotNull()), ["source_year", "column"], ["timestamp", "v"], 3)
     smp = smp.groupBy("source_year", "column").agg(
         *[F.max(F.when(F.col("rn") == i, F.col("v"))).alias(f"sample_{i}") for i in (1, 2, 3)])

@@ -66,53 +66,81 @@ def dirty_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ts_text.alias("ts_text"), F.col("props"))
 
 
-def carbon_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily carbon-market observations with the raw header names of the source."""
-    o = table(spark, sf_dir, "orders")
-    p, s, pr = F.col("o_totalprice"), F.col("o_orderstatus"), F.col("o_orderpriority")
-    return (o.groupBy(F.col("o_orderdate").cast("date").alias("Date"))
-            .agg(F.avg(F.when(s == "F", p / 100000)).alias("Exchange rate EUR/USD(<2019)"),
-                 F.avg(F.when(s == "O", p / 100000)).alias("Exchange rate EUR/USD(>2018)"),
-                 F.avg(F.when(pr == "1-URGENT", p / 1000)).alias("Primary Market(<2019)"),
-                 F.avg(F.when(pr == "2-HIGH", p / 1000)).alias("Primary Market(>2018)"),
-                 F.avg(F.when(pr == "3-MEDIUM", p / 1000)).alias("Secondary Market(>2018)"),
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum and count of order values by day, status and priority: what the carbon and climate sheets
+    are made of, in one scan of ``orders``."""
+    return (table(spark, sf_dir, "orders")
+            .groupBy(F.col("o_orderdate").cast("date").alias("day"), "o_orderstatus", "o_orderpriority")
+            .agg(F.sum("o_totalprice").alias("total"), F.count("o_totalprice").alias("n")))
+
+
+def _mean(scale: float, when=None):
+    total, n = (F.col(c) if when is None else F.when(when, F.col(c)) for c in ("total", "n"))
+    return F.sum(total) / scale / F.nullif(F.sum(n), F.lit(0))
+
+
+def carbon_sheet(days: DataFrame) -> DataFrame:
+    """The carbon sheet with the raw header names of the source, from ``order_days``."""
+    s, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    return (days.groupBy(F.col("day").alias("Date"))
+            .agg(_mean(100000, s == "F").alias("Exchange rate EUR/USD(<2019)"),
+                 _mean(100000, s == "O").alias("Exchange rate EUR/USD(>2018)"),
+                 _mean(1000, pr == "1-URGENT").alias("Primary Market(<2019)"),
+                 _mean(1000, pr == "2-HIGH").alias("Primary Market(>2018)"),
+                 _mean(1000, pr == "3-MEDIUM").alias("Secondary Market(>2018)"),
                  F.lit(1.0).alias("Exchange rate EUR/EUR"),
                  F.lit("EUR").alias("Market Currency"),
                  F.lit(None).cast("string").alias("Unnamed: 9")))
 
 
+def carbon_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily carbon-market observations with the raw header names of the source."""
+    return carbon_sheet(order_days(spark, sf_dir))
+
+
+def climate_triples(days: DataFrame) -> DataFrame:
+    """The climate triples from ``order_days``."""
+    return (days.groupBy(F.date_format("day", "yyyy-MM").alias("TIME_PERIOD"),
+                         F.col("o_orderstatus").alias("indic_nrg"), F.col("o_orderpriority").alias("geo"))
+            .agg(_mean(1000).alias("OBS_VALUE")))
+
+
 def climate_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eurostat-style long triples (TIME_PERIOD 'yyyy-MM', indic_nrg, geo, OBS_VALUE)."""
-    o = table(spark, sf_dir, "orders")
-    return (o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("TIME_PERIOD"),
-                      F.col("o_orderstatus").alias("indic_nrg"),
-                      F.col("o_orderpriority").alias("geo"))
-            .agg(F.avg(F.col("o_totalprice") / 1000).alias("OBS_VALUE")))
+    return climate_triples(order_days(spark, sf_dir))
 
 
-def production_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly generation-mix stand-in: quantity per return flag and line status."""
-    li = table(spark, sf_dir, "lineitem")
-    q = F.col("l_quantity")
+def shipped_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every monthly measure of the production and gas sheets, in one scan of ``lineitem``. A sheet made
+    from this reads its own columns only, as Catalyst drops the other sheet's measures."""
+    q, m = F.col("l_quantity"), month_start("l_shipdate")
     aggs = [F.sum(F.when(F.col("l_returnflag") == f, q)).alias(f"prod_flag_{f.lower()}") for f in RETURN_FLAGS]
     aggs += [F.sum(F.when(F.col("l_linestatus") == s, q)).alias(f"prod_status_{s.lower()}") for s in LINE_STATUSES]
-    return li.groupBy(month_start("l_shipdate").alias("month")).agg(*aggs)
+    # The label is built from an aggregate result (min of the month) rather than
+    # the grouping key, so a later filter on the parsed label cannot be pushed
+    # below the aggregate onto every raw row.
+    aggs += [F.min(m).alias("m"), F.avg(F.col("l_extendedprice") / 1000).alias("Monat"),
+             F.avg(F.col("l_discount") * 100).alias("Quartal"), F.avg(F.col("l_tax") * 100).alias("Saison"),
+             F.avg("l_quantity").alias("Jahr")]
+    return table(spark, sf_dir, "lineitem").groupBy(m.alias("month")).agg(*aggs)
+
+
+def production_sheet(months: DataFrame) -> DataFrame:
+    return months.select("month", *[c for c in months.columns if c.startswith("prod_")])
+
+
+def production_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly generation-mix stand-in: quantity per return flag and line status."""
+    return production_sheet(shipped_months(spark, sf_dir))
+
+
+def gas_labels(months: DataFrame) -> DataFrame:
+    return months.select(german_month_label("m").alias("Datum"), "Monat", "Quartal", "Saison", "Jahr")
 
 
 def gas_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly gas price index stand-in with German month labels in ``Datum``."""
-    li = table(spark, sf_dir, "lineitem")
-    m = month_start("l_shipdate")
-    # The label is built from an aggregate result (min of the month) rather than
-    # the grouping key, so a later filter on the parsed label cannot be pushed
-    # below the aggregate onto every raw row.
-    agg = (li.groupBy(m.alias("g"))
-           .agg(F.min(m).alias("m"),
-                F.avg(F.col("l_extendedprice") / 1000).alias("Monat"),
-                F.avg(F.col("l_discount") * 100).alias("Quartal"),
-                F.avg(F.col("l_tax") * 100).alias("Saison"),
-                F.avg("l_quantity").alias("Jahr")))
-    return agg.select(german_month_label("m").alias("Datum"), "Monat", "Quartal", "Saison", "Jahr")
+    return gas_labels(shipped_months(spark, sf_dir))
 
 
 def economy_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@
 The batch job re-reads every file on each run. With Structured Streaming the
 same operator runs incrementally: new reading files are picked up by the
 file source, day bins are aggregated in state, and the watermark bounds the
-state (a day closes once readings are ``lateness`` past its end). Output rows
-have the batch schema of ``resample`` at the daily grain.
+state (a day closes once readings are ``lateness`` past its end). Unlike the
+batch ``resample``, days without readings get no row, and readings that come
+later than ``lateness`` are left out; the batch job takes them on its next run.
 """
 
 from __future__ import annotations
