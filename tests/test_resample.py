@@ -84,3 +84,13 @@ def test_carbon_daily_raw_weekly_mean_with_gap(spark):
     assert wk == ["2019-01-07", "2019-01-14", "2019-01-21", "2019-01-28"]
     assert out[("2019-01-14", "weekly")].carbonprices_primary_market is None
     assert out[("2019-01-07", "weekly")].carbonprices_exchange_rate_eur_usd == (1.10 + 1.20) / 2
+
+
+def test_many_series_are_dealt_to_all_tasks(spark):
+    """Small compressed shuffles hold many day rows: they must not be merged into one task."""
+    df = spark.range(2_000).selectExpr("id % 500 AS user", "timestamp '2024-01-01 00:00:00' + make_interval(0, 0, 0, int(id / 500) * 3) AS ts",
+                                       "1.0D AS v")
+    out = resample(df, "ts", ["v"], ("user",), ("daily", "weekly"))
+    tasks = out.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum("v_count").alias("c")).collect()
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(r.n for r in tasks) == 500 * (10 + 3) and sum(r.c for r in tasks) == 2 * 2_000

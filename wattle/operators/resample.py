@@ -88,11 +88,23 @@ def rollup_days(days: DataFrame, value_cols: Sequence[str], keys: Sequence[str]
             .agg(*aggs))
 
 
+def by_series(days: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Day rows of many series dealt to as many tasks as there are shuffle partitions.
+
+    The window and the bins' group-by of one task hold some 400 bytes a day row; a
+    shuffle sized by its compressed bytes would give them tens of megabytes of
+    day rows at once, a set number of tasks gives each its share of the series."""
+    if not keys:
+        return days
+    n = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return days.repartition(n, *keys)
+
+
 def resample(df: DataFrame, ts_col: str, value_cols: Sequence[str],
              keys: Sequence[str] = (), grains: Sequence[str] = GRAINS,
              gap_fill: bool = True, week_mode: str = "w-mon") -> DataFrame:
     """Mean and non-null count of each value column per bin and grain."""
-    days = daily_moments(df, ts_col, value_cols, keys)
+    days = by_series(daily_moments(df, ts_col, value_cols, keys), keys)
     return rollup_days(days, value_cols, keys, grains, gap_fill, week_mode)
 
 
@@ -101,7 +113,7 @@ def resample_mean_family(daily: DataFrame, date_col: str, value_cols: Sequence[s
                          keys: Sequence[str] = (), gap_fill: bool = True,
                          week_mode: str = "w-mon") -> DataFrame:
     """Mean of a column family from daily observations to coarser grains (gap bins kept)."""
-    days = daily_moments(daily, date_col, value_cols, keys)
+    days = by_series(daily_moments(daily, date_col, value_cols, keys), keys)
     out = rollup_days(days, value_cols, keys, grains, gap_fill, week_mode)
     return out.select(*keys, "aggregation_level", "date",
                       *[F.col(f"{v}_mean").alias(v) for v in value_cols])
