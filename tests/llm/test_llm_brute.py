@@ -122,6 +122,60 @@ def test_hot_cells_are_split_without_loss(spark, monkeypatch):
     assert got == comp and len(set(comp.values())) > 1
 
 
+def test_linked_sets_share_as_many_routing_shingles_as_asked():
+    rng = np.random.default_rng(8)
+    sketch = rng.integers(0, 50, 1 << ngram_join.SKETCH_BITS).astype(np.uint16)
+    for n in (*range(1, 14), 40, 200, 1000):
+        for _ in range(5):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            while True:
+                b = np.union1d(a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 63, n // 12, dtype=np.uint64))
+                if ngram_join.linked(len(np.intersect1d(a, b)), len(a), len(b)) and len(b):
+                    break
+            both = len(np.intersect1d(ngram_join.prefix(a, sketch), ngram_join.prefix(b, sketch)))
+            assert both >= max(min(ngram_join.MEET, -(-4 * len(s) // 5)) for s in (a, b))
+
+
+def test_texts_that_meet_by_chance_are_not_moved(spark, monkeypatch):
+    """Each text has a passage of six words in common with the next, and no cell is rarer than another, as in
+    a large corpus; only the near copies' texts are kept."""
+    counts, keep = {}, ngram_join.keep
+
+    def watched(df, name):
+        out = keep(df, name)
+        if "text" in out.columns:
+            counts[name] = out.count()
+        return out
+    monkeypatch.setattr(ngram_join, "keep", watched)
+    monkeypatch.setattr(ngram_join, "_sketch", lambda profile: np.zeros(1 << ngram_join.SKETCH_BITS, np.uint16))
+    words = [[f"w{d}_{i}" for i in range(60)] for d in range(40)]
+    for d in range(39):
+        words[d + 1][:6] = words[d][-6:]
+    words.append([*words[7][:-1], "other"])
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(words)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(docs).collect()}
+    assert got == {d: 7 if d == 40 else d for d in range(41)}
+    assert list(counts.values()) == [2]
+
+
+def test_short_near_copies_keep_their_links(spark):
+    """Sets of fewer shingles than linked sets are asked to share."""
+    rows = []
+    for k in range(5, 30):                       # k words and the same with another last word: k - 4 shingles each, all but one common
+        w = [f"a{k}_{i}" for i in range(k)]
+        rows += [(10 * k, " ".join(w)), (10 * k + 1, " ".join([*w[:-1], "x"])), (10 * k + 2, " ".join([*w, "y"]))]
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {d: shingles(t) for d, t in rows}
+    comp = {d: d for d in sets}
+    for _ in range(3):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    comp[a] = comp[b] = min(comp[a], comp[b])
+    assert got == comp and len(set(comp.values())) < len(comp)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -9,11 +9,14 @@ Sets link when 100 * |A and B| >= 80 * |A or B|, that is 9 * overlap >= 4 * (|A|
 In so many dimensions the corners of a tree over a whole corpus bound nothing (any
 two random documents of 300 shingles are inside each other's node), so one tree
 would compare all with all. Points are therefore routed first, without loss:
-linked sets share one of each other's |A| - ceil(0.8 |A|) + 1 first shingles in
-any common order. The order puts shingles of rarer hash cells first (a sketch
-of fixed size counts them), so a passage that many documents share routes only
-documents made of little else. A tree then holds the points that share a
-routing shingle, in blocks of at most ``CELL`` points.
+in any common order linked sets share k of each other's |A| - ceil(0.8 |A|) + k
+first shingles, as far as they share k at all. The order puts shingles of rarer
+hash cells first (a sketch of fixed size counts them), so a passage that many
+documents share routes only documents made of little else. A set that shares fewer
+than ``MEET`` of its routing shingles with any others has no link and leaves before
+its text moves: a few common words meet by chance, and the more so the larger the
+corpus. A tree then holds the points that share a routing shingle, in blocks of at
+most ``CELL`` points.
 
 Equal sets are one point. Before the trees, in rounds, each min-hash class is
 compared with one member, another one in every class; what is then known to be
@@ -39,6 +42,8 @@ from .membership import may_contain, only_known, passes
 from .nptext import NONSPACE, U64, blocks, mix, shingle_sets, texts_of
 
 SHINGLE, GROUPS = 5, 256
+#: routing shingles that linked sets share at least (all they share, if that is fewer)
+MEET = 8
 #: min-hash classes of the rounds that come before the trees
 ROUNDS = (4, 8, 12)
 MINS = sum(ROUNDS)
@@ -84,29 +89,27 @@ def document_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarra
 
 
 _MULT = mix(np.arange(71, 71 + MINS, dtype=U64)) | U64(1)
-PROFILE = "kind int, doc_id long, n_shingles long, set_id long, counts binary, mins array<bigint>"
+PROFILE = "kind int, doc_id long, n_shingles long, set_id long, counts binary"
+ROUTED = "set_id long, n_shingles long, counts binary, mins array<bigint>, text binary"
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind 0: a row a document. Kind 1: the task's sketch in chunks (chunk number in set_id)."""
     schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()),
-                        ("set_id", pa.int64()), ("counts", pa.binary()), ("mins", pa.list_(pa.int64()))])
+                        ("set_id", pa.int64()), ("counts", pa.binary())])
     sketch = np.zeros(1 << SKETCH_BITS, np.uint16)
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        n, key, counts, mins, cells = [], [], [], [], []
+        n, key, cells = [], [], []
         for _, _, s in document_sets(batch):
             n.append(len(s))
             key.append(set_id(s))
-            counts.append(count_vector(s).tobytes())
-            mins.append((s[:, None] * _MULT).min(0).astype(np.int64) if len(s) else [])
             cells.append((s >> U64(64 - SKETCH_BITS)).astype(np.int64))
         if cells:
             np.add.at(sketch, np.concatenate(cells), 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array([0] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()),
-             pa.array(key, pa.int64()), pa.array(counts, pa.binary()), pa.array(mins, pa.list_(pa.int64()))],
-            schema=schema)
+             pa.array(key, pa.int64()), pa.nulls(len(ids), pa.binary())], schema=schema)
     for i, c in enumerate(sketch.reshape(-1, SKETCH_CHUNK)):
         if c.any():
             small = zlib.compress(np.minimum(c, 255).astype(np.uint8).tobytes(), 1)
@@ -137,10 +140,10 @@ def _sketch(profile: DataFrame) -> np.ndarray:
 
 
 def prefix(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The routing shingles of a set: its first n - ceil(0.8 n) + 1 by (cell count, hash).
+    """The routing shingles of a set: its first n - ceil(0.8 n) + MEET by (cell count, hash).
     Ties with the last one are all in."""
     n = len(s)
-    p = n - (4 * n + 4) // 5 + 1
+    p = n - (4 * n + 4) // 5 + MEET
     if p >= n:
         return s
     rank = (sketch[(s >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(U64) << U64(48)) | (s & U64((1 << 48) - 1))
@@ -191,6 +194,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], names)
 
 
+def _meeting(met: DataFrame, members: DataFrame) -> DataFrame:
+    """Of the (key, set_id) rows of shared routing shingles, the sets with as many of them as any link needs:
+    ``MEET``, or the ceil(0.8 n) shingles that a smaller set shares with each one linked to it."""
+    sizes = members.filter("n_shingles > 0").groupBy("set_id").agg(F.min("n_shingles").alias("n"))
+    return (met.groupBy("set_id").agg(F.count("*").alias("keys")).join(sizes, "set_id")
+            .filter(f"keys >= least({MEET}, (4 * n + 4) div 5)").select("set_id"))
+
+
 class CountTree:
     """Static R-tree over count vectors: points sorted by size, slabs of them by their
     fullest-varying coordinate; nodes keep the upper corner and the size range."""
@@ -331,16 +342,24 @@ def _bound_filter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _texts(sent):
-    """Texts of the sets that the sent table may contain, compressed: they are written once and shuffled in
-    every round of verification."""
+    """Points, min-hashes and texts of the sets that the sent table may contain; texts compressed: they are
+    written once and shuffled in every round of verification."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack, seen = zstandard.ZstdCompressor(level=3).compress, set()
         for batch in batches:
-            got = [(set_id(s), t) for _, t, s in document_sets(batch) if len(s)]
-            ids = np.array([g[0] for g in got], np.int64)
-            ok = np.flatnonzero(passes(sent.value, ids))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array([pack(got[i][1]) for i in ok], pa.binary())],
-                                             ["set_id", "text"])
+            got = [(set_id(s), t, s) for _, t, s in document_sets(batch) if len(s)]
+            ok = np.flatnonzero(passes(sent.value, np.array([g[0] for g in got], np.int64)))
+            rows = []
+            for d, t, s in (got[i] for i in ok):
+                if d in seen:                    # a copy in the same task is the same point
+                    continue
+                if len(seen) < 200_000:
+                    seen.add(d)
+                rows.append((d, len(s), count_vector(s).tobytes(), (s[:, None] * _MULT).min(0).astype(np.int64), pack(t)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in
+                 enumerate((pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()))],
+                ["set_id", "n_shingles", "counts", "mins", "text"])
     return run
 
 
@@ -402,18 +421,19 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     n = shuffle_parts(spark)
     profile = keep(docs.mapInArrow(_profile, PROFILE), "profile")
-    members = profile.filter("kind = 0").select("doc_id", "n_shingles", "set_id")
-    sets = keep(profile.filter("kind = 0 AND n_shingles > 0").select("set_id", "n_shingles", "counts", "mins")
-                .dropDuplicates(["set_id"]), "sets")
+    members = keep(profile.filter("kind = 0").select("doc_id", "n_shingles", "set_id"), "members")
     sent = spark.sparkContext.broadcast(_sketch(profile))     # 8 MB, whatever the input
+    drop_kept(profile)
     routed = docs.mapInArrow(_keys(sent), "key long, set_id long")
-    shared = keep(routed.repartition(n, "key").sortWithinPartitions("key", "set_id")
-                  .mapInArrow(_shared, "key long, set_id long"), "shared")
-    ids = keep(shared.select("set_id").distinct(), "ids")
+    met = keep(routed.repartition(n, "key").sortWithinPartitions("key", "set_id")
+               .mapInArrow(_shared, "key long, set_id long"), "met")
+    ids = keep(_meeting(met, members), "ids")
+    shared = keep(met.join(ids, "set_id", "left_semi").select("key", "set_id"), "shared")
+    drop_kept(met)
     wanted = spark.sparkContext.broadcast(may_contain(ids))   # 2 MB
-    texts = keep(docs.mapInArrow(_texts(wanted), "set_id long, text binary")
-                 .join(ids.hint("shuffle_hash"), "set_id", "left_semi").dropDuplicates(["set_id"]), "texts")
-    routed_sets = keep(sets.join(ids, "set_id", "left_semi"), "routed")
+    routed = keep(docs.mapInArrow(_texts(wanted), ROUTED)
+                  .join(ids.hint("shuffle_hash"), "set_id", "left_semi").dropDuplicates(["set_id"]), "routed")
+    texts, routed_sets = routed.select("set_id", "text"), routed.drop("text")
     links, known, at = None, None, 0
     for size in ROUNDS:
         found = _verified(_star_pairs(routed_sets, known, at, at + size), texts)
@@ -438,7 +458,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
              .repartition(n, "lo", "region").sortWithinPartitions("lo", "region", "key", "i", "j")
              .mapInArrow(_cell_pairs, "a long, b long").distinct())
     roots = components(links.unionAll(_verified(pairs, texts))).withColumnRenamed("node", "set_id")
-    drop_kept(texts, shared)
+    drop_kept(routed, shared)
     return keep(members.join(roots, "set_id", "left").select(
         "doc_id", "n_shingles", "set_id",
         F.when(F.col("n_shingles") > 0, F.coalesce("root", "set_id")).alias("root")), "groups")
