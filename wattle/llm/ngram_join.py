@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import drop_kept, keep, read, shuffle_parts
-from .components import components
+from .components import components, contracted, labels
 from .membership import may_contain, only_known, passes
 from .nptext import NONSPACE, U64, blocks, mix, shingle_sets, texts_of
 
@@ -48,7 +48,7 @@ MEET = 8
 ROUNDS = (4, 8, 12)
 MINS = sum(ROUNDS)
 SKETCH_BITS, SKETCH_CHUNK = 22, 1 << 16
-CELL, LEAF, FAN, REGION = 4096, 32, 16, 50_000
+CELL, LEAF, FAN, REGION = 4096, 32, 16, 4096
 
 
 def linked(common, a, b):
@@ -434,11 +434,13 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     routed = keep(docs.mapInArrow(_texts(wanted), ROUTED)
                   .join(ids.hint("shuffle_hash"), "set_id", "left_semi").dropDuplicates(["set_id"]), "routed")
     texts, routed_sets = routed.select("set_id", "text"), routed.drop("text")
-    links, known, at = None, None, 0
+    # the edges of a round are those of the rounds before it, contracted, and its own links: they connect
+    # the same sets, though a set may not yet have its last root
+    edges, known, at = None, None, 0
     for size in ROUNDS:
         found = _verified(_star_pairs(routed_sets, known, at, at + size), texts)
-        links = found if links is None else links.unionAll(found)
-        known, at = keep(components(links), "known"), at + size
+        edges = contracted(found if edges is None else edges.union(found))
+        known, at = keep(labels(edges), "known"), at + size
 
     # all other pairs that share a routing shingle, through the trees
     rows = _with_component(shared, known)
@@ -457,7 +459,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     pairs = (rows.select("lo", "region", "key", "i", "j", "set_id", "comp", "part", "n_shingles", "counts")
              .repartition(n, "lo", "region").sortWithinPartitions("lo", "region", "key", "i", "j")
              .mapInArrow(_cell_pairs, "a long, b long").distinct())
-    roots = components(links.unionAll(_verified(pairs, texts))).withColumnRenamed("node", "set_id")
+    roots = components(edges.union(_verified(pairs, texts))).withColumnRenamed("node", "set_id")
     drop_kept(routed, shared)
     return keep(members.join(roots, "set_id", "left").select(
         "doc_id", "n_shingles", "set_id",
