@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep, read
+from .common import keep, read, thrifty
 from .nptext import ALNUM, U64, blocks, texts_of
 
 WINDOW = 10
@@ -59,7 +59,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     rows are kept as rows of their own; extra columns are ignored. A task holds
     one shard, or the longest document if that is longer."""
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
-    return keep(rows.mapInArrow(_index, INDEX), "postings")
+    return keep(rows.mapInArrow(thrifty(_index), INDEX), "postings")
 
 
 class Shard:
@@ -173,7 +173,7 @@ def query_blocks(benchmark: DataFrame, words: int = QUERY_WORDS) -> Iterator[lis
     Items without words are left out. The sum of words decides how many blocks
     there are; a block is what the driver holds at a time."""
     items = (benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-             .mapInArrow(_item_words, "item_id string, words binary").filter(F.length("words") > 0))
+             .mapInArrow(thrifty(_item_words), "item_id string, words binary").filter(F.length("words") > 0))
     items = keep(items, "items")
     n = items.agg(F.coalesce(F.sum(F.length("words") / 8), F.lit(0))).first()[0]
     count = max(1, int(-(-n // words)))
@@ -230,7 +230,7 @@ def find_matches(index: DataFrame, benchmark: DataFrame, slop: int | None = None
     hits = None
     for block in query_blocks(benchmark, query_words):
         sent = spark.sparkContext.broadcast(block)
-        got = index.mapInArrow(_matcher(sent, slop), HITS)
+        got = index.mapInArrow(thrifty(_matcher(sent, slop)), HITS)
         hits = got if hits is None else hits.unionAll(got)
     return spark.createDataFrame([], HITS) if hits is None else hits
 

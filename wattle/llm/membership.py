@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import thrifty
 from .nptext import U64, mix
 
 BITS, SLICES = 24, 16
@@ -43,8 +44,8 @@ def _join_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def may_contain(ids: DataFrame) -> np.ndarray:
     """The packed bit table of the one long column of ``ids``."""
-    rows = (ids.mapInArrow(_mark, "slice int, bits binary").repartition(SLICES, "slice")
-            .mapInArrow(_join_slices, "slice int, bits binary").collect())
+    rows = (ids.mapInArrow(thrifty(_mark), "slice int, bits binary").repartition(SLICES, "slice")
+            .mapInArrow(thrifty(_join_slices), "slice int, bits binary").collect())
     out = np.zeros((SLICES, (1 << BITS) // 8 // SLICES), np.uint8)
     for r in rows:
         out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
@@ -63,4 +64,4 @@ def only_known(df: DataFrame, column: str, table: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(passes(sent.value, batch.column(column).to_numpy())))
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(thrifty(run), df.schema)

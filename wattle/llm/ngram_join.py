@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import drop_kept, keep, read, shuffle_parts
+from .common import drop_kept, keep, read, shuffle_parts, thrifty
 from .components import components, contracted, labels
 from .membership import may_contain, only_known, passes
 from .nptext import NONSPACE, U64, blocks, mix, shingle_sets, texts_of
@@ -132,7 +132,7 @@ def _sketch(profile: DataFrame) -> np.ndarray:
     a cell, the corpus to 65,535: the sketch only orders shingles, any fixed order is right."""
     n = (1 << SKETCH_BITS) // SKETCH_CHUNK
     rows = (profile.filter("kind = 1").select("set_id", "counts").repartition(min(n, shuffle_parts(profile.sparkSession)), "set_id")
-            .mapInArrow(_add_chunks, "set_id long, counts binary").collect())
+            .mapInArrow(thrifty(_add_chunks), "set_id long, counts binary").collect())
     out = np.zeros(1 << SKETCH_BITS, np.uint16)
     for r in rows:
         out[r.set_id * SKETCH_CHUNK:(r.set_id + 1) * SKETCH_CHUNK] = np.frombuffer(r.counts, "<u2")
@@ -390,7 +390,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     ta = only_known(texts, "set_id", may_contain(pairs.select("a"))).select(F.col("set_id").alias("a"), F.col("text").alias("ta"))
     tb = only_known(texts, "set_id", may_contain(pairs.select("b"))).select(F.col("set_id").alias("b"), F.col("text").alias("tb"))
     rows = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").sortWithinPartitions("a")
-    return keep(rows.mapInArrow(_verify, "a long, b long"), "links")
+    return keep(rows.mapInArrow(thrifty(_verify), "a long, b long"), "links")
 
 
 def _with_component(rows: DataFrame, known: DataFrame | None) -> DataFrame:
@@ -411,7 +411,7 @@ def _star_pairs(sets: DataFrame, known: DataFrame | None, first: int, last: int)
             .select(F.least("set_id", "centre.c").alias("a"), F.greatest("set_id", "centre.c").alias("b")).distinct())
     one = sets.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("na"), F.col("counts").alias("ca"))
     two = sets.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("counts").alias("cb"))
-    return star.join(one, "a").join(two, "b").mapInArrow(_bound_filter, "a long, b long")
+    return star.join(one, "a").join(two, "b").mapInArrow(thrifty(_bound_filter), "a long, b long")
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -420,18 +420,18 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     n = shuffle_parts(spark)
-    profile = keep(docs.mapInArrow(_profile, PROFILE), "profile")
+    profile = keep(docs.mapInArrow(thrifty(_profile), PROFILE), "profile")
     members = keep(profile.filter("kind = 0").select("doc_id", "n_shingles", "set_id"), "members")
     sent = spark.sparkContext.broadcast(_sketch(profile))     # 8 MB, whatever the input
     drop_kept(profile)
-    routed = docs.mapInArrow(_keys(sent), "key long, set_id long")
+    routed = docs.mapInArrow(thrifty(_keys(sent)), "key long, set_id long")
     met = keep(routed.repartition(n, "key").sortWithinPartitions("key", "set_id")
-               .mapInArrow(_shared, "key long, set_id long"), "met")
+               .mapInArrow(thrifty(_shared), "key long, set_id long"), "met")
     ids = keep(_meeting(met, members), "ids")
     shared = keep(met.join(ids, "set_id", "left_semi").select("key", "set_id"), "shared")
     drop_kept(met)
     wanted = spark.sparkContext.broadcast(may_contain(ids))   # 2 MB
-    routed = keep(docs.mapInArrow(_texts(wanted), ROUTED)
+    routed = keep(docs.mapInArrow(thrifty(_texts(wanted)), ROUTED)
                   .join(ids.hint("shuffle_hash"), "set_id", "left_semi").dropDuplicates(["set_id"]), "routed")
     texts, routed_sets = routed.select("set_id", "text"), routed.drop("text")
     # the edges of a round are those of the rounds before it, contracted, and its own links: they connect
@@ -458,7 +458,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
             .withColumn("region", F.when(F.col("parts") > 1, F.xxhash64("key", "i", "j")).otherwise(F.col("region"))))
     pairs = (rows.select("lo", "region", "key", "i", "j", "set_id", "comp", "part", "n_shingles", "counts")
              .repartition(n, "lo", "region").sortWithinPartitions("lo", "region", "key", "i", "j")
-             .mapInArrow(_cell_pairs, "a long, b long").distinct())
+             .mapInArrow(thrifty(_cell_pairs), "a long, b long").distinct())
     roots = components(edges.union(_verified(pairs, texts))).withColumnRenamed("node", "set_id")
     drop_kept(routed, shared)
     return keep(members.join(roots, "set_id", "left").select(
@@ -497,7 +497,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     first = keep(first.select(F.col("f.doc_id").alias("_id"), F.col("f.set_id").alias("_kept")), "kept")
     # the row travels as one struct, so its column names cannot clash with those used here
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
-    named = rows.mapInArrow(_with_set, StructType([*rows.schema.fields, StructField("set_id", LongType())]))
+    named = rows.mapInArrow(thrifty(_with_set), StructType([*rows.schema.fields, StructField("set_id", LongType())]))
     one = (named.filter("set_id <> 0")
            .join(first, (F.col("set_id") == F.col("_kept")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
            .dropDuplicates(["set_id", "doc_id"]))

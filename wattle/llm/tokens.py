@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import read, running_base, shuffle_parts
+from .common import read, running_base, shuffle_parts, thrifty
 
 BLOCK_IDS = 1 << 16
 END_ID = 1
@@ -204,7 +204,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     n = shuffle_parts(docs.sparkSession)
     ordered = (docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, "doc_id")
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()))
-    ordered.mapInArrow(_packer(tokenizer or tokenizer_path(), end_id), BLOCKS).write.parquet(path)
+    ordered.mapInArrow(thrifty(_packer(tokenizer or tokenizer_path(), end_id)), BLOCKS).write.parquet(path)
 
 
 def open_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -240,7 +240,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def document_index(spark: SparkSession, path: str) -> DataFrame:
     """Per document, read back from the files: doc_id, start, n_tokens, ids_crc32."""
     return (open_tokens(spark, path).select("start", "n_ids", "width", "doc_ids", "lengths", "packed")
-            .mapInArrow(_digests, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(thrifty(_digests), "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def tokenize_documents(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep, read
+from .common import keep, read, thrifty
 from .nptext import ALNUM, U64, Block, Spans, blocks, shingle_sets, texts_of
 
 # Insults that count as lexicon voters.
@@ -154,13 +154,13 @@ def mine_voters(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> lis
     chosen = labels.filter("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).unionAll(
         labels.filter("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")     # at most 2 * ``sample`` ids
-    rows = keep(rows.mapInArrow(_feature_rows, "sign long, toxic int, features binary")
+    rows = keep(rows.mapInArrow(thrifty(_feature_rows), "sign long, toxic int, features binary")
                 .dropDuplicates(["sign", "toxic"]), "mined")
     size = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n0, n1 = size.get(0, 0), size.get(1, 0)
     if not n0 or not n1:
         return []
-    df = (rows.select("toxic", "features").mapInArrow(_feature_counts, "feature long, d1 long, d0 long")
+    df = (rows.select("toxic", "features").mapInArrow(thrifty(_feature_counts), "feature long, d1 long, d0 long")
           .groupBy("feature").agg(F.sum("d1").alias("d1"), F.sum("d0").alias("d0")))
     p = (F.col("d1") + F.col("d0")) / (n0 + n1)
     z = (F.col("d1") / n1 - F.col("d0") / n0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1))
@@ -177,7 +177,7 @@ def mine_voters(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> lis
             bits = [np.packbits(np.isin(names.astype(U64), np.frombuffer(f, "<u8"))).tobytes()
                     for f in b.column("features").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(bits, pa.binary())], ["toxic", "bits"])
-    got = rows.select("toxic", "features").mapInArrow(has, "toxic int, bits binary").collect()
+    got = rows.select("toxic", "features").mapInArrow(thrifty(has), "toxic int, bits binary").collect()
     x = np.stack([np.unpackbits(np.frombuffer(r.bits, np.uint8))[:len(names)] for r in got]).astype(bool)
     return [int(names[j]) for j in cover(x, np.array([r.toxic for r in got]) == 1, names)]
 
@@ -254,7 +254,7 @@ def _sums(patterns: DataFrame, fn, shape: tuple) -> np.ndarray:
         for b in batches:
             total = total + fn(b.column("mask").to_numpy(), b.column("label").to_numpy(), b.column("n").to_numpy())
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
-    rows = patterns.mapInArrow(run, "total binary").collect()
+    rows = patterns.mapInArrow(thrifty(run), "total binary").collect()
     return sum((np.frombuffer(r.total).reshape(shape) for r in rows), np.zeros(shape))
 
 
@@ -331,7 +331,7 @@ class ToxicityModel:
         hashes = np.concatenate([word_hash(list(LEXICON)), np.array(mined, np.int64).astype(U64)]) & ~U64(15)
         bits = [*range(len(LEXICON)), *(len(LEXICON) + len(PATTERNS) + i for i in range(len(mined)))]
         self.vocab, self.m = Vocabulary(kinds, hashes, bits), len(LEXICON) + len(PATTERNS) + len(mined)
-        self.votes = keep(docs.mapInArrow(_voter(self.vocab), "doc_id long, mask long"), "votes")
+        self.votes = keep(docs.mapInArrow(thrifty(_voter(self.vocab)), "doc_id long, mask long"), "votes")
         patterns = keep(self.votes.join(known, "doc_id", "left")
                         .groupBy("mask", F.coalesce("toxic", F.lit(-1)).alias("label")).agg(F.count("*").alias("n")),
                         "patterns")
@@ -358,7 +358,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(_score(b.column("mask").to_numpy(), m, weights))], ["doc_id", "score"])
-    out = model.votes.mapInArrow(score, "doc_id long, score double")
+    out = model.votes.mapInArrow(thrifty(score), "doc_id long, score double")
     return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False)).alias("held_out"),
                       "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -376,7 +376,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
             masks = [votes(b, vocab) for b in blocks(texts_of(batch))]
             if masks:
                 yield batch.filter(pa.array(_score(np.concatenate(masks), m, weights) < 0.5))
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(thrifty(clean), docs.schema)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
