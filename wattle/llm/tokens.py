@@ -19,11 +19,11 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +33,11 @@ from .common import read, running_base, shuffle_parts, thrifty
 
 BLOCK_IDS = 1 << 16
 END_ID = 1
-CACHE_CHUNKS = 190_000      # entries of each of a worker's two cache generations
+CACHE_PIECES = 500_000      # of a worker's cache
+LONG_PIECE = 64             # bytes; longer pieces are not kept in it
+CALL_PIECES = 20_000        # pieces in a call of the library
+GROUP_BYTES = 8 << 20       # of texts that are cut and encoded together
+LARGE = 1 << 28             # bytes of a group from which on offsets take 64 bits
 TOKENIZER = "word_bpe_49k.json"
 
 BLOCKS = ("shard int, block int, first long, n_ids long, width int, doc_ids array<bigint>, "
@@ -76,68 +80,149 @@ def unpack(packed: bytes, width: int, start: int, stop: int) -> np.ndarray:
     return out.reshape(-1)[start - lo * 64:stop - lo * 64]
 
 
-# The pre-tokenizer's pieces of a lower-cased chunk of Latin-1 characters without white space.
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
-                     "|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
-_SPECIAL_SPACE = re.compile("[\x1c-\x1f]")
+# The pre-tokenizer's pieces of lower-cased Latin-1 text: runs of letters, single digits, runs of others.
+_LETTERS, _DIGITS, _SPACES = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+_PIECES = re.compile(f"{_SHORT}|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}{_SPACES}]+")
+_NO_LETTERS = f"({_SHORT}|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}{_SPACES}]+)"
 
 
-class Encoder(dict):
-    """Chunk between white space -> its ids as bytes, made by the tokenizers library.
+class Encoder:
+    """Ids of whole texts, made by the tokenizers library from each text's pieces.
 
     For a tokenizer that drops white space, a text's ids are those of its
-    chunks in turn, so each worker encodes a chunk once while it stays in the
-    cache. The cache has two generations of ``CACHE_CHUNKS`` entries: the dict
-    itself and, when it is full, what it held before, so chunks that come often
-    are never lost. Latin-1 chunks are cut into the pre-tokenizer's pieces here,
-    which share the cache, and encoded by the library's model; all others go
-    through the library whole. If a probe shows that the tokenizer does not
-    work this way, every text goes through the library whole."""
+    pieces in turn. Arrow cuts a group of texts into pieces and numbers the
+    different ones; those that the cache does not hold go to the library's model,
+    thousands in one call. Texts with characters beyond Latin-1 are cut at white
+    space only; their chunks with such characters go through the whole library,
+    once each. Texts with special tokens and, if a probe shows that the tokenizer does
+    not work this way, all texts go through it uncut. The cache, pieces beside
+    their ids in two Arrow arrays, keeps the ``CACHE_PIECES`` used last."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
-        super().__init__()
         self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.vocab <= 1 << 16 else "<u4")
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        # Arrow and Python split at these four, the library does not
+        self.uncut = "|".join([*map(re.escape, added), "[\x1c-\x1f]"])
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.table = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(256)}
-        self.old: dict[str, bytes] = {}
-        probe = "It's 12\xbd o'clock, na\xefve \xc9T\xc9!! <a@b.c> we'll\tsee\nŒuvre 你好 é x_y --\xbf"
+        self.table = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(256) if i != 32}
+        self.model = Tokenizer(self.tok.model)            # pieces in the byte-level alphabet, between spaces
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        self.last = np.zeros(self.vocab, bool)            # ids that end a piece
+        if suffix:
+            self.last[[i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t.endswith(suffix)]] = True
+        self.forget()
+        probe = "It's 12\xbd o'clock, na\xefve \xc9T\xc9!! <a@b.c> we'll\tsee\nŒuvre 你好 é x_y --\xbf"
+        probes = [probe, probe.encode("latin-1", "ignore").decode("latin-1")]
         self.by_chunk = True
-        self.by_chunk = self.encode(probe) == self.whole(probe)
+        self.by_chunk = all(self.encode(p) == self.whole(p) for p in probes)
+
+    def forget(self) -> None:
+        self.pieces, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+        self.used, self.turn = np.zeros(0, np.int64), 0
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:
-            if chunk.isascii() and chunk.isalpha():
-                ids = self._piece(chunk.lower())
-            elif max(chunk) < "Ā":
-                low = chunk.lower()
-                pieces = _PIECES.findall(low)
-                ids = self._piece(low) if len(pieces) == 1 else b"".join([self[p] for p in pieces])
-            else:
-                ids = self.whole(chunk)
-        if len(self) >= CACHE_CHUNKS:
-            self.old = dict(self)
-            self.clear()
-        self[chunk] = ids
-        return ids
-
-    def _piece(self, p: str) -> bytes:
-        """Ids of a piece; printable ASCII stands for itself in the byte-level alphabet."""
-        return array(self.code, [t.id for t in self.tok.model.tokenize(p if p.isalpha() and p.isascii() else p.translate(self.table))]).tobytes()
-
     def encode(self, text: str) -> bytes:
-        if not self.by_chunk or self.special.search(text) or _SPECIAL_SPACE.search(text):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, (text.lower() if text.isascii() else text).split()))
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (no nulls) in turn, and how many each text has."""
+        if not self.by_chunk:
+            each = [self.whole(t) for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(each), self.dtype), np.array([len(e) for e in each], np.int64) // self.dtype.itemsize
+        large = texts.nbytes >= LARGE or pa.types.is_large_string(texts.type)
+        if large:
+            texts = texts.cast(pa.large_string())
+        uncut = pc.match_substring_regex(texts, self.uncut)
+        alone = np.flatnonzero(uncut.to_numpy(zero_copy_only=False))
+        whole = pa.array([self.whole(texts[i].as_py()) for i in alone.tolist()], pa.binary())
+        lists = self._cut(pc.if_else(uncut, pa.scalar("", texts.type), texts))
+        begins = lists.offsets.to_numpy()
+        found = lists.values.dictionary_encode()
+        del lists
+        keys = found.dictionary.cast(pa.string())
+        place = pc.fill_null(pc.index_in(keys, value_set=self.pieces), -1).to_numpy().astype(np.int64)
+        unseen, held = place < 0, len(self.pieces)
+        new = keys.filter(pa.array(unseen))
+        new_ids = self._unseen(new.to_pylist())
+        place[unseen] = held + np.arange(len(new))
+        pick = place[found.indices.to_numpy()]
+        del found, keys
+        pick[begins[alone]] = held + len(new) + np.arange(len(alone))     # an empty text is one empty piece
+        known = pa.concat_arrays([self.ids, new_ids, whole])
+        taken = (known.cast(pa.large_binary()) if large else known).take(pa.array(pick))
+        self._remember(place[~unseen], new, new_ids)
+        if not len(texts):
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        ends = np.frombuffer(taken.buffers()[1], np.int64 if large else np.int32, len(taken) + 1)[begins].astype(np.int64)
+        ids = np.frombuffer(taken.buffers()[2] or b"", self.dtype, ends[-1] // self.dtype.itemsize)
+        return ids, np.diff(ends) // self.dtype.itemsize
+
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        """Lists of pieces: Latin-1 texts in lower case, with spaces about all that are not letters."""
+        none = pa.scalar("", texts.type)
+        wide = pc.match_substring_regex(texts, "[^\\x{00}-\\x{ff}]")
+        latin = pc.replace_substring_regex(pc.utf8_lower(pc.if_else(wide, none, texts)), _NO_LETTERS, " \\1 ")
+        return pc.utf8_split_whitespace(pc.if_else(wide, texts, latin))
+
+    def _unseen(self, chunks: list[str]) -> pa.Array:
+        """The ids of each chunk, as bytes."""
+        pieces: list[str] = []
+        counts = np.zeros(len(chunks), np.int64)
+        wide = []
+        for i, c in enumerate(chunks):
+            if c.isascii() and c.isalpha():
+                pieces.append(c.lower())
+                counts[i] = 1
+            elif c and max(c) >= "Ā":
+                wide.append(i)
+            else:
+                cut = _PIECES.findall(c.lower())
+                pieces += cut
+                counts[i] = len(cut)
+        ids, stops = self._model(pieces)
+        at = stops[np.append(0, np.cumsum(counts))] * self.dtype.itemsize
+        out = pa.Array.from_buffers(pa.binary(), len(chunks), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(ids)])
+        if not wide:
+            return out
+        place = np.arange(len(chunks))
+        place[wide] = len(chunks) + np.arange(len(wide))
+        return pa.concat_arrays([out, pa.array([self.whole(chunks[i]) for i in wide], pa.binary())]).take(pa.array(place))
+
+    def _model(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in turn, and where each piece's begin, and the last's end."""
+        parts, stops, at = [], [np.zeros(1, np.int64)], 0
+        for i in range(0, len(pieces), CALL_PIECES):
+            part = pieces[i:i + CALL_PIECES]
+            text = " ".join(part).translate(self.table)
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            stop = np.flatnonzero(self.last[ids]) + 1
+            if len(stop) != len(part) or stop[-1] != len(ids):            # ends cannot be told by the ids
+                each = [[t.id for t in self.tok.model.tokenize(p)] for p in text.split(" ")]
+                ids, stop = np.array(sum(each, []), self.dtype), np.cumsum([len(e) for e in each])
+            parts.append(ids)
+            stops.append(stop + at)
+            at += len(ids)
+        return np.concatenate(parts or [np.zeros(0, self.dtype)]), np.concatenate(stops)
+
+    def _remember(self, seen: np.ndarray, new: pa.Array, new_ids: pa.Array) -> None:
+        """Keeps the pieces used last, but none of more than ``LONG_PIECE`` bytes."""
+        self.turn += 1
+        self.used[seen] = self.turn
+        short = pc.less_equal(pc.binary_length(new), LONG_PIECE)
+        new, new_ids = new.filter(short), new_ids.filter(short)
+        self.pieces, self.ids = pa.concat_arrays([self.pieces, new]), pa.concat_arrays([self.ids, new_ids])
+        self.used = np.append(self.used, np.full(len(new), self.turn))
+        drop = len(self.used) - CACHE_PIECES
+        if drop > 0:
+            stay = np.sort(np.argpartition(self.used, drop)[drop:])
+            self.pieces, self.ids, self.used = self.pieces.take(pa.array(stay)), self.ids.take(pa.array(stay)), self.used[stay]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -152,38 +237,60 @@ def encoder(path: str) -> Encoder:
 def forget_chunks() -> None:
     """Empty this worker's caches, whose memory other steps of the same workers need."""
     for enc in _ENCODERS.values():
-        enc.old = {}
-        enc.clear()
+        enc.forget()
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts (null: empty) of rows in turn, in groups of at least ``GROUP_BYTES`` but for the last."""
+    docs, texts, size = [], [], 0
+    for batch in batches:
+        docs.append(batch.column("doc_id"))
+        texts.append(pc.fill_null(batch.column("text"), ""))
+        size += texts[-1].nbytes
+        if size >= GROUP_BYTES:
+            yield pa.concat_arrays(docs), pa.concat_arrays(texts)
+            docs, texts, size = [], [], 0
+    if docs:
+        yield pa.concat_arrays(docs), pa.concat_arrays(texts)
 
 
 def _packer(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard = encoder(path), TaskContext.get().partitionId()
-        width, end = bits_for(max(enc.vocab, end_id + 1)), np.array([end_id], enc.dtype).tobytes()
+        width = bits_for(max(enc.vocab, end_id + 1))
         schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()),
                             ("width", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
                             ("lengths", pa.list_(pa.int64())), ("packed", pa.binary())])
         block = first = held = 0
         docs: list = []
         lengths: list[int] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), enc.dtype)
+            ids = np.concatenate(parts)
             return pa.RecordBatch.from_pylist([{
                 "shard": shard, "block": block, "first": first, "n_ids": len(ids), "width": width,
                 "doc_ids": docs, "lengths": lengths, "packed": pack(ids, width)}], schema)
 
-        for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = enc.encode(text or "") + end
-                docs.append(doc)
-                lengths.append(len(ids) // enc.dtype.itemsize)
-                parts.append(ids)
-                held += lengths[-1]
-                if held >= BLOCK_IDS:
+        for names, texts in _groups(batches):
+            ids, counts = enc.encode_all(texts)
+            ends = np.cumsum(counts + 1)
+            ids = np.insert(ids, np.cumsum(counts), np.asarray(end_id, enc.dtype))
+            at = row = 0                                  # ids and rows of this group that are in a block
+            names, counts = names.to_pylist(), (counts + 1).tolist()
+            for i, end in enumerate(ends.tolist(), 1):
+                if held + end - at >= BLOCK_IDS:
+                    parts.append(ids[at:end])
+                    docs += names[row:i]
+                    lengths += counts[row:i]
+                    held += end - at
                     yield flush()
                     block, first, held, docs, lengths, parts = block + 1, first + held, 0, [], [], []
+                    at, row = end, i
+            parts.append(ids[at:].copy())
+            docs += names[row:]
+            lengths += counts[row:]
+            held += len(ids) - at
         if docs:
             yield flush()
     return run
