@@ -117,3 +117,29 @@ def test_rows_with_equal_ids_and_null_texts(spark):
     docs = spark.createDataFrame([(2, "b c"), (2, "b c"), (2, None), (None, "d!"), (1, "")], "doc_id long, text string")
     got = tokens.tokenize_documents(docs).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t")).first()
     assert (got.n, got.t) == (5, 5 + 2 + 2 + 2)
+
+
+def test_group_is_cut_in_slices_and_its_pieces_go_to_the_library_once(enc, monkeypatch):
+    """A worker's peak is that of a slice, however many texts come in a batch."""
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 2000)
+    cut, sizes = enc._cut, []
+    monkeypatch.setattr(enc, "_cut", lambda texts: sizes.append(sum(pc.binary_length(texts).to_pylist())) or cut(texts))
+    enc.forget()
+    enc.model = Counted(enc.model)
+    vocabulary = words(5, 400, "abcdefghij")
+    texts = [" ".join(vocabulary[i:i + 40]) for i in range(0, 400, 10)] * 2
+    check(enc, texts)
+    assert enc.model.calls == 1 and enc.model.pieces == len(set(vocabulary))
+    longest = max(map(len, texts))
+    assert len(sizes) > 5 and max(sizes) < 2000 + longest and sum(sizes) == sum(map(len, texts))
+    check(enc, ["", "<|endoftext|> a", "x" * 9000, "", *texts, "b<|startoftext|>", "y " * 3000, "", "œ 你好", "é" * 2500])
+
+
+def test_worker_gives_back_what_a_group_took(monkeypatch):
+    calls = []
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 1000)
+    monkeypatch.setattr(tokens, "give_back", lambda: calls.append(1), raising=False)
+    monkeypatch.setattr(tokens, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda s: 3})())}))
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": [" ".join(words(i, 300))]}) for i in range(6)]
+    out = list(tokens._packer(tokens.tokenizer_path(), 1)(iter(batches)))
+    assert len(out) == 1 and len(calls) == 6

@@ -29,14 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import read, running_base, shuffle_parts, thrifty
+from .common import give_back, read, running_base, shuffle_parts, thrifty
 
 BLOCK_IDS = 1 << 16
 END_ID = 1
-CACHE_PIECES = 500_000      # of a worker's cache
+CACHE_PIECES = 250_000      # of a worker's cache
 LONG_PIECE = 64             # bytes; longer pieces are not kept in it
-CALL_PIECES = 20_000        # pieces in a call of the library
-GROUP_BYTES = 8 << 20       # of texts that are cut and encoded together
+CALL_PIECES = 5_000         # pieces in a call of the library
+GROUP_BYTES = 2 << 20       # of texts whose pieces are looked up together
+SLICE_BYTES = 1 << 20       # of them that are cut at a time
 LARGE = 1 << 28             # bytes of a group from which on offsets take 64 bits
 TOKENIZER = "word_bpe_49k.json"
 
@@ -91,8 +92,8 @@ class Encoder:
     """Ids of whole texts, made by the tokenizers library from each text's pieces.
 
     For a tokenizer that drops white space, a text's ids are those of its
-    pieces in turn. Arrow cuts a group of texts into pieces and numbers the
-    different ones; those that the cache does not hold go to the library's model,
+    pieces in turn. Arrow cuts a group of texts into pieces, ``SLICE_BYTES`` at
+    a time, and numbers the different ones of all; those that the cache does not hold go to the library's model,
     thousands in one call. Texts with characters beyond Latin-1 are cut at white
     space only; their chunks with such characters go through the whole library,
     once each. Texts with special tokens and, if a probe shows that the tokenizer does
@@ -142,27 +143,48 @@ class Encoder:
         uncut = pc.match_substring_regex(texts, self.uncut)
         alone = np.flatnonzero(uncut.to_numpy(zero_copy_only=False))
         whole = pa.array([self.whole(texts[i].as_py()) for i in alone.tolist()], pa.binary())
-        lists = self._cut(pc.if_else(uncut, pa.scalar("", texts.type), texts))
-        begins = lists.offsets.to_numpy()
-        found = lists.values.dictionary_encode()
-        del lists
-        keys = found.dictionary.cast(pa.string())
+        begins, numbers, keys = self._numbered(pc.if_else(uncut, pa.scalar("", texts.type), texts))
         place = pc.fill_null(pc.index_in(keys, value_set=self.pieces), -1).to_numpy().astype(np.int64)
         unseen, held = place < 0, len(self.pieces)
         new = keys.filter(pa.array(unseen))
+        del keys
         new_ids = self._unseen(new.to_pylist())
         place[unseen] = held + np.arange(len(new))
-        pick = place[found.indices.to_numpy()]
-        del found, keys
-        pick[begins[alone]] = held + len(new) + np.arange(len(alone))     # an empty text is one empty piece
         known = pa.concat_arrays([self.ids, new_ids, whole])
-        taken = (known.cast(pa.large_binary()) if large else known).take(pa.array(pick))
+        if large:
+            known = known.cast(pa.large_binary())
+        ids, counts, row = [], [], 0
+        for begin, number in zip(begins, numbers):
+            pick = place[number]
+            mine = np.flatnonzero((alone >= row) & (alone < row + len(begin) - 1))
+            pick[begin[alone[mine] - row]] = held + len(new) + mine       # an empty text is one empty piece
+            taken = known.take(pa.array(pick))
+            ends = np.frombuffer(taken.buffers()[1], np.int64 if large else np.int32, len(taken) + 1)[begin].astype(np.int64)
+            ids.append(np.frombuffer(taken.buffers()[2] or b"", self.dtype, ends[-1] // self.dtype.itemsize))
+            counts.append(np.diff(ends) // self.dtype.itemsize)
+            row += len(begin) - 1
         self._remember(place[~unseen], new, new_ids)
-        if not len(texts):
-            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
-        ends = np.frombuffer(taken.buffers()[1], np.int64 if large else np.int32, len(taken) + 1)[begins].astype(np.int64)
-        ids = np.frombuffer(taken.buffers()[2] or b"", self.dtype, ends[-1] // self.dtype.itemsize)
-        return ids, np.diff(ends) // self.dtype.itemsize
+        return np.concatenate([np.zeros(0, self.dtype), *ids]), np.concatenate([np.zeros(0, np.int64), *counts])
+
+    def _numbered(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], pa.Array]:
+        """For each slice of the texts where each text's pieces begin, and the last's end, and the pieces'
+        numbers; the different pieces of all. Only the numbers stay: pieces, spaced texts and tables are a slice's."""
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(size // SLICE_BYTES, prepend=0)) + 1
+        cuts = np.unique(np.concatenate([[0], cuts, [len(texts)]])).tolist()
+        begins, numbers, keys = [], [], []
+        for lo, hi in zip(cuts, cuts[1:]):
+            lists = self._cut(texts.slice(lo, hi - lo))
+            found = lists.values.dictionary_encode()
+            begins.append(lists.offsets.to_numpy())
+            numbers.append(found.indices.to_numpy())
+            keys.append(found.dictionary.cast(pa.string()))
+        every = pa.concat_arrays([pa.array([], pa.string()), *keys]).dictionary_encode()
+        at, of = 0, every.indices.to_numpy()
+        for i, k in enumerate(keys):
+            numbers[i] = of[at:at + len(k)][numbers[i]]
+            at += len(k)
+        return begins, numbers, every.dictionary
 
     def _cut(self, texts: pa.Array) -> pa.Array:
         """Lists of pieces: Latin-1 texts in lower case, with spaces about all that are not letters."""
@@ -274,6 +296,8 @@ def _packer(path: str, end_id: int):
 
         for names, texts in _groups(batches):
             ids, counts = enc.encode_all(texts)
+            del texts
+            give_back()                                   # a group takes several times its texts
             ends = np.cumsum(counts + 1)
             ids = np.insert(ids, np.cumsum(counts), np.asarray(end_id, enc.dtype))
             at = row = 0                                  # ids and rows of this group that are in a block
